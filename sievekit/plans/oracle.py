@@ -233,3 +233,157 @@ SELECT coalesce(bool_and(success), true) AS success, count(*) AS evaluated_expec
        count(*) FILTER (WHERE NOT success) AS unsuccessful_expectations,
        CASE WHEN count(*) > 0 THEN 100.0 * count(*) FILTER (WHERE success) / count(*) END AS success_percent
 FROM ({_SUITE}) r WHERE status <> 'unknown'"""
+
+# ------------------------------------------------------------ curation expressions
+ORACLE_SQL["k_ani_groups"] = """
+SELECT CASE WHEN s = 100.0 THEN 'Group1: 100'
+            WHEN s > 99.5 AND s <= 99.9 THEN 'Group2: 99.9-99.5'
+            WHEN s > 99.0 AND s <= 99.5 THEN 'Group3: 99.5-99.0'
+            WHEN s > 98.5 AND s <= 99.0 THEN 'Group4: 99.0-98.5'
+            WHEN s > 98.0 AND s <= 98.5 THEN 'Group5: 98.5-98.0'
+            WHEN s > 97.0 AND s <= 98.0 THEN 'Group6: 98.0-97.0'
+            ELSE 'Group7: LT 97.0' END AS ani_group,
+       count(*) AS n
+FROM (SELECT CAST(100.0 AS DOUBLE) - l_discount * CAST(40.0 AS DOUBLE) AS s FROM lineitem) t
+GROUP BY 1"""
+
+ORACLE_SQL["k_url_parts"] = """
+SELECT page_id, p[1] AS scheme, p[2] AS blank, p[3] AS host, p[4] AS lang, p[5] AS page, p[6] AS extra,
+       CAST(len(p) AS INTEGER) AS n_parts
+FROM (SELECT page_id, string_split(url, '/') AS p FROM pages) t"""
+
+ORACLE_SQL["k_compose_key"] = """
+SELECT p_partkey, replace(p_name || '--' || p_brand, ' ', '_') AS clade_key, substr(p_brand, 7) AS brand_code
+FROM part"""
+
+_PART_FLAGS = """
+SELECT p_partkey, CASE WHEN p_size < 5 THEN 1 ELSE 0 END AS filter_a,
+       CASE WHEN p_brand IN ('Brand#1') OR list_has_any(string_split(p_name, ' '), ['red', 'small'])
+            THEN 1 ELSE 0 END AS filter_b
+FROM part"""
+ORACLE_SQL["k_part_flags"] = _PART_FLAGS
+ORACLE_SQL["k_part_flag_summary"] = f"""
+SELECT count(*) AS n_rows, CAST(coalesce(sum(filter_a), 0) AS BIGINT) AS n_filter_a,
+       CAST(coalesce(sum(CASE WHEN filter_a = 0 THEN filter_b END), 0) AS BIGINT) AS n_filter_b_only
+FROM ({_PART_FLAGS}) f"""
+
+ORACLE_SQL["k_keep_drop"] = """
+WITH fin AS (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'),
+     kept AS (SELECT * FROM customer c WHERE EXISTS (SELECT 1 FROM fin WHERE fin.o_custkey = c.c_custkey))
+SELECT 'kept' AS metric, count(*) AS value FROM kept
+UNION ALL SELECT 'dropped', count(*) FROM customer c
+  WHERE NOT EXISTS (SELECT 1 FROM fin WHERE fin.o_custkey = c.c_custkey)
+UNION ALL SELECT 'expected', count(DISTINCT o_custkey) FROM fin
+UNION ALL SELECT 'found', count(DISTINCT c_custkey) FROM kept
+UNION ALL SELECT 'missing', count(*) FROM (SELECT DISTINCT o_custkey FROM fin) f
+  WHERE NOT EXISTS (SELECT 1 FROM kept WHERE kept.c_custkey = f.o_custkey)"""
+
+# ------------------------------------------------------------ documents as groups of lines
+_LINES = """
+SELECT doc_id, n_lines, CAST(unnest(range(len(l))) AS INTEGER) AS line_no, unnest(l) AS line
+FROM (SELECT doc_id, string_split(text, chr(10)) AS l, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines
+      FROM documents) d"""
+_FLAGGED = f"""
+WITH lines AS ({_LINES}),
+rep AS (SELECT line FROM lines GROUP BY line HAVING count(DISTINCT doc_id) >= 3),
+flagged AS (
+  SELECT l.*, CASE WHEN n_lines < 2 THEN 1 ELSE 0 END AS filter_a,
+         CASE WHEN r.line IS NOT NULL THEN 1 ELSE 0 END AS filter_b
+  FROM lines l LEFT JOIN rep r ON l.line = r.line),
+members AS (SELECT *, greatest(filter_a, filter_b) AS removed FROM flagged),
+groups AS (
+  SELECT doc_id, count(*) AS n_members, count(*) FILTER (WHERE removed = 1) AS n_removed,
+         count(*) FILTER (WHERE removed = 0) AS n_retained,
+         count(*) FILTER (WHERE removed = 0) >= 2 AS kept
+  FROM members GROUP BY doc_id),
+staged AS (
+  SELECT m.*, CASE WHEN m.removed = 0 AND NOT g.kept THEN 1 ELSE 0 END AS cascade,
+         CASE WHEN m.removed = 0 AND g.kept THEN 1 ELSE 0 END AS retained
+  FROM members m JOIN groups g USING (doc_id))
+"""
+ORACLE_SQL["g_members"] = f"SELECT doc_id, line_no, line FROM ({_LINES}) t"
+ORACLE_SQL["g_count_check"] = """
+SELECT count(*) AS n_groups, CAST(sum(n_listed) AS BIGINT) AS n_exploded,
+       CAST(sum(n_declared) AS BIGINT) AS n_declared,
+       count(*) FILTER (WHERE n_listed IS DISTINCT FROM n_declared) AS n_mismatched_groups,
+       CAST(sum(n_listed) AS BIGINT) IS NOT DISTINCT FROM CAST(sum(n_declared) AS BIGINT) AS matches
+FROM (SELECT len(string_split(text, chr(10))) AS n_listed,
+             length(text) - length(replace(text, chr(10), '')) + 1 AS n_declared FROM documents) d"""
+ORACLE_SQL["k_line_flags"] = _FLAGGED + """
+SELECT count(*) AS n_rows, CAST(coalesce(sum(filter_a), 0) AS BIGINT) AS n_filter_a,
+       CAST(coalesce(sum(CASE WHEN filter_a = 0 THEN filter_b END), 0) AS BIGINT) AS n_filter_b_only
+FROM flagged"""
+ORACLE_SQL["g_stage_groups"] = _FLAGGED + "SELECT * FROM groups"
+ORACLE_SQL["g_cascade_members"] = _FLAGGED + "SELECT doc_id, line_no FROM staged WHERE cascade = 1"
+ORACLE_SQL["g_changed_groups"] = _FLAGGED + """
+SELECT count(*) AS n_groups, count(*) FILTER (WHERE n_members IS DISTINCT FROM n_retained) AS n_changed,
+       count(*) FILTER (WHERE NOT kept) AS n_dropped FROM groups"""
+ORACLE_SQL["g_retained_text"] = _FLAGGED + """
+SELECT doc_id,
+       coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE retained = 1), '') AS retained_members,
+       coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE retained = 0), '') AS removed_members,
+       count(*) FILTER (WHERE retained = 1) AS n_retained
+FROM staged GROUP BY doc_id"""
+
+# ------------------------------------------------------------ customers as pair members
+_PAIRS = """
+WITH pairs AS (
+  SELECT a.o_orderkey AS pair_id, a.o_custkey AS genome1, b.o_custkey AS genome2,
+         100.0 * least(a.o_totalprice, b.o_totalprice) / greatest(a.o_totalprice, b.o_totalprice) AS score
+  FROM orders a JOIN orders b ON b.o_orderkey - 1 = a.o_orderkey),
+valid AS (
+  SELECT p.pair_id, p.genome1, p.genome2, c1.c_nationkey AS "group", c1.c_acctbal AS size1,
+         c2.c_acctbal AS size2, least(c1.c_acctbal, c2.c_acctbal) AS min_size,
+         least(CAST(p.genome1 AS VARCHAR), CAST(p.genome2 AS VARCHAR)) || '_' ||
+           greatest(CAST(p.genome1 AS VARCHAR), CAST(p.genome2 AS VARCHAR)) AS pair_key,
+         p.score
+  FROM pairs p JOIN customer c1 ON c1.c_custkey = p.genome1 JOIN customer c2 ON c2.c_custkey = p.genome2
+  WHERE c1.c_nationkey = c2.c_nationkey AND p.genome1 <> p.genome2),
+surv AS (
+  SELECT *, CASE WHEN size1 < size2 THEN genome1 ELSE genome2 END AS loser,
+         min_size IS NULL AS nn
+  FROM valid WHERE score >= 97.0),
+removed AS (SELECT DISTINCT loser AS member FROM surv),
+members AS (
+  SELECT c_custkey AS member, c_nationkey AS "group", c_acctbal AS size,
+         CASE WHEN c_custkey IN (SELECT member FROM removed) THEN 1 ELSE 0 END AS removed
+  FROM customer),
+groups AS (
+  SELECT "group", count(*) AS n_members, count(*) FILTER (WHERE removed = 1) AS n_removed,
+         count(*) FILTER (WHERE removed = 0) AS n_retained, count(*) FILTER (WHERE removed = 0) >= 2 AS kept
+  FROM members GROUP BY "group")
+"""
+ORACLE_SQL["g_valid_pairs"] = _PAIRS + (
+    "SELECT pair_id, genome1, genome2, \"group\", size1, size2, min_size, pair_key, score FROM valid")
+ORACLE_SQL["g_scored_pairs"] = _PAIRS + 'SELECT pair_id, pair_key, "group", score FROM surv'
+ORACLE_SQL["g_near_dup_removed"] = _PAIRS + "SELECT member FROM removed"
+ORACLE_SQL["g_already_removed"] = _PAIRS + """
+SELECT count(*) AS n_pairs,
+       count(*) FILTER (WHERE EXISTS (
+         SELECT 1 FROM surv e
+         WHERE (e.loser = p.genome1 OR e.loser = p.genome2)
+           AND (e.nn < p.nn OR (e.nn = p.nn AND (coalesce(e.min_size < p.min_size, false)
+                OR (e.min_size IS NOT DISTINCT FROM p.min_size AND e.pair_id < p.pair_id)))))) AS n_already_removed,
+       count(DISTINCT loser) AS n_removed
+FROM surv p"""
+ORACLE_SQL["g_pair_coverage"] = _PAIRS + """
+SELECT g."group", g.n_members, CAST(g.n_members * (g.n_members - 1) // 2 AS BIGINT) AS expected_pairs,
+       coalesce(s.scored_pairs, 0) AS scored_pairs,
+       CAST(g.n_members * (g.n_members - 1) // 2 AS BIGINT) - coalesce(s.scored_pairs, 0) AS missing_pairs
+FROM (SELECT c_nationkey AS "group", count(*) AS n_members FROM customer GROUP BY 1) g
+LEFT JOIN (SELECT "group", count(DISTINCT pair_key) AS scored_pairs FROM valid GROUP BY 1) s USING ("group")"""
+ORACLE_SQL["g_stage3_groups"] = _PAIRS + "SELECT * FROM groups"
+ORACLE_SQL["g_group_stats"] = _PAIRS + """
+, retained AS (
+  SELECT m."group", m.size, coalesce(o.n_orders, 0) AS n_orders
+  FROM members m JOIN groups g USING ("group")
+  LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) o ON o.o_custkey = m.member
+  WHERE m.removed = 0 AND g.kept)
+SELECT "group", round(avg(size), 6) AS size_mean, CAST(median(size) AS DOUBLE) AS size_median,
+       min(size) AS size_min, max(size) AS size_max,
+       round(avg(n_orders), 6) AS n_orders_mean, CAST(median(n_orders) AS DOUBLE) AS n_orders_median,
+       min(n_orders) AS n_orders_min, max(n_orders) AS n_orders_max
+FROM retained GROUP BY "group" """
+ORACLE_SQL["g_size_split"] = _PAIRS + """
+SELECT "group", n_retained, CASE WHEN n_retained < 60 THEN 'LT' ELSE 'GTE' END AS size_class
+FROM groups WHERE kept"""

@@ -8,6 +8,7 @@ s_ sources). Every query reads the whole test tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,3 +145,163 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     fks = J.fk_report(load(spark, sf_dir, "lineitem"), cfg.LINEITEM_FKS, _tpch_refs(spark, sf_dir)).select(
         F.lit("foreign_key").alias("check"), F.col("reference").alias("name"), "status", "n_violations")
     return rules.unionByName(fks)
+
+
+# ---------------------------------------------------------- curation: expressions (K)
+
+from sievekit.functions import columns as C  # noqa: E402
+from sievekit.operators import flags as K  # noqa: E402
+from sievekit.operators import groups as G  # noqa: E402
+from sievekit.operators import pairs as P  # noqa: E402
+from sievekit.operators.stats import group_stats  # noqa: E402
+from sievekit.plans import curation as CU  # noqa: E402
+
+URL_PARTS = ["scheme", "blank", "host", "lang", "page", "extra"]
+
+
+@query("k_ani_groups")
+def k_ani_groups(spark, sf):
+    li = load(spark, sf, "lineitem")
+    score = F.lit(100.0) - F.col("l_discount") * F.lit(40.0)
+    return li.groupBy(C.bucket_label(score).alias("ani_group")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k_url_parts")
+def k_url_parts(spark, sf):
+    pages = load(spark, sf, "pages")
+    return pages.select("page_id", *C.split_to_columns("url", "/", URL_PARTS),
+                        C.split_width("url", "/").alias("n_parts"))
+
+
+@query("k_compose_key")
+def k_compose_key(spark, sf):
+    part = load(spark, sf, "part")
+    return part.select("p_partkey", C.compose_key("p_name", "p_brand").alias("clade_key"),
+                       C.strip_prefix("p_brand", 6).alias("brand_code"))
+
+
+def _part_flags(spark, sf):
+    part = load(spark, sf, "part").withColumn("words", C.split_list("p_name", " "))
+    return K.flag_rows(part,
+                       filter_a=F.col("p_size") < 5,
+                       filter_b=C.list_overlap("p_brand", ["Brand#1"], "words", ["red", "small"]))
+
+
+@query("k_part_flags")
+def k_part_flags(spark, sf):
+    return _part_flags(spark, sf).select("p_partkey", "filter_a", "filter_b")
+
+
+@query("k_part_flag_summary")
+def k_part_flag_summary(spark, sf):
+    return K.filter_summary(_part_flags(spark, sf), "filter_a", "filter_b")
+
+
+@query("k_keep_drop")
+def k_keep_drop(spark, sf):
+    customer, orders = load(spark, sf, "customer"), load(spark, sf, "orders")
+    finished = orders.filter(F.col("o_orderstatus") == "F")
+    kept = K.keep_keys(customer, "c_custkey", finished, "o_custkey")
+    dropped = K.drop_keys(customer, "c_custkey", finished, "o_custkey")
+    check = K.completeness(kept, "c_custkey", finished, "o_custkey")
+    metrics = [kept.agg(F.lit("kept").alias("metric"), F.count(F.lit(1)).alias("value")),
+               dropped.agg(F.lit("dropped").alias("metric"), F.count(F.lit(1)).alias("value"))]
+    metrics += [check.select(F.lit(m).alias("metric"), F.col(f"n_{m}").alias("value"))
+                for m in ("expected", "found", "missing")]
+    return reduce(DataFrame.unionByName, metrics)
+
+
+# ---------------------------------------------------------- curation: groups
+
+@query("g_members")
+def g_members(spark, sf):
+    return CU.doc_lines(spark, sf).select("doc_id", "line_no", "line")
+
+
+@query("g_count_check")
+def g_count_check(spark, sf):
+    docs = load(spark, sf, "documents")
+    declared = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
+    summary, _ = G.declared_count_check(docs, ["doc_id"], "text", declared, sep="\n")
+    return summary
+
+
+@query("k_line_flags")
+def k_line_flags(spark, sf):
+    return K.filter_summary(CU.flagged_lines(spark, sf), "filter_a", "filter_b")
+
+
+@query("g_stage_groups")
+def g_stage_groups(spark, sf):
+    _, groups = CU.doc_stage(spark, sf)
+    return groups.select("doc_id", "n_members", "n_removed", "n_retained", "kept")
+
+
+@query("g_cascade_members")
+def g_cascade_members(spark, sf):
+    members, _ = CU.doc_stage(spark, sf)
+    return members.filter(F.col("cascade") == 1).select("doc_id", "line_no")
+
+
+@query("g_changed_groups")
+def g_changed_groups(spark, sf):
+    _, groups = CU.doc_stage(spark, sf)
+    return G.changed_groups(groups)
+
+
+@query("g_retained_text")
+def g_retained_text(spark, sf):
+    members, _ = CU.doc_stage(spark, sf)
+    return G.regroup(members, ["doc_id"], "line_no", "line", "retained", sep="\n")
+
+
+# ---------------------------------------------------------- curation: pairs
+
+@query("g_valid_pairs")
+def g_valid_pairs(spark, sf):
+    return CU.valid_order_pairs(spark, sf).select(
+        "pair_id", "genome1", "genome2", "group", "size1", "size2", "min_size", "pair_key", "score")
+
+
+@query("g_scored_pairs")
+def g_scored_pairs(spark, sf):
+    return CU.surviving_pairs(spark, sf).select("pair_id", "pair_key", "group", "score")
+
+
+@query("g_near_dup_removed")
+def g_near_dup_removed(spark, sf):
+    return P.removed_members(CU.surviving_pairs(spark, sf))
+
+
+@query("g_already_removed")
+def g_already_removed(spark, sf):
+    return P.already_removed(CU.surviving_pairs(spark, sf))
+
+
+@query("g_pair_coverage")
+def g_pair_coverage(spark, sf):
+    sizes = CU.customer_members(spark, sf).groupBy("group").agg(F.count(F.lit(1)).alias("n_members"))
+    return P.pair_coverage(sizes, CU.valid_order_pairs(spark, sf))
+
+
+@query("g_stage3_groups")
+def g_stage3_groups(spark, sf):
+    _, groups = CU.customer_stage3(spark, sf)
+    return groups.select("group", "n_members", "n_removed", "n_retained", "kept")
+
+
+@query("g_group_stats")
+def g_group_stats(spark, sf):
+    members, _ = CU.customer_stage3(spark, sf)
+    counts = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("member")).agg(
+        F.count(F.lit(1)).alias("n_orders"))
+    retained = members.filter(F.col("retained") == 1).join(counts, "member", "left").withColumn(
+        "n_orders", F.coalesce("n_orders", F.lit(0)))
+    return group_stats(retained, ["group"], ["size", "n_orders"])
+
+
+@query("g_size_split")
+def g_size_split(spark, sf):
+    _, groups = CU.customer_stage3(spark, sf)
+    return P.size_split(groups.filter("kept"), "n_retained", CU.SIZE_SPLIT).select(
+        "group", "n_retained", "size_class")
