@@ -387,3 +387,35 @@ FROM retained GROUP BY "group" """
 ORACLE_SQL["g_size_split"] = _PAIRS + """
 SELECT "group", n_retained, CASE WHEN n_retained < 60 THEN 'LT' ELSE 'GTE' END AS size_class
 FROM groups WHERE kept"""
+
+# ------------------------------------------------------------ run logs from events
+_LOG_GOOD = """
+SELECT CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS time, 'events' AS pipeline, 'web' AS "schema",
+       event_type AS "table",
+       CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' THEN 'WARNING' ELSE 'INFO' END AS level,
+       'user_' || CAST(user_id AS VARCHAR) AS module,
+       CASE WHEN event_type = 'error' THEN chr(128680) || ' ' ELSE '' END || event_type || ' value='
+         || CAST(value AS VARCHAR) || chr(9) || props AS msg,
+       'pipeline_run_' || strftime(ts, '%Y%m%d') || '.log' AS log_file
+FROM events WHERE NOT (value > 200)"""
+ORACLE_SQL["l_log_view"] = f"""
+SELECT * FROM ({_LOG_GOOD}) g
+WHERE pipeline = 'events' AND level = 'ERROR'
+  AND time >= TIMESTAMP '2024-01-03 00:00:00' AND time < TIMESTAMP '2024-01-10 00:00:00'"""
+ORACLE_SQL["l_bad_lines"] = """
+SELECT 'pipeline_run_' || strftime(ts, '%Y%m%d') || '.log' AS log_file, count(*) AS n_lines,
+       count(*) FILTER (WHERE value > 200) AS n_bad
+FROM events GROUP BY 1"""
+ORACLE_SQL["l_options"] = f"""
+SELECT DISTINCT * FROM (
+  SELECT 'pipeline' AS field, pipeline AS value FROM ({_LOG_GOOD}) a
+  UNION ALL SELECT 'schema', "schema" FROM ({_LOG_GOOD}) b
+  UNION ALL SELECT 'table', "table" FROM ({_LOG_GOOD}) c
+  UNION ALL SELECT 'level', level FROM ({_LOG_GOOD}) d) o
+WHERE value IS NOT NULL"""
+ORACLE_SQL["l_date_bounds"] = f"""
+SELECT CAST(min(time) AS DATE) AS first_day, CAST(max(time) AS DATE) AS last_day FROM ({_LOG_GOOD}) g"""
+ORACLE_SQL["l_file_union"] = f"""
+SELECT log_file, level, count(*) AS n FROM ({_LOG_GOOD}) g
+WHERE log_file IN ('pipeline_run_20240105.log', 'pipeline_run_20240106.log') GROUP BY 1, 2"""
+ORACLE_SQL["s_path_count"] = "SELECT count(*) AS n_rows FROM lineitem"

@@ -305,3 +305,48 @@ def g_size_split(spark, sf):
     _, groups = CU.customer_stage3(spark, sf)
     return P.size_split(groups.filter("kept"), "n_retained", CU.SIZE_SPLIT).select(
         "group", "n_retained", "size_class")
+
+
+# ---------------------------------------------------------- run logs
+
+from sievekit.operators import runlog as L  # noqa: E402
+from sievekit.plans.runlogs import event_log_lines  # noqa: E402
+
+
+def _parsed_logs(spark, sf):
+    return L.parse_log_lines(event_log_lines(spark, sf))
+
+
+@query("l_log_view")
+def l_log_view(spark, sf):
+    return L.log_view(L.filter_logs(_parsed_logs(spark, sf), pipeline="events", schema=L.ALL, table=L.ALL,
+                                    level="ERROR", start="2024-01-03", end="2024-01-09"))
+
+
+@query("l_bad_lines")
+def l_bad_lines(spark, sf):
+    return L.bad_line_report(_parsed_logs(spark, sf))
+
+
+@query("l_options")
+def l_options(spark, sf):
+    return L.option_values(_parsed_logs(spark, sf))
+
+
+@query("l_date_bounds")
+def l_date_bounds(spark, sf):
+    return L.date_bounds(_parsed_logs(spark, sf))
+
+
+@query("l_file_union")
+def l_file_union(spark, sf):
+    chosen = L.select_files(_parsed_logs(spark, sf), ["pipeline_run_20240105.log", "pipeline_run_20240106.log"])
+    return L.good_lines(chosen).groupBy("log_file", "level").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------- sources
+
+@query("s_path_count")
+def s_path_count(spark, sf):
+    from sievekit.sources.tables import sql_count
+    return sql_count(spark, f"{sf}/lineitem.parquet", "parquet")
