@@ -36,7 +36,7 @@ class ConfigValidationError(Exception):
 
 def read_config_folder(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON file: (config = file name without .json, json text)."""
-    docs = spark.read.option("wholetext", "true").text(path)
+    docs = spark.read.text(path, wholetext=True)
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
     return docs.select(name.alias("config"), F.col("value").alias("json"))
 

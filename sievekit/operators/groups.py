@@ -61,17 +61,22 @@ def group_sizes(members: DataFrame, group_cols: Sequence[str], removed: str = "r
 
 def filter_stage(
     members: DataFrame, group_cols: Sequence[str], removed: str = "removed",
-    min_size: int = MIN_GROUP_SIZE,
+    min_size: int = MIN_GROUP_SIZE, all_groups: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One curation stage.
 
     ``members`` has a 0/1 ``removed`` flag. Returns (members, groups):
     members gain ``cascade`` (1 when the member was retained but its group fell
     below ``min_size``, G5) and ``retained`` (final); groups carry
-    n_members / n_removed / n_retained and ``kept`` (G6).
+    n_members / n_removed / n_retained and ``kept`` (G6). Pass ``all_groups``
+    (one row per group) to also report groups without members (a null or
+    empty list: size 0, dropped).
     """
-    groups = group_sizes(members, group_cols, removed).withColumn(
-        "kept", F.col("n_retained") >= F.lit(min_size))
+    groups = group_sizes(members, group_cols, removed)
+    if all_groups is not None:
+        groups = all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
+            *group_cols, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_members", "n_removed", "n_retained")])
+    groups = groups.withColumn("kept", F.col("n_retained") >= F.lit(min_size))
     small = groups.select(*group_cols, (~F.col("kept")).alias("__small"))
     tagged = members.join(small, list(group_cols), "left")
     tagged = tagged.withColumn(

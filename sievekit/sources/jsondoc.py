@@ -15,6 +15,6 @@ def read_keyed_document(spark: SparkSession, path, fields: Sequence[str] = ("gen
     read in parallel, one task per file.
     """
     value_type = "struct<" + ", ".join(f"`{f}`: string" for f in fields) + ">"
-    docs = spark.read.option("wholetext", "true").text(path)
+    docs = spark.read.text(path, wholetext=True)
     entries = docs.select(F.explode(F.from_json("value", f"map<string, {value_type}>")).alias("key", "v"))
     return entries.select("key", *[F.col(f"v.`{f}`").alias(f) for f in fields])
