@@ -70,6 +70,13 @@ def _ref_keys(ref: DataFrame, ref_col: str, max_broadcast_bytes: int | None) ->
     return broadcast_if_small(keys, max_broadcast_bytes)
 
 
+def _is_broadcast(df: DataFrame) -> bool:
+    try:
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def _target(target: DataFrame, fk: str, nulls: str) -> DataFrame:
     if nulls == "ignore":
         return target.filter(F.col(f"`{fk}`").isNotNull())
@@ -84,7 +91,13 @@ def _orphan_keys(target, fk, ref, ref_col, nulls, max_broadcast_bytes) -> DataFr
             .groupBy(F.col(f"`{fk}`").alias("__fk"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
     ref_keys = _ref_keys(ref, ref_col, max_broadcast_bytes)
-    return keys.join(ref_keys, keys["__fk"] == ref_keys["__ref_key"], "left_anti")
+    cond = keys["__fk"] == ref_keys["__ref_key"]
+    if not _is_broadcast(ref_keys):
+        # Large reference side: keep the anti join above the pre-aggregation
+        # (the optimizer would otherwise push it below and shuffle raw FK
+        # values, hot keys included). ``n_rows > 0`` always holds.
+        cond = cond & (keys["n_rows"] > 0)
+    return keys.join(ref_keys, cond, "left_anti")
 
 
 def fk_report(

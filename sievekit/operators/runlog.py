@@ -38,8 +38,11 @@ def parse_time(c: Column) -> Column:
 
 def parse_log_lines(lines: DataFrame, value: str = "value", file_col: str = "log_file") -> DataFrame:
     """L1 + L2: parse JSON lines; adds ``time`` (timestamp), ``raw_time``, ``is_bad``."""
-    parsed = lines.select(F.col(file_col).alias("log_file"),
-                          F.from_json(F.col(value), _SCHEMA, _OPTIONS).alias("__r"), F.col(value).alias("__line"))
+    # The parsed struct is produced by a generator so the optimizer cannot
+    # inline ``from_json`` into every later filter and field (it would parse
+    # each line once per reference).
+    parsed = lines.select(F.col(file_col).alias("log_file"), F.col(value).alias("__line"),
+                          F.explode(F.array(F.from_json(F.col(value), _SCHEMA, _OPTIONS))).alias("__r"))
     bad = F.col("__r._corrupt_record").isNotNull() | F.col("__r").isNull()
     out = parsed.select(
         *[F.col(f"__r.`{f}`").alias(f) for f in LOG_FIELDS if f != "time"],

@@ -18,6 +18,7 @@ from sievekit.operators import flags as K
 from sievekit.operators import groups as G
 from sievekit.operators import pairs as P
 from sievekit.plans.tables import load
+from sievekit.session import stage_table
 
 REPEATED_LINE_DOCS = 3
 PAIR_THRESHOLD = 97.0
@@ -42,7 +43,11 @@ def flagged_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_stage(spark: SparkSession, sf: str):
-    return G.filter_stage(flagged_lines(spark, sf), ["doc_id"], "removed", G.MIN_GROUP_SIZE)
+    # The flagged lines feed both the per-document sizes and the join back to
+    # members; writing them once as a stage table (under the shared checkpoint
+    # folder) avoids exploding every text and joining the key set twice.
+    flagged = stage_table(flagged_lines(spark, sf), "doc-lines-flagged")
+    return G.filter_stage(flagged, ["doc_id"], "removed", G.MIN_GROUP_SIZE)
 
 
 def order_pairs(spark: SparkSession, sf: str) -> DataFrame:

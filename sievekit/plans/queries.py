@@ -221,7 +221,7 @@ def g_members(spark, sf):
 @query("g_count_check")
 def g_count_check(spark, sf):
     docs = load(spark, sf, "documents")
-    declared = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
+    declared = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     summary, _ = G.declared_count_check(docs, ["doc_id"], "text", declared, sep="\n")
     return summary
 
