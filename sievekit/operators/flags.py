@@ -81,3 +81,18 @@ def lookup_both_sides(
     a2 = attrs.select(F.col(key).alias("__k2"), *[F.col(c).alias(f"{c}2") for c in columns])
     out = pairs.join(a1, pairs[left] == a1["__k1"], "left").drop("__k1")
     return out.join(a2, out[right] == a2["__k2"], "left").drop("__k2")
+
+
+def stack_tables(*frames: DataFrame) -> DataFrame:
+    """K4: stack like tables by column name; columns missing on one side are null."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def select_renamed(df: DataFrame, columns: Sequence[str] | dict) -> DataFrame:
+    """K6: keep, reorder and rename columns (a list keeps names; a dict maps old -> new)."""
+    if isinstance(columns, dict):
+        return df.select(*[F.col(f"`{old}`").alias(new) for old, new in columns.items()])
+    return df.select(*[F.col(f"`{c}`") for c in columns])

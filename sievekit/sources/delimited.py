@@ -60,3 +60,24 @@ def read_id_list(spark: SparkSession, path) -> DataFrame:
     """One id per line, stripped; blank lines skipped."""
     return (spark.read.text(path).select(F.trim("value").alias("id"))
             .filter(F.col("id") != ""))
+
+
+def short_rows(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
+    """Data lines with fewer fields than the header (a missing trailing
+    field), which the CSV reader would silently fill with nulls.
+
+    The header is each file's first line; rows are (file_path, row_id,
+    n_fields, n_expected, value).
+    """
+    lines, head = _numbered_head(spark, path, 1)
+    expected = head.select("file_path", F.size(F.split("value", _literal(sep), -1)).alias("n_expected"),
+                           F.col("row_id").alias("__header_id"))
+    fields = F.size(F.split("value", _literal(sep), -1))
+    data = lines.join(F.broadcast(expected), "file_path").filter(F.col("row_id") != F.col("__header_id"))
+    return (data.withColumn("n_fields", fields).filter(F.col("n_fields") < F.col("n_expected"))
+            .select("file_path", "row_id", "n_fields", "n_expected", "value"))
+
+
+def _literal(sep: str) -> str:
+    import re
+    return re.escape(sep) if sep not in ("\t", "\n") else sep
