@@ -1,8 +1,22 @@
 """Per-group statistics (G15): mean, median, min and max of numeric columns.
 
-``median`` is Spark's exact percentile; its buffer holds one counter per
-distinct value of the group, so memory follows distinct values, not rows.
-Means are rounded (``digits``) so results do not depend on summation order.
+The median is exact without gathering a group. Spark's exact ``percentile``
+keeps one counter per distinct value of a group in one task, which a group
+holding a third of all rows cannot afford. Instead, per (group, column):
+
+1. one aggregate gives count, mean, min, max and, from ``percentile_approx``
+   (a bounded sketch; rank error at most n/accuracy), a bracket [lo, hi]
+   around the middle ranks;
+2. one more pass counts the values below ``lo`` and pre-aggregates the values
+   inside the bracket to (value, count) — at most about 8n/accuracy distinct
+   values per group;
+3. a running sum over those bracket values finds the middle rank(s); an even
+   count averages the two middle values.
+
+All columns are handled together in long form (group, column, value), so the
+input is read twice whatever the number of columns. Means and medians are
+rounded to ``digits`` so results do not depend on summation or interpolation
+order.
 """
 
 from __future__ import annotations
@@ -11,13 +25,76 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+DEFAULT_ACCURACY = 100_000
+
+
+def _long_form(df: DataFrame, group_cols: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("double").alias("x")) for c in columns])
+    return (df.select(*group_cols, F.explode(cells).alias("__cell"))
+            .select(*group_cols, F.col("__cell.name").alias("__name"), F.col("__cell.x").alias("__x"))
+            .filter(F.col("__x").isNotNull()))
+
+
+def _medians_long(vals: DataFrame, keys: list[str], summary: DataFrame) -> DataFrame:
+    """Exact median per ``keys`` from long-form values and their bracket summary."""
+    joined = vals.join(summary.select(*keys, "__lo", "__hi"), keys)
+    inside = joined.filter(F.col("__x") <= F.col("__hi"))
+    # below-bracket values collapse to one null-valued row per key
+    bucket = F.when(F.col("__x") < F.col("__lo"), F.lit(None).cast("double")).otherwise(F.col("__x"))
+    counted = inside.groupBy(*keys, bucket.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    below = counted.filter(F.col("__v").isNull()).select(*keys, F.col("__c").alias("__below"))
+    bracket = counted.filter(F.col("__v").isNotNull())
+    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (bracket.withColumn("__end", F.sum("__c").over(w)).withColumn("__start", F.col("__end") - F.col("__c"))
+              .join(summary.select(*keys, "__n"), keys).join(below, keys, "left")
+              .withColumn("__below", F.coalesce("__below", F.lit(0))))
+    k1 = F.floor((F.col("__n") - 1) / 2) - F.col("__below")
+    k2 = F.floor(F.col("__n") / 2) - F.col("__below")
+
+    def at(k):
+        return F.max(F.when((k >= F.col("__start")) & (k < F.col("__end")), F.col("__v")))
+
+    picked = ranked.groupBy(*keys).agg(at(k1).alias("__v1"), at(k2).alias("__v2"))
+    return picked.select(*keys, ((F.col("__v1") + F.col("__v2")) / 2).alias("__median"))
+
+
+def _summary(vals: DataFrame, keys: list[str], accuracy: int) -> DataFrame:
+    margin = 4.0 / accuracy
+    qs = [max(0.0, 0.5 - margin), min(1.0, 0.5 + margin)]
+    return vals.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.avg("__x").alias("__mean"), F.min("__x").alias("__min"), F.max("__x").alias("__max"),
+        F.percentile_approx("__x", qs, accuracy).alias("__b"),
+    ).withColumn("__lo", F.col("__b")[0]).withColumn("__hi", F.col("__b")[1]).drop("__b")
+
+
+def exact_median(df: DataFrame, group_cols: Sequence[str], column: str,
+                 accuracy: int = DEFAULT_ACCURACY, alias: str | None = None) -> DataFrame:
+    """Exact median of ``column`` per group (nulls ignored), skew-safe."""
+    g = list(group_cols)
+    vals = _long_form(df, g, [column])
+    keys = g + ["__name"]
+    med = _medians_long(vals, keys, _summary(vals, keys, accuracy))
+    return med.select(*g, F.col("__median").alias(alias or f"{column}_median"))
 
 
-def group_stats(df: DataFrame, group_cols: Sequence[str], columns: Sequence[str], digits: int = 6) -> DataFrame:
-    aggs = []
-    for c in columns:
-        x = F.col(f"`{c}`")
-        aggs += [F.round(F.avg(x), digits).alias(f"{c}_mean"),
-                 F.median(x).cast("double").alias(f"{c}_median"),
-                 F.min(x).alias(f"{c}_min"), F.max(x).alias(f"{c}_max")]
-    return df.groupBy(*group_cols).agg(*aggs)
+def group_stats(df: DataFrame, group_cols: Sequence[str], columns: Sequence[str], digits: int = 6,
+                accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Mean, median, min and max per group for each column (min/max keep the column type)."""
+    g = list(group_cols)
+    keys = g + ["__name"]
+    vals = _long_form(df, g, columns)
+    summary = _summary(vals, keys, accuracy)
+    med = _medians_long(vals, keys, summary)
+    long = summary.join(med, keys, "left")
+    types = dict(df.dtypes)
+    wide = long.groupBy(*g).agg(*[
+        agg for c in columns for agg in (
+            F.round(F.max(F.when(F.col("__name") == c, F.col("__mean"))), digits).alias(f"{c}_mean"),
+            F.round(F.max(F.when(F.col("__name") == c, F.col("__median"))), digits).alias(f"{c}_median"),
+            F.max(F.when(F.col("__name") == c, F.col("__min"))).cast(types[c]).alias(f"{c}_min"),
+            F.max(F.when(F.col("__name") == c, F.col("__max"))).cast(types[c]).alias(f"{c}_max"),
+        )])
+    return wide

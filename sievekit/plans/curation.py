@@ -78,4 +78,7 @@ def customer_stage3(spark: SparkSession, sf: str):
     members = customer_members(spark, sf)
     removed = P.removed_members(surviving_pairs(spark, sf))
     flagged = K.flag_by_keys(members, "member", removed, "member", "removed")
+    # stage end: the flagged members feed the group sizes, the join back and
+    # the statistics; write them once (shared checkpoint folder)
+    flagged = stage_table(flagged, "customers-flagged-stage3")
     return G.filter_stage(flagged, ["group"], "removed", G.MIN_GROUP_SIZE)

@@ -379,9 +379,9 @@ ORACLE_SQL["g_group_stats"] = _PAIRS + """
   FROM members m JOIN groups g USING ("group")
   LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) o ON o.o_custkey = m.member
   WHERE m.removed = 0 AND g.kept)
-SELECT "group", round(avg(size), 6) AS size_mean, CAST(median(size) AS DOUBLE) AS size_median,
+SELECT "group", round(avg(size), 6) AS size_mean, round(CAST(median(size) AS DOUBLE), 6) AS size_median,
        min(size) AS size_min, max(size) AS size_max,
-       round(avg(n_orders), 6) AS n_orders_mean, CAST(median(n_orders) AS DOUBLE) AS n_orders_median,
+       round(avg(n_orders), 6) AS n_orders_mean, round(CAST(median(n_orders) AS DOUBLE), 6) AS n_orders_median,
        min(n_orders) AS n_orders_min, max(n_orders) AS n_orders_max
 FROM retained GROUP BY "group" """
 ORACLE_SQL["g_size_split"] = _PAIRS + """
