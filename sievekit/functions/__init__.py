@@ -13,4 +13,4 @@ from sievekit.functions.columns import (  # noqa: F401
     split_to_columns,
     strip_prefix,
 )
-from sievekit.functions.sizing import broadcast_if_small, estimated_bytes  # noqa: F401
+from sievekit.functions.sizing import broadcast_if_small, estimated_bytes, is_small  # noqa: F401

@@ -22,8 +22,9 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Return ``F.broadcast(df)`` if its estimated size is at most ``max_bytes``."""
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the optimizer's size estimate of ``df`` is known and at most
+    ``max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``)."""
     if max_bytes is None:
         conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
         try:
@@ -31,8 +32,11 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
         except ValueError:
             max_bytes = DEFAULT_MAX_BYTES
         if max_bytes < 0:
-            return df
+            return False
     size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return size is not None and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Return ``F.broadcast(df)`` if its estimated size is at most ``max_bytes``."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df

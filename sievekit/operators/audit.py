@@ -28,6 +28,13 @@ RI_KEYS = ("foreign_key", "reference_table", "reference_column", "database", "ac
 SCHEMA_DRIFT_KEYS = ("action", "log_table", "log_path")
 LOGGING_KEYS = ("error_table", "output_delta_path")
 VERSIONING_KEYS = ("version_tag", "created_by", "created_at")
+# Message texts of the config validator.
+MSG_MISSING_REQUIRED = "Missing required field: "
+MSG_MISSING_FIELD = "Missing field: "
+MSG_INPUT_NOT_LIST = "input_files must be a list"
+MSG_TRANSFORMATION_KEYS = "Each transformation must include 'column_name' and 'operation'"
+MSG_EXPECTATION_KEYS = "Each entry must have 'expectation_type' and 'params'"
+MSG_BAD_CREATED_AT = "'created_at' is not a valid ISO timestamp"
 
 
 class ConfigValidationError(Exception):
@@ -60,7 +67,7 @@ def _err(section: Column | str, message: Column | str) -> Column:
     return F.struct(sec.alias("section"), msg.alias("message"))
 
 
-def _missing(section: Column | str, text: Column, required, fmt: str = "Missing field: ") -> Column:
+def _missing(section: Column | str, text: Column, required, fmt: str = MSG_MISSING_FIELD) -> Column:
     missing = F.array_except(_lit_array(required), _keys(text))
     return F.transform(missing, lambda k: _err(section, F.concat(F.lit(fmt), k)))
 
@@ -96,19 +103,18 @@ def audit_configs(configs: DataFrame, json_col: str = "json", name_col: str = "c
     top = _keys(doc)
     required = F.transform(
         F.array_except(_lit_array(VALIDATOR_REQUIRED), top),
-        lambda k: _err("required_fields", F.concat(F.lit("Missing required field: '"), k, F.lit("'"))))
+        lambda k: _err("required_fields", F.concat(F.lit(MSG_MISSING_REQUIRED + "'"), k, F.lit("'"))))
     inputs_text = sec("input_files")
     inputs = F.when(inputs_text.isNull(), empty).when(
-        F.json_array_length(inputs_text).isNull(), F.array(_err("input_files", "input_files must be a list"))
+        F.json_array_length(inputs_text).isNull(), F.array(_err("input_files", MSG_INPUT_NOT_LIST))
     ).otherwise(_per_item("input_files", inputs_text, lambda s, item: _missing(s, item, INPUT_FILE_KEYS)))
     output = _missing("output_file", sec("output_file"), OUTPUT_FILE_KEYS)
     transformations = _per_item("transformations", sec("transformations"), lambda s, item: _all_keys_or_one(
-        s, item, ("column_name", "operation"), "Each transformation must include 'column_name' and 'operation'"))
+        s, item, ("column_name", "operation"), MSG_TRANSFORMATION_KEYS))
     validations = _per_item("validations", sec("validations"), lambda s, item: _missing(s, item, VALIDATION_KEYS))
     ri = _per_item("referential_integrity", sec("referential_integrity"), lambda s, item: _missing(s, item, RI_KEYS))
     ge = _per_item("great_expectations_validations", sec("great_expectations_validations"),
-                   lambda s, item: _all_keys_or_one(s, item, ("expectation_type", "params"),
-                                                    "Each entry must have 'expectation_type' and 'params'"))
+                   lambda s, item: _all_keys_or_one(s, item, ("expectation_type", "params"), MSG_EXPECTATION_KEYS))
 
     def when_nonempty(name: str, keys) -> Column:
         t = sec(name)
@@ -121,7 +127,7 @@ def audit_configs(configs: DataFrame, json_col: str = "json", name_col: str = "c
     bad_time = created.isNull() | F.try_to_timestamp(created).isNull()
     versioning = F.when(_nonempty_object(ver_text), F.concat(
         _missing("versioning", ver_text, VERSIONING_KEYS),
-        F.when(bad_time, F.array(_err("versioning", "'created_at' is not a valid ISO timestamp"))).otherwise(empty),
+        F.when(bad_time, F.array(_err("versioning", MSG_BAD_CREATED_AT))).otherwise(empty),
     )).otherwise(empty)
 
     errors = F.concat(required, inputs, output, transformations, validations, ri, ge, drift, logging, versioning)

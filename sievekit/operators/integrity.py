@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievekit.functions.sizing import broadcast_if_small
+from sievekit.functions.sizing import is_small
 
 Resolver = Callable[[SparkSession, str | None, str], DataFrame]
 
@@ -65,16 +65,12 @@ def _prepare(target: DataFrame, rules: Sequence[Mapping], resolve: Resolver | No
         yield idx, rule, fk, ref, ref_col, None, None
 
 
-def _ref_keys(ref: DataFrame, ref_col: str, max_broadcast_bytes: int | None) -> DataFrame:
+def _ref_keys(ref: DataFrame, ref_col: str, max_broadcast_bytes: int | None) -> tuple[DataFrame, bool]:
+    """The reference key column, broadcast when its estimated size is bounded."""
     keys = ref.select(F.col(f"`{ref_col}`").alias("__ref_key"))
-    return broadcast_if_small(keys, max_broadcast_bytes)
-
-
-def _is_broadcast(df: DataFrame) -> bool:
-    try:
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    except Exception:  # noqa: BLE001
-        return False
+    if is_small(keys, max_broadcast_bytes):
+        return F.broadcast(keys), True
+    return keys, False
 
 
 def _target(target: DataFrame, fk: str, nulls: str) -> DataFrame:
@@ -90,9 +86,9 @@ def _orphan_keys(target, fk, ref, ref_col, nulls, max_broadcast_bytes) -> DataFr
     keys = (_target(target, fk, nulls)
             .groupBy(F.col(f"`{fk}`").alias("__fk"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
-    ref_keys = _ref_keys(ref, ref_col, max_broadcast_bytes)
+    ref_keys, broadcast = _ref_keys(ref, ref_col, max_broadcast_bytes)
     cond = keys["__fk"] == ref_keys["__ref_key"]
-    if not _is_broadcast(ref_keys):
+    if not broadcast:
         # Large reference side: keep the anti join above the pre-aggregation
         # (the optimizer would otherwise push it below and shuffle raw FK
         # values, hot keys included). ``n_rows > 0`` always holds.
@@ -166,7 +162,7 @@ def fk_violations(
         if err is not None or (only_logged and rule.get("action", "log") != "log"):
             continue
         t = _target(target, fk, nulls)
-        ref_keys = _ref_keys(ref, ref_col, max_broadcast_bytes)
+        ref_keys, _ = _ref_keys(ref, ref_col, max_broadcast_bytes)
         v = t.join(ref_keys, t[f"`{fk}`"] == ref_keys["__ref_key"], "left_anti")
         parts.append(v.withColumn("failed_fk", F.lit(fk)))
     if not parts:

@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+# The rule type names of the config format, and the message a
+# rule gets when its config gives none.
 RULE_TYPES = ("not_null", "regex_match", "numeric_range", "allowed_values")
+DEFAULT_MESSAGE = "Validation failed for {column}"
 
 REPORT_COLUMNS = (
     "rule_idx", "rule_id", "kind", "column", "status",
@@ -47,7 +50,7 @@ class CompiledRule:
 
 
 def _default_message(column) -> str:
-    return f"Validation failed for {column}"
+    return DEFAULT_MESSAGE.format(column=column)
 
 
 def compile_rules(
@@ -164,10 +167,19 @@ def rule_report(df: DataFrame, rules: Sequence[Mapping], **options) -> DataFrame
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def passed_rules(report: DataFrame) -> DataFrame:
-    """Sorted distinct keys of rules with no violation."""
-    return (report.filter(F.col("status") == "pass")
-            .select("rule_id").distinct().orderBy("rule_id"))
+def passed_rules(report: DataFrame, mode: str = "no_failures") -> DataFrame:
+    """Sorted distinct keys of passed rules.
+
+    ``no_failures`` (default): no row violated the rule. ``any_row``: at
+    least one row satisfied it (the row-at-a-time checker's reading).
+    """
+    if mode == "no_failures":
+        passed = F.col("status") == "pass"
+    elif mode == "any_row":
+        passed = F.col("status").isin("pass", "fail") & (F.col("n_rows") > F.col("n_violations"))
+    else:
+        raise ValueError("mode must be 'no_failures' or 'any_row'")
+    return report.filter(passed).select("rule_id").distinct().orderBy("rule_id")
 
 
 def validation_summary(report: DataFrame, file_path: str | None = None) -> DataFrame:

@@ -67,3 +67,37 @@ ORDERS_EXPECTATIONS = [
     {"expectation_type": "expect_column_to_exist", "params": {"column": "o_comment"}},
     {"expectation_type": "expect_table_row_count_to_equal", "params": {"value": 10}},
 ]
+
+DOCUMENT_RULES = [
+    {"column": "text", "validation_type": "not_null", "error_message": "text is required"},
+    {"column": "n_chars", "validation_type": "numeric_range", "min": 1, "max": 20000,
+     "error_message": "document length out of range"},
+    {"column": "lang", "validation_type": "allowed_values", "values": ["en", "de", "fr"],
+     "error_message": "unsupported language"},
+    {"column": "source", "validation_type": "regex_match", "pattern": "^src[0-9]+$",
+     "error_message": "bad source id"},
+    {"column": "text", "validation_type": "regex_match", "pattern": "[A-Za-z]{3}",
+     "error_message": "no latin word"},
+]
+
+CUSTOMER_EXPECTATIONS = [
+    {"expectation_type": "expect_column_values_to_not_be_null", "params": {"column": "c_custkey"}},
+    {"expectation_type": "expect_column_values_to_be_between", "params": {"column": "c_acctbal", "min_value": 0}},
+    {"expectation_type": "expect_column_values_to_be_between",
+     "params": {"column": "c_acctbal", "min_value": 0, "mostly": 0.9}},
+    {"expectation_type": "expect_column_values_to_match_regex", "params": {"column": "c_mktsegment", "regex": "^[A-Z]+$"}},
+    {"expectation_type": "expect_column_to_exist", "params": {"column": "c_phone"}},
+    {"expectation_type": "expect_column_values_to_be_between",
+     "params": {"column": "c_nationkey", "min_value": 0, "max_value": 24, "strict_max": True}},
+]
+
+CLEAN_FKS = {
+    "customer": [{"foreign_key": "c_nationkey", "reference_table": "nation", "reference_column": "n_nationkey",
+                  "database": "tpch", "action": "log"}],
+    "nation": [{"foreign_key": "n_regionkey", "reference_table": "region", "reference_column": "r_regionkey",
+                "database": "tpch", "action": "log"}],
+    "events": [{"foreign_key": "user_id", "reference_table": "customer", "reference_column": "c_custkey",
+                "database": "tpch", "action": "log"}],
+    "labels": [{"foreign_key": "doc_id", "reference_table": "documents", "reference_column": "doc_id",
+                "database": "tpch", "action": "log"}],
+}

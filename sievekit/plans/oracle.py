@@ -419,3 +419,50 @@ ORACLE_SQL["l_file_union"] = f"""
 SELECT log_file, level, count(*) AS n FROM ({_LOG_GOOD}) g
 WHERE log_file IN ('pipeline_run_20240105.log', 'pipeline_run_20240106.log') GROUP BY 1, 2"""
 ORACLE_SQL["s_path_count"] = "SELECT count(*) AS n_rows FROM lineitem"
+
+# ------------------------------------------------------------ more rule / suite / FK queries
+_DOC_RULES = [
+    (0, "text - not_null", "not_null", "text", "text IS NULL OR text = ''", "text is required"),
+    (1, "n_chars - numeric_range", "numeric_range", "n_chars",
+     "n_chars IS NOT NULL AND (n_chars < 1 OR n_chars > 20000)", "document length out of range"),
+    (2, "lang - allowed_values", "allowed_values", "lang",
+     "lang IS NOT NULL AND lang NOT IN ('en', 'de', 'fr')", "unsupported language"),
+    (3, "source - regex_match", "regex_match", "source",
+     "source IS NOT NULL AND NOT regexp_matches(source, '^src[0-9]+$')", "bad source id"),
+    (4, "text - regex_match", "regex_match", "text",
+     "text IS NOT NULL AND NOT regexp_matches(text, '[A-Za-z]{3}')", "no latin word"),
+]
+ORACLE_SQL["r_rules_documents"] = _report_sql("documents", _DOC_RULES, [])
+
+
+def _cust_value(idx, etype, col, unexpected, domain, mostly=1.0):
+    return _exp_value(idx, etype, col, unexpected, domain, mostly).replace(_SUITE_T, "customer")
+
+
+ORACLE_SQL["e_suite_customer"] = _union([
+    _cust_value(0, "expect_column_values_to_not_be_null", "c_custkey", "c_custkey IS NULL", "true"),
+    _cust_value(1, "expect_column_values_to_be_between", "c_acctbal",
+                "c_acctbal IS NOT NULL AND NOT (c_acctbal >= 0)", "c_acctbal IS NOT NULL"),
+    _cust_value(2, "expect_column_values_to_be_between", "c_acctbal",
+                "c_acctbal IS NOT NULL AND NOT (c_acctbal >= 0)", "c_acctbal IS NOT NULL", mostly=0.9),
+    _cust_value(3, "expect_column_values_to_match_regex", "c_mktsegment",
+                "c_mktsegment IS NOT NULL AND NOT regexp_matches(c_mktsegment, '^[A-Z]+$')",
+                "c_mktsegment IS NOT NULL"),
+    _exp_static(4, "expect_column_to_exist", "c_phone", "fail", "false"),
+    _cust_value(5, "expect_column_values_to_be_between", "c_nationkey",
+                "c_nationkey IS NOT NULL AND NOT (c_nationkey >= 0 AND c_nationkey < 24)", "c_nationkey IS NOT NULL"),
+])
+
+_REFS.update({"nation": "nation", "region": "region", "customer": "customer", "documents": "documents"})
+
+
+def _fk_clean(target, fk, ref, rcol):
+    return f"SELECT '{target}' AS target, * FROM ({_fk_ok(0, target, fk, ref, rcol)}) r"
+
+
+ORACLE_SQL["j_fk_clean"] = _union([
+    _fk_clean("customer", "c_nationkey", "nation", "n_nationkey"),
+    _fk_clean("nation", "n_regionkey", "region", "r_regionkey"),
+    _fk_clean("events", "user_id", "customer", "c_custkey"),
+    _fk_clean("labels", "doc_id", "documents", "doc_id"),
+])

@@ -66,6 +66,11 @@ def r_validation_summary(spark, sf):
         "success", "n_rules", F.size("validation_errors").alias("n_errors"))
 
 
+@query("r_rules_documents")
+def r_rules_documents(spark, sf):
+    return R.rule_report(load(spark, sf, "documents"), cfg.DOCUMENT_RULES)
+
+
 # ---------------------------------------------------------- foreign keys
 
 def _tpch_refs(spark, sf) -> J.Resolver:
@@ -137,6 +142,19 @@ def e_suite_stats(spark, sf):
     return E.suite_statistics(E.expectation_report(_orders_for_suite(spark, sf), cfg.ORDERS_EXPECTATIONS))
 
 
+@query("e_suite_customer")
+def e_suite_customer(spark, sf):
+    return E.expectation_report(load(spark, sf, "customer"), cfg.CUSTOMER_EXPECTATIONS)
+
+
+@query("j_fk_clean")
+def j_fk_clean(spark, sf):
+    refs = J.mapping_resolver({t: load(spark, sf, t) for t in ("nation", "region", "customer", "documents")})
+    reports = [J.fk_report(load(spark, sf, target), rules, refs).select(F.lit(target).alias("target"), "*")
+               for target, rules in cfg.CLEAN_FKS.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule report on lineitem plus the FK report on lineitem, one table."""
     rules = R.rule_report(load(spark, sf_dir, "lineitem"), cfg.LINEITEM_RULES).select(

@@ -12,12 +12,14 @@ def spark():
     from pyspark.sql import SparkSession
 
     ckpt = tempfile.mkdtemp(prefix="sievekit-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="sievekit-test-warehouse-")
     s = (SparkSession.builder.master("local[4]").appName("sievekit-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", warehouse)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
