@@ -109,3 +109,22 @@ def test_run_logs_from_files(spark, tmp_dir):
     assert L.filter_logs(parsed).count() == 2  # the line without a parseable time drops out
     opts = {(r.field, r.value) for r in L.option_values(parsed).collect()}
     assert ("level", "ERROR") in opts and ("level", "INFO") in opts
+
+
+def test_first_lines_with_many_splits(spark, tmp_dir):
+    """Files larger than a split: the header is still each file's first line."""
+    body = "".join(f"{i}\tname{i}\n" for i in range(3000))
+    _write(f"{tmp_dir}/big/one.tsv", "# comment one\nid\tname\n" + body)
+    _write(f"{tmp_dir}/big/two.tsv", "# comment two\nid\tname\n" + body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(f"{tmp_dir}/big").rdd.getNumPartitions() > 4
+        heads = {(os.path.basename(r.file_path), r.line_number): r.value
+                 for r in S.first_lines(spark, f"{tmp_dir}/big", 2).collect()}
+        assert heads[("one.tsv", 1)] == "# comment one" and heads[("two.tsv", 2)] == "id\tname"
+        df = S.read_delimited_after_comment(spark, f"{tmp_dir}/big")
+        assert df.columns == ["id", "name"] and df.count() == 6000
+        assert df.filter(F.col("id").startswith("#") | (F.col("id") == "id")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
