@@ -26,6 +26,16 @@ ANI_BUCKETS: tuple[tuple[str, float, float], ...] = (
 )
 ANI_FALLBACK = "Group7: LT 97.0"
 
+# The curation notebook's Stage-1 filter defaults and the six
+# ranks of a ';'-joined taxonomy string, in their order.
+EXCLUDED_VERSION_STATUS = ("suppressed",)
+EXCLUDED_WARNINGS = (
+    "fragmented assembly", "genome length too large", "genome length too small", "hybrid",
+    "low quality sequence", "misassembled", "partial", "annotation fails completeness check",
+    "low gene count", "RefSeq annotation failed", "many frameshifted proteins",
+)
+TAXONOMY_RANKS = ("domain", "phylum", "class", "order", "family", "genus")
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -113,3 +123,26 @@ def pairs_in_group(n: str | Column) -> Column:
     """Number of unordered pairs without selfs, n(n-1)/2, as a long."""
     x = _col(n).cast("long")
     return F.when(x > 1, (x * (x - 1)) / 2).otherwise(F.lit(0)).cast("long")
+
+
+def text_key(c: str | Column) -> Column:
+    """A 128-bit key for long text (two independent 64-bit xxhash values).
+
+    Grouping or joining on it shuffles 16 bytes instead of the whole text; a
+    false match needs a 128-bit collision (about N^2 / 2^129 for N distinct
+    texts, below 1e-16 for 10^11 texts).
+    """
+    x = _col(c)
+    return F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit("sievekit-text-key"), x).alias("h2"))
+
+
+def split_taxonomy(c: str | Column, ranks=TAXONOMY_RANKS) -> list[Column]:
+    """K2 with the default rank names."""
+    return split_to_columns(c, ";", ranks)
+
+
+def excluded_assembly(version_status: str | Column, warnings: str | Column,
+                      statuses=EXCLUDED_VERSION_STATUS, excluded=EXCLUDED_WARNINGS) -> Column:
+    """K5 + K10 with the Stage-1 defaults: a suppressed assembly, or any of its
+    '; '-separated warnings in the excluded list."""
+    return list_overlap(version_status, statuses, split_list(warnings, "; "), excluded)

@@ -62,6 +62,7 @@ def group_sizes(members: DataFrame, group_cols: Sequence[str], removed: str = "r
 def filter_stage(
     members: DataFrame, group_cols: Sequence[str], removed: str = "removed",
     min_size: int = MIN_GROUP_SIZE, all_groups: DataFrame | None = None,
+    groups_from_rows: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """One curation stage.
 
@@ -71,7 +72,15 @@ def filter_stage(
     n_members / n_removed / n_retained and ``kept`` (G6). Pass ``all_groups``
     (one row per group) to also report groups without members (a null or
     empty list: size 0, dropped).
+
+    Plans: by default the group sizes are a partial aggregate joined back to
+    the members — safe for any group size, including a group holding a third
+    of all rows. With ``groups_from_rows=True`` (each group is one exploded
+    input row, so it is never larger than that row) the sizes come from a
+    window over the group instead: one shuffle and no second pass.
     """
+    if groups_from_rows:
+        return _filter_stage_window(members, group_cols, removed, min_size, all_groups)
     groups = group_sizes(members, group_cols, removed)
     if all_groups is not None:
         groups = all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
@@ -87,6 +96,24 @@ def filter_stage(
     return tagged, groups
 
 
+def _filter_stage_window(members, group_cols, removed, min_size, all_groups):
+    from pyspark.sql.window import Window
+
+    w = Window.partitionBy(*group_cols)
+    tagged = members.withColumn("__retained_in_group", F.sum(F.when(F.col(removed) == 0, 1).otherwise(0)).over(w))
+    small = F.col("__retained_in_group") < F.lit(min_size)
+    tagged = tagged.withColumn(
+        "cascade", F.when((F.col(removed) == 0) & small, 1).otherwise(0)
+    ).withColumn(
+        "retained", F.when((F.col(removed) == 0) & ~small, 1).otherwise(0)
+    ).drop("__retained_in_group")
+    groups = group_sizes(tagged, group_cols, removed)
+    if all_groups is not None:
+        groups = all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
+            *group_cols, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_members", "n_removed", "n_retained")])
+    return tagged, groups.withColumn("kept", F.col("n_retained") >= F.lit(min_size))
+
+
 def dropped_groups(groups: DataFrame) -> DataFrame:
     """Groups below the minimum, and their count."""
     return groups.filter(~F.col("kept"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sievekit.operators import flags as K
 from sievekit.operators import groups as G
 from sievekit.operators import pairs as P
+from sievekit.functions.columns import text_key
 from sievekit.plans.tables import load
 from sievekit.session import stage_table
 
@@ -31,23 +32,31 @@ def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def repeated_lines(lines: DataFrame, min_docs: int = REPEATED_LINE_DOCS) -> DataFrame:
-    return (lines.groupBy("line").agg(F.count_distinct("doc_id").alias("n_docs"))
+    """Keys of lines found in ``min_docs`` or more documents.
+
+    Lines are grouped by their 128-bit ``text_key``, not their text, so the
+    shuffle moves 16 bytes per line; the distinct count is planned as
+    (key, doc) then (key), so a line repeated in a third of all documents is
+    spread over partitions before it is counted.
+    """
+    return (lines.groupBy(text_key("line").alias("line_key")).agg(F.count_distinct("doc_id").alias("n_docs"))
             .filter(F.col("n_docs") >= min_docs))
 
 
 def flagged_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = doc_lines(spark, sf)
     flagged = K.flag_rows(lines, filter_a=F.col("n_lines") < G.MIN_GROUP_SIZE)
-    flagged = K.flag_by_keys(flagged, "line", repeated_lines(lines), "line", "filter_b")
+    flagged = K.flag_by_keys(flagged, "line", repeated_lines(lines), "line_key", "filter_b",
+                             key_expr=text_key("line"))
     return flagged.withColumn("removed", F.greatest("filter_a", "filter_b"))
 
 
 def doc_stage(spark: SparkSession, sf: str):
-    # The flagged lines feed both the per-document sizes and the join back to
-    # members; writing them once as a stage table (under the shared checkpoint
-    # folder) avoids exploding every text and joining the key set twice.
-    flagged = stage_table(flagged_lines(spark, sf), "doc-lines-flagged")
-    return G.filter_stage(flagged, ["doc_id"], "removed", G.MIN_GROUP_SIZE)
+    # A document's lines come from one row, so the group is bounded by that
+    # row: the window plan sizes groups in the same pass (one shuffle by
+    # doc_id) instead of aggregating and joining back.
+    return G.filter_stage(flagged_lines(spark, sf), ["doc_id"], "removed", G.MIN_GROUP_SIZE,
+                          groups_from_rows=True)
 
 
 def order_pairs(spark: SparkSession, sf: str) -> DataFrame:

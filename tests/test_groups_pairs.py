@@ -117,3 +117,18 @@ def test_column_helpers(spark):
     flag = df.select(C.flag(C.list_overlap(None, [], C.split_list("warn"), ["y"])).alias("f")).collect()
     assert [r.f for r in flag] == [0, 1, 1]
     assert df.select(C.pairs_in_group(F.lit(14641)).alias("n")).first().n == 14641 * 14640 // 2
+
+
+def test_stage1_defaults(spark):
+    df = spark.createDataFrame([
+        ("GCA_1", "latest", None),
+        ("GCA_2", "suppressed", None),
+        ("GCA_3", "latest", "partial; chimeric"),
+        ("GCA_4", "latest", "chimeric"),
+    ], "acc string, version_status string, excluded_from_refseq string")
+    flags = [r.f for r in df.select(C.flag(C.excluded_assembly("version_status", "excluded_from_refseq")).alias("f"))
+             .orderBy("acc").collect()]
+    assert flags == [0, 1, 1, 0]
+    tax = spark.createDataFrame([("d__B;p__P;c__C;o__O;f__F;g__G",)], "t string")
+    row = tax.select(*C.split_taxonomy("t")).first()
+    assert (row.domain, row.genus) == ("d__B", "g__G")
