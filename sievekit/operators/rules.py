@@ -117,7 +117,12 @@ def compile_rules(
             if not values:
                 out.append(bad("error", f"allowed_values on {column} has an empty value list"))
                 continue
-            pred = ~c.isin(list(values))
+            if not is_string and any(isinstance(v, str) for v in values):
+                # config values are text: compare as text instead of letting
+                # ANSI casts turn the literals into the column's type
+                pred = ~c.cast("string").isin([str(v) for v in values])
+            else:
+                pred = ~c.isin(list(values))
 
         pred = F.coalesce(pred, F.lit(False))
         if nulls == "fail":

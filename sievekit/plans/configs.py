@@ -101,3 +101,16 @@ CLEAN_FKS = {
     "labels": [{"foreign_key": "doc_id", "reference_table": "documents", "reference_column": "doc_id",
                 "database": "tpch", "action": "log"}],
 }
+
+EVENT_RULES = [
+    {"column": "event_type", "validation_type": "allowed_values", "values": ["click", "view", "purchase"],
+     "error_message": "unexpected event type"},
+    {"column": "props", "validation_type": "regex_match", "pattern": '^\\{"k": [0-9]+\\}$',
+     "error_message": "props not in the k form"},
+    {"column": "value", "validation_type": "numeric_range", "min": 0, "max": 300,
+     "error_message": "value out of range"},
+    {"column": "props", "validation_type": "numeric_range", "min": 0,
+     "error_message": "props is not a number"},
+    {"column": "user_id", "validation_type": "allowed_values", "values": ["1", "2", "3"],
+     "error_message": "user outside the first three"},
+]

@@ -466,3 +466,18 @@ ORACLE_SQL["j_fk_clean"] = _union([
     _fk_clean("events", "user_id", "customer", "c_custkey"),
     _fk_clean("labels", "doc_id", "documents", "doc_id"),
 ])
+
+_EVENT_RULES = [
+    (0, "event_type - allowed_values", "allowed_values", "event_type",
+     "event_type IS NOT NULL AND event_type NOT IN ('click', 'view', 'purchase')", "unexpected event type"),
+    (1, "props - regex_match", "regex_match", "props",
+     "props IS NOT NULL AND NOT regexp_matches(props, '^\\{\"k\": [0-9]+\\}$')", "props not in the k form"),
+    (2, "value - numeric_range", "numeric_range", "value",
+     "value IS NOT NULL AND (value < 0 OR value > 300)", "value out of range"),
+    (3, "props - numeric_range", "numeric_range", "props",
+     "props IS NOT NULL AND (TRY_CAST(props AS DOUBLE) < 0 OR TRY_CAST(props AS DOUBLE) IS NULL)",
+     "props is not a number"),
+    (4, "user_id - allowed_values", "allowed_values", "user_id",
+     "user_id IS NOT NULL AND CAST(user_id AS VARCHAR) NOT IN ('1', '2', '3')", "user outside the first three"),
+]
+ORACLE_SQL["r_rules_events"] = _report_sql("events", _EVENT_RULES, [])

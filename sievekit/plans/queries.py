@@ -71,6 +71,11 @@ def r_rules_documents(spark, sf):
     return R.rule_report(load(spark, sf, "documents"), cfg.DOCUMENT_RULES)
 
 
+@query("r_rules_events")
+def r_rules_events(spark, sf):
+    return R.rule_report(load(spark, sf, "events"), cfg.EVENT_RULES)
+
+
 # ---------------------------------------------------------- foreign keys
 
 def _tpch_refs(spark, sf) -> J.Resolver:
