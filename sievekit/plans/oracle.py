@@ -481,3 +481,16 @@ _EVENT_RULES = [
      "user_id IS NOT NULL AND CAST(user_id AS VARCHAR) NOT IN ('1', '2', '3')", "user outside the first three"),
 ]
 ORACLE_SQL["r_rules_events"] = _report_sql("events", _EVENT_RULES, [])
+
+_LOG_LINE = """
+'{"time": "' || strftime(ts, '%Y-%m-%d %H:%M:%S,%g') || '", "pipeline": "events", "schema": "web", "table": "'
+  || event_type || '", "level": "'
+  || CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' THEN 'WARNING' ELSE 'INFO' END
+  || '", "module": "user_' || CAST(user_id AS VARCHAR) || '", "msg": "'
+  || replace(replace(CASE WHEN event_type = 'error' THEN chr(128680) || ' ' ELSE '' END || event_type || ' value='
+       || CAST(value AS VARCHAR) || chr(9) || props, '\\', '\\\\'), '"', '\\"')
+  || '"}'"""
+ORACLE_SQL["l_bad_line_list"] = f"""
+SELECT 'pipeline_run_' || strftime(ts, '%Y%m%d') || '.log' AS log_file,
+       substr(line, 1, length(line) - 1) AS bad_line
+FROM (SELECT *, {_LOG_LINE} AS line FROM events WHERE value > 200) e"""

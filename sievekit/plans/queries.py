@@ -373,3 +373,9 @@ def l_file_union(spark, sf):
 def s_path_count(spark, sf):
     from sievekit.sources.tables import sql_count
     return sql_count(spark, f"{sf}/lineitem.parquet", "parquet")
+
+
+@query("l_bad_line_list")
+def l_bad_line_list(spark, sf):
+    bad = _parsed_logs(spark, sf).filter("is_bad")
+    return bad.select("log_file", "bad_line")
