@@ -62,20 +62,60 @@ def read_id_list(spark: SparkSession, path) -> DataFrame:
             .filter(F.col("id") != ""))
 
 
-def short_rows(spark: SparkSession, path, sep: str = "\t") -> DataFrame:
+def number_lines(spark: SparkSession, path) -> DataFrame:
+    """Every line of every file with its exact 1-based line number in its file.
+
+    Lines get their split's byte offset and a ``monotonically_increasing_id``
+    (consecutive within a split). Rows per split are counted into a small
+    table (one row per split); a running sum over each file's splits gives
+    every split's first line number. Nothing is gathered per file, and the
+    split table is broadcast only under the size check.
+    """
+    from sievekit.functions.sizing import broadcast_if_small
+
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"))
+    splits = lines.groupBy("file_path", "block_start").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("row_id").alias("__first_id"))
+    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file_path", "block_start", "__first_id",
+                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
+    numbered = lines.join(broadcast_if_small(offsets), ["file_path", "block_start"])
+    return numbered.select("file_path", (F.col("__offset") + F.col("row_id") - F.col("__first_id") + 1)
+                           .alias("line_number"), "value")
+
+
+def read_delimited_numbered(spark: SparkSession, path, sep: str = "\t", skip: int = 0) -> DataFrame:
+    """S1/S2 with row addresses: columns of the file plus ``file_path`` and
+    ``line_number`` (the header is line ``skip + 1``), for R8 violation lists
+    addressed by line, as the row-at-a-time checker reports them."""
+    numbered = number_lines(spark, path)
+    header = (numbered.filter(F.col("line_number") == skip + 1).orderBy("file_path")
+              .select("value").first())
+    if header is None:
+        raise ValueError(f"no header line found in {path}")
+    names = [c.strip() for c in header[0].split(sep)]
+    data = numbered.filter(F.col("line_number") > skip + 1)
+    parsed = data.select("file_path", "line_number", F.from_csv("value", _ddl(names), {"sep": sep}).alias("r"))
+    return parsed.select(*[F.col(f"r.`{n}`") for n in names], "file_path", "line_number")
+
+
+def short_rows(spark: SparkSession, path, sep: str = "\t", skip: int = 0) -> DataFrame:
     """Data lines with fewer fields than the header (a missing trailing
     field), which the CSV reader would silently fill with nulls.
 
-    The header is each file's first line; rows are (file_path, row_id,
-    n_fields, n_expected, value).
+    Rows are (file_path, line_number, n_fields, n_expected, value); each file's
+    header is its line ``skip + 1``.
     """
-    lines, head = _numbered_head(spark, path, 1)
-    expected = head.select("file_path", F.size(F.split("value", _literal(sep), -1)).alias("n_expected"),
-                           F.col("row_id").alias("__header_id"))
+    numbered = number_lines(spark, path)
     fields = F.size(F.split("value", _literal(sep), -1))
-    data = lines.join(F.broadcast(expected), "file_path").filter(F.col("row_id") != F.col("__header_id"))
+    expected = numbered.filter(F.col("line_number") == skip + 1).select(
+        "file_path", fields.alias("n_expected"))
+    data = numbered.filter(F.col("line_number") > skip + 1).join(F.broadcast(expected), "file_path")  # one row per file
     return (data.withColumn("n_fields", fields).filter(F.col("n_fields") < F.col("n_expected"))
-            .select("file_path", "row_id", "n_fields", "n_expected", "value"))
+            .select("file_path", "line_number", "n_fields", "n_expected", "value"))
 
 
 def _literal(sep: str) -> str:

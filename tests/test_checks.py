@@ -44,7 +44,7 @@ def test_config_runner(spark, tmp_dir):
 def test_short_rows(spark, tmp_dir):
     _write(f"{tmp_dir}/s/a.tsv", "a\tb\tc\n1\t2\t3\n1\t2\n1\t2\t\n")
     rows = short_rows(spark, f"{tmp_dir}/s/a.tsv").collect()
-    assert [(r.value, r.n_fields) for r in rows] == [("1\t2", 2)]
+    assert [(r.value, r.n_fields, r.line_number) for r in rows] == [("1\t2", 2, 3)]
 
 
 def test_stack_and_rename(spark):

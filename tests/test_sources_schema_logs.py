@@ -128,3 +128,26 @@ def test_first_lines_with_many_splits(spark, tmp_dir):
         assert df.filter(F.col("id").startswith("#") | (F.col("id") == "id")).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_line_numbers_across_splits(spark, tmp_dir):
+    from sievekit.operators import rules as R
+
+    rows = "".join(f"g{i}\t{i % 150}\n" for i in range(4000))
+    _write(f"{tmp_dir}/num/a.tsv", "genome_id\tscore\n" + rows)
+    _write(f"{tmp_dir}/num/b.tsv", "genome_id\tscore\n" + rows[: len(rows) // 2])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        numbered = S.number_lines(spark, f"{tmp_dir}/num")
+        got = {(os.path.basename(r.file_path), r.line_number): r.value for r in numbered.collect()}
+        for name, text in (("a.tsv", "genome_id\tscore\n" + rows), ("b.tsv", "genome_id\tscore\n" + rows[: len(rows) // 2])):
+            expect = {(name, i + 1): line for i, line in enumerate(text.splitlines())}
+            assert {k: v for k, v in got.items() if k[0] == name} == expect
+        df = S.read_delimited_numbered(spark, f"{tmp_dir}/num")
+        rules = [{"column": "score", "validation_type": "numeric_range", "max": 100}]
+        v = R.violation_rows(df, rules, ["file_path", "line_number"]).filter(F.col("file_path").endswith("a.tsv"))
+        lines = sorted(r.line_number for r in v.collect())
+        assert lines == [i + 2 for i in range(4000) if i % 150 > 100]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
