@@ -13,11 +13,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievekit.functions import columns as C
 from sievekit.operators import expectations as E
+from sievekit.operators import flags as K
+from sievekit.operators import groups as G
 from sievekit.operators import integrity as J
+from sievekit.operators import pairs as P
 from sievekit.operators import rules as R
+from sievekit.operators import runlog as L
+from sievekit.operators.stats import group_stats
 from sievekit.operators.transforms import apply_transformations
 from sievekit.plans import configs as cfg
+from sievekit.plans import curation as CU
+from sievekit.plans.runlogs import event_log_lines
 from sievekit.plans.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,12 +180,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------- curation: expressions (K)
 
-from sievekit.functions import columns as C  # noqa: E402
-from sievekit.operators import flags as K  # noqa: E402
-from sievekit.operators import groups as G  # noqa: E402
-from sievekit.operators import pairs as P  # noqa: E402
-from sievekit.operators.stats import group_stats  # noqa: E402
-from sievekit.plans import curation as CU  # noqa: E402
 
 URL_PARTS = ["scheme", "blank", "host", "lang", "page", "extra"]
 
@@ -332,9 +334,6 @@ def g_size_split(spark, sf):
 
 # ---------------------------------------------------------- run logs
 
-from sievekit.operators import runlog as L  # noqa: E402
-from sievekit.plans.runlogs import event_log_lines  # noqa: E402
-
 
 def _parsed_logs(spark, sf):
     return L.parse_log_lines(event_log_lines(spark, sf))

@@ -21,18 +21,21 @@ def _json_text(c):
 
 
 def event_log_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """(log_file, value): one JSON log line per event, one file per day."""
     e = load(spark, sf, "events")
     level = (F.when(F.col("event_type") == "error", "ERROR")
              .when(F.col("event_type") == "signup", "WARNING").otherwise("INFO"))
     msg = F.concat(F.when(F.col("event_type") == "error", F.lit("\U0001F6A8 ")).otherwise(F.lit("")),
                    F.col("event_type"), F.lit(" value="), F.col("value").cast("string"), F.lit("\t"),
                    F.col("props"))
-    line = F.when(F.col("value") > BAD_VALUE, F.expr("substring(__l, 1, length(__l) - 1)")).otherwise(F.col("__l"))
-    raw = e.select(F.concat(F.lit("pipeline_run_"), F.date_format("ts", "yyyyMMdd"), F.lit(".log")).alias("log_file"),
-                   F.col("value"), F.concat(
-                       F.lit('{"time": "'), F.date_format("ts", LOG_TIME_FORMAT),
-                       F.lit('", "pipeline": "events", "schema": "web", "table": "'), F.col("event_type"),
-                       F.lit('", "level": "'), level,
-                       F.lit('", "module": "user_'), F.col("user_id").cast("string"),
-                       F.lit('", "msg": "'), _json_text(msg), F.lit('"}')).alias("__l"))
-    return raw.select("log_file", line.alias("value"))
+    json_line = F.concat(
+        F.lit('{"time": "'), F.date_format("ts", LOG_TIME_FORMAT),
+        F.lit('", "pipeline": "events", "schema": "web", "table": "'), F.col("event_type"),
+        F.lit('", "level": "'), level,
+        F.lit('", "module": "user_'), F.col("user_id").cast("string"),
+        F.lit('", "msg": "'), _json_text(msg), F.lit('"}'))
+    log_file = F.concat(F.lit("pipeline_run_"), F.date_format("ts", "yyyyMMdd"), F.lit(".log"))
+    lines = e.select(log_file.alias("log_file"), "value", json_line.alias("line"))
+    # lines of large values lose their closing brace: malformed on purpose
+    cut = F.expr("substring(line, 1, length(line) - 1)")
+    return lines.select("log_file", F.when(F.col("value") > BAD_VALUE, cut).otherwise(F.col("line")).alias("value"))
