@@ -156,14 +156,36 @@ def fk_violations(
     A row failing two rules appears twice (UNION ALL), as in the reference.
     Rules whose ``action`` is not ``log`` are counted by ``fk_report`` but not
     emitted here unless ``only_logged=False``.
+
+    Rules whose reference keys pass the size check share ONE scan of the
+    target: each adds a map-side broadcast left join against its de-duplicated
+    keys (a hit flag), and the failed rule names are exploded once. Rules with
+    large reference sides get their own shuffle anti join.
     """
-    parts = []
-    for _idx, rule, fk, ref, ref_col, err, _msg in _prepare(target, rules, resolve):
+    small, large = [], []
+    for idx, rule, fk, ref, ref_col, err, _msg in _prepare(target, rules, resolve):
         if err is not None or (only_logged and rule.get("action", "log") != "log"):
             continue
-        t = _target(target, fk, nulls)
-        ref_keys, _ = _ref_keys(ref, ref_col, max_broadcast_bytes)
-        v = t.join(ref_keys, t[f"`{fk}`"] == ref_keys["__ref_key"], "left_anti")
+        keys, broadcast = _ref_keys(ref, ref_col, max_broadcast_bytes)
+        (small if broadcast else large).append((idx, fk, keys))
+    parts = []
+    if small:
+        cols = [F.col(f"`{c}`") for c in target.columns]
+        t = target
+        failed = []
+        for idx, fk, keys in small:
+            hit = f"__hit{idx}"
+            k = F.broadcast(keys.filter(F.col("__ref_key").isNotNull()).distinct().withColumn(hit, F.lit(True)))
+            t = t.join(k, t[f"`{fk}`"] == k["__ref_key"], "left").drop("__ref_key")
+            miss = F.col(hit).isNull()
+            if nulls == "ignore":
+                miss = miss & F.col(f"`{fk}`").isNotNull()
+            failed.append(F.when(miss, F.lit(fk)))
+        parts.append(t.select(*cols, F.explode(F.filter(F.array(*failed), lambda x: x.isNotNull()))
+                              .alias("failed_fk")))
+    for _idx, fk, keys in large:
+        tt = _target(target, fk, nulls)
+        v = tt.join(keys, tt[f"`{fk}`"] == keys["__ref_key"], "left_anti")
         parts.append(v.withColumn("failed_fk", F.lit(fk)))
     if not parts:
         return target.withColumn("failed_fk", F.lit(None).cast("string")).limit(0)

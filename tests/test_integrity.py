@@ -60,3 +60,14 @@ def test_broadcast_only_when_small(spark):
     assert "broadcast" in broadcast_if_small(small, 1 << 20)._jdf.queryExecution().logical().toString().lower()
     big = spark.range(10)
     assert broadcast_if_small(big, 1) is big
+
+
+def test_fused_and_anti_join_paths_agree(spark):
+    target, refs = _setup(spark)
+    for nulls in ("fail", "ignore"):
+        fused = sorted((r.id, r.failed_fk) for r in J.fk_violations(target, RULES, refs, nulls=nulls).collect())
+        anti = sorted((r.id, r.failed_fk) for r in
+                      J.fk_violations(target, RULES, refs, nulls=nulls, max_broadcast_bytes=0).collect())
+        assert fused == anti
+    assert sorted((r.id, r.failed_fk) for r in J.fk_violations(target, RULES, refs, nulls="ignore").collect()) == \
+        [(4, "fk1"), (4, "fk2")]

@@ -66,3 +66,8 @@ def test_median_uses_bounded_sketch(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("x"))
     plan = _plan(group_stats(df, ["g"], ["x"]))
     assert "percentile_approx" in plan and " percentile(" not in plan
+
+
+def test_fk_violations_one_scan_for_small_references(spark):
+    plan = _plan(queries()["j_fk_violations"](spark, SF))
+    assert plan.count("lineitem.parquet") == 1
