@@ -71,3 +71,11 @@ def test_fused_and_anti_join_paths_agree(spark):
         assert fused == anti
     assert sorted((r.id, r.failed_fk) for r in J.fk_violations(target, RULES, refs, nulls="ignore").collect()) == \
         [(4, "fk1"), (4, "fk2")]
+
+
+def test_report_paths_agree(spark):
+    target, refs = _setup(spark)
+    for nulls in ("fail", "ignore"):
+        a = sorted(tuple(r) for r in J.fk_report(target, RULES, refs, nulls=nulls).collect())
+        b = sorted(tuple(r) for r in J.fk_report(target, RULES, refs, nulls=nulls, max_broadcast_bytes=0).collect())
+        assert a == b
