@@ -92,8 +92,9 @@ def read_delimited_numbered(spark: SparkSession, path, sep: str = "\t", skip: in
     ``line_number`` (the header is line ``skip + 1``), for R8 violation lists
     addressed by line, as the row-at-a-time checker reports them."""
     numbered = number_lines(spark, path)
-    header = (numbered.filter(F.col("line_number") == skip + 1).orderBy("file_path")
-              .select("value").first())
+    # the header comes from the files' first splits only, not the numbering pass
+    header = (first_lines(spark, path, skip + 1).filter(F.col("line_number") == skip + 1)
+              .orderBy("file_path").select("value").first())
     if header is None:
         raise ValueError(f"no header line found in {path}")
     names = [c.strip() for c in header[0].split(sep)]
