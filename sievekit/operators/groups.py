@@ -149,3 +149,17 @@ def regroup(
         ordered(F.col(flag) == 0).alias("removed_members"),
         F.count_if(F.col(flag) == 1).alias("n_retained"),
     )
+
+
+class GroupBelowMinimum(Exception):
+    """Raised by ``require_no_drops``."""
+
+
+def require_no_drops(groups: DataFrame) -> int:
+    """Stop a stage when any group fell below the minimum (the second
+    curation stage aborts instead of dropping). Returns the number of groups
+    checked; only a count reaches the driver."""
+    row = groups.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("kept")).alias("dropped")).first()
+    if row["dropped"]:
+        raise GroupBelowMinimum(f"{row['dropped']} of {row['n']} groups fell below the minimum size")
+    return row["n"]

@@ -132,3 +132,12 @@ def test_stage1_defaults(spark):
     tax = spark.createDataFrame([("d__B;p__P;c__C;o__O;f__F;g__G",)], "t string")
     row = tax.select(*C.split_taxonomy("t")).first()
     assert (row.domain, row.genus) == ("d__B", "g__G")
+
+
+def test_require_no_drops(spark):
+    import pytest
+    ok = spark.createDataFrame([("a", True), ("b", True)], "g string, kept boolean")
+    assert G.require_no_drops(ok) == 2
+    bad = spark.createDataFrame([("a", True), ("b", False)], "g string, kept boolean")
+    with pytest.raises(G.GroupBelowMinimum):
+        G.require_no_drops(bad)
