@@ -130,23 +130,6 @@ def _split_rules(target, rules, resolve, max_broadcast_bytes, only_logged=False)
     return small, large, errors
 
 
-_REPORT_SCHEMA = ("rule_idx int, foreign_key string, reference string, action string, status string, "
-                  "n_violations long, n_orphan_keys long, message string")
-
-
-def _ref_name(rule: Mapping, ref_col) -> str:
-    return ".".join(str(x) for x in (rule.get("database"), rule.get("reference_table"), ref_col) if x)
-
-
-def _with_status(df: DataFrame) -> DataFrame:
-    return df.select(
-        "rule_idx", "foreign_key", "reference", "action",
-        F.when(F.col("n_violations") == 0, "pass").otherwise("fail").alias("status"),
-        "n_violations", "n_orphan_keys",
-        F.concat(F.col("foreign_key"), F.lit(" -> "), F.col("reference"), F.lit(": "),
-                 F.col("n_violations").cast("string"), F.lit(" violation(s)")).alias("message"))
-
-
 def fk_report(
     target: DataFrame,
     rules: Sequence[Mapping],
@@ -157,47 +140,37 @@ def fk_report(
 ) -> DataFrame:
     """One row per rule with violation counts or an error status.
 
-    Rules with size-checked small reference sides share one pass over the
-    target: broadcast hit flags, then the misses are exploded to (rule, key)
-    and pre-aggregated, so a hot key is one row per map task. Rules with large
-    reference sides pre-aggregate their FK column and anti join on keys.
+    Per rule the FK column alone is read (column pruning), so a rule costs
+    one column of I/O. With a broadcast reference side the optimizer runs the
+    anti join map-side before the partial count; with a large one the FK
+    column is pre-aggregated to (key, rows) before the sort-merge anti join.
     """
-    if nulls not in ("fail", "ignore"):
-        raise ValueError("nulls must be 'fail' or 'ignore'")
     spark = target.sparkSession
-    small, large, errors = _split_rules(target, rules, resolve, max_broadcast_bytes)
     parts = []
-    if errors:
-        parts.append(spark.createDataFrame(
-            [(idx, fk, _ref_name(rule, ref_col), rule.get("action", "log"), err, None, None, msg)
-             for idx, rule, fk, ref_col, err, msg in errors], _REPORT_SCHEMA))
-    if small:
-        t, misses = _flag_misses(target, [(i, fk, k) for i, fk, k, *_ in small], nulls)
-        orphans = t.select(F.explode(F.filter(F.array(*[
-            F.when(miss, F.struct(F.lit(idx).alias("rule_idx"), F.col(f"`{fk}`").cast("string").alias("key")))
-            for idx, fk, miss in misses]), lambda x: x.isNotNull())).alias("o")).select("o.*")
-        per_rule = (orphans.groupBy("rule_idx", "key").agg(F.count(F.lit(1)).alias("n"))
-                    .groupBy("rule_idx").agg(F.sum("n").alias("n_violations"),
-                                             F.count(F.lit(1)).alias("n_orphan_keys")))
-        meta = spark.createDataFrame(
-            [(idx, fk, _ref_name(rule, ref_col), rule.get("action", "log"))
-             for idx, fk, _k, rule, _r, ref_col in small],
-            "rule_idx int, foreign_key string, reference string, action string")
-        counted = meta.join(per_rule, "rule_idx", "left").select(
-            "rule_idx", "foreign_key", "reference", "action",
-            F.coalesce("n_violations", F.lit(0)).cast("long").alias("n_violations"),
-            F.coalesce("n_orphan_keys", F.lit(0)).cast("long").alias("n_orphan_keys"))
-        parts.append(_with_status(counted))
-    for idx, fk, _keys, rule, ref, ref_col in large:
-        orphans = _orphan_keys(target, fk, ref, ref_col, nulls, 0)
+    for idx, rule, fk, ref, ref_col, err, msg in _prepare(target, rules, resolve):
+        ref_name = ".".join(str(x) for x in (rule.get("database"), rule.get("reference_table"), ref_col) if x)
+        head = [F.lit(idx).alias("rule_idx"), F.lit(fk).cast("string").alias("foreign_key"),
+                F.lit(ref_name).alias("reference"), F.lit(rule.get("action", "log")).alias("action")]
+        if err is not None:
+            parts.append(spark.range(1).select(
+                *head, F.lit(err).alias("status"),
+                F.lit(None).cast("long").alias("n_violations"),
+                F.lit(None).cast("long").alias("n_orphan_keys"),
+                F.lit(msg).alias("message")))
+            continue
+        orphans = _orphan_keys(target, fk, ref, ref_col, nulls, max_broadcast_bytes)
         agg = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_violations"),
                           F.count(F.lit(1)).alias("n_orphan_keys"))
-        parts.append(_with_status(agg.select(
-            F.lit(idx).alias("rule_idx"), F.lit(fk).alias("foreign_key"),
-            F.lit(_ref_name(rule, ref_col)).alias("reference"), F.lit(rule.get("action", "log")).alias("action"),
-            "n_violations", "n_orphan_keys")))
+        parts.append(agg.select(
+            *head,
+            F.when(F.col("n_violations") == 0, "pass").otherwise("fail").alias("status"),
+            "n_violations", "n_orphan_keys",
+            F.concat(F.lit(f"{fk} -> {ref_name}: "), F.col("n_violations").cast("string"),
+                     F.lit(" violation(s)")).alias("message")))
     if not parts:
-        return spark.createDataFrame([], _REPORT_SCHEMA)
+        return spark.createDataFrame(
+            [], "rule_idx int, foreign_key string, reference string, action string, status string, "
+                "n_violations long, n_orphan_keys long, message string")
     return reduce(DataFrame.unionByName, parts)
 
 
