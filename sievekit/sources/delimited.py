@@ -15,10 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = True) -> DataFrame:
-    """Header file, every column a string (no schema inference)."""
-    return (spark.read.option("header", str(header).lower()).option("sep", sep)
-            .option("inferSchema", "false").csv(path))
+def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = True,
+                   comment: str | None = None) -> DataFrame:
+    """Header file, every column a string (no schema inference).
+
+    ``comment`` skips lines starting with that character (for files whose
+    leading note is marked and whose header is not)."""
+    reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
+              .option("inferSchema", "false"))
+    if comment:
+        reader = reader.option("comment", comment)
+    return reader.csv(path)
 
 
 def _numbered_head(spark: SparkSession, path, n: int) -> tuple[DataFrame, DataFrame]:

@@ -19,8 +19,15 @@ def _strip_scheme(c: Column) -> Column:
     return F.regexp_replace(c, r"^file:(//)?", "")
 
 
-def list_files(spark: SparkSession, directories: Sequence[str], glob: str | None = None) -> DataFrame:
-    """(path, length) of the files in ``directories``; missing folders list nothing."""
+def _is_missing(exc: Exception) -> bool:
+    text = str(exc)
+    return "PATH_NOT_FOUND" in text or "does not exist" in text or "FileNotFound" in text
+
+
+def list_files(spark: SparkSession, directories: Sequence[str], glob: str | None = None,
+               errors: dict | None = None) -> DataFrame:
+    """(path, length) of the files in ``directories``; a missing folder lists
+    nothing, and any other listing failure is recorded in ``errors``."""
     parts = []
     for d in dict.fromkeys(directories):
         reader = spark.read.format("binaryFile")
@@ -29,7 +36,9 @@ def list_files(spark: SparkSession, directories: Sequence[str], glob: str | None
         try:
             df = reader.load(d).select(_strip_scheme(F.col("path")).alias("path"), "length")
             df.schema  # resolve now: a missing folder raises here
-        except Exception:  # noqa: BLE001 - a missing folder just lists nothing
+        except Exception as exc:  # noqa: BLE001 - reported per folder, never fatal
+            if errors is not None and not _is_missing(exc):
+                errors[d] = f"{type(exc).__name__}: {str(exc)[:300]}"
             continue
         parts.append(df)
     if not parts:
@@ -41,14 +50,43 @@ def list_files(spark: SparkSession, directories: Sequence[str], glob: str | None
 
 
 def manifest_check(spark: SparkSession, input_files: Sequence[Mapping]) -> DataFrame:
-    """every configured input file exists (status ``found`` / ``not_found``)."""
+    """every configured input file exists: status ``found``, ``not_found``,
+    or ``error`` (its folder could not be listed for another reason)."""
     paths = [str(f.get("file_path")) for f in input_files]
-    manifest = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "idx int, file_path string")
-    listing = list_files(spark, [posixpath.dirname(p) or "." for p in paths])
+    folders = {p: posixpath.dirname(p) or "." for p in paths}
+    errors: dict = {}
+    listing = list_files(spark, list(folders.values()), errors=errors)
+    manifest = spark.createDataFrame(
+        [(i, p, errors.get(folders[p])) for i, p in enumerate(paths)], "idx int, file_path string, error string")
     m = manifest.withColumn("__p", _strip_scheme(F.col("file_path")))
     joined = m.join(listing, m["__p"] == listing["path"], "left")
-    return joined.select("idx", "file_path", F.when(F.col("path").isNotNull(), "found").otherwise("not_found").alias("status"),
-                         "length")
+    status = (F.when(F.col("error").isNotNull(), "error")
+              .when(F.col("path").isNotNull(), "found").otherwise("not_found"))
+    return joined.select("idx", "file_path", status.alias("status"), "length", "error")
+
+
+def input_format_checks(spark: SparkSession, input_files: Sequence[Mapping], n: int = 5) -> DataFrame:
+    """F2 over a config's inputs: the delimiter check for ``tsv`` entries;
+    other file types are reported as ``skipped``."""
+    rows = []
+    for i, f in enumerate(input_files):
+        path, kind = str(f.get("file_path")), str(f.get("file_type", "")).lower()
+        if kind != "tsv":
+            rows.append(spark.createDataFrame(
+                [(i, path, "skipped", None, None)],
+                "idx int, file_path string, status string, checked_lines long, is_valid boolean"))
+            continue
+        skip = str(f.get("ignore_first_line", "no")).strip().lower() == "yes"
+        chk = delimiter_check(spark, path, f.get("delimiter", "\t"), n, skip)
+        rows.append(chk.select(F.lit(i).alias("idx"), F.lit(path).alias("file_path"),
+                               F.when(F.col("is_valid"), "valid").otherwise("invalid").alias("status"),
+                               "checked_lines", "is_valid"))
+    if not rows:
+        return spark.createDataFrame([], "idx int, file_path string, status string, checked_lines long, is_valid boolean")
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 def delimiter_check(spark: SparkSession, path, sep: str = "\t", n: int = 5, ignore_first_line: bool = False) -> DataFrame:

@@ -151,3 +151,17 @@ def test_line_numbers_across_splits(spark, tmp_dir):
         assert lines == [i + 2 for i in range(4000) if i % 150 > 100]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_input_checks_and_comment(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.tsv", "x\ty\n1\t2\n")
+    _write(f"{tmp_dir}/in/b.csv", "x,y\n1,2\n")
+    inputs = [{"file_path": f"{tmp_dir}/in/a.tsv", "file_type": "tsv", "delimiter": "\t", "ignore_first_line": "no"},
+              {"file_path": f"{tmp_dir}/in/b.csv", "file_type": "csv", "delimiter": ",", "ignore_first_line": "no"}]
+    res = {r.idx: r.status for r in FL.input_format_checks(spark, inputs).collect()}
+    assert res == {0: "valid", 1: "skipped"}
+    chk = {r.idx: (r.status, r.error) for r in FL.manifest_check(spark, inputs).collect()}
+    assert chk[0] == ("found", None) and chk[1] == ("found", None)
+    _write(f"{tmp_dir}/cm/c.tsv", "# note\nid\tv\n1\t2\n")
+    df = S.read_delimited(spark, f"{tmp_dir}/cm/c.tsv", comment="#")
+    assert df.columns == ["id", "v"] and df.count() == 1
