@@ -154,3 +154,30 @@ def suite_statistics(report: DataFrame) -> DataFrame:
         F.when(F.count(F.lit(1)) > 0,
                F.lit(100.0) * F.count_if(F.col("success")) / F.count(F.lit(1))).alias("success_percent"),
     )
+
+
+def expectation_samples(df: DataFrame, expectations: Sequence[Mapping], n: int = 20) -> DataFrame:
+    """The partial unexpected list: up to ``n`` unexpected values per value
+    expectation, smallest first (as text), with their repeat counts.
+
+    One narrow pass emits (expectation, value) for failing cells; values are
+    pre-aggregated to counts, then ``row_number() <= n`` (partial
+    WindowGroupLimit before the shuffle) keeps the first ``n`` per expectation.
+    """
+    from pyspark.sql.window import Window
+
+    hits = []
+    for idx, exp in enumerate(expectations or []):
+        builder = EXPECTATIONS.get(exp.get("expectation_type"))
+        b = builder(df, exp.get("params") or {}) if builder else None
+        if b is None or b.unexpected is None:
+            continue
+        col = exp["params"]["column"]
+        hits.append(F.when(b.unexpected, F.struct(F.lit(idx).alias("exp_idx"),
+                                                  F.col(f"`{col}`").cast("string").alias("value"))))
+    if not hits:
+        return df.sparkSession.createDataFrame([], "exp_idx int, value string, n_rows long, rank int")
+    cells = df.select(F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h")).select("h.*")
+    counted = cells.groupBy("exp_idx", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    w = Window.partitionBy("exp_idx").orderBy(F.col("value").asc_nulls_first())
+    return counted.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

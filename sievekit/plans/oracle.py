@@ -494,3 +494,20 @@ ORACLE_SQL["l_bad_line_list"] = f"""
 SELECT 'pipeline_run_' || strftime(ts, '%Y%m%d') || '.log' AS log_file,
        substr(line, 1, length(line) - 1) AS bad_line
 FROM (SELECT *, {_LOG_LINE} AS line FROM events WHERE value > 200) e"""
+
+# unexpected cells of the orders suite (value expectations 0-4), as text
+_SUITE_CELLS = _union([
+    f"SELECT 0 AS exp_idx, CAST(o_orderkey AS VARCHAR) AS value FROM {_SUITE_T} t WHERE o_orderkey IS NULL",
+    f"SELECT 1, o_orderpriority FROM {_SUITE_T} t "
+    "WHERE o_orderpriority IS NOT NULL AND NOT regexp_matches(o_orderpriority, '^[1-3]-')",
+    f"SELECT 2, CAST(o_totalprice AS VARCHAR) FROM {_SUITE_T} t "
+    "WHERE o_totalprice IS NOT NULL AND NOT (o_totalprice >= 1000 AND o_totalprice <= 400000)",
+    f"SELECT 3, CAST(o_totalprice AS VARCHAR) FROM {_SUITE_T} t "
+    "WHERE o_totalprice IS NOT NULL AND NOT (o_totalprice >= 0 AND o_totalprice <= 600000)",
+    f"SELECT 4, o_priority_or_null FROM {_SUITE_T} t WHERE o_priority_or_null IS NULL",
+])
+ORACLE_SQL["e_suite_samples"] = f"""
+SELECT exp_idx, value, n_rows,
+       CAST(row_number() OVER (PARTITION BY exp_idx ORDER BY value NULLS FIRST) AS INTEGER) AS rank
+FROM (SELECT exp_idx, value, count(*) AS n_rows FROM ({_SUITE_CELLS}) c GROUP BY exp_idx, value) g
+QUALIFY rank <= 20"""

@@ -155,6 +155,11 @@ def e_suite_stats(spark, sf):
     return E.suite_statistics(E.expectation_report(_orders_for_suite(spark, sf), cfg.ORDERS_EXPECTATIONS))
 
 
+@query("e_suite_samples")
+def e_suite_samples(spark, sf):
+    return E.expectation_samples(_orders_for_suite(spark, sf), cfg.ORDERS_EXPECTATIONS, n=20)
+
+
 @query("e_suite_customer")
 def e_suite_customer(spark, sf):
     return E.expectation_report(load(spark, sf, "customer"), cfg.CUSTOMER_EXPECTATIONS)
