@@ -28,3 +28,25 @@ def test_stream_matches_batch(spark, tmp_dir):
     q2.awaitTermination()
     total = spark.sql("SELECT sum(n_violations) AS v, sum(n_rows) AS n FROM rule_counts").first()
     assert total.v == batch and total.n == 2 * events.count()
+
+
+def test_run_log_stream(spark, tmp_dir):
+    import json
+    import os
+
+    from sievekit.operators import runlog as L
+    from sievekit.streaming.runlog_stream import level_counts, stream_run_logs
+
+    os.makedirs(f"{tmp_dir}/logs")
+    rows = [json.dumps({"time": f"2025-07-10 0{h}:00:00,000", "pipeline": "p", "schema": "s", "table": "t",
+                        "level": lvl, "module": "m", "msg": "x"}) for h in range(3) for lvl in ("INFO", "ERROR")]
+    with open(f"{tmp_dir}/logs/pipeline_run_a.log", "w") as f:
+        f.write("\n".join(rows + ["not json"]) + "\n")
+    parsed = stream_run_logs(spark, f"{tmp_dir}/logs")
+    q = (level_counts(parsed.filter(~F.col("is_bad"))).writeStream.format("memory").queryName("log_levels")
+         .outputMode("complete").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.level: r.n for r in spark.sql("SELECT level, sum(n_lines) AS n FROM log_levels GROUP BY level").collect()}
+    batch = L.read_run_logs(spark, f"{tmp_dir}/logs")
+    want = {r.level: r["count"] for r in L.good_lines(batch).groupBy("level").count().collect()}
+    assert got == want == {"INFO": 3, "ERROR": 3}
