@@ -71,3 +71,29 @@ def test_median_uses_bounded_sketch(spark):
 def test_fk_violations_one_scan_for_small_references(spark):
     plan = _plan(queries()["j_fk_violations"](spark, SF))
     assert plan.count("lineitem.parquet") == 1
+
+
+def test_hot_fk_key_is_split_by_aqe(spark):
+    """A key holding a third of the rows: AQE splits its partition of the anti join."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        target = spark.range(300000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("fk"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"))  # incompressible shuffle bytes
+        ref = spark.range(0, 100000).select(F.col("id").alias("k"))
+        rules = [{"foreign_key": "fk", "reference_table": "ref", "reference_column": "k", "action": "log"}]
+        v = J.fk_violations(target, rules, J.mapping_resolver({"ref": ref}), max_broadcast_bytes=0)
+        v.tail(1)
+        assert "skew=true" in v._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
