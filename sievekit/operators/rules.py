@@ -231,12 +231,26 @@ def violation_samples(
 ) -> DataFrame:
     """The first ``n`` violations per rule by (value, keys) — deterministic.
 
-    ``row_number() <= n`` is planned with a partial WindowGroupLimit before the
-    shuffle, so a rule violated by most rows still moves at most ``n`` rows per
-    map task.
+    One ``filter → orderBy → limit`` per rule: Spark plans it as
+    TakeOrderedAndProject, a bounded heap of ``n`` rows per task (no sort of
+    all violations), and column pruning lets each rule read only its own
+    column and the keys. Ranks are numbered afterwards over at most ``n`` rows
+    per rule.
     """
-    rows = violation_rows(df, rules, key_columns, **options)
-    order = [F.col("value").asc_nulls_first()] + [F.col(f"`{k}`").asc_nulls_first() for k in key_columns]
+    compiled = [r for r in compile_rules(df, rules, **options) if r.violation is not None]
+    keys = [F.col(f"`{k}`") for k in key_columns]
+    order = [F.col("value").asc_nulls_first()] + [k.asc_nulls_first() for k in keys]
+    parts = [
+        df.filter(r.violation).select(
+            *keys, F.lit(r.idx).alias("rule_idx"), F.lit(r.rule_id).alias("rule_id"),
+            F.lit(r.column).alias("column"), F.col(f"`{r.column}`").cast("string").alias("value"),
+        ).orderBy(*order).limit(n)
+        for r in compiled
+    ]
+    if not parts:
+        return violation_rows(df, rules, key_columns, **options).withColumn("rank", F.lit(None).cast("int"))
+    top = parts[0]
+    for p in parts[1:]:
+        top = top.unionByName(p)
     w = Window.partitionBy("rule_idx").orderBy(*order)
-    return (rows.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= n))
+    return top.withColumn("rank", F.row_number().over(w))
