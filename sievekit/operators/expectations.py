@@ -177,7 +177,7 @@ def expectation_samples(df: DataFrame, expectations: Sequence[Mapping], n: int =
                                                   F.col(f"`{col}`").cast("string").alias("value"))))
     if not hits:
         return df.sparkSession.createDataFrame([], "exp_idx int, value string, n_rows long, rank int")
-    cells = df.select(F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h")).select("h.*")
+    cells = df.select(F.explode(F.array(*hits)).alias("h")).filter(F.col("h").isNotNull()).select("h.*")
     counted = cells.groupBy("exp_idx", "value").agg(F.count(F.lit(1)).alias("n_rows"))
     w = Window.partitionBy("exp_idx").orderBy(F.col("value").asc_nulls_first())
     return counted.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

@@ -210,8 +210,8 @@ def fk_violations(
         cols = [F.col(f"`{c}`") for c in target.columns]
         t, misses = _flag_misses(target, [(i, fk, k) for i, fk, k, *_ in small], nulls)
         failed = [F.when(miss, F.lit(fk)) for _idx, fk, miss in misses]
-        parts.append(t.select(*cols, F.explode(F.filter(F.array(*failed), lambda x: x.isNotNull()))
-                              .alias("failed_fk")))
+        parts.append(t.select(*cols, F.explode(F.array(*failed)).alias("failed_fk"))
+                     .filter(F.col("failed_fk").isNotNull()))
     for _idx, fk, keys, *_rest in large:
         tt = _target(target, fk, nulls)
         v = tt.join(keys, tt[f"`{fk}`"] == keys["__ref_key"], "left_anti")
