@@ -38,26 +38,30 @@ def _long_form(df: DataFrame, group_cols: Sequence[str], columns: Sequence[str])
 
 
 def _medians_long(vals: DataFrame, keys: list[str], summary: DataFrame) -> DataFrame:
-    """Exact median per ``keys`` from long-form values and their bracket summary."""
-    joined = vals.join(summary.select(*keys, "__lo", "__hi"), keys)
+    """Exact median per ``keys`` from long-form values and their bracket summary.
+
+    Returns ``keys`` + summary columns + ``__median``. Values below the
+    bracket collapse into one null-valued row per key; sorted first, it makes
+    the running sums absolute ranks, so no separate count has to be joined
+    back. Summary columns ride along as grouping keys (they are fixed per key).
+    """
+    carried = ["__n", "__mean", "__min", "__max"]
+    joined = vals.join(summary, keys)
     inside = joined.filter(F.col("__x") <= F.col("__hi"))
-    # below-bracket values collapse to one null-valued row per key
     bucket = F.when(F.col("__x") < F.col("__lo"), F.lit(None).cast("double")).otherwise(F.col("__x"))
-    counted = inside.groupBy(*keys, bucket.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    below = counted.filter(F.col("__v").isNull()).select(*keys, F.col("__c").alias("__below"))
-    bracket = counted.filter(F.col("__v").isNotNull())
-    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (bracket.withColumn("__end", F.sum("__c").over(w)).withColumn("__start", F.col("__end") - F.col("__c"))
-              .join(summary.select(*keys, "__n"), keys).join(below, keys, "left")
-              .withColumn("__below", F.coalesce("__below", F.lit(0))))
-    k1 = F.floor((F.col("__n") - 1) / 2) - F.col("__below")
-    k2 = F.floor(F.col("__n") / 2) - F.col("__below")
+    counted = inside.groupBy(*keys, *carried, bucket.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    w = (Window.partitionBy(*keys).orderBy(F.col("__v").asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("__end", F.sum("__c").over(w)).withColumn("__start", F.col("__end") - F.col("__c"))
+    k1 = F.floor((F.col("__n") - 1) / 2)
+    k2 = F.floor(F.col("__n") / 2)
 
     def at(k):
-        return F.max(F.when((k >= F.col("__start")) & (k < F.col("__end")), F.col("__v")))
+        hit = (k >= F.col("__start")) & (k < F.col("__end")) & F.col("__v").isNotNull()
+        return F.max(F.when(hit, F.col("__v")))
 
-    picked = ranked.groupBy(*keys).agg(at(k1).alias("__v1"), at(k2).alias("__v2"))
-    return picked.select(*keys, ((F.col("__v1") + F.col("__v2")) / 2).alias("__median"))
+    picked = ranked.groupBy(*keys, *carried).agg(at(k1).alias("__v1"), at(k2).alias("__v2"))
+    return picked.select(*keys, *carried, ((F.col("__v1") + F.col("__v2")) / 2).alias("__median"))
 
 
 def _summary(vals: DataFrame, keys: list[str], accuracy: int) -> DataFrame:
@@ -86,9 +90,7 @@ def group_stats(df: DataFrame, group_cols: Sequence[str], columns: Sequence[str]
     g = list(group_cols)
     keys = g + ["__name"]
     vals = _long_form(df, g, columns)
-    summary = _summary(vals, keys, accuracy)
-    med = _medians_long(vals, keys, summary)
-    long = summary.join(med, keys, "left")
+    long = _medians_long(vals, keys, _summary(vals, keys, accuracy))
     types = dict(df.dtypes)
     wide = long.groupBy(*g).agg(*[
         agg for c in columns for agg in (
