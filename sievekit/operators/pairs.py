@@ -62,22 +62,23 @@ def already_removed(pairs: DataFrame, *, pair_id: str = "pair_id", left: str = "
                     right: str = "genome2") -> DataFrame:
     """Pairs whose member was already removed by an earlier pair.
 
-    Earlier = smaller (min_size nulls last, pair_id). ``first_key(m)`` is the
-    smallest key of a pair removing m (partial ``min`` aggregate, skew-safe);
-    a pair counts when either member's first key is smaller than its own.
+    Earlier = smaller (min_size nulls last, pair_id). ``first(m)`` is the
+    smallest key of a pair removing m (a partial ``min`` aggregate, skew-safe).
+    Each pair is split into its two members, joined once with ``first`` and
+    counted when either member's first removal comes before the pair.
     """
-    keyed = pairs.withColumn("__key", _order_key(pair_id)).withColumn(
-        "__loser", F.when(F.col("size1") < F.col("size2"), F.col(left)).otherwise(F.col(right)))
+    keyed = pairs.select(
+        _order_key(pair_id).alias("__key"),
+        F.when(F.col("size1") < F.col("size2"), F.col(left)).otherwise(F.col(right)).alias("__loser"),
+        F.col(left).alias("__a"), F.col(right).alias("__b"))
     first = keyed.groupBy(F.col("__loser").alias("__m")).agg(F.min("__key").alias("__first"))
-    f1 = first.select(F.col("__m").alias("__m1"), F.col("__first").alias("__first1"))
-    f2 = first.select(F.col("__m").alias("__m2"), F.col("__first").alias("__first2"))
-    j = keyed.join(f1, keyed[left] == f1["__m1"], "left")
-    j = j.join(f2, j[right] == f2["__m2"], "left")
-    hit = F.coalesce(F.col("__first1") < F.col("__key"), F.lit(False)) | \
-        F.coalesce(F.col("__first2") < F.col("__key"), F.lit(False))
-    return j.agg(
+    ends = keyed.select("__key", "__loser", F.explode(F.array("__a", "__b")).alias("__m"))
+    flagged = ends.join(first, "__m", "left").withColumn(
+        "__hit", F.coalesce(F.col("__first") < F.col("__key"), F.lit(False)))
+    per_pair = flagged.groupBy("__key", "__loser").agg(F.max("__hit").alias("__hit"))
+    return per_pair.agg(
         F.count(F.lit(1)).alias("n_pairs"),
-        F.count_if(hit).alias("n_already_removed"),
+        F.count_if("__hit").alias("n_already_removed"),
         F.count_distinct("__loser").alias("n_removed"),
     )
 

@@ -80,7 +80,10 @@ def valid_order_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def surviving_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return P.above_threshold(valid_order_pairs(spark, sf), "score", PAIR_THRESHOLD)
+    # stage end: the surviving pairs feed the removal set, its diagnostics and
+    # stage 3; written once instead of re-running the pair joins per consumer
+    return stage_table(P.above_threshold(valid_order_pairs(spark, sf), "score", PAIR_THRESHOLD),
+                       "order-pairs-surviving")
 
 
 def customer_stage3(spark: SparkSession, sf: str):
