@@ -59,6 +59,14 @@ def group_sizes(members: DataFrame, group_cols: Sequence[str], removed: str = "r
     )
 
 
+def _with_all_groups(groups: DataFrame, group_cols: Sequence[str], all_groups: DataFrame | None) -> DataFrame:
+    """Add groups that have no member rows (size 0)."""
+    if all_groups is None:
+        return groups
+    return all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
+        *group_cols, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_members", "n_removed", "n_retained")])
+
+
 def filter_stage(
     members: DataFrame, group_cols: Sequence[str], removed: str = "removed",
     min_size: int = MIN_GROUP_SIZE, all_groups: DataFrame | None = None,
@@ -82,9 +90,7 @@ def filter_stage(
     if groups_from_rows:
         return _filter_stage_window(members, group_cols, removed, min_size, all_groups)
     groups = group_sizes(members, group_cols, removed)
-    if all_groups is not None:
-        groups = all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
-            *group_cols, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_members", "n_removed", "n_retained")])
+    groups = _with_all_groups(groups, group_cols, all_groups)
     groups = groups.withColumn("kept", F.col("n_retained") >= F.lit(min_size))
     small = groups.select(*group_cols, (~F.col("kept")).alias("__small"))
     tagged = members.join(small, list(group_cols), "left")
@@ -108,9 +114,7 @@ def _filter_stage_window(members, group_cols, removed, min_size, all_groups):
         "retained", F.when((F.col(removed) == 0) & ~small, 1).otherwise(0)
     ).drop("__retained_in_group")
     groups = group_sizes(tagged, group_cols, removed)
-    if all_groups is not None:
-        groups = all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
-            *group_cols, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_members", "n_removed", "n_retained")])
+    groups = _with_all_groups(groups, group_cols, all_groups)
     return tagged, groups.withColumn("kept", F.col("n_retained") >= F.lit(min_size))
 
 
