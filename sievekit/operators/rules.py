@@ -47,6 +47,7 @@ class CompiledRule:
     message: str
     violation: Column | None  # boolean, never null; None when status is set
     status: str | None = None
+    reason: Column | None = None  # why a violating row fails
 
 
 def _default_message(column) -> str:
@@ -90,6 +91,7 @@ def compile_rules(
 
         if kind == "not_null":
             pred = (is_null | (c == F.lit(""))) if is_string else is_null
+            reason = F.when(is_null, F.lit("null")).otherwise(F.lit("empty"))
         elif kind == "regex_match":
             pattern = rule.get("pattern")
             if not pattern:
@@ -99,6 +101,7 @@ def compile_rules(
                 pattern = f"^(?:{pattern})"
             text = c if is_string else c.cast("string")
             pred = ~text.rlike(pattern)
+            reason = F.lit("no_match")
         elif kind == "numeric_range":
             lo, hi = rule.get("min"), rule.get("max")
             if lo is None and hi is None:
@@ -106,10 +109,13 @@ def compile_rules(
                 continue
             x = c.try_cast("double") if is_string else c.cast("double")
             pred = F.lit(False)
+            reason = F.when(c.isNotNull() & x.isNull(), F.lit("not_numeric"))
             if lo is not None:
                 pred = pred | (x < F.lit(float(lo)))
+                reason = reason.when(x < F.lit(float(lo)), F.lit("below_min"))
             if hi is not None:
                 pred = pred | (x > F.lit(float(hi)))
+                reason = reason.when(x > F.lit(float(hi)), F.lit("above_max"))
             if not_numeric and is_string:
                 pred = pred | (c.isNotNull() & x.isNull())
         else:  # allowed_values
@@ -117,6 +123,7 @@ def compile_rules(
             if not values:
                 out.append(bad("error", f"allowed_values on {column} has an empty value list"))
                 continue
+            reason = F.lit("not_allowed")
             if not is_string and any(isinstance(v, str) for v in values):
                 # config values are text: compare as text instead of letting
                 # ANSI casts turn the literals into the column's type
@@ -129,7 +136,8 @@ def compile_rules(
             pred = pred | is_null
         elif kind != "not_null":
             pred = pred & ~is_null
-        out.append(CompiledRule(idx, rule_id, kind, column, message, pred))
+        reason = F.when(is_null, F.lit("null")).otherwise(reason)
+        out.append(CompiledRule(idx, rule_id, kind, column, message, pred, reason=reason))
     return out
 
 
@@ -203,7 +211,9 @@ def validation_summary(report: DataFrame, file_path: str | None = None) -> DataF
 def violation_rows(
     df: DataFrame, rules: Sequence[Mapping], key_columns: Sequence[str], **options
 ) -> DataFrame:
-    """One row per (row, failed rule): keys, rule, column, value as text.
+    """One row per (row, failed rule): keys, rule, column, value as text and
+    the reason (null, empty, not_numeric, below_min, above_max, not_allowed,
+    no_match).
 
     A single narrow pass: each row emits the array of its failed rules, which is
     exploded. No shuffle.
@@ -215,6 +225,7 @@ def violation_rows(
             F.lit(r.rule_id).alias("rule_id"),
             F.lit(r.column).alias("column"),
             F.col(f"`{r.column}`").cast("string").alias("value"),
+            r.reason.alias("reason"),
         ))
         for r in compiled
     ]
@@ -223,7 +234,8 @@ def violation_rows(
         return df.select(*keys, F.lit(None).cast("int").alias("rule_idx"),
                          F.lit(None).cast("string").alias("rule_id"),
                          F.lit(None).cast("string").alias("column"),
-                         F.lit(None).cast("string").alias("value")).limit(0)
+                         F.lit(None).cast("string").alias("value"),
+                         F.lit(None).cast("string").alias("reason")).limit(0)
     # explode the per-rule array and drop the nulls afterwards: a higher-order
     # ``filter`` on the array would run outside whole-stage codegen (measured
     # about 4x slower)

@@ -69,7 +69,18 @@ _LI_VIOLATIONS = _union([
     f"CAST({col} AS VARCHAR) AS value FROM lineitem WHERE {pred}"
     for idx, rid, _kind, col, pred, _msg in _LI_RULES])
 
-ORACLE_SQL["r_violation_rows"] = _LI_VIOLATIONS
+# why each lineitem rule fails a row
+_LI_REASONS = {
+    0: "CASE WHEN l_returnflag IS NULL THEN 'null' ELSE 'empty' END",
+    1: "CASE WHEN l_quantity < 1 THEN 'below_min' ELSE 'above_max' END",
+    2: "'not_allowed'",
+    3: "'no_match'",
+    4: "'above_max'",
+}
+ORACLE_SQL["r_violation_rows"] = _union([
+    f"SELECT l_orderkey, l_linenumber, {idx} AS rule_idx, '{rid}' AS rule_id, '{col}' AS \"column\", "
+    f"CAST({col} AS VARCHAR) AS value, {_LI_REASONS[idx]} AS reason FROM lineitem WHERE {pred}"
+    for idx, rid, _kind, col, pred, _msg in _LI_RULES])
 
 ORACLE_SQL["r_violation_samples"] = f"""
 SELECT *, CAST(row_number() OVER (PARTITION BY rule_idx

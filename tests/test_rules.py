@@ -96,3 +96,13 @@ def test_violations_plus_valid_equals_total(spark):
     df = _df(spark)
     n_bad = R.violation_rows(df, rules, ["id"]).count()
     assert n_bad + df.filter(F.col("v").isNotNull() & (F.col("v") != "")).count() == df.count()
+
+
+def test_violation_reasons(spark):
+    rules = [{"column": "v", "validation_type": "numeric_range", "min": 0, "max": 60},
+             {"column": "v", "validation_type": "not_null"}]
+    rows = R.violation_rows(_df(spark), rules, ["id"], nulls="fail").collect()
+    got = {(EDGE[r.id], r.rule_idx): r.reason for r in rows}
+    assert got[("abc", 0)] == "not_numeric" and got[("100", 0)] == "above_max"
+    assert got[("NaN", 0)] == "above_max" and got[(None, 0)] == "null"
+    assert got[("", 1)] == "empty" and got[(None, 1)] == "null"
