@@ -38,3 +38,24 @@ def violation_counts(df: DataFrame, rules: Sequence[Mapping], time_col: str, win
         for rid in ids])).alias("r"))
     return per_rule.groupBy(F.window(time_col, window).alias("window"), F.col("r.rule_id").alias("rule_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if("r.failed").alias("n_violations"))
+
+
+def report_each_batch(df: DataFrame, rules: Sequence[Mapping], path: str, checkpoint: str,
+                      fmt: str = "parquet", trigger: dict | None = None, **options):
+    """Start a stream that writes the fused rule report of every micro-batch.
+
+    Reports go to ``path`` partitioned by ``batch_id`` with dynamic partition
+    overwrite, so a batch replayed after a failure replaces its own report
+    instead of appending a duplicate. Returns the ``StreamingQuery``.
+    """
+    from sievekit.operators.rules import rule_report
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        report = rule_report(batch, rules, **options).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").format(fmt).save(path))
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()

@@ -50,3 +50,20 @@ def test_run_log_stream(spark, tmp_dir):
     batch = L.read_run_logs(spark, f"{tmp_dir}/logs")
     want = {r.level: r["count"] for r in L.good_lines(batch).groupBy("level").count().collect()}
     assert got == want == {"INFO": 3, "ERROR": 3}
+
+
+def test_report_each_batch(spark, tmp_dir):
+    from sievekit.streaming.rules_stream import report_each_batch
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src = f"{tmp_dir}/ev"
+    events.limit(100).write.parquet(f"{src}/part1")
+    events.write.mode("append").parquet(f"{src}/part1")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/part1")
+    q = report_each_batch(stream, RULES, f"{tmp_dir}/reports", f"{tmp_dir}/ck3", trigger={"availableNow": True})
+    q.awaitTermination()
+    reports = spark.read.parquet(f"{tmp_dir}/reports")
+    assert reports.select("batch_id").distinct().count() >= 1
+    total = reports.groupBy("rule_idx").agg(F.sum("n_violations").alias("v")).orderBy("rule_idx").collect()
+    full = R.rule_report(spark.read.parquet(f"{src}/part1"), RULES).orderBy("rule_idx").collect()
+    assert [r.v for r in total] == [r.n_violations for r in full]
