@@ -522,3 +522,22 @@ SELECT exp_idx, value, n_rows,
        CAST(row_number() OVER (PARTITION BY exp_idx ORDER BY value NULLS FIRST) AS INTEGER) AS rank
 FROM (SELECT exp_idx, value, count(*) AS n_rows FROM ({_SUITE_CELLS}) c GROUP BY exp_idx, value) g
 QUALIFY rank <= 20"""
+
+# lineitem read as text (every column a string), the reference's data model
+_LI_TEXT = ("(SELECT CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_discount AS VARCHAR) AS l_discount, "
+            "l_returnflag, l_linestatus FROM lineitem)")
+_LI_TEXT_RULES = [
+    (0, "l_returnflag - not_null", "not_null", "l_returnflag",
+     "l_returnflag IS NULL OR l_returnflag = ''", "return flag is required"),
+    (1, "l_quantity - numeric_range", "numeric_range", "l_quantity",
+     "l_quantity IS NOT NULL AND (TRY_CAST(l_quantity AS DOUBLE) IS NULL OR TRY_CAST(l_quantity AS DOUBLE) < 1 "
+     "OR TRY_CAST(l_quantity AS DOUBLE) > 40)", "quantity out of range"),
+    (2, "l_returnflag - allowed_values", "allowed_values", "l_returnflag",
+     "l_returnflag IS NOT NULL AND l_returnflag NOT IN ('A', 'R')", "unexpected return flag"),
+    (3, "l_linestatus - regex_match", "regex_match", "l_linestatus",
+     "l_linestatus IS NOT NULL AND NOT regexp_matches(l_linestatus, '^[OF]$')", "bad line status"),
+    (4, "l_discount - numeric_range", "numeric_range", "l_discount",
+     "l_discount IS NOT NULL AND (TRY_CAST(l_discount AS DOUBLE) IS NULL OR TRY_CAST(l_discount AS DOUBLE) > 0.08)",
+     "discount too high"),
+]
+ORACLE_SQL["r_rules_lineitem_text"] = _report_sql(_LI_TEXT, _LI_TEXT_RULES, _LI_BAD)

@@ -46,6 +46,14 @@ def r_rules_lineitem(spark, sf):
     return R.rule_report(load(spark, sf, "lineitem"), cfg.LINEITEM_RULES)
 
 
+@query("r_rules_lineitem_text")
+def r_rules_lineitem_text(spark, sf):
+    # every column as text, as a header CSV is read: numeric rules parse with try_cast
+    li = load(spark, sf, "lineitem")
+    text = li.select(*[F.col(c).cast("string").alias(c) for c in li.columns])
+    return R.rule_report(text, cfg.LINEITEM_RULES)
+
+
 @query("r_rules_customer")
 def r_rules_customer(spark, sf):
     customer = apply_transformations(load(spark, sf, "customer"), cfg.CUSTOMER_TRANSFORMS)
