@@ -69,16 +69,24 @@ def read_id_list(spark: SparkSession, path) -> DataFrame:
             .filter(F.col("id") != ""))
 
 
+SPLIT_TABLE_MAX_BYTES = 512 * 1024 * 1024
+
+
 def number_lines(spark: SparkSession, path) -> DataFrame:
     """Every line of every file with its exact 1-based line number in its file.
 
     Lines get their split's byte offset and a ``monotonically_increasing_id``
     (consecutive within a split). Rows per split are counted into a small
     table (one row per split); a running sum over each file's splits gives
-    every split's first line number. Nothing is gathered per file, and the
-    split table is broadcast only under the size check.
+    every split's first line number. Nothing is gathered per file.
+
+    The split table is written once as a stage table, so its real size is
+    known, and broadcast under ``SPLIT_TABLE_MAX_BYTES``: its row count is
+    bounded by the number of input splits (about a million for 100 TB), so
+    the lines themselves never have to be shuffled to meet their offsets.
     """
     from sievekit.functions.sizing import broadcast_if_small
+    from sievekit.session import stage_table
 
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
@@ -89,7 +97,8 @@ def number_lines(spark: SparkSession, path) -> DataFrame:
     w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("file_path", "block_start", "__first_id",
                             F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
-    numbered = lines.join(broadcast_if_small(offsets), ["file_path", "block_start"])
+    offsets = stage_table(offsets, "line-offsets")
+    numbered = lines.join(broadcast_if_small(offsets, SPLIT_TABLE_MAX_BYTES), ["file_path", "block_start"])
     return numbered.select("file_path", (F.col("__offset") + F.col("row_id") - F.col("__first_id") + 1)
                            .alias("line_number"), "value")
 
