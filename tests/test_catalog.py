@@ -9,21 +9,21 @@ SCHEMA = {"classes": {"genome": {"slots": ["genome_id", "gtdb_taxonomy_id"]},
 
 
 def test_inventory_and_drift(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS pangenome_t")
+    spark.sql("CREATE DATABASE IF NOT EXISTS genomes_t")
     spark.createDataFrame([("g1", "t1", "x")], "genome_id string, gtdb_taxonomy_id string, extra string") \
-        .write.mode("overwrite").saveAsTable("pangenome_t.genome")
-    spark.createDataFrame([("s1",)], "other string").write.mode("overwrite").saveAsTable("pangenome_t.sample")
-    spark.createDataFrame([(1,)], "a int").write.mode("overwrite").saveAsTable("pangenome_t.unlisted")
-    inv = {r.table: r for r in catalog_inventory(spark, "pangenome_t").collect()}
+        .write.mode("overwrite").saveAsTable("genomes_t.genome")
+    spark.createDataFrame([("s1",)], "other string").write.mode("overwrite").saveAsTable("genomes_t.sample")
+    spark.createDataFrame([(1,)], "a int").write.mode("overwrite").saveAsTable("genomes_t.unlisted")
+    inv = {r.table: r for r in catalog_inventory(spark, "genomes_t").collect()}
     assert set(inv) == {"genome", "sample", "unlisted"}
     assert inv["genome"].location and inv["genome"].error is None
-    assert catalog_table(spark, "pangenome_t.genome").count() == 1
-    drift = {(r.table, r.column, r.kind) for r in C.database_drift(spark, "pangenome_t", SCHEMA).collect()}
-    assert drift == {("pangenome_t.genome", "extra", "extra_in_table"),
-                     ("pangenome_t.sample", "sample_id", "missing_in_table"),
-                     ("pangenome_t.sample", "other", "extra_in_table"),
-                     ("pangenome_t.unlisted", None, "unknown_class")}
-    logged = C.drift_log(C.database_drift(spark, "pangenome_t", SCHEMA))
+    assert catalog_table(spark, "genomes_t.genome").count() == 1
+    drift = {(r.table, r.column, r.kind) for r in C.database_drift(spark, "genomes_t", SCHEMA).collect()}
+    assert drift == {("genomes_t.genome", "extra", "extra_in_table"),
+                     ("genomes_t.sample", "sample_id", "missing_in_table"),
+                     ("genomes_t.sample", "other", "extra_in_table"),
+                     ("genomes_t.unlisted", None, "unknown_class")}
+    logged = C.drift_log(C.database_drift(spark, "genomes_t", SCHEMA))
     assert "logged_at" in logged.columns and logged.filter("logged_at IS NULL").count() == 0
 
 

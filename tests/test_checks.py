@@ -19,13 +19,13 @@ def _write(path, text):
 def test_config_runner(spark, tmp_dir):
     _write(f"{tmp_dir}/out/genome.tsv", "#comment\ngenome_id\tclade\tscore\n g1\tc1\t10\ng2\tc9\t\nbad id\tc1\t200\n")
     cfg = {
-        "target_table": "pangenome.genome",
+        "target_table": "genomes.genome",
         "output_file": {"output_file_path": f"{tmp_dir}/out/genome.tsv", "delimiter": "\t", "ignore_first_line": "yes"},
         "transformations": [{"column_name": "genome_id", "operation": "trim_whitespace"}],
         "validations": [{"column": "genome_id", "validation_type": "regex_match", "pattern": "^[A-Za-z0-9_.-]+$"},
                         {"column": "score", "validation_type": "numeric_range", "min": 0, "max": 100}],
         "referential_integrity": [{"foreign_key": "clade", "reference_table": "clades", "reference_column": "id",
-                                   "database": "pangenome", "action": "log"}],
+                                   "database": "genomes", "action": "log"}],
         "great_expectations_validations": [
             {"expectation_type": "expect_column_values_to_not_be_null", "params": {"column": "genome_id"}}],
         "logging": {"error_table": None, "output_delta_path": f"{tmp_dir}/errors"},

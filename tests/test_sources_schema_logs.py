@@ -77,9 +77,9 @@ def test_keyed_document(spark, tmp_dir):
 def test_schema_checks(spark, tmp_dir):
     _write(f"{tmp_dir}/s/out.tsv", "# generated\ngenome_id\tgtdb_taxonomy_id\textra\n1\t2\t3\n")
     schema = "classes:\n  genome:\n    slots:\n      - genome_id\n      - gtdb_taxonomy_id\n      - ncbi_biosample_id\n"
-    res = C.file_schema_check(spark, f"{tmp_dir}/s/out.tsv", schema, "pangenome.genome", ignore_first_line=True)
+    res = C.file_schema_check(spark, f"{tmp_dir}/s/out.tsv", schema, "genomes.genome", ignore_first_line=True)
     assert res["missing_in_file"] == ["ncbi_biosample_id"] and res["extra_in_file"] == ["extra"]
-    bad = C.file_schema_check(spark, f"{tmp_dir}/s/out.tsv", schema, "pangenome.nothere", ignore_first_line=True)
+    bad = C.file_schema_check(spark, f"{tmp_dir}/s/out.tsv", schema, "genomes.nothere", ignore_first_line=True)
     assert "error" in bad
     cfg = spark.createDataFrame([("genome", json.dumps({
         "validations": [{"column": "genome_id"}, {"column": "nope"}],
