@@ -97,3 +97,4 @@ def test_hot_fk_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
