@@ -14,21 +14,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.columns import flag
-from sievekit.functions.sizing import broadcast_if_small
+from sievekit.functions.sizing import broadcast_if_small, is_small
 
 
 def flag_by_keys(
     df: DataFrame, column: str, keys: DataFrame, key_column: str, flag_name: str,
     *, max_broadcast_bytes: int | None = None, key_expr: Column | None = None,
+    salt_buckets: int = 0, hot_rows: int = 1_000_000,
 ) -> DataFrame:
-    """K9: add 0/1 ``flag_name``: 1 when ``df[column]`` (or ``key_expr``) is in the key set."""
+    """K9: add 0/1 ``flag_name``: 1 when ``df[column]`` (or ``key_expr``) is in the key set.
+
+    With ``salt_buckets > 1`` and a key set too large to broadcast, probe
+    values seen at least ``hot_rows`` times are salted: their rows get a salt
+    in [0, salt_buckets) and only those keys are replicated once per salt, so
+    a hot value's rows spread over ``salt_buckets`` partitions. The hot list
+    comes from a partial count and holds at most rows / ``hot_rows`` values,
+    which bounds its broadcast.
+    """
     k = (keys.select(F.col(f"`{key_column}`").alias("__key")).filter(F.col("__key").isNotNull())
          .distinct().withColumn("__hit", F.lit(1)))
-    k = broadcast_if_small(k, max_broadcast_bytes)
     probe = key_expr if key_expr is not None else F.col(f"`{column}`")
     left = df.withColumn("__probe", probe)
-    joined = left.join(k, left["__probe"] == k["__key"], "left")
-    return joined.withColumn(flag_name, F.coalesce(F.col("__hit"), F.lit(0))).drop("__probe", "__key", "__hit")
+    if is_small(k, max_broadcast_bytes) or salt_buckets <= 1:
+        k = broadcast_if_small(k, max_broadcast_bytes)
+        joined = left.join(k, left["__probe"] == k["__key"], "left")
+        return joined.withColumn(flag_name, F.coalesce(F.col("__hit"), F.lit(0))).drop("__probe", "__key", "__hit")
+    hot = (left.groupBy("__probe").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= hot_rows)
+           .select(F.col("__probe").alias("__hot"), F.lit(True).alias("__is_hot")))
+    hot = F.broadcast(hot)  # at most rows / hot_rows values
+    left = left.join(hot, left["__probe"] == hot["__hot"], "left").drop("__hot")
+    left = left.withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()),
+                                                                       F.lit(salt_buckets))).otherwise(F.lit(0)))
+    k = k.join(hot, k["__key"] == hot["__hot"], "left").drop("__hot")
+    k = k.withColumn("__ksalt", F.explode(F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                          .otherwise(F.array(F.lit(0))))).drop("__is_hot")
+    joined = left.join(k, (left["__probe"] == k["__key"]) & (left["__salt"] == k["__ksalt"]), "left")
+    return joined.withColumn(flag_name, F.coalesce(F.col("__hit"), F.lit(0))).drop(
+        "__probe", "__key", "__hit", "__is_hot", "__salt", "__ksalt")
 
 
 def flag_rows(df: DataFrame, **predicates: Column) -> DataFrame:

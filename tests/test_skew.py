@@ -59,3 +59,16 @@ def test_pairs_with_hot_member(spark):
         if g[r.genome1] == g[r.genome2] and r.genome1 != r.genome2 and r.score >= 99.5:
             want.add(r.genome1 if s[r.genome1] < s[r.genome2] else r.genome2)
     assert got == want
+
+
+def test_salted_flag_join_matches_plain(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"v{i % 500}") for i in range(30000)]
+    df = spark.createDataFrame(rows, "id long, line string")
+    keys = spark.createDataFrame([("hot",)] + [(f"v{i}",) for i in range(0, 500, 2)], "k string")
+    plain = K.flag_by_keys(df, "line", keys, "k", "hit", max_broadcast_bytes=0)
+    salted = K.flag_by_keys(df, "line", keys, "k", "hit", max_broadcast_bytes=0, salt_buckets=8, hot_rows=1000)
+    a = sorted((r.id, r.hit) for r in plain.collect())
+    b = sorted((r.id, r.hit) for r in salted.collect())
+    assert a == b and len(b) == 30000
+    assert sum(h for _, h in b) == 10000 + sum(1 for i in range(30000) if i % 3 and (i % 500) % 2 == 0)
+    assert salted.columns == df.columns + ["hit"]
