@@ -70,7 +70,7 @@ def _with_all_groups(groups: DataFrame, group_cols: Sequence[str], all_groups: D
 def filter_stage(
     members: DataFrame, group_cols: Sequence[str], removed: str = "removed",
     min_size: int = MIN_GROUP_SIZE, all_groups: DataFrame | None = None,
-    groups_from_rows: bool = False,
+    groups_from_rows: bool = False, salt_buckets: int = 0, hot_rows: int = 1_000_000,
 ) -> tuple[DataFrame, DataFrame]:
     """One curation stage.
 
@@ -86,6 +86,12 @@ def filter_stage(
     of all rows. With ``groups_from_rows=True`` (each group is one exploded
     input row, so it is never larger than that row) the sizes come from a
     window over the group instead: one shuffle and no second pass.
+
+    ``salt_buckets > 1`` salts the join-back for groups of at least
+    ``hot_rows`` members (known from the group table, so the hot list costs no
+    extra pass and holds at most rows / ``hot_rows`` groups): their members
+    get a salt and only their group rows are replicated per salt, so a hot
+    group's members spread over ``salt_buckets`` partitions.
     """
     if groups_from_rows:
         return _filter_stage_window(members, group_cols, removed, min_size, all_groups)
@@ -93,7 +99,18 @@ def filter_stage(
     groups = _with_all_groups(groups, group_cols, all_groups)
     groups = groups.withColumn("kept", F.col("n_retained") >= F.lit(min_size))
     small = groups.select(*group_cols, (~F.col("kept")).alias("__small"))
-    tagged = members.join(small, list(group_cols), "left")
+    if salt_buckets > 1:
+        hot = F.broadcast(groups.filter(F.col("n_members") >= hot_rows)
+                          .select(*group_cols, F.lit(True).alias("__hot")))  # at most rows / hot_rows groups
+        salted = members.join(hot, list(group_cols), "left").withColumn(
+            "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()),
+                                                    F.lit(salt_buckets))).otherwise(F.lit(0))).drop("__hot")
+        small = small.join(hot, list(group_cols), "left").withColumn(
+            "__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                .otherwise(F.array(F.lit(0))))).drop("__hot")
+        tagged = salted.join(small, [*group_cols, "__salt"], "left").drop("__salt")
+    else:
+        tagged = members.join(small, list(group_cols), "left")
     tagged = tagged.withColumn(
         "cascade", F.when((F.col(removed) == 0) & F.col("__small"), 1).otherwise(0)
     ).withColumn(

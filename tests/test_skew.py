@@ -72,3 +72,15 @@ def test_salted_flag_join_matches_plain(spark):
     assert a == b and len(b) == 30000
     assert sum(h for _, h in b) == 10000 + sum(1 for i in range(30000) if i % 3 and (i % 500) % 2 == 0)
     assert salted.columns == df.columns + ["hit"]
+
+
+def test_salted_stage_matches_plain(spark):
+    pdf, df = _skewed(spark)
+    flagged_ids = spark.range(0, N, 3).select(F.col("id").alias("fid"))
+    members = K.flag_by_keys(df, "id", flagged_ids, "fid", "removed")
+    plain_m, plain_g = G.filter_stage(members, ["fk"], "removed", 2)
+    salt_m, salt_g = G.filter_stage(members, ["fk"], "removed", 2, salt_buckets=8, hot_rows=1000)
+    key = lambda r: (r.id, r.fk, r.removed, r.cascade, r.retained)
+    assert sorted(map(key, plain_m.collect())) == sorted(map(key, salt_m.collect()))
+    assert sorted(map(tuple, plain_g.collect())) == sorted(map(tuple, salt_g.collect()))
+    assert salt_m.columns == plain_m.columns
