@@ -84,3 +84,18 @@ def test_salted_stage_matches_plain(spark):
     assert sorted(map(key, plain_m.collect())) == sorted(map(key, salt_m.collect()))
     assert sorted(map(tuple, plain_g.collect())) == sorted(map(tuple, salt_g.collect()))
     assert salt_m.columns == plain_m.columns
+
+
+def test_salted_already_removed_matches_plain(spark):
+    rng = np.random.default_rng(11)
+    m = 300
+    members = spark.createDataFrame(pd.DataFrame({"member": np.arange(m), "group": np.zeros(m, dtype=int),
+                                                  "size": rng.integers(0, 1000, m)}))
+    a = np.where(np.arange(6000) < 2000, 0, rng.integers(1, m, 6000))   # member 0 in a third of pairs
+    b = rng.integers(1, m, 6000)
+    pairs = spark.createDataFrame(pd.DataFrame({"pair_id": np.arange(6000), "genome1": a, "genome2": b,
+                                                "score": np.full(6000, 100.0)}))
+    surv = P.valid_pairs(pairs, members)
+    plain = P.already_removed(surv).first()
+    salted = P.already_removed(surv, salt_buckets=8, hot_rows=500).first()
+    assert tuple(plain) == tuple(salted)
