@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+import sievekit  # noqa: I001
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievekit.functions.sizing import estimated_bytes
@@ -44,3 +49,18 @@ def utf8_bytes(text: Column) -> Column:
 def lower_az(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, UPPER, UPPER.lower())
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, so that Python tasks
+    import it wherever the driver was started from."""
+    context = spark.sparkContext
+    name = "sievekit-package.zip"
+    if name in context._python_includes:
+        return
+    home = Path(sievekit.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="sievekit-ship-")) / name
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(home.rglob("*.py")):
+            out.write(source, str(source.relative_to(home.parent)))
+    context.addPyFile(str(target))

@@ -5,41 +5,78 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievekit.llm.decontam import leaks
 from sievekit.llm.exact_dedup import exact_groups
 from sievekit.llm.hilbert import hilbert_shards
+from sievekit.llm.html_extract import main_text
 from sievekit.llm.line_chunks import chunk_report
+from sievekit.llm.mixing import pfair_mix
+from sievekit.llm.ngram_join import shingle_components
+from sievekit.llm.toxicity import REJECT, fit, held_out, toxicity_scores
 from sievekit.llm.urlfilter import judge_urls
+from sievekit.llm.warc import round_trip
 
 SHARDS = 8
 SHARD_DIMS = ["source", "lang", "n_chars"]
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
              ("net/es/", "block"), ("net/fr/", "block")]
+#: target weights of the mixture: the large crawl source is held below its share of the rows
+WEIGHTS = {"src0": 24} | {f"src{i}": 4 for i in range(1, 20)}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix(_table(spark, sf_dir, "documents"), WEIGHTS)
+
+
 def op2_url_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert_shards(_table(spark, sf_dir, "documents"), SHARD_DIMS, SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "cell")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs, _table(spark, sf_dir, "labels"), ~held_out())
+    return toxicity_scores(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
+
+
+def op9_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_url_redirect_filter, op4_hilbert_shards, op6_line_chunk_dedup, op10_exact_dedup)}
+    op1_pfair_mixing, op2_url_redirect_filter, op3_warc_round_trip, op4_hilbert_shards, op5_ngram_jaccard_join,
+    op6_line_chunk_dedup, op7_spaced_seed_decontamination, op8_segment_toxicity, op9_page_differencing, op10_exact_dedup)}
 
 _HOST = "translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '')"
