@@ -41,6 +41,22 @@ def hinted(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if small(df, max_bytes) else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as keep it off the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame, name: str) -> DataFrame:
+    """``df`` without the rows whose id is in the only column of ``ids``;
+    rows without an id stay. The ids are staged and broadcast if proven small."""
+    gone = fresh(df, "gone")
+    ids = stage(ids.toDF(gone).distinct(), name)
+    return df.join(hinted(ids), df[id_col] == ids[gone], "left_anti")
+
+
 def utf8_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text, null counted as none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import SPACE, hinted, ship_package, stage
+from sievekit.llm.common import SPACE, ship_package, without_ids
 from sievekit.llm.tokens import each_word_hashes, mixed
 
 MASKS = ("11111", "1101011", "11010011", "101100101")
@@ -169,5 +169,4 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
 
 def decontaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``df`` without its contaminated documents."""
-    bad = leaks(df, benchmark, id_col, **options).select(F.col(id_col).alias("_bad")).distinct()
-    return df.join(hinted(stage(bad, "leaks")), df[id_col] == F.col("_bad"), "left_anti")
+    return without_ids(df, id_col, leaks(df, benchmark, id_col, **options).select(id_col), "leaks")

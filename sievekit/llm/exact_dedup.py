@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import BROADCAST_BYTES, SPACE, hinted, small, stage
+from sievekit.llm.common import BROADCAST_BYTES, SPACE, hinted, small, stage, without_ids
 
 
 def normalised(text: Column) -> Column:
@@ -77,5 +77,5 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
-    gone = exact_groups(df, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(gone, df[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    gone = exact_groups(df, id_col, text_col).filter(~F.col("kept"))
+    return without_ids(df, id_col, gone.select(id_col), "exact-gone")

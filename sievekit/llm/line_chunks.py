@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import BROADCAST_BYTES, hinted, small, stage
+from sievekit.llm.common import BROADCAST_BYTES, fresh, hinted, small, stage
 
 WINDOW = 2
 DIVISOR = 4
@@ -99,7 +99,8 @@ def chunk_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``df`` with the lost chunks cut from its text column."""
-    left = chunk_report(df, id_col, text_col, **options).select(
-        F.col(id_col).alias("_left_id"), F.col("text").alias("_left")).dropDuplicates(["_left_id"])
-    cut = df.join(left, df[id_col].eqNullSafe(F.col("_left_id")), "left")
-    return cut.select(*[(F.col("_left").alias(c) if c == text_col else df[c]) for c in df.columns])
+    key, text = fresh(df, "left_id"), fresh(df, "left_text")
+    report = chunk_report(df, id_col, text_col, **options).filter("n_removed > 0")
+    left = report.select(F.col(id_col).alias(key), F.col("text").alias(text)).dropDuplicates([key])
+    cut = df.join(left, df[id_col].eqNullSafe(left[key]), "left")
+    return cut.select(*[(F.coalesce(left[text], df[c]).alias(c) if c == text_col else df[c]) for c in df.columns])

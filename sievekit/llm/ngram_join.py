@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import hinted, ship_package, small, stage
+from sievekit.llm.common import fresh, hinted, ship_package, small, stage, without_ids
 from sievekit.llm.components import connected_components
 from sievekit.llm.tokens import each_word_hashes, shingles
 
@@ -265,12 +265,11 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     """``df`` without the documents whose component has a smaller id; rows that
     repeat a kept id and text are one document and stay once."""
     found = stage(shingle_components(df, id_col, text_col, n, threshold), "join-result")
-    gone = stage(found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "join-gone")
-    kept = df.join(hinted(gone), df[id_col] == F.col("_gone"), "left_anti")
-    twice = stage(found.filter(F.col("n_shingles") > 0).groupBy(id_col).count().filter("count > 1").select(
-        F.col(id_col).alias("_twice")), "join-twice")
+    kept = without_ids(df, id_col, found.filter(F.col(id_col) != F.col("component_id")).select(id_col), "join-gone")
+    twice = stage(found.filter(F.col("n_shingles") > 0).groupBy(id_col).count().filter("count > 1").select(id_col), "join-twice")
     if twice.isEmpty():
         return kept
-    again = hinted(twice)
-    alone = kept.join(again, kept[id_col] == F.col("_twice"), "left_anti")
-    return alone.unionByName(kept.join(again, kept[id_col] == F.col("_twice"), "left_semi").dropDuplicates([id_col, text_col]))
+    again = twice.toDF(fresh(df, "again"))
+    alone = kept.join(hinted(again), kept[id_col] == again[again.columns[0]], "left_anti")
+    repeated = kept.join(hinted(again), kept[id_col] == again[again.columns[0]], "left_semi")
+    return alone.unionByName(repeated.dropDuplicates([id_col, text_col]))

@@ -24,54 +24,58 @@ URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/
 WEIGHTS = {"src0": 24} | {f"src{i}": 4 for i in range(1, 20)}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def shard_rows(docs: DataFrame, dims: list[str], n_shards: int) -> DataFrame:
+    return hilbert_shards(docs, dims, n_shards).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "cell")
+
+
 def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pfair_mix(_table(spark, sf_dir, "documents"), WEIGHTS)
+    return pfair_mix(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
 def op2_url_redirect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(_table(spark, sf_dir, "pages"))
+    return round_trip(table(spark, sf_dir, "pages"))
 
 
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = hilbert_shards(_table(spark, sf_dir, "documents"), SHARD_DIMS, SHARDS)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                         F.lit(None).cast("int").alias("grown_shard"), "cell")
+    return shard_rows(table(spark, sf_dir, "documents"), SHARD_DIMS, SHARDS)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingle_components(_table(spark, sf_dir, "documents"))
+    return shingle_components(table(spark, sf_dir, "documents"))
 
 
 def op6_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_report(_table(spark, sf_dir, "documents"))
+    return chunk_report(table(spark, sf_dir, "documents"))
 
 
 def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op8_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    model = fit(docs, _table(spark, sf_dir, "labels"), ~held_out())
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"), ~held_out())
     return toxicity_scores(docs, model).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"))
 
 
 def op9_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text(_table(spark, sf_dir, "pages"))
+    return main_text(table(spark, sf_dir, "pages"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(_table(spark, sf_dir, "documents"))
+    return exact_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (

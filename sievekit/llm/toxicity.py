@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import hinted, ship_package, stage
+from sievekit.llm.common import ship_package, stage, without_ids
 
 SAMPLE = 20_000  # labelled documents learnt from, at most
 MAX_TOKENS = 200_000  # tokens in the table, at most, those with the most documents
@@ -294,5 +294,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 def clean_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
                     reject: float = REJECT) -> DataFrame:
     """``docs`` without the documents scored ``reject`` or higher."""
-    bad = toxicity_scores(docs, model, id_col, text_col).filter(F.col("score") >= reject).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(hinted(stage(bad, "toxic-rejected")), docs[id_col] == F.col("_bad"), "left_anti")
+    bad = toxicity_scores(docs, model, id_col, text_col).filter(F.col("score") >= reject)
+    return without_ids(docs, id_col, bad.select(id_col), "toxic-rejected")
