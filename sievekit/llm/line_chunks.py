@@ -57,7 +57,8 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str, window: int = WIN
                     hash_of=hash_128, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id, gone): for documents that lose chunks, the places of the lost ones."""
     source = with_chunks(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text", window, divisor)
-    each = source.select("_id", F.posexplode("_chunks").alias("_at", "_part")).filter(F.size("_part") >= 2).select(
+    # the outer form: for the other, the optimizer adds a filter that makes the arrays anew for every line
+    each = source.select("_id", F.posexplode_outer("_chunks").alias("_at", "_part")).filter(F.size("_part") >= 2).select(
         "_id", "_at", F.array_join("_part", "\n").alias("_chunk"))
     each = each.select("_id", "_at", "_chunk", hash_of(F.col("_chunk")).alias("_h"))
     places = stage(each.select("_id", "_at", "_h"), "chunk-places")
