@@ -8,10 +8,21 @@ from runtime statistics, under ``spark.sql.autoBroadcastJoinThreshold``).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+#: Spark's byte units, all binary
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def parse_bytes(text) -> int | None:
+    """A byte setting such as ``10485760``, ``64m``, ``1MB`` or ``-1``; None
+    when it cannot be read (then nothing is hinted)."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", str(text).lower())
+    return int(m[1]) * _UNITS[m[2]] if m and m[2] in _UNITS else None
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -26,12 +37,8 @@ def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when the optimizer's size estimate of ``df`` is known and at most
     ``max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``)."""
     if max_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        try:
-            max_bytes = int(str(conf).lower().replace("b", ""))
-        except ValueError:
-            max_bytes = DEFAULT_MAX_BYTES
-        if max_bytes < 0:
+        max_bytes = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+        if max_bytes is None or max_bytes < 0:
             return False
     size = estimated_bytes(df)
     return size is not None and size <= max_bytes

@@ -14,43 +14,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.columns import flag
-from sievekit.functions.sizing import broadcast_if_small, is_small
+from sievekit.functions.sizing import is_small
+from sievekit.functions.skew import MAX_HOT, SALT_BUCKETS, salted_lookup
 
 
 def flag_by_keys(
     df: DataFrame, column: str, keys: DataFrame, key_column: str, flag_name: str,
     *, max_broadcast_bytes: int | None = None, key_expr: Column | None = None,
-    salt_buckets: int = 0, hot_rows: int = 1_000_000,
+    salt_buckets: int = SALT_BUCKETS, max_hot: int = MAX_HOT,
 ) -> DataFrame:
     """K9: add 0/1 ``flag_name``: 1 when ``df[column]`` (or ``key_expr``) is in the key set.
 
-    With ``salt_buckets > 1`` and a key set too large to broadcast, probe
-    values seen at least ``hot_rows`` times are salted: their rows get a salt
-    in [0, salt_buckets) and only those keys are replicated once per salt, so
-    a hot value's rows spread over ``salt_buckets`` partitions. The hot list
-    comes from a partial count and holds at most rows / ``hot_rows`` values,
-    which bounds its broadcast.
+    Where the key set is too large to broadcast, rows of hot values (more than
+    one in ``max_hot`` rows, by a partial count) are salted, so that a value
+    that a third of the rows hold spreads over ``salt_buckets`` partitions.
     """
-    k = (keys.select(F.col(f"`{key_column}`").alias("__key")).filter(F.col("__key").isNotNull())
+    k = (keys.select(F.col(f"`{key_column}`").alias("__probe")).filter(F.col("__probe").isNotNull())
          .distinct().withColumn("__hit", F.lit(1)))
     probe = key_expr if key_expr is not None else F.col(f"`{column}`")
     left = df.withColumn("__probe", probe)
-    if is_small(k, max_broadcast_bytes) or salt_buckets <= 1:
-        k = broadcast_if_small(k, max_broadcast_bytes)
-        joined = left.join(k, left["__probe"] == k["__key"], "left")
-        return joined.withColumn(flag_name, F.coalesce(F.col("__hit"), F.lit(0))).drop("__probe", "__key", "__hit")
-    hot = (left.groupBy("__probe").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= hot_rows)
-           .select(F.col("__probe").alias("__hot"), F.lit(True).alias("__is_hot")))
-    hot = F.broadcast(hot)  # at most rows / hot_rows values
-    left = left.join(hot, left["__probe"] == hot["__hot"], "left").drop("__hot")
-    left = left.withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()),
-                                                                       F.lit(salt_buckets))).otherwise(F.lit(0)))
-    k = k.join(hot, k["__key"] == hot["__hot"], "left").drop("__hot")
-    k = k.withColumn("__ksalt", F.explode(F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                          .otherwise(F.array(F.lit(0))))).drop("__is_hot")
-    joined = left.join(k, (left["__probe"] == k["__key"]) & (left["__salt"] == k["__ksalt"]), "left")
-    return joined.withColumn(flag_name, F.coalesce(F.col("__hit"), F.lit(0))).drop(
-        "__probe", "__key", "__hit", "__is_hot", "__salt", "__ksalt")
+    if is_small(k, max_broadcast_bytes):
+        joined = left.join(F.broadcast(k), "__probe", "left")
+    else:
+        joined = salted_lookup(left, k, ["__probe"], buckets=salt_buckets, max_hot=max_hot)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col("__hit"), F.lit(0)).alias(flag_name))
 
 
 def flag_rows(df: DataFrame, **predicates: Column) -> DataFrame:
@@ -97,12 +84,18 @@ def lookup_both_sides(
     """Attach ``columns`` of ``attrs`` to both members of each pair.
 
     Two left joins; the attribute of ``left`` gets suffix ``1``, of ``right``
-    suffix ``2``. ``attrs`` must be unique on ``key``.
+    suffix ``2``. ``attrs`` must be unique on ``key``. Attributes too large to
+    broadcast are joined salted, so a hot member is no single task's.
     """
-    a1 = attrs.select(F.col(key).alias("__k1"), *[F.col(c).alias(f"{c}1") for c in columns])
-    a2 = attrs.select(F.col(key).alias("__k2"), *[F.col(c).alias(f"{c}2") for c in columns])
-    out = pairs.join(a1, pairs[left] == a1["__k1"], "left").drop("__k1")
-    return out.join(a2, out[right] == a2["__k2"], "left").drop("__k2")
+    out = pairs
+    for side, suffix in ((left, "1"), (right, "2")):
+        known = attrs.filter(F.col(key).isNotNull()).select(
+            F.col(key).alias(side), *[F.col(c).alias(f"{c}{suffix}") for c in columns])
+        if is_small(known):
+            out = out.join(F.broadcast(known.withColumnRenamed(side, "__k")), F.col(side) == F.col("__k"), "left").drop("__k")
+        else:
+            out = salted_lookup(out, known, [side])
+    return out
 
 
 def stack_tables(*frames: DataFrame) -> DataFrame:

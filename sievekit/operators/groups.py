@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.columns import _split
+from sievekit.functions.skew import MAX_HOT, SALT_BUCKETS, null_safe_join, salted_lookup
 
 MIN_GROUP_SIZE = 2  # fixed value: minimum group (clade) size of the curation stages
 
@@ -63,14 +64,14 @@ def _with_all_groups(groups: DataFrame, group_cols: Sequence[str], all_groups: D
     """Add groups that have no member rows (size 0)."""
     if all_groups is None:
         return groups
-    return all_groups.select(*group_cols).join(groups, list(group_cols), "left").select(
+    return null_safe_join(all_groups.select(*group_cols), groups, group_cols, "left").select(
         *group_cols, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_members", "n_removed", "n_retained")])
 
 
 def filter_stage(
     members: DataFrame, group_cols: Sequence[str], removed: str = "removed",
     min_size: int = MIN_GROUP_SIZE, all_groups: DataFrame | None = None,
-    groups_from_rows: bool = False, salt_buckets: int = 0, hot_rows: int = 1_000_000,
+    groups_from_rows: bool = False, salt_buckets: int = SALT_BUCKETS, max_hot: int = MAX_HOT,
 ) -> tuple[DataFrame, DataFrame]:
     """One curation stage.
 
@@ -87,30 +88,19 @@ def filter_stage(
     input row, so it is never larger than that row) the sizes come from a
     window over the group instead: one shuffle and no second pass.
 
-    ``salt_buckets > 1`` salts the join-back for groups of at least
-    ``hot_rows`` members (known from the group table, so the hot list costs no
-    extra pass and holds at most rows / ``hot_rows`` groups): their members
-    get a salt and only their group rows are replicated per salt, so a hot
-    group's members spread over ``salt_buckets`` partitions.
+    Groups that hold more than one in ``max_hot`` of all members (so at most
+    ``max_hot`` groups; their counts come from the group table) are joined back
+    salted: their members get a salt from a hash of the row, and their group
+    row is repeated per salt, so a hot group spreads over ``salt_buckets``
+    partitions. A null group is a group like any other.
     """
     if groups_from_rows:
         return _filter_stage_window(members, group_cols, removed, min_size, all_groups)
-    groups = group_sizes(members, group_cols, removed)
-    groups = _with_all_groups(groups, group_cols, all_groups)
+    sizes = group_sizes(members, group_cols, removed)
+    groups = _with_all_groups(sizes, group_cols, all_groups)
     groups = groups.withColumn("kept", F.col("n_retained") >= F.lit(min_size))
     small = groups.select(*group_cols, (~F.col("kept")).alias("__small"))
-    if salt_buckets > 1:
-        hot = F.broadcast(groups.filter(F.col("n_members") >= hot_rows)
-                          .select(*group_cols, F.lit(True).alias("__hot")))  # at most rows / hot_rows groups
-        salted = members.join(hot, list(group_cols), "left").withColumn(
-            "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()),
-                                                    F.lit(salt_buckets))).otherwise(F.lit(0))).drop("__hot")
-        small = small.join(hot, list(group_cols), "left").withColumn(
-            "__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                .otherwise(F.array(F.lit(0))))).drop("__hot")
-        tagged = salted.join(small, [*group_cols, "__salt"], "left").drop("__salt")
-    else:
-        tagged = members.join(small, list(group_cols), "left")
+    tagged = salted_lookup(members, small, list(group_cols), sizes, "n_members", buckets=salt_buckets, max_hot=max_hot)
     tagged = tagged.withColumn(
         "cascade", F.when((F.col(removed) == 0) & F.col("__small"), 1).otherwise(0)
     ).withColumn(

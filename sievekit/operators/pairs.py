@@ -12,8 +12,8 @@ Near-duplicate removal (G13) is a pure map + distinct: per surviving pair the
 smaller member is removed (ties and missing sizes remove the second member);
 it never depends on earlier removals, so it is fully parallel. The
 "already removed" diagnostic (G14) needs a total order of pairs:
-(min_size nulls last, pair_id); it is computed with a per-member ``min`` and
-two joins instead of a global window.
+(min_size nulls last, pair_id); it is computed with a per-member ``min``, one
+join of the pairs' ends and a regroup instead of a global window.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.columns import pair_key, pairs_in_group, row_min
+from sievekit.functions.skew import MAX_HOT, SALT_BUCKETS, salted_lookup
 from sievekit.operators.flags import lookup_both_sides
 
 
@@ -59,15 +60,14 @@ def _order_key(pair_id: str):
 
 
 def already_removed(pairs: DataFrame, *, pair_id: str = "pair_id", left: str = "genome1",
-                    right: str = "genome2", salt_buckets: int = 0, hot_rows: int = 1_000_000) -> DataFrame:
+                    right: str = "genome2", salt_buckets: int = SALT_BUCKETS, max_hot: int = MAX_HOT) -> DataFrame:
     """Pairs whose member was already removed by an earlier pair.
 
     Earlier = smaller (min_size nulls last, pair_id). ``first(m)`` is the
     smallest key of a pair removing m (a partial ``min`` aggregate, skew-safe).
     Each pair is split into its two members, joined once with ``first`` and
     counted when either member's first removal comes before the pair.
-    ``salt_buckets > 1`` salts that join for members in at least ``hot_rows``
-    pairs (a partial count; at most 2 * pairs / ``hot_rows`` hot members).
+    That join is salted for members in more than one in ``max_hot`` pair ends.
     """
     keyed = pairs.select(
         _order_key(pair_id).alias("__key"),
@@ -75,20 +75,8 @@ def already_removed(pairs: DataFrame, *, pair_id: str = "pair_id", left: str = "
         F.col(left).alias("__a"), F.col(right).alias("__b"))
     first = keyed.groupBy(F.col("__loser").alias("__m")).agg(F.min("__key").alias("__first"))
     ends = keyed.select("__key", "__loser", F.explode(F.array("__a", "__b")).alias("__m"))
-    if salt_buckets > 1:
-        hot = F.broadcast(ends.groupBy("__m").agg(F.count(F.lit(1)).alias("__k"))
-                          .filter(F.col("__k") >= hot_rows).select("__m", F.lit(True).alias("__hot")))
-        ends = ends.join(hot, "__m", "left").withColumn(
-            "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.monotonically_increasing_id()),
-                                                    F.lit(salt_buckets))).otherwise(F.lit(0))).drop("__hot")
-        first = first.join(hot, "__m", "left").withColumn(
-            "__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-                                .otherwise(F.array(F.lit(0))))).drop("__hot")
-        flagged = ends.join(first, ["__m", "__salt"], "left").withColumn(
-            "__hit", F.coalesce(F.col("__first") < F.col("__key"), F.lit(False)))
-    else:
-        flagged = ends.join(first, "__m", "left").withColumn(
-            "__hit", F.coalesce(F.col("__first") < F.col("__key"), F.lit(False)))
+    flagged = salted_lookup(ends, first, ["__m"], buckets=salt_buckets, max_hot=max_hot).withColumn(
+        "__hit", F.coalesce(F.col("__first") < F.col("__key"), F.lit(False)))
     per_pair = flagged.groupBy("__key", "__loser").agg(F.max("__hit").alias("__hit"))
     return per_pair.agg(
         F.count(F.lit(1)).alias("n_pairs"),

@@ -13,8 +13,11 @@ holding a third of all rows cannot afford. Instead, per (group, column):
 3. a running sum over those bracket values finds the middle rank(s); an even
    count averages the two middle values.
 
-All columns are handled together in long form (group, column, value), so the
-input is read twice whatever the number of columns. Means and medians are
+All columns are handled together in long form (group, column, value), whatever
+the number of columns; means, minima and maxima come straight from the columns,
+so types stay and groups without values keep a row. Groups that hold more than
+a thousandth of the values are joined to their bracket salted, so no group is
+one task's. Means and medians are
 rounded to ``digits`` so results do not depend on summation or interpolation
 order.
 """
@@ -27,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sievekit.functions.skew import null_safe_join, salted_lookup
+
 DEFAULT_ACCURACY = 100_000
 
 
@@ -46,7 +51,7 @@ def _medians_long(vals: DataFrame, keys: list[str], summary: DataFrame) -> DataF
     back. Summary columns ride along as grouping keys (they are fixed per key).
     """
     carried = ["__n", "__mean", "__min", "__max"]
-    joined = vals.join(summary, keys)
+    joined = salted_lookup(vals, summary, keys, summary, "__n")
     inside = joined.filter(F.col("__x") <= F.col("__hi"))
     bucket = F.when(F.col("__x") < F.col("__lo"), F.lit(None).cast("double")).otherwise(F.col("__x"))
     counted = inside.groupBy(*keys, *carried, bucket.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
@@ -61,7 +66,9 @@ def _medians_long(vals: DataFrame, keys: list[str], summary: DataFrame) -> DataF
         return F.max(F.when(hit, F.col("__v")))
 
     picked = ranked.groupBy(*keys, *carried).agg(at(k1).alias("__v1"), at(k2).alias("__v2"))
-    return picked.select(*keys, *carried, ((F.col("__v1") + F.col("__v2")) / 2).alias("__median"))
+    missed = F.raise_error(F.lit("the bracket misses the middle rank: use a higher accuracy")).cast("double")
+    middle = F.when(F.col("__v1").isNull() | F.col("__v2").isNull(), missed).otherwise((F.col("__v1") + F.col("__v2")) / 2)
+    return picked.select(*keys, *carried, middle.alias("__median"))
 
 
 def _summary(vals: DataFrame, keys: list[str], accuracy: int) -> DataFrame:
@@ -91,12 +98,10 @@ def group_stats(df: DataFrame, group_cols: Sequence[str], columns: Sequence[str]
     keys = g + ["__name"]
     vals = _long_form(df, g, columns)
     long = _medians_long(vals, keys, _summary(vals, keys, accuracy))
-    types = dict(df.dtypes)
-    wide = long.groupBy(*g).agg(*[
-        agg for c in columns for agg in (
-            F.round(F.max(F.when(F.col("__name") == c, F.col("__mean"))), digits).alias(f"{c}_mean"),
-            F.round(F.max(F.when(F.col("__name") == c, F.col("__median"))), digits).alias(f"{c}_median"),
-            F.max(F.when(F.col("__name") == c, F.col("__min"))).cast(types[c]).alias(f"{c}_min"),
-            F.max(F.when(F.col("__name") == c, F.col("__max"))).cast(types[c]).alias(f"{c}_max"),
-        )])
-    return wide
+    medians = long.groupBy(*g).agg(*[
+        F.round(F.max(F.when(F.col("__name") == c, F.col("__median"))), digits).alias(f"{c}_median") for c in columns])
+    # straight from the columns: a group without any value stays, and nothing passes through double
+    plain = df.groupBy(*g).agg(*[a for c in columns for a in (
+        F.round(F.avg(f"`{c}`"), digits).alias(f"{c}_mean"), F.min(f"`{c}`").alias(f"{c}_min"), F.max(f"`{c}`").alias(f"{c}_max"))])
+    both = null_safe_join(plain, medians, g, "left")
+    return both.select(*g, *[f"{c}_{kind}" for c in columns for kind in ("mean", "median", "min", "max")])

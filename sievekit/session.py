@@ -40,13 +40,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) is a fresh scratch folder made.
+    is; without it, staging on a cluster is an error. Only in local mode is a
+    fresh scratch folder made.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sievekit-ckpt-")
     try:
         spark.conf.set(CHECKPOINT_CONF, local)

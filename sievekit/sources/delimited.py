@@ -1,15 +1,15 @@
 """Delimited and line sources (S1, S2, S6), all values read as strings.
 
 S2 files carry a comment line before the header. Spark has no "skip N lines"
-option, so the first lines of each file are found from the text scan itself:
-they are the rows of the file's first split (``_metadata.file_block_start``
-= 0) with the smallest ``monotonically_increasing_id`` — ids increase in
-line order within a split. Only one line per file (the header) is read on
-the driver; the data lines are parsed with ``from_csv`` on the executors.
+option, so lines are numbered per file (``number_lines``) and parsed with
+``from_csv`` on the executors. Only the heads of the files (a few lines each)
+are read on the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +21,10 @@ def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = Tr
 
     ``comment`` skips lines starting with that character (for files whose
     leading note is marked and whose header is not)."""
+    if header and not comment:
+        headers = _headers(spark, path, sep, 1)
+        if len(headers) > 1:  # the CSV reader would read all files under the first one's header
+            return _parsed(number_lines(spark, path).filter(F.col("line_number") > 1), headers, sep)
     reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
               .option("inferSchema", "false"))
     if comment:
@@ -28,22 +32,39 @@ def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = Tr
     return reader.csv(path)
 
 
-def _numbered_head(spark: SparkSession, path, n: int) -> tuple[DataFrame, DataFrame]:
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"))
-    w = Window.partitionBy("file_path").orderBy("row_id")
-    head = (lines.filter(F.col("block_start") == 0)
-            .withColumn("line_number", F.row_number().over(w))
-            .filter(F.col("line_number") <= n))
-    return lines, head
+def first_lines(spark: SparkSession, path, n: int = 5) -> DataFrame:
+    """The first ``n`` lines of every file: (file_path, line_number, value).
+
+    A bounded read: each file is opened for its first lines only."""
+    rows = []
+    for name in sorted(spark.read.text(path).inputFiles()):
+        head = spark.read.text(name).select("value", F.col("_metadata.file_path")).take(n)
+        rows += [(r[1], i, r[0]) for i, r in enumerate(head, start=1)]
+    return spark.createDataFrame(rows, "file_path string, line_number int, value string")
+
+
+def _headers(spark: SparkSession, path, sep: str, line: int) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header (its column names), from line ``line`` of each file."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first_lines(spark, path, line).filter(F.col("line_number") == line).collect():
+        out.setdefault(tuple(c.strip() for c in r["value"].split(sep)), []).append(r["file_path"])
+    if not out:
+        raise ValueError(f"no header line found in {path}")
+    return out
 
 
-def first_lines(spark: SparkSession, path, n: int = 5) -> DataFrame:
-    """The first ``n`` lines of every file: (file_path, line_number, value)."""
-    _, head = _numbered_head(spark, path, n)
-    return head.select("file_path", "line_number", "value")
+def _parsed(data: DataFrame, headers: dict, sep: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``value`` of each file parsed under the file's own header; files with
+    other columns are stacked by name."""
+    parts = []
+    for names, files in headers.items():
+        own = data if len(headers) == 1 else data.filter(F.col("file_path").isin(files))
+        parsed = own.select(*keep, F.from_csv("value", _ddl(names), {"sep": sep}).alias("r"))
+        parts.append(parsed.select(*[F.col(f"r.`{n}`") for n in names], *keep))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
 
 def _ddl(names) -> str:
@@ -51,16 +72,13 @@ def _ddl(names) -> str:
 
 
 def read_delimited_after_comment(spark: SparkSession, path, sep: str = "\t", skip: int = 1) -> DataFrame:
-    """Drop ``skip`` leading lines of each file, take the next as header."""
-    lines, head = _numbered_head(spark, path, skip + 1)
-    header = head.filter(F.col("line_number") == skip + 1).orderBy("file_path").select("value").first()
-    if header is None:
-        raise ValueError(f"no header line found in {path}")
-    names = [c.strip() for c in header[0].split(sep)]
-    drop_ids = F.broadcast(head.select("row_id"))  # at most skip+1 rows per file
-    data = lines.join(drop_ids, "row_id", "left_anti")
-    parsed = data.select(F.from_csv("value", _ddl(names), {"sep": sep}).alias("r"))
-    return parsed.select("r.*")
+    """Drop ``skip`` leading lines of each file, take the next as header.
+
+    Lines are numbered per file, so each file loses exactly its own head; a
+    file whose columns are in another order, or others, keeps its own names.
+    """
+    headers = _headers(spark, path, sep, skip + 1)
+    return _parsed(number_lines(spark, path).filter(F.col("line_number") > skip + 1), headers, sep)
 
 
 def read_id_list(spark: SparkSession, path) -> DataFrame:
@@ -69,29 +87,29 @@ def read_id_list(spark: SparkSession, path) -> DataFrame:
             .filter(F.col("id") != ""))
 
 
-SPLIT_TABLE_MAX_BYTES = 512 * 1024 * 1024
+SPLIT_TABLE_MAX_BYTES = 64 * 1024 * 1024
 
 
 def number_lines(spark: SparkSession, path) -> DataFrame:
     """Every line of every file with its exact 1-based line number in its file.
 
-    Lines get their split's byte offset and a ``monotonically_increasing_id``
-    (consecutive within a split). Rows per split are counted into a small
-    table (one row per split); a running sum over each file's splits gives
-    every split's first line number. Nothing is gathered per file.
+    The file is read once, into a stage table that keeps each line's split
+    (byte offset) and its ``monotonically_increasing_id``, consecutive within
+    a split. Counts per split and the lines both come from that table, so a
+    split layout that changes between two reads cannot lose lines. Rows per
+    split are counted into a small table; a running sum over each file's
+    splits gives every split's first line number. Nothing is gathered per file.
 
-    The split table is written once as a stage table, so its real size is
-    known, and broadcast under ``SPLIT_TABLE_MAX_BYTES``: its row count is
-    bounded by the number of input splits (about a million for 100 TB), so
-    the lines themselves never have to be shuffled to meet their offsets.
+    The split table is bounded by the number of input splits (about a million
+    for 100 TB) and broadcast only under ``SPLIT_TABLE_MAX_BYTES``.
     """
     from sievekit.functions.sizing import broadcast_if_small
     from sievekit.session import stage_table
 
-    lines = spark.read.text(path).select(
+    lines = stage_table(spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"))
+        F.monotonically_increasing_id().alias("row_id")), "lines")
     splits = lines.groupBy("file_path", "block_start").agg(
         F.count(F.lit(1)).alias("__n"), F.min("row_id").alias("__first_id"))
     w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,16 +125,9 @@ def read_delimited_numbered(spark: SparkSession, path, sep: str = "\t", skip: in
     """S1/S2 with row addresses: columns of the file plus ``file_path`` and
     ``line_number`` (the header is line ``skip + 1``), for R8 violation lists
     addressed by line, as the row-at-a-time checker reports them."""
-    numbered = number_lines(spark, path)
-    # the header comes from the files' first splits only, not the numbering pass
-    header = (first_lines(spark, path, skip + 1).filter(F.col("line_number") == skip + 1)
-              .orderBy("file_path").select("value").first())
-    if header is None:
-        raise ValueError(f"no header line found in {path}")
-    names = [c.strip() for c in header[0].split(sep)]
-    data = numbered.filter(F.col("line_number") > skip + 1)
-    parsed = data.select("file_path", "line_number", F.from_csv("value", _ddl(names), {"sep": sep}).alias("r"))
-    return parsed.select(*[F.col(f"r.`{n}`") for n in names], "file_path", "line_number")
+    headers = _headers(spark, path, sep, skip + 1)
+    data = number_lines(spark, path).filter(F.col("line_number") > skip + 1)
+    return _parsed(data, headers, sep, keep=("file_path", "line_number"))
 
 
 def short_rows(spark: SparkSession, path, sep: str = "\t", skip: int = 0) -> DataFrame:
@@ -126,11 +137,10 @@ def short_rows(spark: SparkSession, path, sep: str = "\t", skip: int = 0) -> Dat
     Rows are (file_path, line_number, n_fields, n_expected, value); each file's
     header is its line ``skip + 1``.
     """
-    numbered = number_lines(spark, path)
     fields = F.size(F.split("value", _literal(sep), -1))
-    expected = numbered.filter(F.col("line_number") == skip + 1).select(
+    expected = first_lines(spark, path, skip + 1).filter(F.col("line_number") == skip + 1).select(
         "file_path", fields.alias("n_expected"))
-    data = numbered.filter(F.col("line_number") > skip + 1).join(F.broadcast(expected), "file_path")  # one row per file
+    data = number_lines(spark, path).filter(F.col("line_number") > skip + 1).join(expected, "file_path")
     return (data.withColumn("n_fields", fields).filter(F.col("n_fields") < F.col("n_expected"))
             .select("file_path", "line_number", "n_fields", "n_expected", "value"))
 

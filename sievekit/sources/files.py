@@ -38,7 +38,7 @@ def list_files(spark: SparkSession, directories: Sequence[str], glob: str | None
             df.schema  # resolve now: a missing folder raises here
         except Exception as exc:  # noqa: BLE001 - reported per folder, never fatal
             if errors is not None and not _is_missing(exc):
-                errors[d] = f"{type(exc).__name__}: {str(exc)[:300]}"
+                errors[d] = f"{type(exc).__name__}: {exc}"
             continue
         parts.append(df)
     if not parts:

@@ -36,6 +36,6 @@ def catalog_inventory(spark: SparkSession, database: str) -> DataFrame:
                 if r[0] == "Location":
                     location = r[1]
         except Exception as exc:  # noqa: BLE001 - tolerate and report
-            error = f"{type(exc).__name__}: {exc}"[:500]
+            error = f"{type(exc).__name__}: {exc}"
         rows.append((database, t.name, t.tableType, location, error))
     return spark.createDataFrame(rows, "database string, table string, table_type string, location string, error string")

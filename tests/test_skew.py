@@ -65,8 +65,8 @@ def test_salted_flag_join_matches_plain(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"v{i % 500}") for i in range(30000)]
     df = spark.createDataFrame(rows, "id long, line string")
     keys = spark.createDataFrame([("hot",)] + [(f"v{i}",) for i in range(0, 500, 2)], "k string")
-    plain = K.flag_by_keys(df, "line", keys, "k", "hit", max_broadcast_bytes=0)
-    salted = K.flag_by_keys(df, "line", keys, "k", "hit", max_broadcast_bytes=0, salt_buckets=8, hot_rows=1000)
+    plain = K.flag_by_keys(df, "line", keys, "k", "hit", max_broadcast_bytes=0, salt_buckets=0)
+    salted = K.flag_by_keys(df, "line", keys, "k", "hit", max_broadcast_bytes=0, salt_buckets=8)
     a = sorted((r.id, r.hit) for r in plain.collect())
     b = sorted((r.id, r.hit) for r in salted.collect())
     assert a == b and len(b) == 30000
@@ -78,8 +78,8 @@ def test_salted_stage_matches_plain(spark):
     pdf, df = _skewed(spark)
     flagged_ids = spark.range(0, N, 3).select(F.col("id").alias("fid"))
     members = K.flag_by_keys(df, "id", flagged_ids, "fid", "removed")
-    plain_m, plain_g = G.filter_stage(members, ["fk"], "removed", 2)
-    salt_m, salt_g = G.filter_stage(members, ["fk"], "removed", 2, salt_buckets=8, hot_rows=1000)
+    plain_m, plain_g = G.filter_stage(members, ["fk"], "removed", 2, salt_buckets=0)
+    salt_m, salt_g = G.filter_stage(members, ["fk"], "removed", 2, salt_buckets=8)
     key = lambda r: (r.id, r.fk, r.removed, r.cascade, r.retained)
     assert sorted(map(key, plain_m.collect())) == sorted(map(key, salt_m.collect()))
     assert sorted(map(tuple, plain_g.collect())) == sorted(map(tuple, salt_g.collect()))
@@ -96,6 +96,69 @@ def test_salted_already_removed_matches_plain(spark):
     pairs = spark.createDataFrame(pd.DataFrame({"pair_id": np.arange(6000), "genome1": a, "genome2": b,
                                                 "score": np.full(6000, 100.0)}))
     surv = P.valid_pairs(pairs, members)
-    plain = P.already_removed(surv).first()
-    salted = P.already_removed(surv, salt_buckets=8, hot_rows=500).first()
+    plain = P.already_removed(surv, salt_buckets=0).first()
+    salted = P.already_removed(surv, salt_buckets=8).first()
     assert tuple(plain) == tuple(salted)
+
+
+# ---------------------------------------------------------------- hot and null keys by default
+
+def _partitions_of(df, key, hot):
+    """Over how many partitions the rows of the hot key are spread."""
+    return df.filter(F.col(key).eqNullSafe(F.lit(hot))).select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def _hot_frame(spark, n=30000):
+    return spark.range(n).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
+                                 .otherwise(F.concat(F.lit("v"), (F.col("id") % 5000).cast("string"))).alias("k"),
+                                 (F.col("id") % 997).alias("x"), (F.col("id") % 2).cast("int").alias("removed"))
+
+
+def _without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+
+def test_hot_keys_spread_by_default(spark):
+    df = _hot_frame(spark)
+    keys = df.select("k").distinct()
+    table = keys.filter("k is not null").withColumn("a", F.length("k"))
+    try:
+        _without_broadcast(spark)
+        flagged = K.flag_by_keys(df, "k", keys, "k", "hit")
+        staged, _ = G.filter_stage(df, ["k"])
+        looked = K.lookup_both_sides(df.select("k", "id"), "k", "k", table, "k", ["a"])
+        for out in (flagged, staged, looked):
+            assert _partitions_of(out, "k", "hot") >= 6  # of 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_group_plans_agree_on_null_groups(spark):
+    rows = [("a", 1, 0), ("a", 2, 0), (None, 3, 0), ("b", 4, 0), ("b", 5, 1), (None, 6, 1), ("c", 7, 1)]
+    df = spark.createDataFrame(rows, "g string, m int, removed int")
+    want = {("a", 1, 0, 1), ("a", 2, 0, 1), (None, 3, 1, 0), ("b", 4, 1, 0), ("b", 5, 0, 0), (None, 6, 0, 0), ("c", 7, 0, 0)}
+    for options in ({}, {"salt_buckets": 0}, {"groups_from_rows": True}):
+        members, groups = G.filter_stage(df, ["g"], **options)
+        assert {(r.g, r.m, r.cascade, r.retained) for r in members.collect()} == want
+        assert {(r.g, r.n_members, r.kept) for r in groups.collect()} == {("a", 2, True), (None, 2, False), ("b", 2, False), ("c", 1, False)}
+    _, groups = G.filter_stage(df, ["g"], all_groups=spark.createDataFrame([("a",), (None,), ("z",)], "g string"))
+    assert {(r.g, r.n_members) for r in groups.collect()} == {("a", 2), (None, 2), ("z", 0)}
+
+
+def test_group_stats_keep_empty_groups_types_and_hot_groups(spark):
+    from sievekit.operators.stats import group_stats
+
+    big = 9007199254740993
+    df = spark.createDataFrame([("a", big, 1.0), ("a", big + 2, 3.0), ("b", None, None), (None, 5, 2.0), (None, 7, None)], "g string, n long, x double")
+    got = {r["g"]: r for r in group_stats(df, ["g"], ["n", "x"]).collect()}
+    assert (got["a"]["n_min"], got["a"]["n_max"]) == (big, big + 2) and got["a"]["x_median"] == 2.0
+    assert set(got) == {"a", "b", None} and all(v is None for k, v in got["b"].asDict().items() if k != "g")
+    assert got[None]["n_median"] == 6.0 and got[None]["x_mean"] == 2.0
+    hot = _hot_frame(spark)
+    pdf = hot.toPandas()
+    stats = {r["k"]: r for r in group_stats(hot, ["k"], ["x"]).collect()}
+    for k, own in pdf.groupby("k", dropna=False)["x"]:
+        r = stats[None if pd.isna(k) else k]
+        assert r["x_median"] == own.median() and r["x_min"] == own.min() and abs(r["x_mean"] - own.mean()) < 1e-6

@@ -165,3 +165,70 @@ def test_input_checks_and_comment(spark, tmp_dir):
     _write(f"{tmp_dir}/cm/c.tsv", "# note\nid\tv\n1\t2\n")
     df = S.read_delimited(spark, f"{tmp_dir}/cm/c.tsv", comment="#")
     assert df.columns == ["id", "v"] and df.count() == 1
+
+
+# ---------------------------------------------------------------- heads, numbering, settings
+
+def test_numbering_survives_another_split_layout(spark, tmp_dir):
+    from pathlib import Path
+
+    from sievekit.sources.delimited import number_lines, read_delimited_numbered, short_rows
+
+    path = Path(tmp_dir) / "big.tsv"
+    n = 20_000
+    path.write_text("a\tb\n" + "".join(f"{i}\tvalue {i}\n" if i % 1000 else f"{i}\n" for i in range(n)))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        lines = number_lines(spark, str(path))
+        rows = read_delimited_numbered(spark, str(path))
+        short = short_rows(spark, str(path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700000")
+        assert sorted(r["line_number"] for r in lines.collect()) == list(range(1, n + 2))
+        assert {(int(r["a"]), r["line_number"]) for r in rows.collect()} == {(i, i + 2) for i in range(n)}
+        assert {r["line_number"] for r in short.collect()} == {i + 2 for i in range(0, n, 1000)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_with_other_headers_keep_their_own(spark, tmp_dir):
+    from pathlib import Path
+
+    from sievekit.sources.delimited import read_delimited, read_delimited_after_comment, read_delimited_numbered
+
+    for name, text in (("1.tsv", "a\tb\n1\t2\n"), ("2.tsv", "b\ta\n2\t1\n"), ("3.tsv", "a\tb\tc\n1\t2\t3\n")):
+        (Path(tmp_dir) / name).write_text(text)
+    rows = read_delimited(spark, tmp_dir).collect()
+    assert sorted((r["a"], r["b"], r["c"] or "") for r in rows) == [("1", "2", ""), ("1", "2", ""), ("1", "2", "3")]
+    assert {(r["a"], r["line_number"]) for r in read_delimited_numbered(spark, tmp_dir).collect()} == {("1", 2)}
+    assert {(r["a"], r["b"]) for r in read_delimited_after_comment(spark, tmp_dir, skip=0).collect()} == {("1", "2")}
+
+
+def test_heads_are_bounded_reads(spark, tmp_dir):
+    from pathlib import Path
+
+    from sievekit.sources.delimited import first_lines
+
+    for k in range(3):
+        (Path(tmp_dir) / f"{k}.txt").write_text("".join(f"line {i}\n" for i in range(50_000)))
+    got = first_lines(spark, tmp_dir, 5).collect()
+    assert len(got) == 15 and {(r["line_number"], r["value"]) for r in got} == {(i, f"line {i - 1}") for i in range(1, 6)}
+
+
+def test_byte_settings():
+    from sievekit.functions.sizing import parse_bytes
+
+    assert [parse_bytes(x) for x in ("1MB", "1k", "10485760", "-1", "64m", " 2 GB ", "10b")] == [
+        1 << 20, 1024, 10485760, -1, 64 << 20, 2 << 30, 10]
+    assert parse_bytes("many") is None and parse_bytes("1x") is None
+
+
+def test_small_side_follows_the_setting(spark):
+    from sievekit.functions.sizing import is_small
+
+    df = spark.range(100_000)
+    try:
+        for value, small in (("1MB", True), ("1k", False), ("-1", False), ("700k", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            assert is_small(df) is small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
