@@ -34,6 +34,10 @@ MSG_MISSING_FIELD = "Missing field: "
 MSG_INPUT_NOT_LIST = "input_files must be a list"
 MSG_TRANSFORMATION_KEYS = "Each transformation must include 'column_name' and 'operation'"
 MSG_EXPECTATION_KEYS = "Each entry must have 'expectation_type' and 'params'"
+#: a date, extended or basic, and with it a time and an offset
+ISO_TIME = (r"^(\d{4}-\d{2}-\d{2}|\d{8})"
+            r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{3}(\d{3})?)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$")
+ISO_BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])"
 MSG_BAD_CREATED_AT = "'created_at' is not a valid ISO timestamp"
 
 
@@ -78,6 +82,12 @@ def _items(text: Column) -> Column:
 
 
 def _per_item(name: str, text: Column, fn) -> Column:
+    """Errors of a section's items; a section that is there but no list is one error."""
+    wrong = text.isNotNull() & F.json_array_length(text).isNull()
+    return F.when(wrong, F.array(_err(name, f"{name} must be a list"))).otherwise(_each_item(name, text, fn))
+
+
+def _each_item(name: str, text: Column, fn) -> Column:
     return F.flatten(F.transform(_items(text), lambda item, i: fn(
         F.concat(F.lit(f"{name}["), i.cast("string"), F.lit("]")), item)))
 
@@ -105,8 +115,8 @@ def audit_configs(configs: DataFrame, json_col: str = "json", name_col: str = "c
         F.array_except(_lit_array(VALIDATOR_REQUIRED), top),
         lambda k: _err("required_fields", F.concat(F.lit(MSG_MISSING_REQUIRED + "'"), k, F.lit("'"))))
     inputs_text = sec("input_files")
-    inputs = F.when(inputs_text.isNull(), empty).when(
-        F.json_array_length(inputs_text).isNull(), F.array(_err("input_files", MSG_INPUT_NOT_LIST))
+    inputs = F.when(~F.array_contains(top, "input_files"), empty).when(
+        F.json_array_length(inputs_text).isNull(), F.array(_err("input_files", MSG_INPUT_NOT_LIST))  # null included
     ).otherwise(_per_item("input_files", inputs_text, lambda s, item: _missing(s, item, INPUT_FILE_KEYS)))
     output = _missing("output_file", sec("output_file"), OUTPUT_FILE_KEYS)
     transformations = _per_item("transformations", sec("transformations"), lambda s, item: _all_keys_or_one(
@@ -124,7 +134,7 @@ def audit_configs(configs: DataFrame, json_col: str = "json", name_col: str = "c
     logging = when_nonempty("logging", LOGGING_KEYS)
     ver_text = sec("versioning")
     created = F.get_json_object(ver_text, "$.created_at")
-    bad_time = created.isNull() | F.try_to_timestamp(created).isNull()
+    bad_time = created.isNull() | ~created.rlike(ISO_TIME) | F.try_to_timestamp(F.regexp_replace(created, ISO_BASIC_DATE, "$1-$2-$3")).isNull()
     versioning = F.when(_nonempty_object(ver_text), F.concat(
         _missing("versioning", ver_text, VERSIONING_KEYS),
         F.when(bad_time, F.array(_err("versioning", MSG_BAD_CREATED_AT))).otherwise(empty),

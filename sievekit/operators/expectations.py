@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievekit.functions.patterns import pattern_error
+
 
 @dataclass(frozen=True)
 class Built:
@@ -50,6 +52,9 @@ def _match_regex(df, params) -> Built:
     regex = params.get("regex")
     if not regex:
         return Built(error="missing 'regex' parameter")
+    wrong = pattern_error(df.sparkSession, regex)
+    if wrong:
+        return Built(error=f"malformed regex: {wrong}")
     c = F.col(f"`{name}`")
     text = c if isinstance(df.schema[name].dataType, T.StringType) else c.cast("string")
     return Built(unexpected=c.isNotNull() & ~F.coalesce(text.rlike(regex), F.lit(False)),
@@ -63,6 +68,14 @@ def _between(df, params) -> Built:
     lo, hi = params.get("min_value"), params.get("max_value")
     if lo is None and hi is None:
         return Built(error="min_value and max_value cannot both be None")
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.StringType, T.NumericType)):
+        try:
+            lo, hi = (None if v is None else v if isinstance(v, (int, float)) else float(v) for v in (lo, hi))
+        except (TypeError, ValueError):
+            return Built(error="min_value or max_value is no number")
+    elif not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) or not _times(df, (lo, hi)):
+        return Built(error=f"a {kind.simpleString()} column does not compare with these bounds")
     c = F.col(f"`{name}`")
     x = c.try_cast("double") if isinstance(df.schema[name].dataType, T.StringType) else c
     ok = F.lit(True)
@@ -73,6 +86,15 @@ def _between(df, params) -> Built:
     return Built(unexpected=c.isNotNull() & ~F.coalesce(ok, F.lit(False)), domain=c.isNotNull())
 
 
+def _times(df: DataFrame, bounds) -> bool:
+    """Whether every given bound is a date or time, or text that reads as one."""
+    given = [b for b in bounds if b is not None]
+    if any(isinstance(b, (int, float)) for b in given):
+        return False
+    row = df.sparkSession.range(1).select(*[F.try_to_timestamp(F.lit(str(b))).alias(f"b{i}") for i, b in enumerate(given)]).first()
+    return all(v is not None for v in row)
+
+
 def _column_exists(df, params) -> Built:
     name = params.get("column")
     if not name:

@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sievekit.functions.sizing import is_small
@@ -62,9 +63,26 @@ def _prepare(target: DataFrame, rules: Sequence[Mapping], resolve: Resolver | No
         if ref_col not in ref.columns:
             yield idx, rule, fk, None, ref_col, "missing_reference_column", f"Column '{ref_col}' not found in reference table '{ref_name}'"
             continue
+        fk_type, ref_type = (d.schema[c].dataType for d, c in ((target, fk), (ref, ref_col)))
+        if not _comparable(fk_type, ref_type):
+            yield idx, rule, fk, None, ref_col, "type_mismatch", f"Column '{fk}' ({fk_type.simpleString()}) does not compare with '{ref_col}' ({ref_type.simpleString()})"
+            continue
+        if isinstance(fk_type, T.StringType) and not isinstance(ref_type, T.StringType):
+            # rule files are all text: compare as text, a cast of the text could fail
+            ref = ref.select(F.col(f"`{ref_col}`").cast("string").alias(ref_col))
+        elif isinstance(ref_type, T.StringType) and not isinstance(fk_type, T.StringType):
+            # text that is no such value matches nothing
+            ref = ref.select(F.col(f"`{ref_col}`").try_cast(fk_type).alias(ref_col))
         yield idx, rule, fk, ref, ref_col, None, None
 
 
+def _comparable(a: T.DataType, b: T.DataType) -> bool:
+    """Whether two key types compare: alike, both numbers, both times, or one is text."""
+    families = (T.NumericType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return type(a) is type(b) or any(isinstance(a, f) and isinstance(b, f) for f in families) or (
+        isinstance(a, T.StringType) != isinstance(b, T.StringType) and all(isinstance(x, T.AtomicType) for x in (a, b)))
+
+
 def _ref_keys(ref: DataFrame, ref_col: str, max_broadcast_bytes: int | None) -> tuple[DataFrame, bool]:
     """The reference key column, broadcast when its estimated size is bounded."""
     keys = ref.select(F.col(f"`{ref_col}`").alias("__ref_key"))

@@ -13,12 +13,15 @@ Semantics (defaults; see README):
 * numeric_range parses with ``try_cast``; non-null text that does not parse is
   a violation (``not_numeric=True``); NaN sorts above every number, so
   ``NaN > max`` is a violation;
-* bad rules (unknown type, unknown column, missing pattern, no bounds, empty
-  value list) become report rows with an error status; other rules still run.
+* bad rules (unknown type, unknown column, missing or malformed pattern, no
+  bounds or bounds that are no numbers, a column that is no number, an empty
+  value list or one that does not compare) become report rows with an error
+  status; other rules still run.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sievekit.functions.patterns import pattern_error
+
 # The rule type names of the config format, and the message a
 # rule gets when its config gives none.
 RULE_TYPES = ("not_null", "regex_match", "numeric_range", "allowed_values")
@@ -54,6 +59,21 @@ def _default_message(column) -> str:
     return DEFAULT_MESSAGE.format(column=column)
 
 
+def _as_text(value) -> str:
+    """A config value as Spark writes it."""
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _comparable(kind: T.DataType, values) -> bool:
+    """Whether literals compare with a typed column without a failing cast."""
+    if isinstance(kind, T.BooleanType):
+        return all(isinstance(v, bool) for v in values)
+    if isinstance(kind, T.NumericType):
+        return all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in values)
+    return all(isinstance(v, (datetime.date, datetime.datetime)) for v in values) and isinstance(
+        kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def compile_rules(
     df: DataFrame,
     rules: Sequence[Mapping],
@@ -97,6 +117,10 @@ def compile_rules(
             if not pattern:
                 out.append(bad("error", f"Missing pattern for regex_match on column {column}"))
                 continue
+            wrong = pattern_error(df.sparkSession, pattern)
+            if wrong:
+                out.append(bad("error", f"Malformed pattern for regex_match on column {column}: {wrong}"))
+                continue
             if anchored:
                 pattern = f"^(?:{pattern})"
             text = c if is_string else c.cast("string")
@@ -107,27 +131,41 @@ def compile_rules(
             if lo is None and hi is None:
                 out.append(bad("error", f"numeric_range on {column} has neither min nor max"))
                 continue
+            if not (is_string or isinstance(types[column], T.NumericType)):
+                out.append(bad("error", f"numeric_range on {column}: a {types[column].simpleString()} column is no number"))
+                continue
+            try:
+                lo, hi = (None if v is None else float(v) for v in (lo, hi))
+            except (TypeError, ValueError):
+                out.append(bad("error", f"numeric_range on {column}: a bound is no number"))
+                continue
             x = c.try_cast("double") if is_string else c.cast("double")
             pred = F.lit(False)
             reason = F.when(c.isNotNull() & x.isNull(), F.lit("not_numeric"))
             if lo is not None:
-                pred = pred | (x < F.lit(float(lo)))
-                reason = reason.when(x < F.lit(float(lo)), F.lit("below_min"))
+                pred = pred | (x < F.lit(lo))
+                reason = reason.when(x < F.lit(lo), F.lit("below_min"))
             if hi is not None:
-                pred = pred | (x > F.lit(float(hi)))
-                reason = reason.when(x > F.lit(float(hi)), F.lit("above_max"))
+                pred = pred | (x > F.lit(hi))
+                reason = reason.when(x > F.lit(hi), F.lit("above_max"))
             if not_numeric and is_string:
                 pred = pred | (c.isNotNull() & x.isNull())
         else:  # allowed_values
             values = rule.get("values") or []
+            if isinstance(values, str) or not hasattr(values, "__iter__"):
+                out.append(bad("error", f"allowed_values on {column}: values is not a list"))
+                continue
             if not values:
                 out.append(bad("error", f"allowed_values on {column} has an empty value list"))
                 continue
             reason = F.lit("not_allowed")
-            if not is_string and any(isinstance(v, str) for v in values):
+            if is_string or any(isinstance(v, str) for v in values):
                 # config values are text: compare as text instead of letting
-                # ANSI casts turn the literals into the column's type
-                pred = ~c.cast("string").isin([str(v) for v in values])
+                # ANSI casts turn the literals into the column's type, or the column into theirs
+                pred = ~c.cast("string").isin([_as_text(v) for v in values])
+            elif not _comparable(types[column], values):
+                out.append(bad("error", f"allowed_values on {column}: values do not compare with {types[column].simpleString()}"))
+                continue
             else:
                 pred = ~c.isin(list(values))
 
@@ -149,15 +187,18 @@ def rule_report(df: DataFrame, rules: Sequence[Mapping], **options) -> DataFrame
     """One report row per rule, from a single aggregate scan."""
     compiled = compile_rules(df, rules, **options)
     aggs = [F.count(F.lit(1)).alias("__n")]
+    nulls: dict[str, str] = {}  # one null count per column, whatever the number of its rules
     for r in compiled:
         if r.violation is not None:
             aggs.append(F.count_if(r.violation).alias(f"__v{r.idx}"))
-            aggs.append(_null_count(df, r.column).alias(f"__z{r.idx}"))
+            if r.column not in nulls:
+                nulls[r.column] = f"__z{len(nulls)}"
+                aggs.append(_null_count(df, r.column).alias(nulls[r.column]))
     counts = df.agg(*aggs)
     rows = []
     for r in compiled:
         if r.violation is not None:
-            v, z = F.col(f"__v{r.idx}"), F.col(f"__z{r.idx}")
+            v, z = F.col(f"__v{r.idx}"), F.col(nulls[r.column])
             status = F.when(v == 0, F.lit("pass")).otherwise(F.lit("fail"))
         else:
             v = z = F.lit(None).cast("long")

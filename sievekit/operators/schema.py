@@ -78,14 +78,19 @@ def table_schema_check(df: DataFrame, schema_doc, target_table: str) -> dict:
 def database_drift(spark: SparkSession, database: str, schema_doc, tables: Sequence[str] | None = None) -> DataFrame:
     """C2 over a whole database (S12): one row per differing column.
 
-    kind is ``missing_in_table``, ``extra_in_table`` or ``unknown_class``.
+    kind is ``missing_in_table``, ``extra_in_table``, ``unknown_class`` or
+    ``unreadable``.
     Only table metadata is read.
     """
     names = list(tables) if tables is not None else [t.name for t in spark.catalog.listTables(database)]
     rows = []
     for name in names:
         full = f"{database}.{name}"
-        res = table_schema_check(spark.table(full), schema_doc, full)
+        try:
+            res = table_schema_check(spark.table(full), schema_doc, full)
+        except Exception:  # noqa: BLE001 - one unreadable table does not stop the others
+            rows.append((full, None, "unreadable", None))
+            continue
         if "error" in res:
             rows.append((full, None, "unknown_class", None))
             continue
@@ -101,11 +106,14 @@ def drift_log(drift: DataFrame, at: dt.datetime | None = None) -> DataFrame:
 
 
 def config_columns_not_in_schema(configs: DataFrame, schema_columns: DataFrame, json_col: str = "json",
-                                 name_col: str = "config", column_col: str = "column") -> DataFrame:
+                                 name_col: str = "config", column_col: str = "column",
+                                 table_col: str | None = None) -> DataFrame:
     """C4: columns named by config sections that the schema lacks (warnings).
 
     Sections: validations.column, referential_integrity.foreign_key,
     great_expectations_validations.params.column, transformations.column_name.
+    With ``table_col`` the schema columns name their tables, and each config is
+    compared with its own one: the last part of its ``target_table``.
     """
     doc = F.col(json_col)
     specs = [("validations", "$.column"), ("referential_integrity", "$.foreign_key"),
@@ -114,12 +122,16 @@ def config_columns_not_in_schema(configs: DataFrame, schema_columns: DataFrame,
     for section, field in specs:
         items = F.coalesce(F.from_json(F.get_json_object(doc, f"$.{section}"), "array<string>"),
                            F.array().cast("array<string>"))
-        parts.append(configs.select(F.col(name_col).alias("config"), F.lit(section).alias("section"),
+        table = F.element_at(F.split(F.get_json_object(doc, "$.target_table"), r"\."), -1)
+        parts.append(configs.select(F.col(name_col).alias("config"), table.alias("__table"), F.lit(section).alias("section"),
                                     F.posexplode(items).alias("idx", "item"))
-                     .select("config", "section", "idx", F.get_json_object("item", field).alias("column")))
+                     .select("config", "__table", "section", "idx", F.get_json_object("item", field).alias("column")))
     used = parts[0]
     for p in parts[1:]:
         used = used.unionByName(p)
     used = used.filter(F.col("column").isNotNull() & (F.col("column") != ""))
+    if table_col is not None:
+        known = schema_columns.select(F.col(table_col).alias("__table"), F.col(column_col).alias("column"))
+        return used.join(known, ["__table", "column"], "left_anti").select("config", "section", "idx", "column")
     known = schema_columns.select(F.col(column_col).alias("column"))
     return used.join(known, "column", "left_anti").select("config", "section", "idx", "column")

@@ -10,9 +10,10 @@ section says.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievekit.operators import expectations as E
 from sievekit.operators import integrity as J
@@ -32,6 +33,18 @@ def read_output_file(spark: SparkSession, config: Mapping) -> DataFrame:
     return delimited.read_delimited(spark, out["output_file_path"], sep)
 
 
+def _guarded(spark: SparkSession, name: str, schema: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage's report; a stage that cannot be built is one row with status ``error``."""
+    try:
+        return build()
+    except Exception as exc:  # noqa: BLE001 - stages are independent
+        empty = spark.createDataFrame([], schema)
+        text = f"{name}: {type(exc).__name__}: {exc}"
+        given = {"status": F.lit("error"), "message": F.lit(text), "success": F.lit(False)}
+        return spark.range(1).select(*[
+            given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in empty.schema.fields])
+
+
 def run_table_checks(
     spark: SparkSession, config: Mapping, target: DataFrame | None = None,
     resolve: J.Resolver | None = None, **rule_options,
@@ -40,9 +53,12 @@ def run_table_checks(
     if target is None:
         target = spark.table(config["target_table"])
     target = apply_transformations(target, config.get("transformations") or [])
-    rules = R.rule_report(target, config.get("validations") or [], **rule_options)
-    fks = J.fk_report(target, config.get("referential_integrity") or [], resolve)
-    exps = E.expectation_report(target, config.get("great_expectations_validations") or [])
+    rules = _guarded(spark, "rules", R.rule_report(target, []).schema.simpleString(),
+                     lambda: R.rule_report(target, config.get("validations") or [], **rule_options))
+    fks = _guarded(spark, "foreign_keys", J.fk_report(target, []).schema.simpleString(),
+                   lambda: J.fk_report(target, config.get("referential_integrity") or [], resolve))
+    exps = _guarded(spark, "expectations", E.REPORT_SCHEMA,
+                    lambda: E.expectation_report(target, config.get("great_expectations_validations") or []))
     return {
         "rules": rules,
         "rules_summary": R.validation_summary(rules, (config.get("output_file") or {}).get("output_file_path")),

@@ -313,13 +313,6 @@ staged AS (
   FROM members m JOIN groups g USING (doc_id))
 """
 ORACLE_SQL["g_members"] = f"SELECT doc_id, line_no, line FROM ({_LINES}) t"
-ORACLE_SQL["g_count_check"] = """
-SELECT count(*) AS n_groups, CAST(sum(n_listed) AS BIGINT) AS n_exploded,
-       CAST(sum(n_declared) AS BIGINT) AS n_declared,
-       count(*) FILTER (WHERE n_listed IS DISTINCT FROM n_declared) AS n_mismatched_groups,
-       CAST(sum(n_listed) AS BIGINT) IS NOT DISTINCT FROM CAST(sum(n_declared) AS BIGINT) AS matches
-FROM (SELECT len(string_split(text, chr(10))) AS n_listed,
-             length(text) - length(replace(text, chr(10), '')) + 1 AS n_declared FROM documents) d"""
 ORACLE_SQL["k_line_flags"] = _FLAGGED + """
 SELECT count(*) AS n_rows, CAST(coalesce(sum(filter_a), 0) AS BIGINT) AS n_filter_a,
        CAST(coalesce(sum(CASE WHEN filter_a = 0 THEN filter_b END), 0) AS BIGINT) AS n_filter_b_only
@@ -541,3 +534,8 @@ _LI_TEXT_RULES = [
      "discount too high"),
 ]
 ORACLE_SQL["r_rules_lineitem_text"] = _report_sql(_LI_TEXT, _LI_TEXT_RULES, _LI_BAD)
+
+
+from sievekit.plans.documents import ORACLE_SQL as _DOCUMENT_SQL  # noqa: E402
+
+ORACLE_SQL.update(_DOCUMENT_SQL)

@@ -25,6 +25,7 @@ from sievekit.operators.stats import group_stats
 from sievekit.operators.transforms import apply_transformations
 from sievekit.plans import configs as cfg
 from sievekit.plans import curation as CU
+from sievekit.plans import documents as DOC
 from sievekit.plans.runlogs import event_log_lines
 from sievekit.plans.tables import load
 
@@ -256,14 +257,6 @@ def g_members(spark, sf):
     return CU.doc_lines(spark, sf).select("doc_id", "line_no", "line")
 
 
-@query("g_count_check")
-def g_count_check(spark, sf):
-    docs = load(spark, sf, "documents")
-    declared = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    summary, _ = G.declared_count_check(docs, ["doc_id"], "text", declared, sep="\n")
-    return summary
-
-
 @query("k_line_flags")
 def k_line_flags(spark, sf):
     return K.filter_summary(CU.flagged_lines(spark, sf), "filter_a", "filter_b")
@@ -391,3 +384,8 @@ def s_path_count(spark, sf):
 def l_bad_line_list(spark, sf):
     bad = _parsed_logs(spark, sf).filter("is_bad")
     return bad.select("log_file", "bad_line")
+
+
+# ---------------------------------------------------------- files, configs, bad rules (plans/documents.py)
+
+QUERIES.update(DOC.QUERIES)

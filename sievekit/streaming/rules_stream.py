@@ -22,7 +22,7 @@ def flag_stream(df: DataFrame, rules: Sequence[Mapping], **options) -> DataFrame
     compiled = [r for r in compile_rules(df, rules, **options) if r.violation is not None]
     hits = F.array(*[F.when(r.violation, F.lit(r.rule_id)) for r in compiled]) if compiled \
         else F.array().cast("array<string>")
-    # array_except drops the nulls (rule ids are distinct) and stays in codegen
+    # array_except drops the nulls and stays in codegen; rules that share an id show once
     return df.withColumn("failed_rules", F.array_except(hits, F.array(F.lit(None).cast("string"))))
 
 
@@ -31,12 +31,13 @@ def violation_counts(df: DataFrame, rules: Sequence[Mapping], time_col: str, win
     """Per event-time window and rule: rows seen and violations (append-safe)."""
     if df.schema[time_col].dataType.typeName() == "timestamp_ntz":
         df = df.withColumn(time_col, F.col(time_col).cast("timestamp"))  # watermarks need TIMESTAMP
-    flagged = flag_stream(df.withWatermark(time_col, watermark), rules, **options)
-    ids = [r.rule_id for r in compile_rules(df, rules, **options) if r.violation is not None]
-    per_rule = flagged.select(F.col(time_col), F.explode(F.array(*[
-        F.struct(F.lit(rid).alias("rule_id"), F.array_contains("failed_rules", rid).alias("failed"))
-        for rid in ids])).alias("r"))
-    return per_rule.groupBy(F.window(time_col, window).alias("window"), F.col("r.rule_id").alias("rule_id")).agg(
+    compiled = [r for r in compile_rules(df, rules, **options) if r.violation is not None]
+    per_rule = df.withWatermark(time_col, watermark).select(F.col(time_col), F.explode(F.array(*[
+        F.struct(F.lit(r.idx).alias("rule_idx"), F.lit(r.rule_id).alias("rule_id"), r.violation.alias("failed"))
+        for r in compiled])).alias("r"))
+    # two rules may have the same column and type, and so the same id: the index tells them apart
+    return per_rule.groupBy(F.window(time_col, window).alias("window"), F.col("r.rule_idx").alias("rule_idx"),
+                            F.col("r.rule_id").alias("rule_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if("r.failed").alias("n_violations"))
 
 

@@ -16,29 +16,32 @@ def _write(path, text):
         f.write(text)
 
 
-def test_config_runner(spark, tmp_dir):
-    _write(f"{tmp_dir}/out/genome.tsv", "#comment\ngenome_id\tclade\tscore\n g1\tc1\t10\ng2\tc9\t\nbad id\tc1\t200\n")
+def test_table_checks_from_a_config(spark, tmp_dir):
+    lines = ["exported on Monday", "o_orderkey,o_custkey,o_totalprice", " 1,10,99.5", "2,77,", "3,11,12000", "4x,10,-1", "5,,5"]
+    _write(f"{tmp_dir}/out/orders.csv", "\n".join(lines) + "\n")
     cfg = {
-        "target_table": "genomes.genome",
-        "output_file": {"output_file_path": f"{tmp_dir}/out/genome.tsv", "delimiter": "\t", "ignore_first_line": "yes"},
-        "transformations": [{"column_name": "genome_id", "operation": "trim_whitespace"}],
-        "validations": [{"column": "genome_id", "validation_type": "regex_match", "pattern": "^[A-Za-z0-9_.-]+$"},
-                        {"column": "score", "validation_type": "numeric_range", "min": 0, "max": 100}],
-        "referential_integrity": [{"foreign_key": "clade", "reference_table": "clades", "reference_column": "id",
-                                   "database": "genomes", "action": "log"}],
+        "target_table": "shop.orders",
+        "output_file": {"output_file_path": f"{tmp_dir}/out/orders.csv", "delimiter": ",", "ignore_first_line": "yes"},
+        "transformations": [{"column_name": "o_orderkey", "operation": "trim_whitespace"}],
+        "validations": [{"column": "o_orderkey", "validation_type": "regex_match", "pattern": "^[0-9]+$"},
+                        {"column": "o_totalprice", "validation_type": "numeric_range", "min": 0, "max": 10_000},
+                        {"column": "o_orderkey", "validation_type": "regex_match", "pattern": "(("}],
+        "referential_integrity": [{"foreign_key": "o_custkey", "reference_table": "customer", "reference_column": "c_custkey",
+                                   "database": "shop", "action": "log"}],
         "great_expectations_validations": [
-            {"expectation_type": "expect_column_values_to_not_be_null", "params": {"column": "genome_id"}}],
+            {"expectation_type": "expect_column_values_to_not_be_null", "params": {"column": "o_orderkey"}}],
         "logging": {"error_table": None, "output_delta_path": f"{tmp_dir}/errors"},
     }
     target = read_output_file(spark, cfg)
-    refs = J.mapping_resolver({"clades": spark.createDataFrame([("c1",)], "id string")})
+    refs = J.mapping_resolver({"customer": spark.createDataFrame([(10,), (11,)], "c_custkey long")})  # numbers against text
     out = run_table_checks(spark, cfg, target, refs)
-    rules = {r.rule_idx: r.n_violations for r in out["rules"].collect()}
-    assert rules == {0: 1, 1: 1}  # "bad id"; 200 (an empty CSV field reads as null and passes)
-    assert out["foreign_keys"].first().n_violations == 1
+    assert {r.rule_idx: (r.status, r.n_violations) for r in out["rules"].collect()} == {0: ("fail", 1), 1: ("fail", 2), 2: ("error", None)}
+    assert out["foreign_keys"].first().n_violations == 2  # 77 and the missing one
     assert out["expectation_stats"].first().success is True
-    path = write_fk_violations(spark, cfg, target, refs)
-    assert spark.read.parquet(path).count() == 1
+    assert spark.read.parquet(write_fk_violations(spark, cfg, target, refs)).count() == 2
+    # a stage that cannot be built is reported, and the others still run
+    broken = run_table_checks(spark, cfg | {"validations": "none"}, target, refs)
+    assert broken["rules"].first().status == "error" and broken["foreign_keys"].first().n_violations == 2
 
 
 def test_short_rows(spark, tmp_dir):
