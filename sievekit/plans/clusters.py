@@ -21,9 +21,10 @@ counted per clade (see ``operators.pairs``).
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievekit.functions import columns as C
@@ -53,6 +54,7 @@ class CurationResult:
     stage3_groups: DataFrame
     size_classes: DataFrame      # G16
     stats: DataFrame             # G15
+    companions: dict[str, tuple[DataFrame, DataFrame]]  # K12, K13: by name, the rows kept and their completeness
 
 
 def clade_table(clusters: DataFrame) -> DataFrame:
@@ -72,12 +74,17 @@ def flagged_accessions(reports: DataFrame) -> DataFrame:
 
 
 def curate_clusters(
-    clusters: DataFrame, reports: DataFrame, metadata: DataFrame, pair_scores: DataFrame,
-    keep_ids: DataFrame | None = None, *, min_size: int = G.MIN_GROUP_SIZE,
+    clusters: DataFrame, reports: DataFrame | Sequence[DataFrame], metadata: DataFrame, pair_scores: DataFrame,
+    keep_ids: DataFrame | None = None, *, companions: Mapping[str, tuple[DataFrame, str]] | None = None, min_size: int = G.MIN_GROUP_SIZE,
     threshold: float = PAIR_SCORE_THRESHOLD, size_split: int = SIZE_SPLIT,
     stat_columns: tuple[str, ...] = ("checkm_completeness", "contig_count"),
     stop_on_stage2_drop: bool = False,
 ) -> CurationResult:
+    """``reports`` may be several like tables, which are stacked (K4).
+    ``companions`` are further tables and their genome column (ids with
+    prefix), cut to the members that stage 1 keeps."""
+    if not isinstance(reports, DataFrame):
+        reports = K.stack_tables(*reports)
     clades = clade_table(clusters)
     count_check, _ = G.declared_count_check(
         clades, ["clade_name"], "Clustered genomes", F.col("`No. clustered genomes`"), ",")
@@ -117,10 +124,11 @@ def curate_clusters(
     retained2 = s2.filter(F.col("kept2") == 1).select("genome_key", "clade_name").join(sizes, "genome_key", "left")
     members_for_pairs = retained2.select(F.col("genome_key").alias("member"), F.col("clade_name").alias("group"),
                                          F.col("genome_size").alias("size"))
-    scored = pair_scores.select(F.monotonically_increasing_id().alias("pair_id"),
-                                F.col("Genome1").alias("genome1"), F.col("Genome2").alias("genome2"),
-                                F.col("ANI").alias("score"))
-    scored = stage_table(scored, "clusters-pair-scores")  # fixes pair ids across recomputation
+    # pairs are ordered by content, whatever the layout of the files; equal rows are told apart by a number
+    same = Window.partitionBy("Genome1", "Genome2", "ANI").orderBy(F.lit(0))
+    scored = pair_scores.select(
+        F.struct("Genome1", "Genome2", "ANI", F.row_number().over(same).alias("nth")).alias("pair_id"),
+        F.col("Genome1").alias("genome1"), F.col("Genome2").alias("genome2"), F.col("ANI").alias("score"))
     valid = P.valid_pairs(scored, members_for_pairs)
     coverage = P.pair_coverage(
         members_for_pairs.groupBy("group").agg(F.count(F.lit(1)).alias("n_members")), valid)
@@ -140,5 +148,11 @@ def curate_clusters(
     final = s3.filter(F.col("retained") == 1).select("clade_name", "genome_ID")
     stats_in = final.join(metadata.select(F.col("accession").alias("genome_ID"), *stat_columns), "genome_ID")
     stats = group_stats(stats_in, ["clade_name"], list(stat_columns))
+
+    kept1 = s2_in.filter("kept1 = 1").select("genome_ID")
+    own = {}
+    for name, (table, column) in (companions or {}).items():
+        rows = K.keep_keys(table, column, kept1, "genome_ID")
+        own[name] = rows, K.completeness(rows, column, kept1, "genome_ID")
     return CurationResult(clades, s3, count_check, summary, g1, g2, coverage, removed, diag, g3,
-                          size_classes, stats)
+                          size_classes, stats, own)

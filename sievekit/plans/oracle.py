@@ -537,5 +537,7 @@ ORACLE_SQL["r_rules_lineitem_text"] = _report_sql(_LI_TEXT, _LI_TEXT_RULES, _LI_
 
 
 from sievekit.plans.documents import ORACLE_SQL as _DOCUMENT_SQL  # noqa: E402
+from sievekit.plans.part_clusters import ORACLE_SQL as _CLUSTER_SQL  # noqa: E402
 
 ORACLE_SQL.update(_DOCUMENT_SQL)
+ORACLE_SQL.update(_CLUSTER_SQL)

@@ -26,6 +26,7 @@ from sievekit.operators.transforms import apply_transformations
 from sievekit.plans import configs as cfg
 from sievekit.plans import curation as CU
 from sievekit.plans import documents as DOC
+from sievekit.plans import part_clusters as PC
 from sievekit.plans.runlogs import event_log_lines
 from sievekit.plans.tables import load
 
@@ -389,3 +390,4 @@ def l_bad_line_list(spark, sf):
 # ---------------------------------------------------------- files, configs, bad rules (plans/documents.py)
 
 QUERIES.update(DOC.QUERIES)
+QUERIES.update(PC.QUERIES)
