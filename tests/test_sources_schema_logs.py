@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from sievekit.operators import runlog as L
@@ -232,3 +233,36 @@ def test_small_side_follows_the_setting(spark):
             assert is_small(df) is small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stage_folders(spark, tmp_dir):
+    from types import SimpleNamespace
+
+    from sievekit.session import CHECKPOINT_CONF, _stages, ensure_checkpoint_dir, stage_table
+
+    base = ensure_checkpoint_dir(spark)
+    staged = stage_table(spark.range(5), "five")
+    assert staged.count() == 5 and staged.inputFiles()[0].split("/stages/")[1].startswith(spark.sparkContext.applicationId)
+    assert _stages(spark, base).endswith(spark.sparkContext.applicationId)
+    # without a shared folder, a cluster is refused
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match=CHECKPOINT_CONF):
+        ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))
+
+
+def test_stages_of_an_application_can_be_removed(spark, tmp_dir):
+    from pathlib import Path
+
+    from sievekit import session
+
+    other = Path(tmp_dir) / "stages" / "another-application"
+    other.mkdir(parents=True)
+    own = Path(tmp_dir) / "stages" / spark.sparkContext.applicationId / "x"
+    own.mkdir(parents=True)
+    kept = session.ensure_checkpoint_dir
+    try:
+        session.ensure_checkpoint_dir = lambda _: str(tmp_dir)
+        assert session.remove_stages(spark) and not own.exists() and other.exists()
+        assert not session.remove_stages(spark)
+    finally:
+        session.ensure_checkpoint_dir = kept
