@@ -15,7 +15,7 @@ all documents pass each block. Documents stay where they are: no shuffle.
 Defined results
     null or empty text     matches nothing
     item of fewer words    than ``MIN_WORDS``: too common to prove a leak, ignored
-    short items            below the masks' spans: runs of ``MIN_WORDS`` words
+    short items            of fewer than eight words must keep ``MIN_WORDS`` of them in a row
     ties, repeated items   each item id has rows of its own
     repeated documents     each row is judged alone
     very long texts        whole, hashed in pieces
@@ -39,7 +39,7 @@ from sievekit.llm.tokens import each_word_hashes, mixed
 MASKS = ("11111", "1101011", "11010011", "101100101")
 MIN_WORDS = 5
 COVERAGE = 0.75
-RUN = 20
+RUN = 13
 BLOCK_WORDS = 1_000_000
 _ODD = 0xD6E8FEB86659FD93
 

@@ -178,7 +178,8 @@ def token_scores(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int)
     for token, toxic, clean in table:
         prior = PRIOR * (toxic + clean) / (n_toxic + n_clean)
         a, b = toxic + prior, clean + prior
-        gain = math.log(a / (n_toxic + PRIOR - a)) - math.log(b / (n_clean + PRIOR - b))
+        # half a document without it, for a token that all documents of a label have
+        gain = math.log(a / max(n_toxic + PRIOR - a, 0.5)) - math.log(b / max(n_clean + PRIOR - b, 0.5))
         out[token] = gain if gain >= GAIN and gain / math.sqrt(1 / a + 1 / b) >= EVIDENCE else 0.0
     marked = {t for t, s in out.items() if s > 0}
     heads = {t[: PREFIXES[0]] for t in marked}
