@@ -92,15 +92,16 @@ def ordinal(df: DataFrame, name: str) -> Column:
     return c.cast("double")
 
 
-def quantised(df: DataFrame, dims: list[str], bits: int) -> list[Column]:
-    """Level columns of the dimensions: how many cut points lie below a value."""
+def with_cell(df: DataFrame, dims: list[str], bits: int) -> DataFrame:
+    """Add ``cell``, the curve index of the row's levels. A level is how many
+    cut points lie below the value. In steps, so that values and levels are
+    made once a row and not once for every use."""
     at = [i / (1 << bits) for i in range(1, 1 << bits)]
     cuts = df.agg(*[F.percentile_approx(ordinal(df, d), at, 1000).alias(f"c{i}") for i, d in enumerate(dims)]).first()
-    levels = []
-    for i, d in enumerate(dims):
-        value = F.coalesce(ordinal(df, d), F.lit(float("-inf")))
-        levels.append(reduce(add, [(value > F.lit(float(c))).cast("int") for c in cuts[i] or []], F.lit(0)))
-    return levels
+    rows = df.withColumns({f"_v{i}": F.coalesce(ordinal(df, d), F.lit(float("-inf"))) for i, d in enumerate(dims)})
+    rows = rows.withColumns({f"_q{i}": reduce(add, [(F.col(f"_v{i}") > F.lit(float(c))).cast("int") for c in cuts[i] or []], F.lit(0))
+                             for i in range(len(dims))})
+    return rows.withColumn("cell", curve_index([F.col(f"_q{i}") for i in range(len(dims))], bits))
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int, id_col: str = "doc_id", text_col: str = "text",
@@ -113,11 +114,10 @@ def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int, id_col: str =
     base = df.select(
         F.col(id_col).alias("_id"), *[df[d].alias(f"_d{i}") for i, d in enumerate(dims)], df[text_col].alias("_text"))
     names = [f"_d{i}" for i in range(len(dims))]
-    cell = curve_index(quantised(base, names, bits), bits)
     total = base.count()
     runs = max(MIN_RUNS, math.ceil(total / run_rows))
-    placed = base.select(
-        "_id", cell.alias("cell"), F.pmod(F.xxhash64("_id"), F.lit(runs)).cast("int").alias("run"),
+    placed = with_cell(base, names, bits).select(
+        "_id", "cell", F.pmod(F.xxhash64("_id"), F.lit(runs)).cast("int").alias("run"),
         (utf8_bytes(F.col("_text")) + 1).alias("size"),
         F.crc32(F.coalesce(F.col("_text"), F.lit("")).cast("binary")).alias("text_crc32"))
 
