@@ -67,9 +67,18 @@ def lower_az(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session, so that Python tasks
-    import it wherever the driver was started from."""
+#: rows of an Arrow batch: texts are long, and a task holds a batch several times over
+ARROW_ROWS = 500
+
+
+def prepare_python(spark: SparkSession) -> None:
+    """Ready a session for Python tasks over texts: Arrow batches of at most
+    ``ARROW_ROWS`` rows (the session's setting is lowered, never raised), and
+    this package sent to the executors, so that tasks import it wherever the
+    driver was started from."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting, "10000")) <= ARROW_ROWS:
+        spark.conf.set(setting, str(ARROW_ROWS))
     context = spark.sparkContext
     name = "sievekit-package.zip"
     if name in context._python_includes:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import SPACE, ship_package, without_ids
+from sievekit.llm.common import SPACE, prepare_python, without_ids
 from sievekit.llm.tokens import each_word_hashes, mixed
 
 MASKS = ("11111", "1101011", "11010011", "101100101")
@@ -151,7 +151,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
           block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per contaminated document and item: id, item_id, matched_words,
     item_words, longest_stretch, coverage, first_word."""
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
     schema = "_id long, item_id long, matched_words long, item_words long, longest_stretch long, coverage double, first_word long"
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("words")).filter(
         "item is not null and words is not null")

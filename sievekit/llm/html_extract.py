@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import hinted, ship_package, stage
+from sievekit.llm.common import hinted, prepare_python, stage
 from sievekit.llm.urlfilter import host_of, path_of
 
 HOST_PAGES = 5_000
@@ -211,7 +211,7 @@ def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               host_pages: int = HOST_PAGES) -> DataFrame:
     """One row per input row: id, url, text, n_chars, shared_lines."""
-    ship_package(pages.sparkSession)
+    prepare_python(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
     host, path = host_of(F.col("_url")), path_of(F.col("_url"))
     sizes = rows.groupBy(host.alias("_host")).agg(F.count("*").alias("n")).filter(F.col("n") > host_pages)

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import fresh, hinted, ship_package, small, stage, without_ids
+from sievekit.llm.common import fresh, hinted, prepare_python, small, stage, without_ids
 from sievekit.llm.components import connected_components
 from sievekit.llm.tokens import each_word_hashes, shingles
 
@@ -193,7 +193,7 @@ def _open_tile(n: int, threshold: Fraction):
 def shingle_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
                        threshold: Fraction = THRESHOLD) -> DataFrame:
     """One row per input row: id, n_shingles, component_id."""
-    ship_package(df.sparkSession)
+    prepare_python(df.sparkSession)
     texts = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     rows = stage(texts.mapInArrow(_set_digests(n), "_id long, n long, set_hash binary"), "join-rows")
     classes = rows.filter("n > 0 and _id is not null").groupBy("set_hash").agg(

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BREAK = re.compile(rb"[\x20\x09-\x0D]")

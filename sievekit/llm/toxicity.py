@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import ship_package, stage, without_ids
+from sievekit.llm.common import prepare_python, stage, without_ids
 
 SAMPLE = 20_000  # labelled documents learnt from, at most
 MAX_TOKENS = 200_000  # tokens in the table, at most, those with the most documents
@@ -49,6 +49,7 @@ SUPPORT = 6  # documents that a token needs
 EVIDENCE = 2.75  # standard deviations from which a token marks toxic text
 GAIN = 1.5  # log-odds that it needs besides; below, a token tells languages apart, not toxic text
 PRIOR = 200.0  # weight of the Dirichlet prior, in documents
+HELD_TOKENS = 100_000  # tokens that a task counts before it passes them on
 DRIFT = 0.25
 SIGNIFICANCE = 0.05
 REJECT = 0.7
@@ -159,9 +160,9 @@ def _count_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for b in batches:
         for text, toxic in zip(b.column("_text").to_pylist(), b.column("_toxic").to_pylist(), strict=True):
             counts[toxic].update(tokens_of(words_of(text)))
-        if sum(map(len, counts)) > 500_000:
-            yield _counted(counts)
-            counts = (Counter(), Counter())
+            if len(counts[0]) + len(counts[1]) > HELD_TOKENS:
+                yield _counted(counts)
+                counts = (Counter(), Counter())
     yield _counted(counts)
 
 
@@ -233,7 +234,7 @@ def extreme_value_law(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from the labelled documents whose label row meets ``may_learn``."""
-    ship_package(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     rows = labels.filter(may_learn) if may_learn is not None else labels
     rows = rows.select(F.col(id_col).alias("_label_id"), F.col(label_col).cast("int").alias("_toxic")).filter("_toxic in (0, 1)")
     chosen = stage(rows.orderBy(F.xxhash64("_label_id"), "_label_id", "_toxic").limit(sample), "toxic-sample")
@@ -280,7 +281,7 @@ def _score_rows(model: Model) -> Callable:
 
 def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, score, passages (first and last word, score)."""
-    ship_package(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     return texts.mapInArrow(_score_rows(model), f"_id {kind}, score double, passages array<struct<first_word:int,last_word:int,score:double>>"

@@ -39,7 +39,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievekit.llm.common import hinted, ship_package, stage
+from sievekit.llm.common import hinted, prepare_python, stage
 from sievekit.session import ensure_checkpoint_dir
 
 ARCHIVE_BYTES = 256 * 1024 * 1024  # a task begins another archive beyond this
@@ -117,7 +117,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
     ``folder`` is a URI that all executors reach (``file://`` on a shared
     disk, ``hdfs://``, ``s3://``, ...)."""
-    ship_package(pages.sparkSession)
+    prepare_python(pages.sparkSession)
     payload = F.coalesce(F.col("_html"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
     rows = rows.withColumn("_key", F.concat(F.unhex(F.sha1(payload)), F.unhex(F.md5(payload))))
@@ -300,7 +300,7 @@ def _read_task(folder: str, with_payload: bool):
 
 def read_warc(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """The verified records of the manifest's archives, one task an archive."""
-    ship_package(manifest.sparkSession)
+    prepare_python(manifest.sparkSession)
     archives = manifest.select("archive")
     n = max(1, archives.count())
     return archives.repartition(n, "archive").mapInArrow(_read_task(folder, with_payload), RECORD)
