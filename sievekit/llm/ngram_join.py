@@ -44,7 +44,6 @@ from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,8 +56,8 @@ THRESHOLD = Fraction(3, 4)
 NGRAM = 5
 WHOLE = 256  # sets up to this size are their own sketch
 SKETCH = 128  # shingles in the sketch of a larger set
-TILE = 400_000  # shingles in a tile
-SLICE = 1_000_000  # shingles of the queries opened with a tile at once
+TILE = 150_000  # shingles in a tile
+SLICE = 300_000  # shingles of the queries opened with a tile at once
 
 
 def shared_at_least(k: int, threshold: Fraction) -> int:
@@ -135,7 +134,7 @@ class _Sets:
         self.ids = ids
         self.sizes = np.array([len(sets[i]) for i in ids], dtype=np.int64)
         flat = np.concatenate([sets[i] for i in ids]) if len(ids) else np.empty(0, dtype=np.uint64)
-        owner = np.repeat(np.arange(len(ids)), self.sizes)
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes)
         order = np.argsort(flat, kind="stable")
         self.owner = owner[order]
         self.union, self.first = np.unique(flat[order], return_index=True)
@@ -178,14 +177,13 @@ def components_of(sets: list[np.ndarray], threshold: Fraction = THRESHOLD) -> np
 
 
 def _open_tile(n: int, threshold: Fraction):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("rep").sort_values("rep", ignore_index=True)
-        texts = [t.encode("utf-8", "surrogatepass") for t in group["_text"]]
-        sets = [shingles(w, n) for w in each_word_hashes(texts)]
+    def run(group: pa.Table) -> pa.Table:
+        reps, first = np.unique(group.column("rep").to_numpy(), return_index=True)
+        texts = group.column("_text").cast(pa.binary())
+        sets = [shingles(w, n) for w in each_word_hashes(texts[int(i)].as_py() for i in first)]
         root = components_of(sets, threshold)
-        reps = group["rep"].to_numpy()
         linked = root != np.arange(len(root))
-        return pd.DataFrame({"src": reps[linked], "dst": reps[root[linked]]})
+        return pa.table({"src": reps[linked], "dst": reps[root[linked]]})
 
     return run
 
@@ -257,7 +255,7 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, n: int, thresh
     work = stage(work.withColumn("_k", F.count("*").over(alone)).filter("_k > 1").drop("_k"), "join-work")
 
     return texts.join(hinted(work), texts["_id"] == work["rep"]).select("rep", "to", "tile", "slice", "_text").groupBy(
-        "to", "tile", "slice").applyInPandas(_open_tile(n, threshold), "src long, dst long")
+        "to", "tile", "slice").applyInArrow(_open_tile(n, threshold), "src long, dst long")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
