@@ -9,15 +9,23 @@ grouped; chunk texts travel for repeated hashes only, reduced to distinct
 texts per task, so a passage that a third of the documents carry is one row
 per task. DataFrame functions only.
 
+``passage_report`` does the same with every two neighbouring lines in place of
+the chunks: the finest boundaries there are. Each two lines of a repeated
+passage are themselves repeated, so a passage of two lines or more is lost
+whole, wherever it stands between a document's own lines, without growing hits
+or comparing documents: one narrow row a line. Chunks are then only counted.
+
 Defined results
     null text        no lines, text stays null
     empty text       one empty line, never removed (a chunk of one line)
+    one line         between lines that do not repeat with it: stays
+    equal lines      in a row: the first two stay (``passage_report``)
     long texts       taken whole
     ties             the first place within the smallest id keeps the chunk
     repeated rows    rows with the same id and text share one fate: the first
                      place in them stays
     empty table      empty result
-    extra columns    ignored by ``chunk_report``, kept by ``drop_repeated_chunks``
+    extra columns    ignored by the reports, kept by ``drop_repeated_chunks``
 """
 
 from __future__ import annotations
@@ -60,6 +68,27 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str, window: int = WIN
     # the outer form: for the other, the optimizer adds a filter that makes the arrays anew for every line
     each = source.select("_id", F.posexplode_outer("_chunks").alias("_at", "_part")).filter(F.size("_part") >= 2).select(
         "_id", "_at", F.array_join("_part", "\n").alias("_chunk"))
+    lost = lost_places(each, hash_of, max_broadcast_bytes)
+    return lost.groupBy("_id").agg(F.collect_set("_at").alias("gone")).select(F.col("_id").alias(id_col), "gone")
+
+
+def repeated_lines(df: DataFrame, id_col: str, text_col: str, hash_of=hash_128,
+                   max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(id, gone): for documents that lose lines, the places of the lost ones,
+    those of every two neighbouring lines that stand at an earlier place."""
+    source = df.select(F.col(id_col).alias("_id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
+    twos = F.transform(F.slice("_lines", 1, F.size("_lines") - 1), lambda _, i: F.array_join(F.slice("_lines", i + 1, 2), "\n"))
+    each = source.select("_id", F.posexplode_outer(twos).alias("_at", "_chunk")).filter("_at is not null")
+    lost = lost_places(each, hash_of, max_broadcast_bytes)
+    # of equal lines in a row, the second is in the place that is kept
+    inside = F.struct("_id", (F.col("_at") - 1).alias("_at")).eqNullSafe(F.col("keeper"))
+    lines = F.when(inside, F.array(F.col("_at") + 1)).otherwise(F.array(F.col("_at"), F.col("_at") + 1))
+    lost = lost.select("_id", F.explode(lines).alias("_line"))
+    return lost.groupBy("_id").agg(F.collect_set("_line").alias("gone")).select(F.col("_id").alias(id_col), "gone")
+
+
+def lost_places(each: DataFrame, hash_of, max_broadcast_bytes: int) -> DataFrame:
+    """(_h, _id, _at, keeper) of every place whose ``_chunk`` has an earlier place, the keeper."""
     each = each.select("_id", "_at", "_chunk", hash_of(F.col("_chunk")).alias("_h"))
     places = stage(each.select("_id", "_at", "_h"), "chunk-places")
     first = F.min(F.struct("_id", "_at")).alias("keeper")
@@ -76,8 +105,7 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str, window: int = WIN
         mixed = each.join(hot, "_h", "left_semi")
         exact = stage(mixed.groupBy("_h", "_chunk").agg(first), "chunk-variants")
         lost = lost.join(hot, "_h", "left_anti").unionByName(mixed.join(exact, ["_h", "_chunk"]).select("_h", "_id", "_at", "keeper"))
-    lost = lost.filter(~F.struct("_id", "_at").eqNullSafe(F.col("keeper")))
-    return lost.groupBy("_id").agg(F.collect_set("_at").alias("gone")).select(F.col("_id").alias(id_col), "gone")
+    return lost.filter(~F.struct("_id", "_at").eqNullSafe(F.col("keeper")))
 
 
 def chunk_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -98,6 +126,31 @@ def chunk_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.length("_text") - F.length("text")).alias("removed_chars"), "text")
 
 
+def passage_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                   divisor: int = DIVISOR, **options) -> DataFrame:
+    """One row per input row, without any repeated passage of two lines or
+    more: the columns of ``chunk_report``; n_removed counts the chunks of which
+    no line is left."""
+    gone = repeated_lines(df, id_col, text_col, **options)
+    gone = stage(gone.select(F.col(id_col).alias("_gone_id"), "gone"), "passage-gone")
+    base = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    joined = base.join(hinted(gone), F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
+    parts = with_chunks(joined, "_text", window, divisor)
+    parts = parts.withColumn("_chunk_of", F.flatten(F.transform("_chunks", lambda c, k: F.array_repeat(k, F.size(c)))))
+    parts = parts.withColumn("_kept", F.array_except(
+        F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("gone", F.array().cast("array<int>"))))
+    # columns that a lambda reads are used twice or more, so that they are made once a row and not once a line
+    parts = parts.withColumns({
+        "text": F.when(F.col("gone").isNull(), F.col("_text")).otherwise(
+            F.array_join(F.transform("_kept", lambda i: F.element_at("_lines", i + 1)), "\n")),
+        "_left": F.size(F.array_distinct(F.transform("_kept", lambda i: F.element_at("_chunk_of", i + 1)))),
+        "n_lines": F.coalesce(F.size("_chunk_of"), F.lit(0)),
+        "n_chunks": F.coalesce(F.size("_chunks"), F.lit(0))})
+    return parts.select(
+        F.col("_id").alias(id_col), "n_lines", "n_chunks", F.coalesce(F.col("n_chunks") - F.col("_left"), F.lit(0)).alias("n_removed"),
+        (F.length("_text") - F.length("text")).alias("removed_chars"), "text")
+
+
 def drop_repeated_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``df`` with the lost chunks cut from its text column."""
     key, text = fresh(df, "left_id"), fresh(df, "left_text")

@@ -9,7 +9,7 @@ from sievekit.llm.decontam import leaks
 from sievekit.llm.exact_dedup import exact_groups
 from sievekit.llm.hilbert import hilbert_shards
 from sievekit.llm.html_extract import main_text
-from sievekit.llm.line_chunks import chunk_report
+from sievekit.llm.line_chunks import passage_report
 from sievekit.llm.mixing import pfair_mix
 from sievekit.llm.ngram_join import shingle_components
 from sievekit.llm.toxicity import REJECT, fit, held_out, toxicity_scores
@@ -55,7 +55,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_report(table(spark, sf_dir, "documents"))
+    return passage_report(table(spark, sf_dir, "documents"))
 
 
 def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

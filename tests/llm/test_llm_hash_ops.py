@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from sievekit.llm.components import connected_components
 from sievekit.llm.exact_dedup import drop_exact_copies, exact_groups
-from sievekit.llm.line_chunks import DIVISOR, WINDOW, chunk_report, drop_repeated_chunks
+from sievekit.llm.line_chunks import DIVISOR, WINDOW, chunk_report, drop_repeated_chunks, passage_report
 from sievekit.llm.ngram_join import components_of, needed, one_of_each, shared_at_least, shingle_components
 from sievekit.llm.ngram_join import THRESHOLD, _class_of
+from sievekit.llm.queries import op6_line_chunk_dedup
 from sievekit.llm.tokens import PIECE, each_word_hashes, shingles, word_hashes
 
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
@@ -153,6 +154,54 @@ def test_chunks_repeated_rows_and_empty_table(spark):
     assert chunk_report(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def brute_passages(rows):
+    """By definition: every two neighbouring lines that stand at an earlier place go."""
+    first = {}
+    for i, t in sorted(r for r in rows if r[1] is not None):
+        lines = t.split("\n")
+        for at in range(len(lines) - 1):
+            first.setdefault((lines[at], lines[at + 1]), (i, at))
+    out = {}
+    for i, t in rows:
+        lines, gone = (t or "").split("\n"), set()
+        for at in range(len(lines) - 1):
+            keeper = first[lines[at], lines[at + 1]]
+            if keeper != (i, at):
+                gone |= {at + 1} if keeper == (i, at - 1) else {at, at + 1}
+        out[i] = None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_passages_between_own_lines(spark, tmp_dir, weak):
+    """Passages of two to six lines go whole wherever they stand; own lines stay."""
+    rnd = random.Random(9)
+    passages = [[f"passage {p} line {k}" for k in range(2 + p % 5)] for p in range(25)]
+    rows = [(p, "\n".join([f"first {p}", *x, f"last {p}"])) for p, x in enumerate(passages)]
+    own = {}
+    for i in range(100, 200):
+        own[i] = [f"own {i} {k}" for k in range(4)]
+        rows.append((i, "\n".join([*own[i][:2], *rnd.choice(passages), *own[i][2:]])))
+    rows += [(i + 1000, t) for i, t in line_rows() if i < 7]
+    rows += [(300, "x\nx\nx\nx"), (301, "y\nx\nx\nz"), (302, "solo"), (303, "solo"), (304, "solo\nother")]
+    df = spark.createDataFrame(rows, DOCS).repartition(5)
+    if weak:
+        got = passage_report(df, hash_of=lambda c: F.unhex(F.lit("00"))).collect()
+    else:
+        df.write.parquet(f"{tmp_dir}/documents.parquet")
+        got = op6_line_chunk_dedup(spark, tmp_dir).collect()
+    left = {r["doc_id"]: r["text"] for r in got}
+    assert len(got) == len(rows) and left == brute_passages(rows)
+    assert all(left[i] == "\n".join(x) for i, x in own.items())
+    assert left[300] == "x\nx" and left[301] == "y\nz" and left[303] == "solo" and left[304] == "solo\nother"
+    texts = dict(rows)
+    for r in got:
+        t = texts[r["doc_id"]]
+        assert r["n_lines"] == (0 if t is None else len(t.split("\n")))
+        assert r["n_chunks"] == (0 if t is None else len(brute_chunks(t))) and 0 <= r["n_removed"] <= r["n_chunks"]
+        assert r["removed_chars"] == (None if t is None else len(t) - len(r["text"]))
+
+
 # ------------------------------------------------------------ tokens
 
 def test_word_hashes_follow_words():
