@@ -1,7 +1,7 @@
 """Main text of web pages by differencing pages with near urls.
 
-Pages of a host are ordered by url path; each page is compared with the page
-before and after it. Their text lines are aligned by a longest common
+Pages of a host are ordered by url path; each page is compared with the nearest
+page before and after it that has other lines. Their text lines are aligned by a longest common
 subsequence, and lines that a page shares with a neighbour belong to the
 site's template and are deleted. Two things bound this: lines inside the
 page's own article element are content by the page's word and stay, shared or
@@ -19,10 +19,12 @@ Defined results
     null url                host and path empty, compared with each other
     lone page of a host     nothing to compare; its elements alone decide
     equal paths             ordered by page id, then line hashes
-    repeated rows           compared with each other; article lines stay, other
-                            shared lines go
+    repeated rows, copies   pages of equal lines are not compared with each
+                            other but with the same neighbours
     cut-off or broken html  elements left open end with the page; an article
-                            ends an open non-content element before it
+                            ends an open non-content element before it; after
+                            the last tag, text goes from the first "<" on that
+                            begins a tag, none otherwise
     very long pages         whole
     empty table             empty result
     extra columns           ignored
@@ -49,6 +51,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|math|iframe|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_TAG_START = re.compile(r"<[a-zA-Z/!?]")
 _PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 # fixed values: element and attribute names of HTML
@@ -138,7 +141,8 @@ def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
         elif name in NEVER or name == "header" and not depth or marks & NAMES:
             flush()
             off.append([name, 1, bool(marks & VOICES)])
-    held.append(html[at:] if "<" not in html[at:] else html[at:].partition("<")[0])
+    cut = _TAG_START.search(html, at)
+    held.append(html[at : cut.start() if cut else len(html)])
     flush()
     return out
 
@@ -208,6 +212,21 @@ def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["_id", "_url", "text", "shared_lines"])
 
 
+def with_nearest(df: DataFrame, group: list[str]) -> DataFrame:
+    """Add ``before`` and ``after``: the line hashes of the nearest page on
+    either side, by (path, id, hashes) in its group, that has other lines."""
+    key = ["_path", "_id", "hashes"]
+    up = Window.partitionBy(*group).orderBy(*key)
+    down = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in key])
+    for side, order in (("before", up), ("after", down)):
+        last = F.lag("hashes").over(order)
+        # the page before the first of a run of equal ones holds for the whole run
+        df = df.withColumn("_last", last).withColumn(side, F.last(
+            F.when(F.col("_last") != F.col("hashes"), F.col("_last")), ignorenulls=True).over(
+            order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_last")
+    return df
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               host_pages: int = HOST_PAGES) -> DataFrame:
     """One row per input row: id, url, text, n_chars, shared_lines."""
@@ -219,10 +238,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     parsed = rows.mapInArrow(_parse, "_id long, _url string, lines array<string>, kinds binary, hashes array<long>")
     parsed = parsed.withColumn("_host", host).withColumn("_path", path).join(hinted(sizes), "_host", "left")
     subset = F.pmod(F.xxhash64("_path", "_id"), F.coalesce("_subsets", F.lit(1)))
-    near = Window.partitionBy("_host", "_subset").orderBy("_path", "_id", "hashes")
-    placed = parsed.withColumn("_subset", subset).select(
-        "_id", "_url", "lines", "kinds", "hashes",
-        F.lag("hashes").over(near).alias("before"), F.lead("hashes").over(near).alias("after"))
+    placed = with_nearest(parsed.withColumn("_subset", subset), ["_host", "_subset"]).select(
+        "_id", "_url", "lines", "kinds", "hashes", "before", "after")
     out = placed.mapInArrow(_difference, "_id long, _url string, text string, shared_lines int")
     return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
                       F.length("text").cast("long").alias("n_chars"), "shared_lines")

@@ -141,6 +141,21 @@ def test_shared_lines_go_without_article(spark):
         assert got[9].startswith("Welcome") and all(f"own {i} two" in got[i] for i in got)
 
 
+def test_copies_are_compared_with_other_pages(spark):
+    page = "<body><div>Welcome to the site</div><div><p>own %d one</p><p>own %d two</p></div><div>All rights reserved</div></body>"
+    rows = [(i, f"http://h/x/{i // 3 if i < 9 else i}", page % (n, n)) for i, n in enumerate([1, 1, 1, 1, 2, 2, 3, 3, 3, 4])]
+    rows += [(0, rows[0][1], rows[0][2]), (20, "http://same/1", page % (9, 9)), (21, "http://same/2", page % (9, 9))]
+    got = {(r["page_id"], r["text"]) for r in main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    want = {(i, f"own {n} one\nown {n} two") for i, n in enumerate([1, 1, 1, 1, 2, 2, 3, 3, 3, 4])}
+    whole = "Welcome to the site\nown 9 one\nown 9 two\nAll rights reserved"
+    assert got == want | {(20, whole), (21, whole)}
+
+
+def test_text_after_the_last_tag():
+    assert lines_of("Prices: 3 < 5 today & 7 <8") == [("Prices: 3 < 5 today & 7 <8", False, False)]
+    assert lines_of("<p>a</p>1 < 2 <b unfinished") == [("a", False, False), ("1 < 2", False, False)]
+
+
 def test_common_lines_is_a_longest_one():
     rnd = random.Random(2)
     for _ in range(300):
