@@ -9,10 +9,12 @@ not; and lines in elements that are never content (menus, asides, forms,
 adverts, comments, ... by element, role or class) go even when no neighbour
 shares them.
 
-Hosts of more than ``HOST_PAGES`` pages are dealt into random subsets of about
-that many, each ordered by path, so no host is gathered in one task; a page's
-neighbours are then the nearest of its subset. The comparison needs only line
-hashes of the neighbours.
+A host of more than ``HOST_PAGES`` pages is cut into ranges of (path, id) of
+about that many, at places sampled by a hash, so no host is gathered in one
+task (a host of over ``HOST_PAGES * MAX_RANGES`` pages has that many ranges,
+of more pages each). The first and last two different pages of each range meet
+those of the adjacent ranges, so neighbours are the same wherever a host is
+cut, and whether it is. The comparison needs only line hashes of the neighbours.
 
 Defined results
     null or empty html      empty text
@@ -45,7 +47,9 @@ from pyspark.sql import functions as F
 from sievekit.llm.common import hinted, prepare_python, stage
 from sievekit.llm.urlfilter import host_of, path_of
 
-HOST_PAGES = 5_000
+HOST_PAGES = 2_000
+MAX_RANGES = 1_000
+SAMPLES = 8  # sampled places for each cut, about
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|math|iframe|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -227,19 +231,67 @@ def with_nearest(df: DataFrame, group: list[str]) -> DataFrame:
     return df
 
 
+def cuts_of(places: DataFrame, host_pages: int) -> DataFrame:
+    """(_host, _cuts): for hosts of more than ``host_pages`` pages, the places
+    (path, id) at which its ranges begin, the first one's aside. Narrow rows of
+    large hosts only; one in ``step`` is sampled, every ``SAMPLES``-th of those
+    is a cut."""
+    sizes = places.groupBy("_host").agg(F.count("*").alias("n")).filter(F.col("n") > host_pages)
+    sizes = stage(sizes.select("_host", F.greatest(F.lit(host_pages), F.col("n") / MAX_RANGES).alias("_pages")), "html-hosts")
+    step = F.greatest(F.lit(1), F.floor(F.col("_pages") / SAMPLES))
+    some = places.join(hinted(sizes), "_host").filter(F.pmod(F.xxhash64("_path", "_id"), step) == 0)
+    some = some.groupBy("_host", "_path", "_id").agg(F.max(F.least(F.lit(SAMPLES), F.ceil("_pages"))).alias("_every"))
+    nth = F.row_number().over(Window.partitionBy("_host").orderBy("_path", "_id"))
+    cuts = some.withColumn("_nth", nth).filter(F.pmod("_nth", "_every") == 0)
+    return cuts.groupBy("_host").agg(F.sort_array(F.collect_list(F.struct("_path", "_id"))).alias("_cuts"))
+
+
+def seams_of(ranged: DataFrame) -> DataFrame:
+    """(_host, _range, _before, _after): for each range of a host that is cut,
+    the nearest other lines before its first page and after its last one.
+
+    Of a range, the first and last page and the nearest ones with other lines
+    than these are enough to tell the neighbours of the adjacent ranges."""
+    group = ["_host", "_range"]
+    place = F.struct("_path", "_id")
+    lists = ranged.groupBy(*group, "hashes").agg(F.min(place).alias("_a"), F.max(place).alias("_z"))
+    ends = lists.withColumns({
+        "_nth": F.row_number().over(Window.partitionBy(*group).orderBy("_a", "hashes")),
+        "_back": F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("_z"), F.desc("hashes")))})
+    ends = stage(ends.filter("_nth <= 2 or _back <= 2"), "html-ends")
+    pick = lambda rows, at, first, last: rows.select(
+        *group, F.col(f"{at}._path").alias("_path"), F.col(f"{at}._id").alias("_id"), "hashes", first.alias("_first"), last.alias("_end"))
+    never = F.lit(False)
+    pages = pick(ends.filter("_nth <= 2"), "_a", F.col("_nth") == 1, never).unionByName(
+        pick(ends.filter("_back <= 2"), "_z", never, F.col("_back") == 1))
+    # at most four rows a range
+    near = with_nearest(pages, ["_host"])
+    return near.groupBy(*group).agg(F.max(F.when(F.col("_first"), F.col("before"))).alias("_before"),
+                                    F.max(F.when(F.col("_end"), F.col("after"))).alias("_after"))
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               host_pages: int = HOST_PAGES) -> DataFrame:
     """One row per input row: id, url, text, n_chars, shared_lines."""
     prepare_python(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
     host, path = host_of(F.col("_url")), path_of(F.col("_url"))
-    sizes = rows.groupBy(host.alias("_host")).agg(F.count("*").alias("n")).filter(F.col("n") > host_pages)
-    sizes = stage(sizes.select("_host", F.ceil(F.col("n") / host_pages).cast("int").alias("_subsets")), "html-hosts")
-    parsed = rows.mapInArrow(_parse, "_id long, _url string, lines array<string>, kinds binary, hashes array<long>")
-    parsed = parsed.withColumn("_host", host).withColumn("_path", path).join(hinted(sizes), "_host", "left")
-    subset = F.pmod(F.xxhash64("_path", "_id"), F.coalesce("_subsets", F.lit(1)))
-    placed = with_nearest(parsed.withColumn("_subset", subset), ["_host", "_subset"]).select(
-        "_id", "_url", "lines", "kinds", "hashes", "before", "after")
-    out = placed.mapInArrow(_difference, "_id long, _url string, text string, shared_lines int")
+    cuts = stage(cuts_of(rows.select(host.alias("_host"), path.alias("_path"), "_id"), host_pages), "html-cuts")
+
+    def ranged(some: DataFrame, how: str) -> DataFrame:
+        """Parsed pages with host, path and range."""
+        parsed = some.mapInArrow(_parse, "_id long, _url string, lines array<string>, kinds binary, hashes array<long>")
+        parsed = parsed.withColumn("_host", host).withColumn("_path", path).join(hinted(cuts), "_host", how)
+        here = F.struct("_path", "_id")
+        return parsed.withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= here)), F.lit(0))).drop("_cuts")
+
+    placed = with_nearest(ranged(rows, "left"), ["_host", "_range"])
+    if not cuts.isEmpty():
+        large = rows.withColumn("_host", host).join(hinted(cuts.select("_host")), "_host", "left_semi").drop("_host")
+        seams = stage(seams_of(ranged(large, "inner").select("_host", "_range", "_path", "_id", "hashes")), "html-seams")
+        placed = placed.join(hinted(seams), ["_host", "_range"], "left").withColumns({
+            "before": F.coalesce("before", "_before"), "after": F.coalesce("after", "_after")})
+    out = placed.select("_id", "_url", "lines", "kinds", "hashes", "before", "after").mapInArrow(
+        _difference, "_id long, _url string, text string, shared_lines int")
     return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
                       F.length("text").cast("long").alias("n_chars"), "shared_lines")

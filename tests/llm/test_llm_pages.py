@@ -151,6 +151,18 @@ def test_copies_are_compared_with_other_pages(spark):
     assert got == want | {(20, whole), (21, whole)}
 
 
+def test_neighbours_do_not_depend_on_the_size_of_a_host(spark):
+    """Lines that only the pages of one folder share go, however finely a host is cut."""
+    page = "<body><div>folder %d</div><p>own %d</p><div>series %d</div></body>"
+    rows = [(i, f"http://h/f{i // 4:02}/{i % 4}", page % (i // 4, i, i // 4)) for i in range(80)]
+    rows += [(100 + i, "http://h/f05/3x", page % (5, 99, 5)) for i in range(9)] + [rows[3], rows[3], (None, None, "<p>x"), (7, "http://k/", "<p>y")]
+    df = spark.createDataFrame(rows, PAGES)
+    results = [sorted(map(str, main_text(df, host_pages=n).collect())) for n in (5000, 30, 7, 1)]
+    assert results[0] == results[1] == results[2] == results[3] and len(results[0]) == len(rows)
+    got = {r["page_id"]: r["text"] for r in main_text(df, host_pages=7).collect()}
+    assert all(got[i] == f"own {i}" for i in range(80) if i != 7)
+
+
 def test_text_after_the_last_tag():
     assert lines_of("Prices: 3 < 5 today & 7 <8") == [("Prices: 3 < 5 today & 7 <8", False, False)]
     assert lines_of("<p>a</p>1 < 2 <b unfinished") == [("a", False, False), ("1 < 2", False, False)]
