@@ -89,7 +89,8 @@ class Model:
         """Number of words, and (place, score) of those that score above 0."""
         words = words_of(text)
         heads, first = self.heads, PREFIXES[0]
-        found = [(i, w) for i, w in enumerate(words) if w[:first] in heads]
+        # a word shorter than the shortest prefix has the head of its whole-word token, with the space
+        found = [(i, w) for i, w in enumerate(words) if (w[:first] if len(w) >= first else (w + " ")[:first]) in heads]
         times: Counter[str] = Counter()
         out = []
         for i, w in found:

@@ -290,6 +290,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["score"] < 0.7} | {None}
 
 
+def test_short_words_are_evidence(spark):
+    """Toxic words of two and three letters, held-out rows."""
+    rnd = random.Random(12)
+    plain = ["a", "in", "the", *(f"w{k}" for k in range(40)), *(f"word{k}" for k in range(300))]
+    docs, labels = [], []
+    for i in range(1500):
+        w, toxic = [rnd.choice(plain) for _ in range(rnd.randrange(3, 80))], rnd.random() < 0.2
+        for _ in range(rnd.randint(2, 4) if toxic else 0):
+            w.insert(rnd.randrange(len(w)), rnd.choice(["zq", "vux", "욕설"]))
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"), ~held_out())
+    got = {r["doc_id"]: r["score"] for r in toxicity_scores(df, model).collect()}
+    hit = Counter((y, got[i] >= 0.7) for i, y in labels if zlib.crc32(str(i).encode()) % 3 == 1)
+    assert hit[1, True] / (hit[1, True] + hit[1, False]) >= 0.9 and hit[1, True] / (hit[1, True] + hit[0, True]) >= 0.95
+    assert {"zq ", "vux ", "욕설 "} <= {t for t, s in model.score.items() if s > 0}
+    assert model.marks("so zq, the VUX")[1] and not model.marks("zqa vuxes the")[1]
+
+
 def test_toxicity_without_labels(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
