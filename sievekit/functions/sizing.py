@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Spark's byte units, all binary
@@ -33,15 +33,19 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def broadcast_limit(spark: SparkSession, max_bytes: int | None = None) -> int:
+    """``max_bytes``, or ``spark.sql.autoBroadcastJoinThreshold``; 0 when nothing may be broadcast."""
+    if max_bytes is None:
+        max_bytes = parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return max(0, max_bytes or 0)
+
+
 def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when the optimizer's size estimate of ``df`` is known and at most
     ``max_bytes`` (default: ``spark.sql.autoBroadcastJoinThreshold``)."""
-    if max_bytes is None:
-        max_bytes = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-        if max_bytes is None or max_bytes < 0:
-            return False
+    limit = broadcast_limit(df.sparkSession, max_bytes)
     size = estimated_bytes(df)
-    return size is not None and size <= max_bytes
+    return limit > 0 and size is not None and size <= limit
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

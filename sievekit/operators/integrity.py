@@ -1,29 +1,37 @@
 """Referential integrity (J1-J8): foreign keys absent from a reference column.
 
-Plan shape per rule:
-* counts come from the target's FK column pre-aggregated to (key, n_rows)
-  before the anti join — partial aggregation collapses a hot key inside each
-  map task, so a key holding a third of the table moves one row per task;
-* the reference side is projected to its key column and broadcast only when
-  the optimizer's size estimate is under the bound; otherwise a shuffle join
-  (AQE can still pick a broadcast at runtime, and splits skewed partitions);
-* violating rows (J5/J6) are a separate, lazy anti join of the full target.
-
-A null FK is a violation (an anti join keeps it); ``nulls="ignore"`` drops
-null FKs first. A null reference key matches nothing.
+All rules of a target are counted by ONE tagged union: a single scan of the
+target emits (rule, key, one row), every reference table emits (rule, key,
+mark), and one grouped sum and maximum over both gives, for every rule and
+key, how many rows use it and whether the reference has it. Counts, samples and
+orphan keys all come from that table. There is no join; a key that holds a
+third of the target is one row per map task (partial aggregation), and the one
+exchange moves distinct keys only.
+
+Violating rows (J5/J6) need whole rows: one scan of the target for all rules
+whose reference keys, or whose orphan keys, are few enough to be broadcast; a
+shuffle anti join (split by AQE at hot keys) for the rest.
+
+A null FK is a violation; ``nulls="ignore"`` drops null FKs first. A null
+reference key matches nothing. Keys of two types are compared, and counted, in
+their common type.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sievekit.functions.sizing import is_small
+from sievekit.functions.sizing import broadcast_limit, is_small
+from sievekit.session import stage_table
+
+ROW_BYTES = 64  # memory that a broadcast key takes besides its bytes, counted generously
 
 Resolver = Callable[[SparkSession, str | None, str], DataFrame]
 
@@ -99,25 +107,66 @@ def _target(target: DataFrame, fk: str, nulls: str) -> DataFrame:
     return target
 
 
-def _orphan_keys(target, fk, ref, ref_col, nulls, max_broadcast_bytes) -> DataFrame:
-    """Distinct FK values with no reference match, with their row counts."""
-    keys = (_target(target, fk, nulls)
-            .groupBy(F.col(f"`{fk}`").alias("__fk"))
-            .agg(F.count(F.lit(1)).alias("n_rows")))
-    ref_keys, broadcast = _ref_keys(ref, ref_col, max_broadcast_bytes)
-    cond = keys["__fk"] == ref_keys["__ref_key"]
-    if not broadcast:
-        # Large reference side: keep the anti join above the pre-aggregation
-        # (the optimizer would otherwise push it below and shuffle raw FK
-        # values, hot keys included). ``n_rows > 0`` always holds.
-        cond = cond & (keys["n_rows"] > 0)
-    return keys.join(ref_keys, cond, "left_anti")
+@dataclass(frozen=True)
+class _Check:
+    """A foreign key that can be checked."""
+
+    idx: int
+    fk: str
+    ref: DataFrame
+    ref_col: str
+    kind: str  # common type of both columns
+
+
+def _checks(target: DataFrame, prepared: Sequence[tuple]) -> list[_Check]:
+    out = []
+    for idx, _rule, fk, ref, ref_col, err, _msg in prepared:
+        if err is None:
+            a, b = (F.lit(None).cast(d.schema[c].dataType) for d, c in ((target, fk), (ref, ref_col)))
+            common = target.sparkSession.range(0).select(F.coalesce(a, b).alias("k")).schema["k"].dataType
+            out.append(_Check(idx, fk, ref, ref_col, common.simpleString()))
+    return out
+
+
+def _key_columns(checks: Sequence[_Check]) -> dict[str, str]:
+    """One key column of the tagged table per key type."""
+    return {kind: f"__k{i}" for i, kind in enumerate(dict.fromkeys(c.kind for c in checks))}
+
 
+def _tagged(df: DataFrame, checks: Sequence[_Check], columns: Sequence[str], keys: Mapping[str, str], nulls: bool) -> DataFrame:
+    """A row per row and check: (rule_idx, key in the column of its type)."""
+    cells = []
+    for c, column in zip(checks, columns, strict=True):
+        cells.append(F.lit(c.idx))
+        cells += [(F.col(f"`{column}`") if kind == c.kind else F.lit(None)).cast(kind) for kind in keys]
+    names = ["rule_idx", *keys.values()]
+    out = df.select(F.stack(F.lit(len(checks)), *cells).alias(*names))
+    return out if nulls else out.filter(reduce(Column.__or__, [F.col(k).isNotNull() for k in keys.values()]))
 
-def _flag_misses(target: DataFrame, small: list, nulls: str) -> tuple[DataFrame, list]:
-    """Chain one map-side broadcast left join per small-reference rule.
 
-    Returns the target with hit flags and, per rule, a Column that is true
+def _orphans(target: DataFrame, checks: Sequence[_Check], nulls: str) -> DataFrame:
+    """(rule_idx, key columns, n_rows): the keys of the target that no reference has."""
+    if nulls not in ("fail", "ignore"):
+        raise ValueError("nulls must be 'fail' or 'ignore'")
+    keys = _key_columns(checks)
+    parts = [_tagged(target, checks, [c.fk for c in checks], keys, nulls == "fail").select(
+        "*", F.lit(1).cast("long").alias("n_rows"), F.lit(False).alias("__known"))]
+    by_reference: dict[int, list[_Check]] = {}  # a reference table of several rules is read once
+    for c in checks:
+        by_reference.setdefault(id(c.ref), []).append(c)
+    for same in by_reference.values():
+        parts.append(_tagged(same[0].ref, same, [c.ref_col for c in same], keys, False).select(
+            "*", F.lit(0).cast("long").alias("n_rows"), F.lit(True).alias("__known")))
+    grouped = reduce(DataFrame.unionByName, parts).groupBy("rule_idx", *keys.values()).agg(
+        F.sum("n_rows").alias("n_rows"), F.bool_or("__known").alias("__known"))
+    return grouped.filter(~F.col("__known")).drop("__known")
+
+
+def _flag_misses(target: DataFrame, small: list, orphans: list, nulls: str) -> tuple[DataFrame, list]:
+    """Chain one map-side broadcast left join per rule: ``small`` rules join
+    their reference keys, ``orphans`` rules the few keys that miss.
+
+    Returns the target with the flags and, per rule, a Column that is true
     when the row's FK has no reference match. Keys are de-duplicated first so
     the left joins never multiply rows.
     """
@@ -131,9 +180,26 @@ def _flag_misses(target: DataFrame, small: list, nulls: str) -> tuple[DataFrame,
         if nulls == "ignore":
             miss = miss & F.col(f"`{fk}`").isNotNull()
         misses.append((idx, fk, miss))
+    for idx, fk, keys in orphans:
+        hit = f"__miss{idx}"
+        k = F.broadcast(keys.withColumn(hit, F.lit(True)))
+        t = t.join(k, t[f"`{fk}`"].eqNullSafe(k["__orphan"]), "left").drop("__orphan")
+        misses.append((idx, fk, F.col(hit).isNotNull()))
     return t, misses
 
 
+def _few_orphans(target: DataFrame, large: list, nulls: str, max_bytes: int) -> dict[int, DataFrame]:
+    """Per rule its orphan keys (``__orphan``), for the rules whose orphan keys
+    are counted to take at most ``max_bytes`` of memory; staged."""
+    checks = _checks(target, [(idx, rule, fk, ref, ref_col, None, None) for idx, fk, _keys, rule, ref, ref_col in large])
+    found = stage_table(_orphans(target, checks, nulls), "fk-orphans")
+    keys = _key_columns(checks)
+    width = reduce(Column.__add__, [F.coalesce(F.octet_length(k) if kind == "string" else F.lit(16), F.lit(0)) for kind, k in keys.items()])
+    sizes = {r["rule_idx"]: r["bytes"] for r in found.groupBy("rule_idx").agg(F.sum(width + ROW_BYTES).alias("bytes")).collect()}
+    return {c.idx: found.filter(F.col("rule_idx") == c.idx).select(F.col(keys[c.kind]).alias("__orphan"))
+            for c in checks if sizes.get(c.idx, 0) <= max_bytes}
+
+
 def _split_rules(target, rules, resolve, max_broadcast_bytes, only_logged=False):
     """(small, large, errors): small rules have size-checked broadcast keys."""
     small, large, errors = [], [], []
@@ -154,42 +220,40 @@ def fk_report(
     resolve: Resolver | None = None,
     *,
     nulls: str = "fail",
-    max_broadcast_bytes: int | None = None,
+    max_broadcast_bytes: int | None = None,  # nothing is broadcast; kept for callers
 ) -> DataFrame:
     """One row per rule with violation counts or an error status.
 
-    Per rule the FK column alone is read (column pruning), so a rule costs
-    one column of I/O. With a broadcast reference side the optimizer runs the
-    anti join map-side before the partial count; with a large one the FK
-    column is pre-aggregated to (key, rows) before the sort-merge anti join.
+    One scan of the target and one exchange of distinct keys, whatever the
+    number of rules; the totals of all rules are one row.
     """
-    spark = target.sparkSession
-    parts = []
-    for idx, rule, fk, ref, ref_col, err, msg in _prepare(target, rules, resolve):
+    prepared = list(_prepare(target, rules, resolve))
+    checks = _checks(target, prepared)
+    totals = target.sparkSession.range(1)
+    if checks:
+        mine = {c.idx: F.col("rule_idx") == c.idx for c in checks}
+        totals = _orphans(target, checks, nulls).agg(
+            *[F.coalesce(F.sum(F.when(m, F.col("n_rows"))), F.lit(0)).cast("long").alias(f"__v{i}") for i, m in mine.items()],
+            *[F.count_if(m).alias(f"__o{i}") for i, m in mine.items()])
+    rows = []
+    for idx, rule, fk, _ref, ref_col, err, msg in prepared:
         ref_name = ".".join(str(x) for x in (rule.get("database"), rule.get("reference_table"), ref_col) if x)
-        head = [F.lit(idx).alias("rule_idx"), F.lit(fk).cast("string").alias("foreign_key"),
-                F.lit(ref_name).alias("reference"), F.lit(rule.get("action", "log")).alias("action")]
-        if err is not None:
-            parts.append(spark.range(1).select(
-                *head, F.lit(err).alias("status"),
-                F.lit(None).cast("long").alias("n_violations"),
-                F.lit(None).cast("long").alias("n_orphan_keys"),
-                F.lit(msg).alias("message")))
-            continue
-        orphans = _orphan_keys(target, fk, ref, ref_col, nulls, max_broadcast_bytes)
-        agg = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_violations"),
-                          F.count(F.lit(1)).alias("n_orphan_keys"))
-        parts.append(agg.select(
-            *head,
-            F.when(F.col("n_violations") == 0, "pass").otherwise("fail").alias("status"),
-            "n_violations", "n_orphan_keys",
-            F.concat(F.lit(f"{fk} -> {ref_name}: "), F.col("n_violations").cast("string"),
-                     F.lit(" violation(s)")).alias("message")))
-    if not parts:
-        return spark.createDataFrame(
+        if err is None:
+            violations, orphan_keys = F.col(f"__v{idx}"), F.col(f"__o{idx}")
+            status = F.when(violations == 0, F.lit("pass")).otherwise(F.lit("fail"))
+            message = F.concat(F.lit(f"{fk} -> {ref_name}: "), violations.cast("string"), F.lit(" violation(s)"))
+        else:
+            violations = orphan_keys = F.lit(None).cast("long")
+            status, message = F.lit(err), F.lit(msg)
+        rows.append(F.struct(
+            F.lit(idx).alias("rule_idx"), F.lit(fk).cast("string").alias("foreign_key"), F.lit(ref_name).alias("reference"),
+            F.lit(rule.get("action", "log")).alias("action"), status.alias("status"), violations.alias("n_violations"),
+            orphan_keys.alias("n_orphan_keys"), message.alias("message")))
+    if not rows:
+        return target.sparkSession.createDataFrame(
             [], "rule_idx int, foreign_key string, reference string, action string, status string, "
                 "n_violations long, n_orphan_keys long, message string")
-    return reduce(DataFrame.unionByName, parts)
+    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def fk_verdict(report: DataFrame) -> DataFrame:
@@ -217,20 +281,27 @@ def fk_violations(
 
     Rules whose reference keys pass the size check share ONE scan of the
     target: each adds a map-side broadcast left join against its de-duplicated
-    keys (a hit flag), and the failed rule names are exploded once. Rules with
-    large reference sides get their own shuffle anti join.
+    keys (a hit flag), and the failed rule names are exploded once. So do rules
+    with large references whose orphan keys are few: those are found first (one
+    more scan, of the key columns) and counted before they are broadcast. Rules
+    with many orphan keys get a shuffle anti join of their own.
     """
     if nulls not in ("fail", "ignore"):
         raise ValueError("nulls must be 'fail' or 'ignore'")
     small, large, _errors = _split_rules(target, rules, resolve, max_broadcast_bytes, only_logged=only_logged)
+    limit = broadcast_limit(target.sparkSession, max_broadcast_bytes)
+    few = _few_orphans(target, large, nulls, limit) if large and limit > 0 else {}
     parts = []
-    if small:
+    if small or few:
         cols = [F.col(f"`{c}`") for c in target.columns]
-        t, misses = _flag_misses(target, [(i, fk, k) for i, fk, k, *_ in small], nulls)
+        t, misses = _flag_misses(target, [(i, fk, k) for i, fk, k, *_ in small],
+                                 [(i, fk, few[i]) for i, fk, *_ in large if i in few], nulls)
         failed = [F.when(miss, F.lit(fk)) for _idx, fk, miss in misses]
         parts.append(t.select(*cols, F.explode(F.array(*failed)).alias("failed_fk"))
                      .filter(F.col("failed_fk").isNotNull()))
-    for _idx, fk, keys, *_rest in large:
+    for idx, fk, keys, *_rest in large:
+        if idx in few:
+            continue
         tt = _target(target, fk, nulls)
         v = tt.join(keys, tt[f"`{fk}`"] == keys["__ref_key"], "left_anti")
         parts.append(v.withColumn("failed_fk", F.lit(fk)))
@@ -246,25 +317,23 @@ def fk_samples(
     *,
     n: int = 5,
     nulls: str = "fail",
-    max_broadcast_bytes: int | None = None,
+    max_broadcast_bytes: int | None = None,  # nothing is broadcast; kept for callers
 ) -> DataFrame:
     """The ``n`` smallest orphan FK values per rule, with their row counts.
 
-    Deterministic (ordered by value, nulls first), unlike a bare ``limit``;
-    a top-k (TakeOrderedAndProject) keeps ``n`` rows per map task.
+    Deterministic (ordered by value, nulls first), unlike a bare ``limit``. From
+    the same tagged union as the report: one scan of the target for all rules,
+    and at most ``n`` rows a rule and task are ranked.
     """
-    parts = []
-    for idx, _rule, fk, ref, ref_col, err, _msg in _prepare(target, rules, resolve):
-        if err is not None:
-            continue
-        top = (_orphan_keys(target, fk, ref, ref_col, nulls, max_broadcast_bytes)
-               .orderBy(F.col("__fk").asc_nulls_first()).limit(n))
-        w = Window.orderBy(F.col("__fk").asc_nulls_first())
-        parts.append(top.select(
-            F.lit(idx).alias("rule_idx"), F.lit(fk).alias("foreign_key"),
-            F.row_number().over(w).alias("rank"),
-            F.col("__fk").cast("string").alias("value"), "n_rows"))
-    if not parts:
+    prepared = list(_prepare(target, rules, resolve))
+    checks = _checks(target, prepared)
+    if not checks:
         return target.sparkSession.createDataFrame(
             [], "rule_idx int, foreign_key string, rank int, value string, n_rows long")
-    return reduce(DataFrame.unionByName, parts)
+    keys = _key_columns(checks)
+    order = [F.col(k).asc_nulls_first() for k in keys.values()]  # a rule has values in one of them
+    ranked = _orphans(target, checks, nulls).withColumn("rank", F.row_number().over(Window.partitionBy("rule_idx").orderBy(*order)))
+    own = [(F.col("rule_idx") == c.idx, c.fk, F.col(keys[c.kind]).cast(target.schema[c.fk].dataType).cast("string")) for c in checks]
+    return ranked.filter(F.col("rank") <= n).select(
+        "rule_idx", F.coalesce(*[F.when(mine, F.lit(fk)) for mine, fk, _ in own]).alias("foreign_key"), "rank",
+        F.coalesce(*[F.when(mine, value) for mine, _, value in own]).alias("value"), "n_rows")

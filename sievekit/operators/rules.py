@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,18 +184,57 @@ def _null_count(df: DataFrame, column: str | None) -> Column:
     return F.count_if(F.col(f"`{column}`").isNull())
 
 
-def rule_report(df: DataFrame, rules: Sequence[Mapping], **options) -> DataFrame:
-    """One report row per rule, from a single aggregate scan."""
+def _sample_row(r: CompiledRule, key_columns: Sequence[str]) -> Column:
+    """What violations of a rule are ordered by: value as text, then the keys."""
+    return F.struct(F.col(f"`{r.column}`").cast("string").alias("value"),
+                    *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(key_columns)])
+
+
+def _cut(r: CompiledRule, key_columns: Sequence[str], n: int) -> Column:
+    """A (value, keys) that at least ``n`` violations of a rule do not exceed.
+
+    Violations are dealt into ``n`` classes by a hash; the smallest of every
+    class is at most the largest of these ``n`` minima, and they are ``n``
+    different rows. About ``n * ln(n)`` rows lie below. Null when a class has
+    none: then nothing is cut.
+    """
+    row = _sample_row(r, key_columns)
+    of = F.pmod(F.xxhash64(row), F.lit(n))
+    least = [F.min(F.when(r.violation & (of == i), row)) for i in range(n)]
+    every = reduce(Column.__and__, [x.isNotNull() for x in least])
+    return F.when(every, F.greatest(*least) if n > 1 else least[0])
+
+
+def rule_counts(df: DataFrame, rules: Sequence[Mapping], key_columns: Sequence[str] = (), n_samples: int = 0, **options) -> DataFrame:
+    """One row: the counts of all rules, and with ``n_samples`` a cut per rule
+    below which its first ``n_samples`` violations by (value, keys) lie. Pass
+    it (staged) to ``rule_report`` and ``violation_samples``, and both together
+    read the table twice, whatever the number of rules."""
     compiled = compile_rules(df, rules, **options)
     aggs = [F.count(F.lit(1)).alias("__n")]
-    nulls: dict[str, str] = {}  # one null count per column, whatever the number of its rules
+    nulls = _null_names(compiled)
+    aggs += [_null_count(df, column).alias(name) for column, name in nulls.items()]
     for r in compiled:
         if r.violation is not None:
             aggs.append(F.count_if(r.violation).alias(f"__v{r.idx}"))
-            if r.column not in nulls:
-                nulls[r.column] = f"__z{len(nulls)}"
-                aggs.append(_null_count(df, r.column).alias(nulls[r.column]))
-    counts = df.agg(*aggs)
+            if n_samples:
+                aggs.append(_cut(r, key_columns, n_samples).alias(f"__c{r.idx}"))
+    return df.agg(*aggs)
+
+
+def _null_names(compiled: Sequence[CompiledRule]) -> dict[str, str]:
+    """One null count per column, whatever the number of its rules."""
+    columns = dict.fromkeys(r.column for r in compiled if r.violation is not None)
+    return {column: f"__z{i}" for i, column in enumerate(columns)}
+
+
+def rule_report(df: DataFrame, rules: Sequence[Mapping], counts: DataFrame | None = None, **options) -> DataFrame:
+    """One report row per rule, from a single aggregate scan (or
+    from the ``counts`` of ``rule_counts``)."""
+    compiled = compile_rules(df, rules, **options)
+    nulls = _null_names(compiled)
+    if counts is None:
+        counts = rule_counts(df, rules, **options)
     rows = []
     for r in compiled:
         if r.violation is not None:
@@ -285,30 +325,31 @@ def violation_rows(
 
 
 def violation_samples(
-    df: DataFrame, rules: Sequence[Mapping], key_columns: Sequence[str], n: int = 5, **options
+    df: DataFrame, rules: Sequence[Mapping], key_columns: Sequence[str], n: int = 5, counts: DataFrame | None = None, **options
 ) -> DataFrame:
     """The first ``n`` violations per rule by (value, keys) — deterministic.
 
-    One ``filter → orderBy → limit`` per rule: Spark plans it as
-    TakeOrderedAndProject, a bounded heap of ``n`` rows per task (no sort of
-    all violations), and column pruning lets each rule read only its own
-    column and the keys. Ranks are numbered afterwards over at most ``n`` rows
-    per rule.
+    The counts (``rule_counts`` with ``n_samples=n``; made here if not given)
+    hold a cut per rule. One scan then takes, for all failing rules, the few
+    violations below their cuts, which are ranked. A rule without a cut (few
+    violations, or masses of equal ones) is ranked over all of them, at most
+    ``n`` a task moving on. Clean rules add nothing.
     """
     compiled = [r for r in compile_rules(df, rules, **options) if r.violation is not None]
-    keys = [F.col(f"`{k}`") for k in key_columns]
-    order = [F.col("value").asc_nulls_first()] + [k.asc_nulls_first() for k in keys]
-    parts = [
-        df.filter(r.violation).select(
-            *keys, F.lit(r.idx).alias("rule_idx"), F.lit(r.rule_id).alias("rule_id"),
-            F.lit(r.column).alias("column"), F.col(f"`{r.column}`").cast("string").alias("value"),
-        ).orderBy(*order).limit(n)
+    if not compiled or n < 1:
+        return violation_rows(df, rules, key_columns, **options).drop("reason").withColumn("rank", F.lit(None).cast("int")).limit(0)
+    if counts is None:
+        counts = rule_counts(df, rules, key_columns, n, **options)
+    cut = {r.idx: F.col("__cuts")[f"__c{r.idx}"] for r in compiled}
+    hits = [
+        F.when(r.violation & (cut[r.idx].isNull() | (_sample_row(r, key_columns) <= cut[r.idx])), F.struct(
+            F.lit(r.idx).alias("rule_idx"), F.lit(r.rule_id).alias("rule_id"), F.lit(r.column).alias("column"),
+            F.col(f"`{r.column}`").cast("string").alias("value")))
         for r in compiled
     ]
-    if not parts:
-        return violation_rows(df, rules, key_columns, **options).withColumn("rank", F.lit(None).cast("int"))
-    top = parts[0]
-    for p in parts[1:]:
-        top = top.unionByName(p)
-    w = Window.partitionBy("rule_idx").orderBy(*order)
-    return top.withColumn("rank", F.row_number().over(w))
+    # the cuts are a column, so that the one row of counts is worked out once
+    cuts = counts.select(F.struct(*[f"__c{r.idx}" for r in compiled])).scalar()
+    found = df.withColumn("__cuts", cuts).select(*[F.col(f"`{k}`") for k in key_columns], F.explode(F.array(*hits)).alias("h")).filter(
+        F.col("h").isNotNull()).select(*[F.col(f"`{k}`") for k in key_columns], "h.*")
+    order = [F.col("value").asc_nulls_first()] + [F.col(f"`{k}`").asc_nulls_first() for k in key_columns]
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("rule_idx").orderBy(*order))).filter(F.col("rank") <= n)

@@ -79,3 +79,38 @@ def test_report_paths_agree(spark):
         a = sorted(tuple(r) for r in J.fk_report(target, RULES, refs, nulls=nulls).collect())
         b = sorted(tuple(r) for r in J.fk_report(target, RULES, refs, nulls=nulls, max_broadcast_bytes=0).collect())
         assert a == b
+
+
+def test_many_rules_of_several_key_types_at_once(spark):
+    """Text, number and date keys, two rules on one reference, mixed widths, hot keys: all in one aggregate."""
+    import datetime as dt
+
+    day = dt.date(2024, 1, 1)
+    rows = [(i, i % 5, f"k{i % 7}", float(i % 3), day + dt.timedelta(i % 4), 7 if i % 3 else i) for i in range(600)] + [(600, None, None, None, None, None)]
+    target = spark.createDataFrame(rows, "id int, a int, b string, c double, d date, hot long")
+    refs = J.mapping_resolver({
+        "nums": spark.createDataFrame([(0, 0), (1, 1), (1, 7), (None, 300)], "k long, other int"),
+        "texts": spark.createDataFrame([("k0",), ("k3",), ("k3",)], "k string"),
+        "days": spark.createDataFrame([(day,)], "k date")})
+    rules = [{"foreign_key": fk, "reference_table": t, "reference_column": c} for fk, t, c in (
+        ("a", "nums", "k"), ("b", "texts", "k"), ("c", "nums", "k"), ("d", "days", "k"), ("hot", "nums", "other"), ("a", "nums", "other"), ("d", "nums", "k"))]
+    known = [{0, 1}, {"k0", "k3"}, {0.0, 1.0}, {day}, {0, 1, 7, 300}, {0, 1, 7, 300}]
+    column = [1, 2, 3, 4, 5, 1]
+    for nulls in ("fail", "ignore"):
+        bad = [[r[c] for r in rows if r[c] not in k and (nulls == "fail" or r[c] is not None)] for c, k in zip(column, known)]
+        report = sorted(tuple(r)[0:1] + tuple(r)[4:7] for r in J.fk_report(target, rules, refs, nulls=nulls).collect())
+        assert report[:6] == [(i, "fail", len(b), len(set(b))) for i, b in enumerate(bad)]
+        assert report[6] == (6, "type_mismatch", None, None)
+        samples = J.fk_samples(target, rules, refs, n=2, nulls=nulls).collect()
+        for i, b in enumerate(bad):
+            want = [(None if v is None else str(v), b.count(v)) for v in sorted(set(b), key=lambda v: (v is not None, v if v is not None else 0))[:2]]
+            assert [(r.value, r.n_rows) for r in sorted(samples, key=lambda r: r["rank"]) if r.rule_idx == i] == want
+
+
+def test_few_orphans_path_agrees_with_the_anti_join(spark):
+    target, refs = _setup(spark)
+    for nulls in ("fail", "ignore"):
+        want = sorted((r.id, r.failed_fk) for r in J.fk_violations(target, RULES, refs, nulls=nulls, max_broadcast_bytes=0).collect())
+        few = sorted((r.id, r.failed_fk) for r in J.fk_violations(target, RULES, refs, nulls=nulls, max_broadcast_bytes=1).collect())
+        some = sorted((r.id, r.failed_fk) for r in J.fk_violations(target, RULES, refs, nulls=nulls, max_broadcast_bytes=100).collect())
+        assert want == few == some

@@ -12,6 +12,7 @@ from sievekit.operators import rules as R
 from sievekit.operators.stats import group_stats
 from sievekit.plans import configs as cfg
 from sievekit.plans.tables import load
+from sievekit.session import stage_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,11 +36,14 @@ def test_rules_and_expectations_are_one_scan(spark):
         assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
 
 
-def test_samples_are_bounded_top_k(spark):
-    df = R.violation_samples(load(spark, SF, "lineitem"), cfg.LINEITEM_RULES, cfg.LINEITEM_KEYS)
-    text = _plan(df)
-    # one bounded top-k per valid rule, no sort of all violations
-    assert text.count("TakeOrderedAndProject") == 5
+def test_samples_are_one_scan_below_the_cuts(spark):
+    """One scan for the counts and cuts of all rules, one for all samples; with staged counts, one."""
+    li = load(spark, SF, "lineitem")
+    assert _plan(R.violation_samples(li, cfg.LINEITEM_RULES, cfg.LINEITEM_KEYS)).count("lineitem.parquet") == 2
+    counts = stage_table(R.rule_counts(li, cfg.LINEITEM_RULES, cfg.LINEITEM_KEYS, 5), "counts")
+    text = _plan(R.violation_samples(li, cfg.LINEITEM_RULES, cfg.LINEITEM_KEYS, counts=counts))
+    assert text.count("lineitem.parquet") == 1 and text.count("WindowGroupLimit") == 2
+    assert "lineitem.parquet" not in _plan(R.rule_report(li, cfg.LINEITEM_RULES, counts=counts))
 
 
 def test_log_lines_parsed_once(spark):
@@ -47,17 +51,30 @@ def test_log_lines_parsed_once(spark):
     assert plan.count("from_json(") == 1
 
 
-def test_fk_preaggregates_when_not_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("make", [J.fk_report, J.fk_samples])
+def test_foreign_keys_are_one_scan_and_one_exchange_of_keys(spark, make):
+    """All rules at once: no join, partial aggregation before the one exchange of keys."""
+    refs = J.mapping_resolver({"orders_finished": load(spark, SF, "orders"), "supplier": load(spark, SF, "supplier"),
+                               "part_small": load(spark, SF, "part")})
+    plan = _plan(make(load(spark, SF, "lineitem"), cfg.LINEITEM_FKS, refs))
+    assert plan.count("lineitem.parquet") == 1 and "Join" not in plan
+    moved = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", plan)
+    assert sum("__k0" in keys for keys in moved) == 1
+    below = plan[plan.index("Exchange hashpartitioning(rule_idx"):]
+    assert below.index("partial_sum(n_rows") < below.index("FileScan parquet")
+
+
+def test_large_references_with_few_orphans_are_one_more_scan(spark):
+    """No whole row is shuffled when the reference is large and its orphans are few."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
     try:
-        li = load(spark, SF, "lineitem")
-        refs = J.mapping_resolver({"orders_finished": load(spark, SF, "orders")})
-        rep = J.fk_report(li, cfg.LINEITEM_FKS[:1], refs, max_broadcast_bytes=1)
-        plan = _plan(rep)
-        assert "SortMergeJoin" in plan and "LeftAnti" in plan
-        # the FK side of the anti join is the (key, count) aggregate, not raw rows
-        anti = plan[plan.index("LeftAnti"):]
-        assert anti.index("HashAggregate") < anti.index("FileScan parquet")
+        target = spark.range(50000).select("id", (F.col("id") % 40000).alias("fk"))
+        ref = spark.range(100000).filter("id % 1000 != 7").select(F.col("id").alias("k"))
+        rules = [{"foreign_key": "fk", "reference_table": "ref", "reference_column": "k"}]
+        v = J.fk_violations(target, rules, J.mapping_resolver({"ref": ref}))
+        assert sorted(r.id for r in v.collect()) == [i for i in range(50000) if i % 40000 % 1000 == 7]
+        plan = _plan(v)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

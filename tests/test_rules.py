@@ -106,3 +106,44 @@ def test_violation_reasons(spark):
     assert got[("abc", 0)] == "not_numeric" and got[("100", 0)] == "above_max"
     assert got[("NaN", 0)] == "above_max" and got[(None, 0)] == "null"
     assert got[("", 1)] == "empty" and got[(None, 1)] == "null"
+
+
+def _brute_samples(rows, test, n):
+    return sorted((v is not None, v or "", k) for k, v in rows if test(v))[:n]
+
+
+def test_samples_below_the_cuts_equal_a_full_sort(spark):
+    """Few, many, no and equal violations; nulls; keys that break ties; any number of samples."""
+    import random
+
+    g = random.Random(5)
+    tables = [
+        [(i, g.choice(["a", "b", None, "", "zz", str(g.randrange(10 ** 6))])) for i in range(3000)],
+        [(i, None) for i in range(500)],
+        [(i % 7, "same") for i in range(400)],
+        [(1, "x")],
+        [],
+    ]
+    rules = [{"column": "v", "validation_type": "not_null"},
+             {"column": "v", "validation_type": "allowed_values", "values": ["a", "b"]},
+             {"column": "v", "validation_type": "regex_match", "pattern": "^[a-z0-9]*$"}]
+    tests = [lambda v: v is None or v == "", lambda v: v is not None and v not in ("a", "b"),
+             lambda v: v is not None and not v.isalnum() and v != ""]
+    for rows in tables:
+        df = spark.createDataFrame(rows, "id int, v string").repartition(3)
+        for n in (1, 4, 9):
+            got = R.violation_samples(df, rules, ["id"], n=n).collect()
+            for i, test in enumerate(tests):
+                mine = sorted((r["rank"], r["value"] is not None, r["value"] or "", r["id"]) for r in got if r.rule_idx == i)
+                assert [m[1:] for m in mine] == _brute_samples(rows, test, n)
+                assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
+
+
+def test_report_and_samples_from_the_same_counts(spark):
+    df = spark.range(500).select("id", (F.col("id") % 9).cast("string").alias("v"))
+    rules = [{"column": "v", "validation_type": "allowed_values", "values": ["0"]}, {"column": "w", "validation_type": "not_null"}]
+    counts = R.rule_counts(df, rules, ["id"], 3)
+    key = lambda rows: sorted(tuple(r) for r in rows.collect())
+    assert key(R.rule_report(df, rules, counts=counts)) == key(R.rule_report(df, rules))
+    assert key(R.violation_samples(df, rules, ["id"], 3, counts=counts)) == key(R.violation_samples(df, rules, ["id"], 3))
+    assert R.violation_samples(df, rules[1:], ["id"], 3).collect() == []
