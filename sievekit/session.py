@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +86,20 @@ def stage_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     path = os.path.join(_stages(spark, base), f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+PACKAGE_ZIP = "sievekit-package.zip"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that Python tasks import it
+    wherever the driver was started from. Once an application."""
+    context = spark.sparkContext
+    if PACKAGE_ZIP in context._python_includes:
+        return
+    home = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="sievekit-ship-")) / PACKAGE_ZIP
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(home.rglob("*.py")):
+            out.write(source, str(source.relative_to(home.parent)))
+    context.addPyFile(str(target))

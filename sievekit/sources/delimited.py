@@ -1,21 +1,25 @@
-"""Delimited and line sources (S1, S2, S6), all values read as strings.
-
-S2 files carry a comment line before the header. Spark has no "skip N lines"
-option, so lines are numbered per file (``number_lines``) and parsed with
-``from_csv`` on the executors. Only the heads of the files (a few lines each)
-are read on the driver.
+"""Delimited and line sources (S1, S2, S6, R9), all values read as strings.
+
+One header for all files: Spark's CSV reader. Files with headers of their own,
+files with lines before the header, and rows addressed by line are read as
+byte ranges inside tasks (``ranges``): one job looks at the heads of all
+files, ranges learn their file's header from it, and lines carry the number of
+their header, so no file name and no line reaches the driver (the distinct
+headers do: they are the columns).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-HEADS_AT_ONCE = 16
+from sievekit.functions.sizing import broadcast_if_small
+from sievekit.session import stage_table
+from sievekit.sources import ranges as BR
 
 
 def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = True,
@@ -25,9 +29,9 @@ def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = Tr
     ``comment`` skips lines starting with that character (for files whose
     leading note is marked and whose header is not)."""
     if header and not comment:
-        headers = _headers(spark, path, sep, 1)
-        if len(headers) > 1:  # the CSV reader would read all files under the first one's header
-            return _parsed(number_lines(spark, path).filter(F.col("line_number") > 1), headers, sep)
+        source = _Headed(spark, path, sep, 1)
+        if len(source.headers) > 1:  # the CSV reader would read all files under the first one's header
+            return source.parsed(source.lines())
     reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
               .option("inferSchema", "false"))
     if comment:
@@ -38,39 +42,59 @@ def read_delimited(spark: SparkSession, path, sep: str = "\t", header: bool = Tr
 def first_lines(spark: SparkSession, path, n: int = 5) -> DataFrame:
     """The first ``n`` lines of every file: (file_path, line_number, value).
 
-    A bounded read: each file is opened for its first lines only, a few files
-    at a time; what reaches the driver are ``n`` lines a file."""
-    def head(name: str) -> list[tuple[str, int, str]]:
-        lines = spark.read.text(name).select("value", F.col("_metadata.file_path")).take(n)
-        return [(r[1], i, r[0]) for i, r in enumerate(lines, start=1)]
-
-    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
-        rows = [r for part in pool.map(head, sorted(spark.read.text(path).inputFiles())) for r in part]
-    return spark.createDataFrame(rows, "file_path string, line_number int, value string")
-
-
-def _headers(spark: SparkSession, path, sep: str, line: int) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header (its column names), from line ``line`` of each file."""
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in first_lines(spark, path, line).filter(F.col("line_number") == line).collect():
-        out.setdefault(tuple(c.strip() for c in r["value"].split(sep)), []).append(r["file_path"])
-    if not out:
-        raise ValueError(f"no header line found in {path}")
-    return out
-
-
-def _parsed(data: DataFrame, headers: dict, sep: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``value`` of each file parsed under the file's own header; files with
-    other columns are stacked by name."""
-    parts = []
-    for names, files in headers.items():
-        own = data if len(headers) == 1 else data.filter(F.col("file_path").isin(files))
-        parsed = own.select(*keep, F.from_csv("value", _ddl(names), {"sep": sep}).alias("r"))
-        parts.append(parsed.select(*[F.col(f"r.`{n}`") for n in names], *keep))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    One job for any number of files; each is opened for its first lines only."""
+    table = BR.byte_ranges(spark, path)
+    if BR.can_open(table):
+        return BR.read_heads(table, n).drop("after")
+    return _numbered_by_reader(spark, path).filter(F.col("line_number") <= n).select(
+        "file_path", F.col("line_number").cast("int").alias("line_number"), "value")
+
+
+class _Headed:
+    """Files whose line ``line`` names their columns; what stands above is no data."""
+
+    def __init__(self, spark: SparkSession, path, sep: str, line: int):
+        self.spark, self.path, self.sep, self.line = spark, path, sep, line
+        self.ranges = BR.byte_ranges(spark, path)
+        self.opened = BR.can_open(self.ranges)
+        heads = BR.read_heads(self.ranges, line) if self.opened else _numbered_by_reader(spark, path).withColumn(
+            "after", F.lit(None).cast("long"))
+        names = F.transform(F.split("value", _literal(sep), -1), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
+        heads = heads.filter(F.col("line_number") == line).select("file_path", names.alias("names"), "after")
+        self.heads = stage_table(heads, "file-heads")
+        # as many rows as there are different headers
+        found = self.heads.groupBy("names").agg(F.min("file_path").alias("first")).orderBy("first").collect()
+        if not found:
+            raise ValueError(f"no header line found in {path}")
+        self.headers = [tuple(r["names"]) for r in found]
+        numbers = spark.createDataFrame([(i, list(h)) for i, h in enumerate(self.headers)], "header int, names array<string>")
+        self.files = self.heads.join(F.broadcast(numbers), "names").select("file_path", "header", "after", F.size("names").alias("n_names"))
+
+    def lines(self, numbered: bool = False) -> DataFrame:
+        """(file_path, header, n_names, value and, if ``numbered``, line_number) of the data lines."""
+        keep = ("file_path", "header", "n_names")
+        if not self.opened:
+            every = _numbered_by_reader(self.spark, self.path).filter(F.col("line_number") > self.line)
+            return every.join(broadcast_if_small(self.files), "file_path").select(*keep, "value", "line_number")
+        mine = BR.numbered_ranges(self.ranges) if numbered else self.ranges
+        mine = stage_table(mine.join(self.files.filter("after is not null"), "file_path").filter(
+            F.col("end").isNull() | (F.col("end") > F.col("after"))), "headed-ranges")
+        out = BR.read_lines(mine, (*keep, "after")).filter(F.col("offset") >= F.col("after"))
+        return out.select(*keep, "value", *(["line_number"] if numbered else []))
+
+    def parsed(self, lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """``value`` of each file parsed under the file's own header; files with
+        other columns are stacked by name."""
+        if len(self.headers) == 1:
+            fields = F.from_csv("value", _ddl(self.headers[0]), {"sep": self.sep})
+            return lines.select(*keep, fields.alias("r")).select(*[F.col(f"r.`{n}`") for n in self.headers[0]], *keep)
+        places = [f"_c{i}" for i in range(max(map(len, self.headers)))]
+        fields = F.from_csv("value", _ddl(places), {"sep": self.sep})
+        columns = []
+        for name in dict.fromkeys(n for h in self.headers for n in h):
+            own = [F.when(F.col("header") == i, F.col(f"r.{places[h.index(name)]}")) for i, h in enumerate(self.headers) if name in h]
+            columns.append(F.coalesce(*own).alias(name))
+        return lines.select("header", *keep, fields.alias("r")).select(*columns, *keep)
 
 
 def _ddl(names) -> str:
@@ -80,11 +104,11 @@ def _ddl(names) -> str:
 def read_delimited_after_comment(spark: SparkSession, path, sep: str = "\t", skip: int = 1) -> DataFrame:
     """Drop ``skip`` leading lines of each file, take the next as header.
 
-    Lines are numbered per file, so each file loses exactly its own head; a
-    file whose columns are in another order, or others, keeps its own names.
+    Each file loses exactly its own head; a file whose columns are in another
+    order, or others, keeps its own names. No line is numbered or copied.
     """
-    headers = _headers(spark, path, sep, skip + 1)
-    return _parsed(number_lines(spark, path).filter(F.col("line_number") > skip + 1), headers, sep)
+    source = _Headed(spark, path, sep, skip + 1)
+    return source.parsed(source.lines())
 
 
 def read_id_list(spark: SparkSession, path) -> DataFrame:
@@ -93,25 +117,31 @@ def read_id_list(spark: SparkSession, path) -> DataFrame:
             .filter(F.col("id") != ""))
 
 
-SPLIT_TABLE_MAX_BYTES = 64 * 1024 * 1024
-
-
 def number_lines(spark: SparkSession, path) -> DataFrame:
     """Every line of every file with its exact 1-based line number in its file.
 
-    The file is read once, into a stage table that keeps each line's split
-    (byte offset) and its ``monotonically_increasing_id``, consecutive within
-    a split. Counts per split and the lines both come from that table, so a
-    split layout that changes between two reads cannot lose lines. Rows per
-    split are counted into a small table; a running sum over each file's
-    splits gives every split's first line number. Nothing is gathered per file.
-
-    The split table is bounded by the number of input splits (about a million
-    for 100 TB) and broadcast only under ``SPLIT_TABLE_MAX_BYTES``.
+    Line ends are counted per byte range, a running sum over the ranges of each
+    file gives every range its first line number, and the lines are read with
+    it: two reads of the bytes, no copy, nothing that depends on split settings.
     """
-    from sievekit.functions.sizing import broadcast_if_small
-    from sievekit.session import stage_table
+    table = BR.byte_ranges(spark, path)
+    if not BR.can_open(table):
+        return _numbered_by_reader(spark, path)
+    return BR.read_lines(BR.numbered_ranges(table)).select("file_path", "line_number", "value")
+
 
+SPLIT_TABLE_MAX_BYTES = 64 * 1024 * 1024
+
+
+def _numbered_by_reader(spark: SparkSession, path) -> DataFrame:
+    """``number_lines`` for stores that only Spark's readers open.
+
+    The lines are staged once with their split and their
+    ``monotonically_increasing_id``, consecutive within a split; counts per
+    split and the lines both come from that copy, so a layout that changes
+    between two reads cannot lose lines. The split table is broadcast only
+    under ``SPLIT_TABLE_MAX_BYTES``.
+    """
     lines = stage_table(spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -131,9 +161,8 @@ def read_delimited_numbered(spark: SparkSession, path, sep: str = "\t", skip: in
     """S1/S2 with row addresses: columns of the file plus ``file_path`` and
     ``line_number`` (the header is line ``skip + 1``), for R8 violation lists
     addressed by line, as the row-at-a-time checker reports them."""
-    headers = _headers(spark, path, sep, skip + 1)
-    data = number_lines(spark, path).filter(F.col("line_number") > skip + 1)
-    return _parsed(data, headers, sep, keep=("file_path", "line_number"))
+    source = _Headed(spark, path, sep, skip + 1)
+    return source.parsed(source.lines(numbered=True), keep=("file_path", "line_number"))
 
 
 def short_rows(spark: SparkSession, path, sep: str = "\t", skip: int = 0) -> DataFrame:
@@ -141,16 +170,13 @@ def short_rows(spark: SparkSession, path, sep: str = "\t", skip: int = 0) -> Dat
     field), which the CSV reader would silently fill with nulls.
 
     Rows are (file_path, line_number, n_fields, n_expected, value); each file's
-    header is its line ``skip + 1``.
+    header is its line ``skip + 1``. Lines are numbered as in ``number_lines``.
     """
-    fields = F.size(F.split("value", _literal(sep), -1))
-    expected = first_lines(spark, path, skip + 1).filter(F.col("line_number") == skip + 1).select(
-        "file_path", fields.alias("n_expected"))
-    data = number_lines(spark, path).filter(F.col("line_number") > skip + 1).join(expected, "file_path")
-    return (data.withColumn("n_fields", fields).filter(F.col("n_fields") < F.col("n_expected"))
-            .select("file_path", "line_number", "n_fields", "n_expected", "value"))
+    source = _Headed(spark, path, sep, skip + 1)
+    data = source.lines(numbered=True).withColumn("n_fields", F.size(F.split("value", _literal(sep), -1)))
+    return data.filter(F.col("n_fields") < F.col("n_names")).select(
+        "file_path", "line_number", "n_fields", F.col("n_names").alias("n_expected"), "value")
 
 
 def _literal(sep: str) -> str:
-    import re
     return re.escape(sep) if sep not in ("\t", "\n") else sep
