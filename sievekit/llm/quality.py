@@ -159,8 +159,8 @@ class Model:
 def _feature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = [features(t) for t in token_hashes(b.column("text").to_pylist())]
-        yield pa.record_batch([b.column("shard"), b.column("turn"), b.column("label"), pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                               pa.array([f[1] for f in found], pa.list_(pa.float64()))],
+        yield pa.record_batch([b.column("shard"), b.column("turn"), b.column("label"), pa.array([f[0].astype("<i4").tobytes() for f in found], pa.binary()),
+                               pa.array([f[1].astype("<f4").tobytes() for f in found], pa.binary())],
                               names=["shard", "turn", "label", "bucket", "value"])
 
 
@@ -171,18 +171,17 @@ def _learnt(z: np.ndarray, n: np.ndarray) -> Callable:
 
         def changed() -> pa.RecordBatch:
             at = np.flatnonzero((leader.z != z) | (leader.n != n))
-            return pa.record_batch([pa.array([now], pa.int32()), pa.array([at], pa.list_(pa.int64())),
-                                    pa.array([leader.z[at] - z[at]], pa.list_(pa.float64())),
-                                    pa.array([leader.n[at] - n[at]], pa.list_(pa.float64()))], names=["shard", "at", "z", "n"])
+            found = at.astype("<i4"), leader.z[at] - z[at], leader.n[at] - n[at]
+            return pa.record_batch([pa.array([now], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in found)],
+                                   names=["shard", "at", "z", "n"])
 
         for b in batches:
-            for shard, label, bucket, value in zip(b.column("shard").to_pylist(), b.column("label").to_pylist(), b.column("bucket"),
-                                                   b.column("value"), strict=True):
+            for shard, label, bucket, value in zip(*(b.column(c).to_pylist() for c in ("shard", "label", "bucket", "value")), strict=True):
                 if shard != now:
                     if leader is not None:
                         yield changed()
                     now, leader = shard, Leader(z.copy(), n.copy())
-                leader.learn(bucket.values.to_numpy(), value.values.to_numpy(), label)
+                leader.learn(np.frombuffer(bucket, "<i4"), np.frombuffer(value, "<f4").astype(np.float64), label)
         if leader is not None:
             yield changed()
 
@@ -201,20 +200,20 @@ def fit_quality(docs: DataFrame, labels: DataFrame, may_learn: Column | None = N
     learnt = texts.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select(
         F.pmod(F.xxhash64("label_id"), F.lit(SHARDS)).cast("int").alias("shard"),
         F.xxhash64("label_id", F.lit(1), "text", "label").alias("turn"), "label", "text")
-    learnt = stage(learnt.mapInArrow(_feature_rows, "shard int, turn long, label int, bucket array<long>, value array<double>"),
-                   "quality-features")
+    rows = learnt.mapInArrow(_feature_rows, "shard int, turn long, label int, bucket binary, value binary")
+    learnt = stage(rows.repartitionByRange(SHARDS, "shard").sortWithinPartitions("shard", "turn"), "quality-features")  # a file a shard
     counts = {r["label"]: r["count"] for r in learnt.groupBy("label").count().collect()}
     if len(counts) < 2:
         return Model(np.empty(0, np.int64), np.empty(0), 0.0)
-    order = learnt.repartition(SHARDS, "shard").sortWithinPartitions("shard", "turn")
     leader = Leader()
     rounds = min(MOST_ROUNDS, max(ROUNDS, UPDATES // sum(counts.values())))
     for _ in range(rounds):
-        found = order.mapInArrow(_learnt(leader.z, leader.n), "shard int, at array<long>, z array<double>, n array<double>").collect()
-        for r in sorted(found, key=lambda r: r["shard"]):  # in one order, so that sums are the same each time
-            at = np.array(r["at"], dtype=np.int64)
-            leader.z[at] += np.array(r["z"]) / len(found)
-            leader.n[at] += np.array(r["n"]) / len(found)
+        # what changed in a shard: at most 20 bytes a bucket
+        found = learnt.mapInArrow(_learnt(leader.z, leader.n), "shard int, at binary, z binary, n binary").collect()
+        for r in sorted(found, key=lambda r: (r["shard"], len(r["at"]))):  # in one order, so that sums are the same each time
+            at = np.frombuffer(r["at"], "<i4")
+            leader.z[at] += np.frombuffer(r["z"]) / len(found)
+            leader.n[at] += np.frombuffer(r["n"]) / len(found)
     w = leader.weights()
     bucket = np.flatnonzero(w[:-1])
     return Model(bucket, w[bucket], float(w[-1]))
