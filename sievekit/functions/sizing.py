@@ -18,6 +18,9 @@ _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 2
           "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
 
 
+ROW_BYTES = 64  # memory that a broadcast row takes besides the bytes of its values, counted generously
+
+
 def parse_bytes(text) -> int | None:
     """A byte setting such as ``10485760``, ``64m``, ``1MB`` or ``-1``; None
     when it cannot be read (then nothing is hinted)."""

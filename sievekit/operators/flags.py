@@ -15,25 +15,26 @@ from pyspark.sql import functions as F
 
 from sievekit.functions.columns import flag
 from sievekit.functions.sizing import is_small
-from sievekit.functions.skew import MAX_HOT, SALT_BUCKETS, salted_lookup
+from sievekit.functions.skew import MAX_HOT, salted_lookup
 
 
 def flag_by_keys(
     df: DataFrame, column: str, keys: DataFrame, key_column: str, flag_name: str,
     *, max_broadcast_bytes: int | None = None, key_expr: Column | None = None,
-    salt_buckets: int = SALT_BUCKETS, max_hot: int = MAX_HOT,
+    salt_buckets: int | None = None, max_hot: int = MAX_HOT, few: bool = False,
 ) -> DataFrame:
     """K9: add 0/1 ``flag_name``: 1 when ``df[column]`` (or ``key_expr``) is in the key set.
 
     Where the key set is too large to broadcast, rows of hot values (more than
-    one in ``max_hot`` rows, by a partial count) are salted, so that a value
-    that a third of the rows hold spreads over ``salt_buckets`` partitions.
+    one in ``max_hot`` rows, by a partial count) are salted, into as many pieces
+    as their number asks for (``salt_buckets`` sets it). ``few``: the caller has
+    counted the keys and may broadcast them.
     """
     k = (keys.select(F.col(f"`{key_column}`").alias("__probe")).filter(F.col("__probe").isNotNull())
          .distinct().withColumn("__hit", F.lit(1)))
     probe = key_expr if key_expr is not None else F.col(f"`{column}`")
     left = df.withColumn("__probe", probe)
-    if is_small(k, max_broadcast_bytes):
+    if few or is_small(k, max_broadcast_bytes):
         joined = left.join(F.broadcast(k), "__probe", "left")
     else:
         joined = salted_lookup(left, k, ["__probe"], buckets=salt_buckets, max_hot=max_hot)
@@ -79,19 +80,20 @@ def completeness(found: DataFrame, found_column: str, expected: DataFrame, expec
 
 
 def lookup_both_sides(
-    pairs: DataFrame, left: str, right: str, attrs: DataFrame, key: str, columns: Sequence[str],
+    pairs: DataFrame, left: str, right: str, attrs: DataFrame, key: str, columns: Sequence[str], few: bool = False,
 ) -> DataFrame:
     """Attach ``columns`` of ``attrs`` to both members of each pair.
 
     Two left joins; the attribute of ``left`` gets suffix ``1``, of ``right``
     suffix ``2``. ``attrs`` must be unique on ``key``. Attributes too large to
-    broadcast are joined salted, so a hot member is no single task's.
+    broadcast are joined salted, so a hot member is no single task's. ``few``:
+    the caller has counted the attributes and may broadcast them.
     """
     out = pairs
     for side, suffix in ((left, "1"), (right, "2")):
         known = attrs.filter(F.col(key).isNotNull()).select(
             F.col(key).alias(side), *[F.col(c).alias(f"{c}{suffix}") for c in columns])
-        if is_small(known):
+        if few or is_small(known):
             out = out.join(F.broadcast(known.withColumnRenamed(side, "__k")), F.col(side) == F.col("__k"), "left").drop("__k")
         else:
             out = salted_lookup(out, known, [side])

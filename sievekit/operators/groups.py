@@ -11,12 +11,13 @@ the list that row already held.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.columns import _split
-from sievekit.functions.skew import MAX_HOT, SALT_BUCKETS, null_safe_join, salted_lookup
+from sievekit.functions.skew import MAX_HOT, null_safe_join, salted_lookup
 
 MIN_GROUP_SIZE = 2  # fixed value: minimum group (clade) size of the curation stages
 
@@ -71,7 +72,7 @@ def _with_all_groups(groups: DataFrame, group_cols: Sequence[str], all_groups: D
 def filter_stage(
     members: DataFrame, group_cols: Sequence[str], removed: str = "removed",
     min_size: int = MIN_GROUP_SIZE, all_groups: DataFrame | None = None,
-    groups_from_rows: bool = False, salt_buckets: int = SALT_BUCKETS, max_hot: int = MAX_HOT,
+    groups_from_rows: bool = False, salt_buckets: int | None = None, max_hot: int = MAX_HOT,
 ) -> tuple[DataFrame, DataFrame]:
     """One curation stage.
 
@@ -91,8 +92,9 @@ def filter_stage(
     Groups that hold more than one in ``max_hot`` of all members (so at most
     ``max_hot`` groups; their counts come from the group table) are joined back
     salted: their members get a salt from a hash of the row, and their group
-    row is repeated per salt, so a hot group spreads over ``salt_buckets``
-    partitions. A null group is a group like any other.
+    row is repeated per salt, so a hot group spreads over as many pieces as its
+    size asks for (``salt_buckets`` sets the number, 0 for a plain join). A null
+    group is a group like any other.
     """
     if groups_from_rows:
         return _filter_stage_window(members, group_cols, removed, min_size, all_groups)
@@ -109,6 +111,45 @@ def filter_stage(
     return tagged, groups
 
 
+def fold_stages(
+    members: DataFrame, group_cols: Sequence[str], flags: Sequence[str], min_size: int = MIN_GROUP_SIZE,
+    all_groups: DataFrame | None = None, salt_buckets: int | None = None,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """G3-G6 over several stages at once, from one grouped count and one join.
+
+    ``flags`` name 0/1 columns, one a stage: the members that the stage itself
+    removes (of those it still finds). What a stage finds depends on earlier
+    stages only through these flags and through whole groups that fell below
+    ``min_size``, so the counts of members without the first i flags decide all
+    stages. Members gain, per stage i from 1, ``cascade{i}`` and ``retained{i}``;
+    the group table of every stage is as in ``filter_stage``.
+    """
+    clear = [reduce(Column.__and__, [F.col(f) == 0 for f in flags[: i + 1]]) for i in range(len(flags))]
+    counts = members.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_members"), *[
+        F.count_if(c).alias(f"__own{i}") for i, c in enumerate(clear, start=1)])
+    found = F.lit(True)
+    decided = counts
+    for i in range(1, len(flags) + 1):
+        decided = decided.withColumn(f"__n{i}", F.when(found, F.col(f"__own{i}")).otherwise(F.lit(0).cast("long")))
+        decided = decided.withColumn(f"__kept{i}", F.col(f"__n{i}") >= F.lit(min_size))
+        found = F.col(f"__kept{i}")
+    groups = []
+    for i in range(1, len(flags) + 1):
+        n_members, n = F.col("n_members"), F.col(f"__n{i}")
+        own = decided.select(*group_cols, "n_members", (n_members - n).alias("n_removed"), n.alias("n_retained"))
+        own = _with_all_groups(own, group_cols, all_groups) if i == 1 else own
+        groups.append(own.withColumn("kept", F.col("n_retained") >= F.lit(min_size)))
+    table = decided.select(*group_cols, *[f"__kept{i}" for i in range(1, len(flags) + 1)])
+    out = salted_lookup(members, table, list(group_cols), counts, "n_members", buckets=salt_buckets)
+    before = F.lit(True)
+    for i, c in enumerate(clear, start=1):
+        kept, own = F.col(f"__kept{i}"), before & c
+        out = out.withColumn(f"cascade{i}", F.when(own & ~kept, 1).otherwise(0)).withColumn(
+            f"retained{i}", F.when(own & kept, 1).otherwise(0))
+        before = F.col(f"retained{i}") == 1
+    return out.drop(*[f"__kept{i}" for i in range(1, len(flags) + 1)]), groups
+
+
 def _filter_stage_window(members, group_cols, removed, min_size, all_groups):
     from pyspark.sql.window import Window
 

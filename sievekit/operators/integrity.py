@@ -4,9 +4,10 @@ All rules of a target are counted by ONE tagged union: a single scan of the
 target emits (rule, key, one row), every reference table emits (rule, key,
 mark), and one grouped sum and maximum over both gives, for every rule and
 key, how many rows use it and whether the reference has it. Counts, samples and
-orphan keys all come from that table. There is no join; a key that holds a
-third of the target is one row per map task (partial aggregation), and the one
-exchange moves distinct keys only.
+orphan keys all come from that table. Nothing is joined by a shuffle; a key that
+holds a third of the target is one row per map task (partial aggregation), and
+the one exchange moves distinct keys only. References under the size bound are
+looked up within the same scan (a broadcast), so that only missing keys go on.
 
 Violating rows (J5/J6) need whole rows: one scan of the target for all rules
 whose reference keys, or whose orphan keys, are few enough to be broadcast; a
@@ -28,11 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sievekit.functions.sizing import broadcast_limit, is_small
+from sievekit.functions.sizing import ROW_BYTES, broadcast_limit, is_small
 from sievekit.session import stage_table
 
-ROW_BYTES = 64  # memory that a broadcast key takes besides its bytes, counted generously
-
 Resolver = Callable[[SparkSession, str | None, str], DataFrame]
 
 
@@ -133,29 +132,42 @@ def _key_columns(checks: Sequence[_Check]) -> dict[str, str]:
     return {kind: f"__k{i}" for i, kind in enumerate(dict.fromkeys(c.kind for c in checks))}
 
 
-def _tagged(df: DataFrame, checks: Sequence[_Check], columns: Sequence[str], keys: Mapping[str, str], nulls: bool) -> DataFrame:
-    """A row per row and check: (rule_idx, key in the column of its type)."""
+def _tagged(df: DataFrame, checks: Sequence[_Check], columns: Sequence[str], keys: Mapping[str, str], nulls: bool,
+            without: Mapping[int, Column]) -> DataFrame:
+    """A row per row and check: (rule_idx, key in the column of its type), but
+    for the rows that a check is said to be without."""
     cells = []
     for c, column in zip(checks, columns, strict=True):
-        cells.append(F.lit(c.idx))
+        cells.append(F.when(~without[c.idx], F.lit(c.idx)) if c.idx in without else F.lit(c.idx))
         cells += [(F.col(f"`{column}`") if kind == c.kind else F.lit(None)).cast(kind) for kind in keys]
     names = ["rule_idx", *keys.values()]
     out = df.select(F.stack(F.lit(len(checks)), *cells).alias(*names))
+    out = out.filter(F.col("rule_idx").isNotNull()) if without else out
     return out if nulls else out.filter(reduce(Column.__or__, [F.col(k).isNotNull() for k in keys.values()]))
 
 
-def _orphans(target: DataFrame, checks: Sequence[_Check], nulls: str) -> DataFrame:
-    """(rule_idx, key columns, n_rows): the keys of the target that no reference has."""
+def _orphans(target: DataFrame, checks: Sequence[_Check], nulls: str, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """(rule_idx, key columns, n_rows): the keys of the target that no reference has.
+
+    Keys of references small enough to be broadcast are looked up within the
+    scan, and only rows that miss go on; the other references are in the union."""
     if nulls not in ("fail", "ignore"):
         raise ValueError("nulls must be 'fail' or 'ignore'")
     keys = _key_columns(checks)
-    parts = [_tagged(target, checks, [c.fk for c in checks], keys, nulls == "fail").select(
+    known = {c.idx: _ref_keys(c.ref, c.ref_col, max_broadcast_bytes) for c in checks}
+    near = [(c.idx, c.fk, known[c.idx][0]) for c in checks if known[c.idx][1]]
+    rows, misses = _flag_misses(target.select(*[F.col(f"`{fk}`") for fk in dict.fromkeys(c.fk for c in checks)]), near, [], nulls)
+    hits = {idx: ~miss for idx, _fk, miss in misses}
+    if len(near) == len(checks):  # rows that miss nothing are none of the rest's business
+        rows = rows.filter(reduce(Column.__or__, [miss for _idx, _fk, miss in misses]))
+    parts = [_tagged(rows, checks, [c.fk for c in checks], keys, nulls == "fail", hits).select(
         "*", F.lit(1).cast("long").alias("n_rows"), F.lit(False).alias("__known"))]
     by_reference: dict[int, list[_Check]] = {}  # a reference table of several rules is read once
     for c in checks:
-        by_reference.setdefault(id(c.ref), []).append(c)
+        if not known[c.idx][1]:
+            by_reference.setdefault(id(c.ref), []).append(c)
     for same in by_reference.values():
-        parts.append(_tagged(same[0].ref, same, [c.ref_col for c in same], keys, False).select(
+        parts.append(_tagged(same[0].ref, same, [c.ref_col for c in same], keys, False, {}).select(
             "*", F.lit(0).cast("long").alias("n_rows"), F.lit(True).alias("__known")))
     grouped = reduce(DataFrame.unionByName, parts).groupBy("rule_idx", *keys.values()).agg(
         F.sum("n_rows").alias("n_rows"), F.bool_or("__known").alias("__known"))
@@ -192,7 +204,7 @@ def _few_orphans(target: DataFrame, large: list, nulls: str, max_bytes: int) ->
     """Per rule its orphan keys (``__orphan``), for the rules whose orphan keys
     are counted to take at most ``max_bytes`` of memory; staged."""
     checks = _checks(target, [(idx, rule, fk, ref, ref_col, None, None) for idx, fk, _keys, rule, ref, ref_col in large])
-    found = stage_table(_orphans(target, checks, nulls), "fk-orphans")
+    found = stage_table(_orphans(target, checks, nulls, 0), "fk-orphans")
     keys = _key_columns(checks)
     width = reduce(Column.__add__, [F.coalesce(F.octet_length(k) if kind == "string" else F.lit(16), F.lit(0)) for kind, k in keys.items()])
     sizes = {r["rule_idx"]: r["bytes"] for r in found.groupBy("rule_idx").agg(F.sum(width + ROW_BYTES).alias("bytes")).collect()}
@@ -220,7 +232,7 @@ def fk_report(
     resolve: Resolver | None = None,
     *,
     nulls: str = "fail",
-    max_broadcast_bytes: int | None = None,  # nothing is broadcast; kept for callers
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """One row per rule with violation counts or an error status.
 
@@ -232,7 +244,7 @@ def fk_report(
     totals = target.sparkSession.range(1)
     if checks:
         mine = {c.idx: F.col("rule_idx") == c.idx for c in checks}
-        totals = _orphans(target, checks, nulls).agg(
+        totals = _orphans(target, checks, nulls, max_broadcast_bytes).agg(
             *[F.coalesce(F.sum(F.when(m, F.col("n_rows"))), F.lit(0)).cast("long").alias(f"__v{i}") for i, m in mine.items()],
             *[F.count_if(m).alias(f"__o{i}") for i, m in mine.items()])
     rows = []
@@ -317,7 +329,7 @@ def fk_samples(
     *,
     n: int = 5,
     nulls: str = "fail",
-    max_broadcast_bytes: int | None = None,  # nothing is broadcast; kept for callers
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """The ``n`` smallest orphan FK values per rule, with their row counts.
 
@@ -332,7 +344,7 @@ def fk_samples(
             [], "rule_idx int, foreign_key string, rank int, value string, n_rows long")
     keys = _key_columns(checks)
     order = [F.col(k).asc_nulls_first() for k in keys.values()]  # a rule has values in one of them
-    ranked = _orphans(target, checks, nulls).withColumn("rank", F.row_number().over(Window.partitionBy("rule_idx").orderBy(*order)))
+    ranked = _orphans(target, checks, nulls, max_broadcast_bytes).withColumn("rank", F.row_number().over(Window.partitionBy("rule_idx").orderBy(*order)))
     own = [(F.col("rule_idx") == c.idx, c.fk, F.col(keys[c.kind]).cast(target.schema[c.fk].dataType).cast("string")) for c in checks]
     return ranked.filter(F.col("rank") <= n).select(
         "rule_idx", F.coalesce(*[F.when(mine, F.lit(fk)) for mine, fk, _ in own]).alias("foreign_key"), "rank",

@@ -22,21 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.functions.columns import pair_key, pairs_in_group, row_min
-from sievekit.functions.skew import MAX_HOT, SALT_BUCKETS, salted_lookup
+from sievekit.functions.skew import MAX_HOT, null_safe_join, salted_lookup
 from sievekit.operators.flags import lookup_both_sides
 
 
 def valid_pairs(
     pairs: DataFrame, members: DataFrame, *, left: str = "genome1", right: str = "genome2",
-    member: str = "member", group: str = "group", size: str = "size",
+    member: str = "member", group: str = "group", size: str = "size", few_members: bool = False,
 ) -> DataFrame:
     """G8 (re-aimed), G10, G11, K14, K15: scored pairs whose two members share a group.
 
     ``members`` is unique on ``member``. Adds group, size1, size2, min_size and
     the canonical ``pair_key``; drops self pairs and pairs across groups.
+    ``few_members``: the caller has counted the members and may broadcast them.
     """
     attrs = members.select(F.col(member).alias("__m"), F.col(group).alias("grp"), F.col(size).alias("size"))
-    both = lookup_both_sides(pairs, left, right, attrs, "__m", ["grp", "size"])
+    both = lookup_both_sides(pairs, left, right, attrs, "__m", ["grp", "size"], few=few_members)
     return (both.filter((F.col("grp1") == F.col("grp2")) & (F.col(left) != F.col(right)))
             .withColumn("group", F.col("grp1")).drop("grp1", "grp2")
             .withColumn("min_size", row_min("size1", "size2"))
@@ -60,14 +61,16 @@ def _order_key(pair_id: str):
 
 
 def already_removed(pairs: DataFrame, *, pair_id: str = "pair_id", left: str = "genome1",
-                    right: str = "genome2", salt_buckets: int = SALT_BUCKETS, max_hot: int = MAX_HOT) -> DataFrame:
+                    right: str = "genome2", salt_buckets: int | None = None, max_hot: int = MAX_HOT,
+                    few_members: bool = False) -> DataFrame:
     """Pairs whose member was already removed by an earlier pair.
 
     Earlier = smaller (min_size nulls last, pair_id). ``first(m)`` is the
     smallest key of a pair removing m (a partial ``min`` aggregate, skew-safe).
     Each pair is split into its two members, joined once with ``first`` and
     counted when either member's first removal comes before the pair.
-    That join is salted for members in more than one in ``max_hot`` pair ends.
+    That join is salted for members in more than one in ``max_hot`` pair ends,
+    or broadcast where the caller has counted the members (``few_members``).
     """
     keyed = pairs.select(
         _order_key(pair_id).alias("__key"),
@@ -75,7 +78,11 @@ def already_removed(pairs: DataFrame, *, pair_id: str = "pair_id", left: str = "
         F.col(left).alias("__a"), F.col(right).alias("__b"))
     first = keyed.groupBy(F.col("__loser").alias("__m")).agg(F.min("__key").alias("__first"))
     ends = keyed.select("__key", "__loser", F.explode(F.array("__a", "__b")).alias("__m"))
-    flagged = salted_lookup(ends, first, ["__m"], buckets=salt_buckets, max_hot=max_hot).withColumn(
+    if few_members:
+        flagged = null_safe_join(ends, F.broadcast(first), ["__m"], "left")
+    else:
+        flagged = salted_lookup(ends, first, ["__m"], buckets=salt_buckets, max_hot=max_hot)
+    flagged = flagged.withColumn(
         "__hit", F.coalesce(F.col("__first") < F.col("__key"), F.lit(False)))
     per_pair = flagged.groupBy("__key", "__loser").agg(F.max("__hit").alias("__hit"))
     return per_pair.agg(
@@ -94,7 +101,7 @@ def pair_coverage(group_sizes: DataFrame, pairs: DataFrame, *, group: str = "gro
     """
     scored = pairs.groupBy(F.col("group").alias(group)).agg(
         F.count_distinct("pair_key").alias("scored_pairs"))
-    out = group_sizes.select(group, n).join(scored, group, "left")
+    out = null_safe_join(group_sizes.select(group, n), scored, [group], "left")  # a null group has pairs too
     return out.select(
         group, n, pairs_in_group(n).alias("expected_pairs"),
         F.coalesce(F.col("scored_pairs"), F.lit(0)).alias("scored_pairs"),

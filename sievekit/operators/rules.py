@@ -190,17 +190,18 @@ def _sample_row(r: CompiledRule, key_columns: Sequence[str]) -> Column:
                     *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(key_columns)])
 
 
-def _cut(r: CompiledRule, key_columns: Sequence[str], n: int) -> Column:
+THINNED = 16  # one in so many violations is looked at for a cut
+
+
+def _cut(row: Column, of: Column, n: int) -> Column:
     """A (value, keys) that at least ``n`` violations of a rule do not exceed.
 
-    Violations are dealt into ``n`` classes by a hash; the smallest of every
-    class is at most the largest of these ``n`` minima, and they are ``n``
-    different rows. About ``n * ln(n)`` rows lie below. Null when a class has
-    none: then nothing is cut.
+    One in ``THINNED`` violations is dealt into ``n`` classes by a hash; the
+    smallest of every class is at most the largest of these ``n`` minima, and
+    they are ``n`` different rows. About ``THINNED * n * ln(n)`` rows lie below.
+    Null when a class has none: then nothing is cut.
     """
-    row = _sample_row(r, key_columns)
-    of = F.pmod(F.xxhash64(row), F.lit(n))
-    least = [F.min(F.when(r.violation & (of == i), row)) for i in range(n)]
+    least = [F.min(F.when(of == i, row)) for i in range(n)]
     every = reduce(Column.__and__, [x.isNotNull() for x in least])
     return F.when(every, F.greatest(*least) if n > 1 else least[0])
 
@@ -214,11 +215,18 @@ def rule_counts(df: DataFrame, rules: Sequence[Mapping], key_columns: Sequence[s
     aggs = [F.count(F.lit(1)).alias("__n")]
     nulls = _null_names(compiled)
     aggs += [_null_count(df, column).alias(name) for column, name in nulls.items()]
+    classes, rows = {}, {}
     for r in compiled:
         if r.violation is not None:
             aggs.append(F.count_if(r.violation).alias(f"__v{r.idx}"))
             if n_samples:
-                aggs.append(_cut(r, key_columns, n_samples).alias(f"__c{r.idx}"))
+                row_hash = F.xxhash64(F.col(f"`{r.column}`"), *[F.col(f"`{k}`") for k in key_columns])
+                of = F.col(f"__of{r.idx}")
+                classes[f"__of{r.idx}"] = F.when(r.violation, F.pmod(row_hash, F.lit(THINNED * n_samples)))
+                rows[f"__row{r.idx}"] = F.when(of < n_samples, _sample_row(r, key_columns))
+                aggs.append(_cut(F.col(f"__row{r.idx}"), of, n_samples).alias(f"__c{r.idx}"))
+    if rows:
+        df = df.withColumns(classes).withColumns(rows)
     return df.agg(*aggs)
 
 

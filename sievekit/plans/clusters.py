@@ -13,21 +13,26 @@ Inputs have the curation notebook's shapes:
 * ``pair_scores``: ``Genome1``, ``Genome2``, ``ANI`` (ids without prefix);
 * ``keep_ids`` (optional): the external id list of the second stage.
 
-Every stage is a lazy DataFrame; stage ends are written once as stage tables
-under the shared checkpoint folder (``session.stage_table``). Pairs are never
+One table is written, under the shared checkpoint folder
+(``session.stage_table``): the members with the flags of the first two stages.
+Everything else is lazy; stages 1 and 2 are one grouped count
+(``groups.fold_stages``). Pairs are never
 enumerated: scored pairs are validated by lookups and the unscored ones are
 counted per clade (see ``operators.pairs``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievekit.functions import columns as C
+from sievekit.functions.sizing import ROW_BYTES, broadcast_limit
+from sievekit.functions.skew import is_skewed
 from sievekit.operators import flags as K
 from sievekit.operators import groups as G
 from sievekit.operators import pairs as P
@@ -42,19 +47,42 @@ PREFIX_LENGTH = 3
 
 @dataclass
 class CurationResult:
+    """The flow's outputs. The later ones are planned when they are asked for."""
+
     clades: DataFrame            # clade rows with K1-K3 columns
     members: DataFrame           # one row per (clade, genome) with every filter flag
     count_check: DataFrame       # G2
     filter_summary: DataFrame    # K11
     stage1_groups: DataFrame
     stage2_groups: DataFrame
-    pair_coverage: DataFrame     # G9/G11
     removed_near_duplicates: DataFrame   # G13
-    already_removed: DataFrame   # G14
     stage3_groups: DataFrame
-    size_classes: DataFrame      # G16
-    stats: DataFrame             # G15
-    companions: dict[str, tuple[DataFrame, DataFrame]]  # K12, K13: by name, the rows kept and their completeness
+    later: Mapping[str, Callable[[], object]]
+
+    @cached_property
+    def pair_coverage(self) -> DataFrame:
+        """G9, G11."""
+        return self.later["pair_coverage"]()
+
+    @cached_property
+    def already_removed(self) -> DataFrame:
+        """G14."""
+        return self.later["already_removed"]()
+
+    @cached_property
+    def size_classes(self) -> DataFrame:
+        """G16."""
+        return self.later["size_classes"]()
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        """G15."""
+        return self.later["stats"]()
+
+    @cached_property
+    def companions(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        """By name, the rows kept and their completeness."""
+        return self.later["companions"]()
 
 
 def clade_table(clusters: DataFrame) -> DataFrame:
@@ -93,30 +121,34 @@ def curate_clusters(
         member="genome_ID", keep=["clade_name", "n_declared"])
     members = members.withColumn("genome_key", C.strip_prefix("genome_ID", PREFIX_LENGTH))
 
-    # Stage 1: small clades (A1), flagged assemblies (B1), then the cascade (C)
+    # Flags: small clades (A1), flagged assemblies (B1), members off the external id list.
+    # They are the only table written; what the stages then decide follows from counts per clade.
     members = K.flag_rows(members, FilterA1=F.col("n_declared") < min_size)
     members = K.flag_by_keys(members, "genome_key", flagged_accessions(reports), "accession", "FilterB1")
-    members = members.withColumn("removed", F.greatest("FilterA1", "FilterB1"))
-    summary = K.filter_summary(members, "FilterA1", "FilterB1")
-    members = stage_table(members, "clusters-stage1-flags")
-    s1, g1 = G.filter_stage(members, ["clade_name"], "removed", min_size, all_groups=clades)
-    s1 = s1.withColumnRenamed("cascade", "FilterC_A1B1").withColumn("kept1", F.col("retained"))
-
-    # Stage 2: members must be on the external id list
     if keep_ids is not None:
-        s1 = K.flag_by_keys(s1, "genome_key", keep_ids, keep_ids.columns[0], "__listed")
-        s1 = s1.withColumn("FilterD1", F.when((F.col("kept1") == 1) & (F.col("__listed") == 0), 1).otherwise(0)) \
-            .drop("__listed")
+        members = K.flag_by_keys(members, "genome_key", keep_ids, keep_ids.columns[0], "__listed")
     else:
-        s1 = s1.withColumn("FilterD1", F.lit(0))
-    s2_in = s1.withColumn("removed", F.when((F.col("kept1") == 0) | (F.col("FilterD1") == 1), 1).otherwise(0)) \
-        .drop("retained")
-    s2_in = stage_table(s2_in, "clusters-stage2-flags")
-    s2, g2 = G.filter_stage(s2_in, ["clade_name"], "removed", min_size)
+        members = members.withColumn("__listed", F.lit(1))
+    members = members.withColumn("removed", F.greatest("FilterA1", "FilterB1")).withColumn("__unlisted", 1 - F.col("__listed"))
+    members = stage_table(members.drop("__listed"), "clusters-flags")
+    summary = K.filter_summary(members, "FilterA1", "FilterB1")
+
+    # One count of the written table tells whether a clade is hot and whether the members may be broadcast.
+    facts = members.groupBy("clade_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("genome_key") + F.octet_length("clade_name") + ROW_BYTES).alias("bytes")
+    ).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"),
+          F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    partitions = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    salt = None if is_skewed(facts["n"], facts["largest"], partitions) else 0
+    few = facts["bytes"] <= broadcast_limit(members.sparkSession)
+
+    # Stages 1 and 2: own flags, then the cascades (C)
+    s2, (g1, g2) = G.fold_stages(members, ["clade_name"], ["removed", "__unlisted"], min_size, all_groups=clades, salt_buckets=salt)
+    s2 = s2.withColumnsRenamed({"cascade1": "FilterC_A1B1", "retained1": "kept1", "cascade2": "FilterC_D1", "retained2": "kept2"}).withColumn(
+        "FilterD1", F.when((F.col("kept1") == 1) & (F.col("__unlisted") == 1), 1).otherwise(0)).drop("__unlisted")
     if stop_on_stage2_drop:  # the notebook stops when a clade kept by stage 1 falls below the minimum
         before = g1.select("clade_name", F.col("kept").alias("__kept1"))
         G.require_no_drops(g2.join(before, "clade_name").filter("__kept1"))
-    s2 = s2.withColumnRenamed("cascade", "FilterC_D1").withColumn("kept2", F.col("retained"))
 
     # Pairs: scored pairs inside a stage-2 clade, sizes from metadata
     sizes = metadata.select(C.strip_prefix("accession", PREFIX_LENGTH).alias("genome_key"),
@@ -129,30 +161,28 @@ def curate_clusters(
     scored = pair_scores.select(
         F.struct("Genome1", "Genome2", "ANI", F.row_number().over(same).alias("nth")).alias("pair_id"),
         F.col("Genome1").alias("genome1"), F.col("Genome2").alias("genome2"), F.col("ANI").alias("score"))
-    valid = P.valid_pairs(scored, members_for_pairs)
-    coverage = P.pair_coverage(
-        members_for_pairs.groupBy("group").agg(F.count(F.lit(1)).alias("n_members")), valid)
+    valid = P.valid_pairs(scored, members_for_pairs, few_members=few)
     surviving = P.above_threshold(valid, "score", threshold)
     removed = P.removed_members(surviving)
-    diag = P.already_removed(surviving)
 
     # Stage 3: drop near duplicates (E1), cascade again
-    s3_in = K.flag_by_keys(s2, "genome_key", removed, "member", "FilterE1")
-    s3_in = s3_in.withColumn("removed", F.when((F.col("kept2") == 0) | (F.col("FilterE1") == 1), 1).otherwise(0)) \
-        .drop("retained")
-    s3_in = stage_table(s3_in, "clusters-stage3-flags")
-    s3, g3 = G.filter_stage(s3_in, ["clade_name"], "removed", min_size)
-    kept3 = g3.filter("kept")
-    size_classes = P.size_split(kept3, "n_retained", size_split).select("clade_name", "n_retained", "size_class")
-
-    final = s3.filter(F.col("retained") == 1).select("clade_name", "genome_ID")
-    stats_in = final.join(metadata.select(F.col("accession").alias("genome_ID"), *stat_columns), "genome_ID")
-    stats = group_stats(stats_in, ["clade_name"], list(stat_columns))
-
-    kept1 = s2_in.filter("kept1 = 1").select("genome_ID")
-    own = {}
-    for name, (table, column) in (companions or {}).items():
-        rows = K.keep_keys(table, column, kept1, "genome_ID")
-        own[name] = rows, K.completeness(rows, column, kept1, "genome_ID")
-    return CurationResult(clades, s3, count_check, summary, g1, g2, coverage, removed, diag, g3,
-                          size_classes, stats, own)
+    s3_in = K.flag_by_keys(s2, "genome_key", removed, "member", "FilterE1", few=few)
+    s3_in = s3_in.withColumn("removed", F.when((F.col("kept2") == 0) | (F.col("FilterE1") == 1), 1).otherwise(0))
+    s3, g3 = G.filter_stage(s3_in, ["clade_name"], "removed", min_size, salt_buckets=salt)
+
+    def stats() -> DataFrame:
+        final = s3.filter(F.col("retained") == 1).select("clade_name", "genome_ID")
+        return group_stats(final.join(metadata.select(F.col("accession").alias("genome_ID"), *stat_columns), "genome_ID"),
+                           ["clade_name"], list(stat_columns))
+
+    def companion_rows() -> dict[str, tuple[DataFrame, DataFrame]]:
+        kept1 = s2.filter("kept1 = 1").select("genome_ID")
+        own = {name: (K.keep_keys(table, column, kept1, "genome_ID"), column) for name, (table, column) in (companions or {}).items()}
+        return {name: (rows, K.completeness(rows, column, kept1, "genome_ID")) for name, (rows, column) in own.items()}
+
+    return CurationResult(clades, s3, count_check, summary, g1, g2, removed, g3, {
+        "pair_coverage": lambda: P.pair_coverage(
+            members_for_pairs.groupBy("group").agg(F.count(F.lit(1)).alias("n_members")), valid),
+        "already_removed": lambda: P.already_removed(surviving, few_members=few),
+        "size_classes": lambda: P.size_split(g3.filter("kept"), "n_retained", size_split).select("clade_name", "n_retained", "size_class"),
+        "stats": stats, "companions": companion_rows})

@@ -43,9 +43,9 @@ def first_lines(spark: SparkSession, path, n: int = 5) -> DataFrame:
     """The first ``n`` lines of every file: (file_path, line_number, value).
 
     One job for any number of files; each is opened for its first lines only."""
-    table = BR.byte_ranges(spark, path)
-    if BR.can_open(table):
-        return BR.read_heads(table, n).drop("after")
+    ranges = BR.byte_ranges(spark, path)
+    if ranges.opened:
+        return BR.read_heads(ranges, n).drop("after")
     return _numbered_by_reader(spark, path).filter(F.col("line_number") <= n).select(
         "file_path", F.col("line_number").cast("int").alias("line_number"), "value")
 
@@ -56,8 +56,7 @@ class _Headed:
     def __init__(self, spark: SparkSession, path, sep: str, line: int):
         self.spark, self.path, self.sep, self.line = spark, path, sep, line
         self.ranges = BR.byte_ranges(spark, path)
-        self.opened = BR.can_open(self.ranges)
-        heads = BR.read_heads(self.ranges, line) if self.opened else _numbered_by_reader(spark, path).withColumn(
+        heads = BR.read_heads(self.ranges, line) if self.ranges.opened else _numbered_by_reader(spark, path).withColumn(
             "after", F.lit(None).cast("long"))
         names = F.transform(F.split("value", _literal(sep), -1), lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
         heads = heads.filter(F.col("line_number") == line).select("file_path", names.alias("names"), "after")
@@ -73,13 +72,12 @@ class _Headed:
     def lines(self, numbered: bool = False) -> DataFrame:
         """(file_path, header, n_names, value and, if ``numbered``, line_number) of the data lines."""
         keep = ("file_path", "header", "n_names")
-        if not self.opened:
+        if not self.ranges.opened:
             every = _numbered_by_reader(self.spark, self.path).filter(F.col("line_number") > self.line)
             return every.join(broadcast_if_small(self.files), "file_path").select(*keep, "value", "line_number")
-        mine = BR.numbered_ranges(self.ranges) if numbered else self.ranges
-        mine = stage_table(mine.join(self.files.filter("after is not null"), "file_path").filter(
-            F.col("end").isNull() | (F.col("end") > F.col("after"))), "headed-ranges")
-        out = BR.read_lines(mine, (*keep, "after")).filter(F.col("offset") >= F.col("after"))
+        mine = BR.numbered_ranges(self.ranges) if numbered else self.ranges.table
+        mine = mine.join(self.files.filter("after is not null"), "file_path").filter(F.col("end").isNull() | (F.col("end") > F.col("after")))
+        out = BR.read_lines(self.ranges, mine, (*keep, "after")).filter(F.col("offset") >= F.col("after"))
         return out.select(*keep, "value", *(["line_number"] if numbered else []))
 
     def parsed(self, lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -124,10 +122,10 @@ def number_lines(spark: SparkSession, path) -> DataFrame:
     file gives every range its first line number, and the lines are read with
     it: two reads of the bytes, no copy, nothing that depends on split settings.
     """
-    table = BR.byte_ranges(spark, path)
-    if not BR.can_open(table):
+    ranges = BR.byte_ranges(spark, path)
+    if not ranges.opened:
         return _numbered_by_reader(spark, path)
-    return BR.read_lines(BR.numbered_ranges(table)).select("file_path", "line_number", "value")
+    return BR.read_lines(ranges, BR.numbered_ranges(ranges)).select("file_path", "line_number", "value")
 
 
 SPLIT_TABLE_MAX_BYTES = 64 * 1024 * 1024

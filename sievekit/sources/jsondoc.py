@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievekit.session import stage_table
 from sievekit.sources import ranges as BR
 
 OUTSIDE, INSIDE, ESCAPED = range(3)
@@ -148,12 +147,11 @@ def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array(held, pa.binary())], names=["entry"])
 
 
-def _document_entries(ranges: DataFrame) -> DataFrame:
-    """The entries (``"key": value`` as text) of the top-level objects in a staged range table."""
-    facts = BR.spread(ranges, "file_path", "begin").mapInArrow(_summaries, _SUMMARY)
-    placed = stage_table(facts.groupBy("file_path").applyInArrow(
-        _resolved, "file_path string, begin long, end long, state int, depth long"), "json-ranges")
-    return BR.spread(placed, "file_path", "begin").mapInArrow(_entries, "entry binary").select(F.col("entry").cast("string").alias("entry"))
+def _document_entries(ranges: BR.Ranges) -> DataFrame:
+    """The entries (``"key": value`` as text) of the top-level objects in a range table."""
+    facts = ranges.spread(ranges.table, "file_path", "begin").mapInArrow(_summaries, _SUMMARY)
+    placed = facts.groupBy("file_path").applyInArrow(_resolved, "file_path string, begin long, end long, state int, depth long")
+    return ranges.spread(placed, "file_path", "begin").mapInArrow(_entries, "entry binary").select(F.col("entry").cast("string").alias("entry"))
 
 
 def read_keyed_document(spark: SparkSession, path, fields: Sequence[str] = ("genome", "aa", "aux_genome"),
@@ -165,7 +163,7 @@ def read_keyed_document(spark: SparkSession, path, fields: Sequence[str] = ("gen
     a whole file a task.
     """
     ranges = BR.byte_ranges(spark, path, range_bytes)
-    if BR.can_open(ranges):
+    if ranges.opened:
         texts = _document_entries(ranges).select(F.concat(F.lit("{"), "entry", F.lit("}")).alias("value"))
     else:
         texts = spark.read.text(path, wholetext=True)

@@ -25,10 +25,12 @@ from __future__ import annotations
 import bz2
 import gzip
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievekit.session import ship_package, stage_table
@@ -139,42 +141,44 @@ def listing(spark: SparkSession, path) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("_metadata.file_path", F.col("_metadata.file_size").alias("size"))
 
 
-def byte_ranges(spark: SparkSession, path, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The staged range table of ``path``: (file_path, begin, end)."""
+@dataclass(frozen=True)
+class Ranges:
+    """A staged range table, the number of its rows, and whether tasks can open its files."""
+
+    table: DataFrame
+    n: int
+    opened: bool
+
+    def spread(self, rows: DataFrame, *keys: str) -> DataFrame:
+        """Rows of the table (or made of it) a task each, ``MOST_TASKS`` at most."""
+        return rows.repartition(max(1, min(self.n, MOST_TASKS)), *keys)
+
+
+def byte_ranges(spark: SparkSession, path, range_bytes: int = RANGE_BYTES) -> Ranges:
+    """The range table of ``path``: (file_path, begin, end)."""
     ship_package(spark)
     name = F.lower(F.element_at(F.split("file_path", "/"), -1))
-    whole = F.lit(False)
-    for suffix in INFLATED:
-        whole = whole | name.endswith(suffix)
+    whole, odd = (reduce(Column.__or__, [name.endswith(suffix) for suffix in some]) for some in (INFLATED, OTHER_CODECS))
     begins = F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(
         F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long")))
     files = listing(spark, path).filter("size > 0")
     ranges = files.select("file_path", "size", whole.alias("whole"), F.explode(begins).alias("begin"))
-    return stage_table(ranges.select("file_path", "begin", F.when(~F.col("whole"), F.least(
+    table = stage_table(ranges.select("file_path", "begin", F.when(~F.col("whole"), F.least(
         F.col("begin") + range_bytes, F.col("size"))).alias("end")), "byte-ranges")
+    facts = table.agg(F.count(F.lit(1)).alias("n"), F.min("file_path").alias("one"), F.count_if(odd).alias("odd")).first()
+    return Ranges(table, facts["n"], can_open(facts["one"]) if not facts["odd"] else False)
 
 
-def can_open(ranges: DataFrame) -> bool:
-    """Whether tasks can read these files: the driver opens one of them."""
-    name = F.lower(F.col("file_path"))
-    odd = F.lit(False)
-    for suffix in OTHER_CODECS:
-        odd = odd | name.endswith(suffix)
-    facts = ranges.agg(F.min("file_path").alias("one"), F.count_if(odd).alias("odd")).first()
-    if facts["one"] is None or facts["odd"]:
-        return not facts["odd"]
+def can_open(path: str | None) -> bool:
+    """Whether tasks can read such files: the driver opens one of them."""
     try:
-        next(blocks(facts["one"], 0, 1), b"")
+        if path is not None:
+            next(blocks(path, 0, 1), b"")
     except Exception:  # noqa: BLE001 - a store without a Python client
         return False
     return True
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Every row of a small staged table a task of its own, ``MOST_TASKS`` at most."""
-    return rows.repartition(max(1, min(rows.count(), MOST_TASKS)), *keys)
-
-
 def _lines(keep: Sequence[str], numbered: bool) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -205,13 +209,14 @@ def _lines(keep: Sequence[str], numbered: bool) -> Callable:
     return run
 
 
-def read_lines(ranges: DataFrame, keep: Sequence[str] = ("file_path",)) -> DataFrame:
-    """The lines of a staged range table: its columns ``keep``, ``offset``,
-    ``value``, and ``line_number`` where the table has a ``first_line``."""
-    numbered = "first_line" in ranges.columns
-    kinds = dict(ranges.dtypes)
+def read_lines(ranges: Ranges, rows: DataFrame | None = None, keep: Sequence[str] = ("file_path",)) -> DataFrame:
+    """The lines of a range table (or of ``rows`` made of it): its columns
+    ``keep``, ``offset``, ``value``, and ``line_number`` where it has a ``first_line``."""
+    rows = ranges.table if rows is None else rows
+    numbered = "first_line" in rows.columns
+    kinds = dict(rows.dtypes)
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keep], "offset long, value binary"]) + (", line_number long" if numbered else "")
-    out = spread(ranges, "file_path", "begin").mapInArrow(_lines(keep, numbered), schema)
+    out = ranges.spread(rows, "file_path", "begin").mapInArrow(_lines(keep, numbered), schema)
     return out.withColumn("value", F.col("value").cast("string"))
 
 
@@ -222,13 +227,13 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=[*b.schema.names, "n"])
 
 
-def numbered_ranges(ranges: DataFrame) -> DataFrame:
-    """A staged range table with the number of the first line that starts in
-    each range: tasks count line ends, a running sum over a file's ranges adds up."""
-    kinds = ", ".join(f"`{c}` {t}" for c, t in ranges.dtypes)
-    counted = spread(ranges, "file_path", "begin").mapInArrow(_counted, f"{kinds}, n long")
+def numbered_ranges(ranges: Ranges) -> DataFrame:
+    """The range table with the number of the first line that starts in each
+    range: tasks count line ends, a running sum over a file's ranges adds up."""
+    kinds = ", ".join(f"`{c}` {t}" for c, t in ranges.table.dtypes)
+    counted = ranges.spread(ranges.table, "file_path", "begin").mapInArrow(_counted, f"{kinds}, n long")
     before = Window.partitionBy("file_path").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
-    return stage_table(counted.withColumn("first_line", F.coalesce(F.sum("n").over(before), F.lit(0)) + 1).drop("n"), "line-ranges")
+    return counted.withColumn("first_line", F.coalesce(F.sum("n").over(before), F.lit(0)) + 1).drop("n")
 
 
 def _heads(n: int) -> Callable:
@@ -249,11 +254,11 @@ def _heads(n: int) -> Callable:
     return run
 
 
-def read_heads(ranges: DataFrame, n: int) -> DataFrame:
+def read_heads(ranges: Ranges, n: int) -> DataFrame:
     """The first ``n`` lines of every file, each file opened once for them:
     (file_path, line_number, value, after), ``after`` where the lines behind
     them begin (null: nowhere)."""
-    files = ranges.filter("begin = 0").select("file_path")
-    tasks = max(1, min(files.count(), 4 * files.sparkSession.sparkContext.defaultParallelism))
+    files = ranges.table.filter("begin = 0").select("file_path")
+    tasks = max(1, min(ranges.n, 4 * files.sparkSession.sparkContext.defaultParallelism))
     out = files.repartition(tasks, "file_path").mapInArrow(_heads(n), "file_path string, line_number int, value binary, after long")
     return out.withColumn("value", F.col("value").cast("string"))

@@ -52,16 +52,18 @@ def test_log_lines_parsed_once(spark):
 
 
 @pytest.mark.parametrize("make", [J.fk_report, J.fk_samples])
-def test_foreign_keys_are_one_scan_and_one_exchange_of_keys(spark, make):
-    """All rules at once: no join, partial aggregation before the one exchange of keys."""
+@pytest.mark.parametrize("bound", [None, 0])
+def test_foreign_keys_are_one_scan_and_one_exchange_of_keys(spark, make, bound):
+    """All rules at once: no shuffle join, partial aggregation before the one exchange of keys."""
     refs = J.mapping_resolver({"orders_finished": load(spark, SF, "orders"), "supplier": load(spark, SF, "supplier"),
                                "part_small": load(spark, SF, "part")})
-    plan = _plan(make(load(spark, SF, "lineitem"), cfg.LINEITEM_FKS, refs))
-    assert plan.count("lineitem.parquet") == 1 and "Join" not in plan
+    plan = _plan(make(load(spark, SF, "lineitem"), cfg.LINEITEM_FKS, refs, max_broadcast_bytes=bound))
+    assert plan.count("lineitem.parquet") == 1 and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert ("Join" in plan) == (bound is None)
     moved = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", plan)
     assert sum("__k0" in keys for keys in moved) == 1
-    below = plan[plan.index("Exchange hashpartitioning(rule_idx"):]
-    assert below.index("partial_sum(n_rows") < below.index("FileScan parquet")
+    below = plan[plan.index("__k0#", plan.index("Exchange hashpartitioning(rule_idx")):]
+    assert below.index("partial_sum(") < below.index("FileScan parquet")
 
 
 def test_large_references_with_few_orphans_are_one_more_scan(spark):

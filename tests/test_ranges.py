@@ -78,7 +78,7 @@ def test_one_document_is_read_by_many_tasks(spark, tmp_path):
     assert got.pop("k") == ("w", None, None) and got.pop("bad", None) in (None, (None, None, None))
     assert got == want
     ranges = BR.byte_ranges(spark, str(tmp_path), 1000)
-    assert ranges.filter(ranges["file_path"].endswith("one.json")).count() > 100
+    assert ranges.table.filter(ranges.table["file_path"].endswith("one.json")).count() > 100
 
 
 def test_heads_of_many_files_are_one_read(spark, tmp_path):
@@ -118,7 +118,7 @@ def test_stores_that_only_the_reader_opens(spark, tmp_path, monkeypatch):
     (tmp_path / "1.tsv").write_text("a\tb\n1\t2\n3\n")
     (tmp_path / "2.tsv").write_text("b\ta\n2\t1\n")
     by_tasks = sorted(map(tuple, read_delimited(spark, str(tmp_path)).collect()), key=str)
-    monkeypatch.setattr(BR, "can_open", lambda ranges: False)
+    monkeypatch.setattr(BR, "can_open", lambda path: False)
     assert sorted(map(tuple, read_delimited(spark, str(tmp_path)).collect()), key=str) == by_tasks
     assert {(Path(r["file_path"]).name, r["line_number"], r["value"]) for r in first_lines(spark, str(tmp_path), 1).collect()} == {
         ("1.tsv", 1, "a\tb"), ("2.tsv", 1, "b\ta")}

@@ -162,3 +162,72 @@ def test_group_stats_keep_empty_groups_types_and_hot_groups(spark):
     for k, own in pdf.groupby("k", dropna=False)["x"]:
         r = stats[None if pd.isna(k) else k]
         assert r["x_median"] == own.median() and r["x_min"] == own.min() and abs(r["x_mean"] - own.mean()) < 1e-6
+
+
+def test_pieces_follow_the_size_of_the_key(spark):
+    """A third of the rows on one key: about as many partitions hold it at either size, and only its row of the table is copied."""
+    from sievekit.functions.skew import salted_lookup
+
+    try:
+        _without_broadcast(spark)
+        for n in (6_000, 60_000):
+            df = _hot_frame(spark, n)
+            table = df.select("k").distinct().withColumn("a", F.coalesce(F.length("k"), F.lit(-1)))
+            out = salted_lookup(df, table, ["k"])
+            assert _partitions_of(out, "k", "hot") >= 6 and out.count() == n and out.filter("a is null").count() == 0
+        plan = salted_lookup(df, table, ["k"], task_rows=50)
+        assert plan.count() == n
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_number_of_pieces(spark):
+    from sievekit.functions.skew import is_skewed, pieces
+
+    def cut(rows, total, partitions, task_rows=10 ** 6):
+        return spark.range(1).select(pieces(F.lit(rows), F.lit(total), partitions, task_rows)).first()[0]
+
+    assert cut(10_000, 30_000, 8) == 22 and cut(100_000, 300_000, 8) == 22  # eight to a fair share
+    assert cut(10 ** 12 // 3, 10 ** 12, 20_000) == 333_334  # a task never gets more than task_rows of a key
+    assert cut(1, 1, 8) == 1 and cut(0, 0, 8) == 1
+    assert is_skewed(10 ** 9, 10 ** 9 // 3, 200) and not is_skewed(3000, 1000, 200) and not is_skewed(10 ** 9, 10 ** 6, 200)
+
+
+def test_folded_stages_equal_stages_one_by_one(spark):
+    rng = np.random.default_rng(2)
+    n = 4000
+    pdf = pd.DataFrame({"id": np.arange(n), "g": rng.integers(0, 700, n), "a": (rng.random(n) < 0.5).astype(int),
+                        "b": (rng.random(n) < 0.4).astype(int), "c": (rng.random(n) < 0.3).astype(int)})
+    df = spark.createDataFrame(pdf).withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    every = spark.range(720).select(F.when(F.col("id") > 0, F.col("id")).alias("g"))  # the null group too
+    out, groups = G.fold_stages(df, ["g"], ["a", "b", "c"], 2, all_groups=every)
+    now, removed, want = df, F.col("a"), []
+    for i, own in enumerate(("a", "b", "c"), start=1):
+        flag = F.col(own) if i == 1 else F.when((F.col(f"retained{i - 1}") == 0) | (F.col(own) == 1), 1).otherwise(0)
+        now, g = G.filter_stage(now.withColumn("removed", flag), ["g"], "removed", 2, all_groups=every if i == 1 else None)
+        now = now.withColumnsRenamed({"cascade": f"cascade{i}", "retained": f"retained{i}"}).drop("removed")
+        want.append(g)
+    columns = ["id", *[f"{c}{i}" for i in (1, 2, 3) for c in ("cascade", "retained")]]
+    assert sorted(map(tuple, out.select(columns).collect())) == sorted(map(tuple, now.select(columns).collect()))
+    for got, expect in zip(groups, want):
+        same = lambda t: sorted(map(tuple, t.select("g", "n_members", "n_removed", "n_retained", "kept").collect()), key=str)
+        assert same(got) == same(expect)
+
+
+def test_medians_of_small_and_large_groups(spark):
+    """Exact on both paths: groups below and above the accuracy of the sketch, even and odd, ties, nulls."""
+    from sievekit.operators.stats import exact_median, group_stats
+
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.choice(["s", "m", "l", "xl"], 4000, p=[0.005, 0.045, 0.35, 0.6]), "x": rng.integers(0, 300, 4000) / 7.0, "y": rng.normal(size=4000)})
+    pdf.loc[rng.random(4000) < 0.1, "y"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("y", F.when(~F.isnan("y"), F.col("y")))
+    want = pdf.groupby("g")[["x", "y"]].median()
+    for accuracy in (150, 1000, 100_000):  # all groups but the smallest, some, and none above
+        got = {r["g"]: r for r in group_stats(df, ["g"], ["x", "y"], digits=9, accuracy=accuracy).collect()}
+        assert all(abs(got[g][f"{c}_median"] - want.loc[g, c]) < 1e-8 for g in want.index for c in ("x", "y"))
+        one = {r["g"]: r["x_median"] for r in exact_median(df, ["g"], "x", accuracy=accuracy).collect()}
+        assert all(abs(one[g] - want.loc[g, "x"]) < 1e-8 for g in want.index)
+    bounded = group_stats(df, ["g"], ["x"], max_rows=4000)
+    assert {r["g"]: round(r["x_median"], 5) for r in bounded.collect()} == {g: round(want.loc[g, "x"], 5) for g in want.index}
