@@ -105,6 +105,63 @@ def drift_log(drift: DataFrame, at: dt.datetime | None = None) -> DataFrame:
     return drift.withColumn("logged_at", ts.cast("timestamp"))
 
 
+HISTORY = "table string, column string, type string, from_run long, to_run long"
+
+
+def schema_history(history: DataFrame, snapshot: DataFrame, run_id: int) -> DataFrame:
+    """A schema history after one more run, by validity intervals.
+
+    ``snapshot`` holds (table, column, type) as run ``run_id`` found them;
+    ``history`` (``HISTORY``; one row per column, type and interval, ``to_run``
+    null while it lasts) is what earlier runs left. A full outer join of the open
+    intervals with the snapshot closes what is gone or has another type and opens
+    what is new, returned or has another type. A run that the history already
+    knows, or is older than what it knows, changes nothing, so a repeated run
+    adds no rows.
+
+    Null names take no part; a column that a snapshot lists twice counts once,
+    with its smallest type.
+    """
+    found = snapshot.filter(F.col("table").isNotNull() & F.col("column").isNotNull()).groupBy("table", "column").agg(F.min("type").alias("now"))
+    run = F.lit(run_id).cast("long")
+    last = history.agg(F.coalesce(F.greatest(F.max("from_run"), F.max("to_run")), run - 1).alias("last")).scalar()
+    closed = history.filter("to_run is not null").select("table", "column", "type", "from_run", "to_run")
+    open_now = history.filter("to_run is null").select("table", "column", F.col("type").alias("was"), "from_run")
+    both = open_now.join(found, ["table", "column"], "full").withColumns({"__late": last >= run, "__same": F.col("was").eqNullSafe(F.col("now"))})
+    had, has = F.col("from_run").isNotNull(), F.col("now").isNotNull()
+    stays = F.struct(F.col("was").alias("type"), F.col("from_run"), F.when(
+        F.col("__late") | (F.col("__same") & has), F.lit(None).cast("long")).otherwise(run).alias("to_run"))
+    opens = F.struct(F.col("now").alias("type"), run.alias("from_run"), F.lit(None).cast("long").alias("to_run"))
+    rows = F.array(F.when(had, stays), F.when(has & ~F.col("__late") & ~(had & F.col("__same")), opens))
+    changed = both.select("table", "column", F.explode(rows).alias("r")).filter(F.col("r").isNotNull()).select("table", "column", "r.*")
+    return closed.unionByName(changed)
+
+
+def drift_of_run(history: DataFrame, run_id: int) -> DataFrame:
+    """The changes that a run found: (table, column, kind, type_before,
+    type_after); kind is ``added``, ``returned``, ``removed`` or ``retyped``.
+    The first run of a table adds nothing: its columns are the baseline."""
+    run = F.lit(run_id).cast("long")
+    first = history.groupBy("table").agg(F.min("from_run").alias("__first"))
+    per = history.groupBy("table", "column").agg(
+        F.max(F.when(F.col("to_run") == run, F.col("type"))).alias("type_before"),
+        F.max(F.when(F.col("from_run") == run, F.col("type"))).alias("type_after"),
+        F.min("from_run").alias("__since"))
+    kind = (F.when(F.col("type_before").isNotNull() & F.col("type_after").isNotNull(), "retyped")
+            .when(F.col("type_before").isNotNull(), "removed")
+            .when(F.col("__since") < run, "returned").otherwise("added"))
+    hit = F.col("type_before").isNotNull() | (F.col("type_after").isNotNull() & (F.col("__first") < run))
+    return per.join(first, "table").filter(hit).select("table", "column", kind.alias("kind"), "type_before", "type_after")
+
+
+def append_drift(log: DataFrame, drift: DataFrame, run_id: int, at: dt.datetime | None = None) -> DataFrame:
+    """The rows that a drift log (``drift_log`` rows with their ``run_id``) lacks
+    of a run's drift: none when the run was logged before."""
+    stamped = drift_log(drift, at).withColumn("run_id", F.lit(run_id).cast("long"))
+    known = log.filter(F.col("run_id") == run_id).select("table", "column", "kind").distinct()
+    return stamped.join(known, ["table", "column", "kind"], "left_anti")
+
+
 def config_columns_not_in_schema(configs: DataFrame, schema_columns: DataFrame, json_col: str = "json",
                                  name_col: str = "config", column_col: str = "column",
                                  table_col: str | None = None) -> DataFrame:

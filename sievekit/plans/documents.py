@@ -24,9 +24,10 @@ from sievekit.operators import runlog as L
 from sievekit.operators import schema as S
 from sievekit.plans.runlogs import event_log_lines
 from sievekit.plans.tables import load
-from sievekit.session import ensure_checkpoint_dir
+from sievekit.session import ensure_checkpoint_dir, stage_table
 from sievekit.sources import delimited as D
-from sievekit.sources.files import delimiter_check, lines_without_delimiter
+from sievekit.sources import ranges as BR
+from sievekit.sources.files import delimiter_check, lines_without_delimiter, manifest_check, resolve_member_files
 from sievekit.sources.jsondoc import read_keyed_document
 from sievekit.sources.sinks import write_name_list, write_table
 
@@ -162,6 +163,61 @@ def s_violation_sink(spark, sf):
     return spark.read.parquet(path).groupBy("failed_fk").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
 
 
+def s_publish_table(spark, sf):
+    """Violations published as a table whose columns change from run to run."""
+    li, path, table = load(spark, sf, "lineitem"), fresh_folder(spark, "published"), f"violations_{uuid.uuid4().hex[:12]}"
+    small = load(spark, sf, "part").filter(F.col("p_size") <= 25)
+    rules = [{"foreign_key": "l_partkey", "reference_table": "part_small", "reference_column": "p_partkey", "action": "log"}]
+    bad = J.fk_violations(li, rules, J.mapping_resolver({"part_small": small}))
+    write_table(bad.select("l_orderkey", "l_partkey", "l_returnflag"), path, table=table)
+    write_table(bad.filter("l_quantity > 25").select("l_orderkey", "l_partkey", "l_linenumber"), path, table=table)
+    return spark.table(table).groupBy("l_returnflag", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))
+
+
+def _write_named(batches):
+    for b in batches:
+        for path, body in zip(b.column("path").to_pylist(), b.column("body").to_pylist(), strict=True):
+            BR.write_file(path, body.encode())
+        yield b.select(["path"])
+
+
+def write_named_files(spark: SparkSession, files: DataFrame) -> None:
+    """A file per (path, body), written by the tasks that hold the rows."""
+    BR.ship_package(spark)
+    files.select("path", "body").mapInArrow(_write_named, "path string").count()
+
+
+def f_manifest(spark, sf):
+    """A manifest of the orders files: each once, every third twice, every fourth
+    with a file that is missing, every fifth with a folder, every sixth through a file."""
+    path = _orders_files(spark, sf, "manifest")
+    files = BR.listing(spark, path).select("file_path", F.regexp_extract("file_path", r"file_no=(\d+)", 1).cast("long").alias("file_no"))
+    entry = lambda kind, modulus, target: F.when(F.col("file_no") % modulus == 0, F.struct(F.lit(kind).alias("kind"), target.alias("file_path")))
+    listed = files.select("file_no", F.explode(F.array(
+        entry("file", 1, F.col("file_path")), entry("again", 3, F.col("file_path")), entry("gone", 4, F.concat("file_path", F.lit(".gone"))),
+        entry("folder", 5, F.regexp_replace("file_path", "/[^/]*$", "")), entry("through", 6, F.concat("file_path", F.lit("/x"))))).alias("e"))
+    manifest = listed.filter("e is not null").select(F.struct("file_no", "e.kind").alias("idx"), "e.file_path")
+    checked = manifest_check(spark, manifest)
+    return checked.select("idx.file_no", "idx.kind", "status", "length", F.col("error").isNotNull().alias("has_error"))
+
+
+def g_member_files(spark, sf):
+    """Files of suppliers in folders of their nations: one each, every seventh
+    without, every eleventh with two, and files of nobody; every thirteenth is in another folder."""
+    root = fresh_folder(spark, "members")
+    s = load(spark, sf, "supplier")
+    member = F.concat(F.lit("S_"), F.col("s_suppkey").cast("string"))
+    folder = F.concat(F.lit("n"), F.when(F.col("s_suppkey") % 13 == 0, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey")).cast("string"))
+    name = lambda end: F.concat(F.lit(root + "/"), folder, F.lit("/"), member, F.lit(end))
+    paths = F.array(F.when(F.col("s_suppkey") % 7 != 0, name("_a_protein.faa.gz")), F.when(F.col("s_suppkey") % 11 == 0, name("_b_protein.faa.gz")),
+                    F.when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit(root + "/"), folder, F.lit("/X_"), member, F.lit("_protein.faa.gz"))),
+                    F.when(F.col("s_suppkey") % 3 == 0, name("_a_notes.txt")))
+    write_named_files(spark, s.select(F.explode(paths).alias("path"), F.col("s_name").alias("body")).filter("path is not null"))
+    members = s.select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("group"), member.alias("member"))
+    found = resolve_member_files(spark, members, root)
+    return found.select("group", "member", "n_matches", "status", F.element_at(F.split("path", "/"), -1).alias("file"))
+
+
 # ---------------------------------------------------------------- stacking, declared counts
 
 def k_stack(spark, sf):
@@ -242,10 +298,53 @@ def c_drift_log(spark, sf):
     return S.drift_log(wrong).filter(F.col("logged_at").isNotNull()).groupBy("kind", "column").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: (columns of the run's snapshot, what decides whether a customer's table has it, its type)
+SNAPSHOTS = {
+    1: [("c_name", "true", "string"), ("c_acctbal", "true", "double"), ("c_phone", "c_custkey % 3 = 0", "string")],
+    2: [("c_name", "true", "string"), ("c_acctbal", "true", "double"), ("c_phone", "c_custkey % 6 = 0", "string"), ("extra", "c_custkey % 5 = 0", "int")],
+    3: [("c_name", "c_custkey % 11 <> 0", "string"), ("c_acctbal", "true", "case when c_custkey % 7 = 0 then 'decimal(12,2)' else 'double' end"),
+        ("c_phone", "c_custkey % 3 = 0", "string")],
+    4: [("c_name", "true", "string"), ("c_acctbal", "true", "double"), ("c_phone", "c_custkey % 3 = 0", "string")],
+}
+
+
+def _snapshot(customers: DataFrame, run: int) -> DataFrame:
+    """The columns that every customer's table has at a run."""
+    columns = [F.when(F.expr(test), F.struct(F.lit(name).alias("column"), F.expr(kind if kind.startswith("case") else f"'{kind}'").alias("type")))
+               for name, test, kind in SNAPSHOTS[run]]
+    return customers.select(F.col("c_name").alias("table"), F.explode(F.array(*columns)).alias("c")).filter("c is not null").select("table", "c.*")
+
+
+def _history(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The schema history after all runs, the third of them run twice, and the drift log they leave."""
+    customers = load(spark, sf, "customer")
+    history = spark.createDataFrame([], S.HISTORY)
+    log = None
+    for run in (1, 2, 3, 3, 4):
+        history = stage_table(S.schema_history(history, _snapshot(customers, run), run), f"schema-history-{run}")
+        drift = S.drift_of_run(history, run)
+        if log is None:
+            log = S.drift_log(drift).withColumn("run_id", F.lit(run).cast("long"))
+        else:
+            log = log.unionByName(S.append_drift(log, drift, run))
+        log = stage_table(log, f"drift-log-{run}")
+    return history, log
+
+
+def c_schema_history(spark, sf):
+    return _history(spark, sf)[0]
+
+
+def c_drift_runs(spark, sf):
+    log = _history(spark, sf)[1]
+    return log.groupBy("run_id", "column", "kind", "type_before", "type_after").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {f.__name__: f for f in (
     r_bad_rules_orders, j_fk_text_keys, e_bad_suite, s_delimited_scan, s_comment_scan, r_short_rows, f_delimiter_check,
     f_lines_without_delimiter, s_id_list, s_json_lines, s_keyed_document, s_violation_sink, k_stack, g_count_check, g_count_mismatches,
-    a_config_errors, a_config_verdict, a_missing_sections, c_config_columns, c_drift_log)}
+    a_config_errors, a_config_verdict, a_missing_sections, c_config_columns, c_drift_log, s_publish_table, f_manifest, g_member_files,
+    c_schema_history, c_drift_runs)}
 
 # ---------------------------------------------------------------- the same in SQL
 
@@ -288,7 +387,47 @@ wrong AS (SELECT * FROM used WHERE tab IS NULL OR ("column" NOT IN ('c_name', 'c
 _LISTED = """
 FROM (SELECT l_orderkey, count(*) AS n_listed, CAST(max(l_linenumber) AS BIGINT) AS n_declared FROM lineitem GROUP BY l_orderkey) t"""
 
+
+def _seen(run: int) -> str:
+    return " UNION ALL ".join(
+        f"SELECT c_name AS tab, '{name}' AS col, CAST({kind if kind.startswith('case') else repr(kind)} AS VARCHAR) AS kind, {run} AS run FROM customer WHERE {test}"
+        for name, test, kind in SNAPSHOTS[run])
+
+
+#: gaps and islands: a column's runs of one type without a break are one interval
+_HISTORY = f"""
+WITH seen AS ({" UNION ALL ".join(_seen(run) for run in SNAPSHOTS)}),
+steps AS (SELECT *, run - row_number() OVER (PARTITION BY tab, col, kind ORDER BY run) AS island FROM seen),
+intervals AS (SELECT tab, col, kind, CAST(min(run) AS BIGINT) AS from_run,
+    CASE WHEN max(run) < {max(SNAPSHOTS)} THEN CAST(max(run) + 1 AS BIGINT) END AS to_run FROM steps GROUP BY tab, col, kind, island)"""
+
 ORACLE_SQL = {
+    "c_schema_history": _HISTORY + """
+SELECT tab AS "table", col AS "column", kind AS type, from_run, to_run FROM intervals""",
+    "c_drift_runs": _HISTORY + f""",
+runs AS (SELECT unnest([{", ".join(str(r) for r in SNAPSHOTS if r > min(SNAPSHOTS))}]) AS run_id),
+ends AS (SELECT tab, col, run_id, max(CASE WHEN to_run = run_id THEN kind END) AS b, max(CASE WHEN from_run = run_id THEN kind END) AS a, min(from_run) AS since
+    FROM intervals, runs GROUP BY tab, col, run_id)
+SELECT CAST(run_id AS BIGINT) AS run_id, col AS "column", CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN 'retyped' WHEN b IS NOT NULL THEN 'removed'
+    WHEN since < run_id THEN 'returned' ELSE 'added' END AS kind, b AS type_before, a AS type_after, count(*) AS n
+FROM ends WHERE a IS NOT NULL OR b IS NOT NULL GROUP BY ALL""",
+    "s_publish_table": """
+SELECT CAST(NULL AS VARCHAR) AS l_returnflag, l_linenumber, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem
+WHERE l_quantity > 25 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25) GROUP BY l_linenumber""",
+    "f_manifest": _ORDER_LINES + """
+, f AS (SELECT file_no, CAST(22 + 41 + sum(strlen(value) + 1) AS BIGINT) AS bytes FROM l GROUP BY file_no)
+SELECT file_no, 'file' AS kind, 'found' AS status, bytes AS length, FALSE AS has_error FROM f
+UNION ALL SELECT file_no, 'again', 'found', bytes, FALSE FROM f WHERE file_no % 3 = 0
+UNION ALL SELECT file_no, 'gone', 'not_found', NULL, FALSE FROM f WHERE file_no % 4 = 0
+UNION ALL SELECT file_no, 'folder', 'error', NULL, TRUE FROM f WHERE file_no % 5 = 0
+UNION ALL SELECT file_no, 'through', 'error', NULL, TRUE FROM f WHERE file_no % 6 = 0""",
+    "g_member_files": """
+WITH s AS (SELECT *, s_suppkey % 13 <> 0 AS here, CAST(s_suppkey % 7 <> 0 AS INT) AS one, CAST(s_suppkey % 11 = 0 AS INT) AS two FROM supplier)
+SELECT 'n' || CAST(s_nationkey AS VARCHAR) AS "group", 'S_' || CAST(s_suppkey AS VARCHAR) AS member,
+    CAST(CASE WHEN here THEN one + two ELSE 0 END AS BIGINT) AS n_matches,
+    CASE WHEN NOT here OR one + two = 0 THEN 'none' WHEN one + two = 1 THEN 'ok' ELSE 'many' END AS status,
+    CASE WHEN here AND one + two = 1 THEN 'S_' || CAST(s_suppkey AS VARCHAR) || CASE WHEN one = 1 THEN '_a' ELSE '_b' END || '_protein.faa.gz' END AS file
+FROM s""",
     "r_bad_rules_orders": """
 SELECT 0 AS rule_idx, 'error' AS status, CAST(NULL AS BIGINT) AS n_violations
 UNION ALL SELECT 1, 'error', NULL UNION ALL SELECT 2, 'error', NULL

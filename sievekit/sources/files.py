@@ -7,11 +7,15 @@ Listings come from the ``binaryFile`` source reading only ``path`` and
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievekit.session import ship_package
+from sievekit.sources import ranges as BR
 from sievekit.sources.delimited import first_lines
 
 
@@ -49,17 +53,49 @@ def list_files(spark: SparkSession, directories: Sequence[str], glob: str | None
     return out
 
 
-def manifest_check(spark: SparkSession, input_files: Sequence[Mapping]) -> DataFrame:
-    """every configured input file exists: status ``found``, ``not_found``,
-    or ``error`` (its folder could not be listed for another reason)."""
-    paths = [str(f.get("file_path")) for f in input_files]
-    folders = {p: posixpath.dirname(p) or "." for p in paths}
+def _manifest_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        facts = [BR.file_facts(p) for p in b.column("file_path").to_pylist()]
+        yield pa.record_batch([*b.columns, pa.array([f[0] for f in facts], pa.string()), pa.array([f[1] for f in facts], pa.int64()),
+                               pa.array([f[2] for f in facts], pa.string())], names=[*b.schema.names, "status", "length", "error"])
+
+
+def manifest_check(spark: SparkSession, input_files: Sequence[Mapping] | DataFrame) -> DataFrame:
+    """every configured input file exists and opens: status ``found``,
+    ``not_found``, or ``error`` with the reason (a folder, a path through a
+    file, no right to read).
+
+    ``input_files`` are config entries or a DataFrame of (idx, file_path) of any
+    size: tasks look at the files, each path once however often it is listed.
+    A null path is ``not_found``. In stores that tasks cannot open, the folders
+    of config entries are listed instead.
+    """
+    if isinstance(input_files, DataFrame):
+        manifest = input_files.select("idx", "file_path")
+    else:
+        rows = [(i, str(f.get("file_path"))) for i, f in enumerate(input_files)]
+        if any(not _task_store(p) for _, p in rows):
+            return _manifest_by_listing(spark, rows)
+        manifest = spark.createDataFrame(rows, "idx int, file_path string")
+    ship_package(spark)
+    paths = manifest.select("file_path").filter("file_path is not null").distinct()
+    facts = paths.mapInArrow(_manifest_rows, "file_path string, status string, length long, error string")
+    return manifest.join(facts, "file_path", "left").select(
+        "idx", "file_path", F.coalesce("status", F.lit("not_found")).alias("status"), "length", "error")
+
+
+def _task_store(path: str) -> bool:
+    """Whether tasks open this kind of store."""
+    return urlsplit(path).scheme in ("", "file", "hdfs", "s3", "s3a", "gs")
+
+
+def _manifest_by_listing(spark: SparkSession, rows: Sequence[tuple[int, str]]) -> DataFrame:
+    folders = {p: posixpath.dirname(p) or "." for _, p in rows}
     errors: dict = {}
-    listing = list_files(spark, list(folders.values()), errors=errors)
-    manifest = spark.createDataFrame(
-        [(i, p, errors.get(folders[p])) for i, p in enumerate(paths)], "idx int, file_path string, error string")
+    files = list_files(spark, list(folders.values()), errors=errors)
+    manifest = spark.createDataFrame([(i, p, errors.get(folders[p])) for i, p in rows], "idx int, file_path string, error string")
     m = manifest.withColumn("__p", _strip_scheme(F.col("file_path")))
-    joined = m.join(listing, m["__p"] == listing["path"], "left")
+    joined = m.join(files, m["__p"] == files["path"], "left")
     status = (F.when(F.col("error").isNotNull(), "error")
               .when(F.col("path").isNotNull(), "found").otherwise("not_found"))
     return joined.select("idx", "file_path", status.alias("status"), "length", "error")

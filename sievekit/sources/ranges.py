@@ -27,6 +27,7 @@ import gzip
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from pathlib import Path
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
@@ -56,17 +57,29 @@ def _suffix(path: str) -> str:
     return "." + name.rsplit(".", 1)[-1].lower() if "." in name else ""
 
 
-def open_file(path: str):
-    """A file opened for reading bytes; ``path`` as Spark names it."""
+def _local(path: str) -> str | None:
     parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        raw = open(unquote(parts.path) if parts.scheme else path, "rb")  # noqa: SIM115 - closed by the caller
-    else:
-        from pyarrow import fs
-
-        store, inner = fs.FileSystem.from_uri(unquote(path).replace("s3a://", "s3://", 1))
-        raw = store.open_input_file(inner)
-    inflate = INFLATED.get(_suffix(path))
+    return {"": path, "file": unquote(parts.path)}.get(parts.scheme)
+
+
+def _store(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(unquote(path).replace("s3a://", "s3://", 1))
+
+
+def open_raw(path: str):
+    """A file opened for reading its bytes; ``path`` as Spark names it."""
+    local = _local(path)
+    if local is not None:
+        return open(local, "rb")  # noqa: SIM115 - closed by the caller
+    store, inner = _store(path)
+    return store.open_input_file(inner)
+
+
+def open_file(path: str):
+    """A file opened for reading what it holds, inflated."""
+    raw, inflate = open_raw(path), INFLATED.get(_suffix(path))
     return inflate(raw, "rb") if inflate else raw
 
 
@@ -84,6 +97,33 @@ def blocks(path: str, begin: int, end: int | None, size: int = BLOCK_BYTES) -> I
             yield bytes(block)
 
 
+def file_facts(path: str) -> tuple[str, int | None, str | None]:
+    """(status, length, error) of a path: ``found`` (a file that opens),
+    ``not_found``, or ``error`` with the reason."""
+    try:
+        with open_raw(path) as f:
+            f.read(1)
+            f.seek(0, 2)
+            return "found", f.tell(), None
+    except FileNotFoundError:
+        return "not_found", None, None
+    except Exception as exc:  # noqa: BLE001 - the reason is the result
+        return "error", None, f"{type(exc).__name__}: {exc}"
+
+
+def write_file(path: str, body: bytes) -> None:
+    """Write a file whole, making its folder."""
+    local = _local(path)
+    if local is not None:
+        Path(local).parent.mkdir(parents=True, exist_ok=True)
+        Path(local).write_bytes(body)
+        return
+    store, inner = _store(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(inner) as f:
+        f.write(body)
+
+
 # ---------------------------------------------------------------- lines
 
 def lines_from(path: str, begin: int, end: int | None, size: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:

@@ -266,3 +266,98 @@ def test_stages_of_an_application_can_be_removed(spark, tmp_dir):
         assert not session.remove_stages(spark)
     finally:
         session.ensure_checkpoint_dir = kept
+
+
+# ---------------------------------------------------------------- publishing
+
+def _failing(df):
+    return df.withColumn("name", F.when(F.col("id") < 3, F.raise_error(F.lit("lost"))).otherwise(F.col("name")))
+
+
+def test_a_failing_write_leaves_the_old_rows(spark, tmp_dir):
+    df = spark.range(5).withColumn("name", F.concat(F.lit("n"), F.col("id").cast("string")))
+    for table in (None, "published_rows"):
+        path = f"{tmp_dir}/p{table}"
+        old = lambda: spark.table(table) if table else spark.read.parquet(path)
+        sinks.write_table(df, path, table=table)
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_table(_failing(df), path, table=table)
+        assert old().count() == 5
+        sinks.write_table(df.filter("id > 3"), path, table=table)
+        assert [r.id for r in old().collect()] == [4]
+        sinks.write_table(df.limit(0), path, table=table)  # an empty result replaces old rows
+        assert old().count() == 0 and old().columns == ["id", "name"]
+        sinks.write_table(df, path, table=table, mode="append")
+        assert old().count() == 5
+        leftovers = [p for p in os.listdir(tmp_dir) if p.startswith("_")]
+        assert leftovers == []
+    spark.sql("DROP TABLE published_rows")
+
+
+def test_columns_of_old_and_new_rows_are_merged(spark, tmp_dir):
+    a = spark.createDataFrame([(1, "x")], "id int, gone string")
+    b = spark.createDataFrame([(2.5, 2)], "added double, id int")
+    for table in (None, "merged_rows"):
+        path = f"{tmp_dir}/m{table}"
+        sinks.write_table(a, path, table=table)
+        where = sinks.write_table(b, path, table=table)
+        rows = spark.table(table) if table else spark.read.parquet(path)
+        assert rows.columns == ["id", "gone", "added"] and [tuple(r) for r in rows.collect()] == [(2, None, 2.5)]
+        with pytest.raises(sinks.SchemaConflict):
+            sinks.write_table(spark.createDataFrame([("1",)], "id string"), path, table=table)
+        assert spark.read.parquet(where).count() == 1
+        plain = sinks.write_table(b, f"{path}-plain", merge_schema=False)
+        assert spark.read.parquet(plain).columns == ["added", "id"]
+    spark.sql("DROP TABLE merged_rows")
+
+
+def test_rows_left_aside_by_a_dead_write_come_back(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    sinks.write_table(spark.range(3), path)
+    os.rename(path, f"{tmp_dir}/_t.before")  # died between the two renames
+    assert sinks.restore(spark, path) and spark.read.parquet(path).count() == 3
+    assert not sinks.restore(spark, path)
+    sinks.write_table(spark.read.parquet(path).filter("id > 0"), path)  # reads what it replaces
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_names_are_quoted(spark, tmp_dir):
+    folder = f"{tmp_dir}/it's here"
+    sinks.write_table(spark.range(2), folder, table="default.1st_rows")
+    assert spark.table("default.`1st_rows`").count() == 2
+    spark.sql("DROP TABLE default.`1st_rows`")
+
+
+def test_manifest_of_double_missing_and_unreadable_entries(spark, tmp_dir):
+    _write(f"{tmp_dir}/m/a b%.tsv", "x")
+    os.makedirs(f"{tmp_dir}/m/folder")
+    listed = [(1, f"{tmp_dir}/m/a b%.tsv"), (2, f"{tmp_dir}/m/a b%.tsv"), (3, f"{tmp_dir}/m/none"), (4, f"{tmp_dir}/m/folder"),
+              (5, f"{tmp_dir}/m/a b%.tsv/under"), (6, None)]
+    got = {r.idx: r for r in FL.manifest_check(spark, spark.createDataFrame(listed, "idx int, file_path string")).collect()}
+    assert [got[i].status for i in range(1, 7)] == ["found", "found", "not_found", "error", "error", "not_found"]
+    assert got[1].length == 1 and got[4].error and got[3].error is None
+
+
+# ---------------------------------------------------------------- schema history
+
+def test_schema_history_and_drift_by_runs(spark):
+    def snapshot(*rows):
+        return spark.createDataFrame(list(rows), "table string, column string, type string")
+
+    runs = {1: snapshot(("t", "a", "int"), ("t", "b", "int"), (None, "x", "int"), ("t", None, "int")),
+            2: snapshot(("t", "a", "long"), ("t", "c", "int"), ("u", "a", "int"), ("u", "a", "double")),
+            3: snapshot(("t", "a", "long"), ("t", "b", "int")),
+            4: snapshot()}
+    history = spark.createDataFrame([], C.HISTORY)
+    log = None
+    for run in (1, 2, 2, 1, 3, 4):  # repeated and late runs change nothing
+        history = sinks.stage_table(C.schema_history(history, runs[run], run), "history")
+        drift = C.drift_of_run(history, run)
+        log = C.drift_log(drift).withColumn("run_id", F.lit(run).cast("long")) if log is None else log.unionByName(C.append_drift(log, drift, run))
+        log = sinks.stage_table(log, "log")
+    assert {tuple(r) for r in history.collect()} == {
+        ("t", "a", "int", 1, 2), ("t", "a", "long", 2, 4), ("t", "b", "int", 1, 2), ("t", "b", "int", 3, 4), ("t", "c", "int", 2, 3), ("u", "a", "double", 2, 3)}
+    assert {(r.run_id, r.table, r.column, r.kind) for r in log.collect()} == {
+        (2, "t", "a", "retyped"), (2, "t", "b", "removed"), (2, "t", "c", "added"), (3, "t", "b", "returned"), (3, "t", "c", "removed"),
+        (3, "u", "a", "removed"), (4, "t", "a", "removed"), (4, "t", "b", "removed")}
+    assert log.count() == 8
