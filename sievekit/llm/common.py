@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
-import sievekit  # noqa: I001
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievekit.functions.sizing import estimated_bytes
-from sievekit.session import stage_table
+from sievekit.session import ship_package, stage_table
 
 #: the white space of every word and text rule here: space, tab to carriage return
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: sides proven to be at most this large may be broadcast
+#: sides proven to take at most this much memory may be broadcast
 BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_BYTES, _FIELD_BYTES, _PACKED = 64, 16, 3  # memory of a row and a field, and of a byte of Parquet
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -29,10 +25,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return stage_table(df, f"llm-{name}")
 
 
+def held_bytes(df: DataFrame) -> int | None:
+    """Memory that a staged table takes as a broadcast: its rows are counted
+    (from file footers), their values taken from its size, unpacked."""
+    size = estimated_bytes(df)
+    return None if size is None else df.count() * (_ROW_BYTES + _FIELD_BYTES * len(df.columns)) + _PACKED * size
+
+
 def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when ``df`` (a staged table) is known to be at most ``max_bytes``."""
+    """True when ``df`` (a staged table) is known to take at most ``max_bytes`` in memory."""
     size = estimated_bytes(df)
-    return size is not None and size <= max_bytes
+    if size is None or size > max_bytes:
+        return False
+    return (held_bytes(df) or 0) <= max_bytes
 
 
 def hinted(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -73,19 +78,9 @@ ARROW_ROWS = 500
 
 def prepare_python(spark: SparkSession) -> None:
     """Ready a session for Python tasks over texts: Arrow batches of at most
-    ``ARROW_ROWS`` rows (the session's setting is lowered, never raised), and
-    this package sent to the executors, so that tasks import it wherever the
-    driver was started from."""
+    ``ARROW_ROWS`` rows (the session's setting is lowered, never raised; Spark
+    bounds their bytes besides), and this package sent to the executors."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(setting, "10000")) <= ARROW_ROWS:
         spark.conf.set(setting, str(ARROW_ROWS))
-    context = spark.sparkContext
-    name = "sievekit-package.zip"
-    if name in context._python_includes:
-        return
-    home = Path(sievekit.__file__).parent
-    target = Path(tempfile.mkdtemp(prefix="sievekit-ship-")) / name
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
-        for source in sorted(home.rglob("*.py")):
-            out.write(source, str(source.relative_to(home.parent)))
-    context.addPyFile(str(target))
+    ship_package(spark)

@@ -3,23 +3,32 @@
 A hash rolling over ``window`` line hashes ends a chunk wherever it is 0
 modulo ``divisor``, so boundaries depend only on nearby lines and survive
 shifts. Chunks of at least two lines that occur more than once in the corpus
-keep their first occurrence (smallest id, then place) and lose the others,
-after their bytes were compared. Only (id, place, 128-bit hash) rows are
-grouped; chunk texts travel for repeated hashes only, reduced to distinct
-texts per task, so a passage that a third of the documents carry is one row
-per task. DataFrame functions only.
-
-``passage_report`` does the same with every two neighbouring lines in place of
-the chunks: the finest boundaries there are. Each two lines of a repeated
-passage are themselves repeated, so a passage of two lines or more is lost
-whole, wherever it stands between a document's own lines, without growing hits
-or comparing documents: one narrow row a line. Chunks are then only counted.
+are hits; every hit but the first place (smallest id, then place) of its chunk
+is compared byte by byte with it. ``chunk_report`` removes whole repeated
+chunks and nothing else.
+
+``passage_report`` finds the passages around the chunks. Chunks come from
+several levels (``LEVELS``; the finest ends one after every line and takes two
+neighbours, so that a passage of two lines is hit wherever it stands between a
+document's own lines). Hits that point to one earlier document at one distance
+grow together while they touch: the lines of such a passage stand at that
+earlier place as a whole. A line that lies in several passages belongs to the
+longest (then the first); a passage is removed if the lines that belong to it
+are at least two with something in them. Repetitions within a document are
+measured from the occurrence before, so of lines that repeat in turns the first
+turn stays.
+
+Only (id, place, 128-bit hash) rows are grouped; chunk texts travel for
+repeated hashes only, reduced to distinct texts per task, so a passage that a
+third of the documents carry is one row per task. DataFrame functions only.
 
 Defined results
     null text        no lines, text stays null
-    empty text       one empty line, never removed (a chunk of one line)
-    one line         between lines that do not repeat with it: stays
-    equal lines      in a row: the first two stay (``passage_report``)
+    empty text       one empty line, never removed
+    one line         that repeats without a neighbour stays
+    blank lines      go with the passage that they stand in, never by themselves
+    equal lines      in a row: the first two stay
+    overlaps         A B and B C known from two places: of A B C, A B goes and C stays
     long texts       taken whole
     ties             the first place within the smallest id keeps the chunk
     repeated rows    rows with the same id and text share one fate: the first
@@ -30,13 +39,27 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievekit.llm.common import BROADCAST_BYTES, fresh, hinted, small, stage
 
 WINDOW = 2
 DIVISOR = 4
+#: (window, divisor) of the levels above the finest
+LEVELS = ((2, 2), (WINDOW, DIVISOR))
+MIN_LINES = 2  # lines with something in them that a removed passage has
+
+
+def chunk_ends(hashes: str, window: int, divisor: int) -> Column:
+    """Where chunks end (line numbers from 1): the hash rolls over the lines
+    that end at line i, and a boundary follows line i."""
+    return F.filter(
+        F.transform(hashes, lambda _, i: F.when(
+            (i + 1 == F.size(hashes))
+            | ((i + 1 >= window) & (F.pmod(F.xxhash64(F.slice(hashes, F.greatest(i + 2 - window, F.lit(1)), F.lit(window))),
+                                           F.lit(divisor)) == 0)), i + 1)),
+        lambda e: e.isNotNull())
 
 
 def with_chunks(df: DataFrame, text_col: str = "_text", window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
@@ -45,13 +68,7 @@ def with_chunks(df: DataFrame, text_col: str = "_text", window: int = WINDOW, di
     In steps, so that the arrays are made once a row and not once a line."""
     df = df.withColumn("_lines", F.split(F.col(text_col), "\n", -1))
     df = df.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
-    # the hash rolls over the lines that end at line i; a boundary follows line i
-    df = df.withColumn("_ends", F.filter(
-        F.transform("_hashes", lambda _, i: F.when(
-            (i + 1 == F.size("_hashes"))
-            | ((i + 1 >= window) & (F.pmod(F.xxhash64(F.slice("_hashes", F.greatest(i + 2 - window, F.lit(1)), F.lit(window))),
-                                           F.lit(divisor)) == 0)), i + 1)),
-        lambda e: e.isNotNull()))
+    df = df.withColumn("_ends", chunk_ends("_hashes", window, divisor))
     begin = lambda k: F.when(k == 0, 0).otherwise(F.element_at("_ends", F.greatest(k, F.lit(1))))
     return df.withColumn("_chunks", F.transform("_ends", lambda e, k: F.slice("_lines", begin(k) + 1, e - begin(k)))).drop(
         "_hashes", "_ends")
@@ -72,25 +89,65 @@ def repeated_chunks(df: DataFrame, id_col: str, text_col: str, window: int = WIN
     return lost.groupBy("_id").agg(F.collect_set("_at").alias("gone")).select(F.col("_id").alias(id_col), "gone")
 
 
-def repeated_lines(df: DataFrame, id_col: str, text_col: str, hash_of=hash_128,
-                   max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(id, gone): for documents that lose lines, the places of the lost ones,
-    those of every two neighbouring lines that stand at an earlier place."""
-    source = df.select(F.col(id_col).alias("_id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
-    twos = F.transform(F.slice("_lines", 1, F.size("_lines") - 1), lambda _, i: F.array_join(F.slice("_lines", i + 1, 2), "\n"))
-    each = source.select("_id", F.posexplode_outer(twos).alias("_at", "_chunk")).filter("_at is not null")
-    lost = lost_places(each, hash_of, max_broadcast_bytes)
-    # of equal lines in a row, the second is in the place that is kept
-    inside = F.struct("_id", (F.col("_at") - 1).alias("_at")).eqNullSafe(F.col("keeper"))
-    lines = F.when(inside, F.array(F.col("_at") + 1)).otherwise(F.array(F.col("_at"), F.col("_at") + 1))
-    lost = lost.select("_id", F.explode(lines).alias("_line"))
-    return lost.groupBy("_id").agg(F.collect_set("_line").alias("gone")).select(F.col("_id").alias(id_col), "gone")
+def _between(ends: str) -> Column:
+    """The chunks between their ends: first line (from 0) and length."""
+    def span(end: Column, k: Column) -> Column:
+        begin = F.when(k == 0, 0).otherwise(F.element_at(ends, F.greatest(k, F.lit(1))))
+        return F.struct(begin.alias("at"), (end - begin).alias("len"))
+
+    return F.transform(ends, span)
+
+
+def chunk_spans(df: DataFrame, levels=LEVELS) -> DataFrame:
+    """(_id, _at, _len, _chunk): every chunk of two lines or more of every level
+    by its first line, length and text; one that several levels have comes once.
+
+    In steps, so that the arrays are made once a row and not once a line."""
+    df = df.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
+    ends = {f"_ends{k}": chunk_ends("_hashes", *level) for k, level in enumerate(levels)}
+    df = df.withColumns(ends)
+    spans = [F.transform(F.slice("_hashes", 1, F.greatest(F.size("_hashes") - 1, F.lit(0))), lambda _, i: F.struct(i.alias("at"), F.lit(2).alias("len")))]
+    spans += [F.filter(_between(name), lambda s: s["len"] > 2) for name in ends]  # those of two lines are there already
+    df = df.withColumn("_spans", F.array_distinct(F.concat(*spans)))
+    # the outer form: for the other, the optimizer adds a filter that makes the arrays anew for every line
+    each = df.select("_id", "_lines", F.explode_outer("_spans").alias("_s")).filter("_s is not null")
+    return each.select("_id", F.col("_s.at").alias("_at"), F.col("_s.len").alias("_len"),
+                       F.array_join(F.slice("_lines", F.col("_s.at") + 1, F.col("_s.len")), "\n").alias("_chunk"))
 
 
-def lost_places(each: DataFrame, hash_of, max_broadcast_bytes: int) -> DataFrame:
-    """(_h, _id, _at, keeper) of every place whose ``_chunk`` has an earlier place, the keeper."""
-    each = each.select("_id", "_at", "_chunk", hash_of(F.col("_chunk")).alias("_h"))
-    places = stage(each.select("_id", "_at", "_h"), "chunk-places")
+def passages(df: DataFrame, id_col: str, text_col: str, levels=LEVELS, hash_of=hash_128,
+             max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(_id, spans): for documents with passages that stand at earlier places,
+    the lines that belong to each (first line, number), whatever is in them."""
+    source = df.select(F.col(id_col).alias("_id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
+    lost = lost_places(chunk_spans(source, levels), hash_of, max_broadcast_bytes, "_len")
+    # within a document, the distance is that from the occurrence before
+    same = Window.partitionBy("_id", "_h").orderBy("_at")
+    own = F.col("keeper._id").eqNullSafe(F.col("_id"))
+    before = F.coalesce(F.lag("_at").over(same), F.col("keeper._at"))
+    lost = lost.repartition("_id").select("_id", F.when(~own, F.col("keeper._id")).alias("_from"), own.alias("_own"), "_at",
+                                          (F.col("_at") + F.col("_len")).alias("_end"),
+                                          (F.col("_at") - F.when(own, before).otherwise(F.col("keeper._at"))).alias("_shift"))
+    # all steps from here on stay in the partition of their document
+    line = ["_id", "_own", "_from", "_shift"]
+    ordered = Window.partitionBy(*line).orderBy("_at", "_end")
+    reached = F.max("_end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    lost = lost.withColumn("_new", (F.coalesce(F.col("_at") > reached, F.lit(True))).cast("int"))
+    lost = lost.withColumn("_nth", F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    grown = lost.groupBy(*line, "_nth").agg(F.min("_at").alias("_at"), F.max("_end").alias("_end"))
+    # of equal lines in a row, a second one is in the turn that stays
+    grown = grown.withColumn("_at", F.col("_at") + F.when(F.col("_own") & (F.col("_shift") == 1), 1).otherwise(0)).filter(F.col("_end") - F.col("_at") >= 2)
+    best = F.min(F.struct((F.col("_at") - F.col("_end")).alias("size"), F.col("_at").alias("at"), F.col("_own").alias("own"), F.col("_from").alias("from"),
+                          F.col("_shift").alias("shift"))).alias("_best")
+    lines = grown.select("*", F.explode(F.sequence(F.col("_at"), F.col("_end") - 1)).alias("_line")).groupBy("_id", "_line").agg(best)
+    spans = lines.groupBy("_id", "_best").agg(F.min("_line").alias("at"), F.count(F.lit(1)).cast("int").alias("n")).filter(f"n >= {MIN_LINES}")
+    return spans.groupBy("_id").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+
+
+def lost_places(each: DataFrame, hash_of, max_broadcast_bytes: int, *carried: str) -> DataFrame:
+    """(_h, _id, _at, carried columns, keeper) of every place whose ``_chunk`` has an earlier place, the keeper."""
+    each = each.select("_id", "_at", *carried, "_chunk", hash_of(F.col("_chunk")).alias("_h"))
+    places = stage(each.select("_id", "_at", *carried, "_h"), "chunk-places")
     first = F.min(F.struct("_id", "_at")).alias("keeper")
     repeated = places.groupBy("_h").agg(F.count("*").alias("n"), first).filter("n > 1").select("_h", "keeper")
     repeated = stage(repeated, "chunk-repeated")
@@ -104,7 +161,8 @@ def lost_places(each: DataFrame, hash_of, max_broadcast_bytes: int) -> DataFrame
         hot = hinted(collided, max_broadcast_bytes)
         mixed = each.join(hot, "_h", "left_semi")
         exact = stage(mixed.groupBy("_h", "_chunk").agg(first), "chunk-variants")
-        lost = lost.join(hot, "_h", "left_anti").unionByName(mixed.join(exact, ["_h", "_chunk"]).select("_h", "_id", "_at", "keeper"))
+        lost = lost.join(hot, "_h", "left_anti").unionByName(
+            mixed.join(exact, ["_h", "_chunk"]).select("_h", "_id", "_at", *carried, "keeper"))
     return lost.filter(~F.struct("_id", "_at").eqNullSafe(F.col("keeper")))
 
 
@@ -126,28 +184,27 @@ def chunk_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.length("_text") - F.length("text")).alias("removed_chars"), "text")
 
 
-def passage_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   divisor: int = DIVISOR, **options) -> DataFrame:
-    """One row per input row, without any repeated passage of two lines or
-    more: the columns of ``chunk_report``; n_removed counts the chunks of which
-    no line is left."""
-    gone = repeated_lines(df, id_col, text_col, **options)
-    gone = stage(gone.select(F.col(id_col).alias("_gone_id"), "gone"), "passage-gone")
+def passage_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels=LEVELS, **options) -> DataFrame:
+    """One row per input row, without the passages of two lines or more that
+    stand at an earlier place: id, n_lines, n_chunks (of the last level),
+    n_removed (lines), removed_chars, text."""
+    found = passages(df, id_col, text_col, levels, **options)
+    found = stage(found.select(F.col("_id").alias("_gone_id"), "spans"), "passage-spans")
     base = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    joined = base.join(hinted(gone), F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
-    parts = with_chunks(joined, "_text", window, divisor)
-    parts = parts.withColumn("_chunk_of", F.flatten(F.transform("_chunks", lambda c, k: F.array_repeat(k, F.size(c)))))
-    parts = parts.withColumn("_kept", F.array_except(
-        F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("gone", F.array().cast("array<int>"))))
+    joined = base.join(hinted(found), F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
     # columns that a lambda reads are used twice or more, so that they are made once a row and not once a line
-    parts = parts.withColumns({
-        "text": F.when(F.col("gone").isNull(), F.col("_text")).otherwise(
+    rows = joined.withColumn("_lines", F.split("_text", "\n", -1)).withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
+    rows = rows.withColumn("_real", F.filter("spans", lambda s: F.size(F.filter(
+        F.slice("_lines", s["at"] + 1, s["n"]), lambda x: F.trim(x) != "")) >= MIN_LINES))
+    rows = rows.withColumn("_gone", F.flatten(F.transform("_real", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1))))
+    rows = rows.withColumn("_kept", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("_gone", F.array().cast("array<int>"))))
+    rows = rows.withColumns({
+        "text": F.when(F.coalesce(F.size("_gone"), F.lit(0)) <= 0, F.col("_text")).otherwise(
             F.array_join(F.transform("_kept", lambda i: F.element_at("_lines", i + 1)), "\n")),
-        "_left": F.size(F.array_distinct(F.transform("_kept", lambda i: F.element_at("_chunk_of", i + 1)))),
-        "n_lines": F.coalesce(F.size("_chunk_of"), F.lit(0)),
-        "n_chunks": F.coalesce(F.size("_chunks"), F.lit(0))})
-    return parts.select(
-        F.col("_id").alias(id_col), "n_lines", "n_chunks", F.coalesce(F.col("n_chunks") - F.col("_left"), F.lit(0)).alias("n_removed"),
+        "n_lines": F.greatest(F.coalesce(F.size("_lines"), F.lit(0)), F.lit(0)),
+        "n_chunks": F.greatest(F.coalesce(F.size(chunk_ends("_hashes", *levels[-1])), F.lit(0)), F.lit(0))})
+    return rows.select(
+        F.col("_id").alias(id_col), "n_lines", "n_chunks", F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).alias("n_removed"),
         (F.length("_text") - F.length("text")).alias("removed_chars"), "text")
 
 

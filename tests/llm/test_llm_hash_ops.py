@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sievekit.llm.components import connected_components
 from sievekit.llm.exact_dedup import drop_exact_copies, exact_groups
-from sievekit.llm.line_chunks import DIVISOR, WINDOW, chunk_report, drop_repeated_chunks, passage_report
+from sievekit.llm.line_chunks import DIVISOR, LEVELS, WINDOW, chunk_report, drop_repeated_chunks, passage_report
 from sievekit.llm.ngram_join import components_of, needed, one_of_each, shared_at_least, shingle_components
 from sievekit.llm.ngram_join import THRESHOLD, _class_of
 from sievekit.llm.queries import op6_line_chunk_dedup
@@ -154,21 +154,66 @@ def test_chunks_repeated_rows_and_empty_table(spark):
     assert chunk_report(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def chunk_spans_of(text):
+    """Chunks of two lines or more of every level: (first line, number)."""
+    lines = text.split("\n")
+    hashes = [xx(x.encode()) for x in lines]
+    spans = {(at, 2) for at in range(len(lines) - 1)}
+    for window, divisor in LEVELS:
+        begin = 0
+        for i in range(len(lines)):
+            cut = i + 1 == len(lines)
+            if i + 1 >= window:
+                roll = 42
+                for h in hashes[i + 1 - window : i + 1]:
+                    roll = xx((h % (1 << 64)).to_bytes(8, "little"), roll % (1 << 64))
+                cut |= roll % divisor == 0
+            if cut:
+                if i + 1 - begin >= 2:
+                    spans.add((begin, i + 1 - begin))
+                begin = i + 1
+    return lines, spans
+
+
 def brute_passages(rows):
-    """By definition: every two neighbouring lines that stand at an earlier place go."""
-    first = {}
-    for i, t in sorted(r for r in rows if r[1] is not None):
-        lines = t.split("\n")
-        for at in range(len(lines) - 1):
-            first.setdefault((lines[at], lines[at + 1]), (i, at))
-    out = {}
-    for i, t in rows:
-        lines, gone = (t or "").split("\n"), set()
-        for at in range(len(lines) - 1):
-            keeper = first[lines[at], lines[at + 1]]
-            if keeper != (i, at):
-                gone |= {at + 1} if keeper == (i, at - 1) else {at, at + 1}
-        out[i] = None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    """The whole rule by definition: what is left of every text."""
+    cut = {i: chunk_spans_of(t) for i, t in rows if t is not None}
+    places = defaultdict(list)
+    for i, (lines, spans) in cut.items():
+        for at, n in spans:
+            places[tuple(lines[at : at + n])].append((i, at))
+    out = {i: t for i, t in rows}
+    for i, (lines, spans) in cut.items():
+        found = defaultdict(list)  # (own, earlier document, distance): hits
+        for at, n in spans:
+            mine = places[tuple(lines[at : at + n])]
+            first = min(mine)
+            if first[0] != i:
+                found[False, first[0], at - first[1]].append((at, at + n))
+            elif first[1] != at:
+                found[True, None, at - max(p for d, p in mine if d == i and p < at)].append((at, at + n))
+        grown = []
+        for (own, source, shift), hits in found.items():
+            runs = []
+            for a, z in sorted(hits):
+                if runs and a <= runs[-1][1]:
+                    runs[-1][1] = max(z, runs[-1][1])
+                else:
+                    runs.append([a, z])
+            for a, z in runs:
+                a += own and shift == 1
+                if not own:  # every line of a passage stands at the one earlier place
+                    assert lines[a:z] == cut[source][0][a - shift : z - shift]
+                if z - a >= 2:
+                    grown.append((a - z, a, own, -1 if source is None else source, shift, z))
+        owner = {k: min(p for p in grown if p[1] <= k < p[5]) for k in range(len(lines)) if any(p[1] <= k < p[5] for p in grown)}
+        gone = set()
+        for p in set(owner.values()):
+            mine = [k for k in owner if owner[k] == p]
+            if len(mine) >= 2 and sum(lines[k].strip(" ") != "" for k in range(min(mine), min(mine) + len(mine))) >= 2:
+                gone |= set(range(min(mine), min(mine) + len(mine)))
+        if gone:
+            out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 
@@ -184,6 +229,7 @@ def test_passages_between_own_lines(spark, tmp_dir, weak):
         rows.append((i, "\n".join([*own[i][:2], *rnd.choice(passages), *own[i][2:]])))
     rows += [(i + 1000, t) for i, t in line_rows() if i < 7]
     rows += [(300, "x\nx\nx\nx"), (301, "y\nx\nx\nz"), (302, "solo"), (303, "solo"), (304, "solo\nother")]
+    rows += [(400, "a\nb\nc\n" * 20 + "end"), (401, "p\nq\n" * 3), (402, "new\np\nq\nnew")]
     df = spark.createDataFrame(rows, DOCS).repartition(5)
     if weak:
         got = passage_report(df, hash_of=lambda c: F.unhex(F.lit("00"))).collect()
@@ -194,14 +240,42 @@ def test_passages_between_own_lines(spark, tmp_dir, weak):
     assert len(got) == len(rows) and left == brute_passages(rows)
     assert all(left[i] == "\n".join(x) for i, x in own.items())
     assert left[300] == "x\nx" and left[301] == "y\nz" and left[303] == "solo" and left[304] == "solo\nother"
+    assert left[400] == "a\nb\nc\nend" and left[402] == "new\nnew"
     texts = dict(rows)
     for r in got:
         t = texts[r["doc_id"]]
         assert r["n_lines"] == (0 if t is None else len(t.split("\n")))
-        assert r["n_chunks"] == (0 if t is None else len(brute_chunks(t))) and 0 <= r["n_removed"] <= r["n_chunks"]
+        assert r["n_chunks"] == (0 if t is None else len(brute_chunks(t))) and 0 <= r["n_removed"] <= r["n_lines"]
         assert r["removed_chars"] == (None if t is None else len(t) - len(r["text"]))
 
 
+def test_lines_known_from_two_places_and_blank_lines(spark):
+    """What never stood together before is not removed together; blank lines go with nothing."""
+    rows = [(1, "A\nB\nown"), (2, "own 2\nB\nC"), (3, "A\nB\nC"), (4, "\n\nmine"), (5, "\n\nother"), (6, " \n\nlast"), (7, "x\n\ny"), (8, "z\nx\n\ny")]
+    left = {r["doc_id"]: r["text"] for r in passage_report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert left == brute_passages(rows)
+    assert left[3] == "C" and [left[i] for i in (1, 2, 4, 5, 6, 7)] == [t for i, t in rows if i in (1, 2, 4, 5, 6, 7)]
+    assert left[8] == "z"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_of_random_documents(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(None, "a\nb\nc"), (-3, "a\nb\nc\nd")]
+    for i in range(120):
+        lines = [rnd.choice(["a", "b", "c", "d", "", " "] if i % 3 else [f"l{k}" for k in range(25)]) for _ in range(rnd.randrange(1, 14))]
+        rows.append((i, "\n".join(lines)))
+    rows = [r for r in rows if r[0] is not None]
+    got = {r["doc_id"]: r["text"] for r in passage_report(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    assert got == brute_passages(rows)
+
+
+def test_null_ids_have_passages_too(spark):
+    rows = [(None, "a\nb\nc"), (1, "x\na\nb\nc")]
+    got = {r["doc_id"]: r["text"] for r in passage_report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {None: "a\nb\nc", 1: "x"}
+
+
 # ------------------------------------------------------------ tokens
 
 def test_word_hashes_follow_words():
