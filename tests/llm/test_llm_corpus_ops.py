@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from sievekit.llm.decontam import MASKS, MIN_WORDS, decontaminated, leaks, longest_stretch, seed_hashes
+from sievekit.llm.decontam import (
+    COVERAGE, MASKS, MIN_WORDS, RUN, RUN_WORDS, Index, _overlaps, common_in_order, decontaminated, item_words, leaked_run, leaks, longest_stretch,
+    needed, seed_hashes, whole_run)
 from sievekit.llm.hilbert import curve_index, curve_tables, hilbert_shards, shard_extents, write_shards
 from sievekit.llm.mixing import REST, mixed_documents, pfair_mix, pfair_period, phases
 from sievekit.llm.queries import ORACLE_SQL, QUERIES, SHARD_DIMS, WEIGHTS
@@ -178,7 +180,7 @@ def bench_rows():
             for k in range(change * len(w) // 10):
                 copy[4 + k * 9 if 4 + k * 9 < len(w) else -1] = "changed"
             docs.append((n, " ".join(fresh(40) + copy + fresh(30)).upper()))
-            if copy == w or len(w) >= 8:  # shorter items must keep five words in a row
+            if sum(a == b for a, b in zip(copy, w)) >= needed(len(w)):
                 dirty.add((n, i))
             n += 1
     lost = items[7][1]
@@ -232,6 +234,113 @@ def test_seeds_ignore_masked_words():
         assert longest_stretch(same, 0.75) == best
 
 
+def zipf_words(rnd, n, size=2000):
+    weights = [1 / (k + 1) for k in range(size)]
+    return rnd.choices([f"z{k}" for k in range(size)], weights, k=n)
+
+
+def caught(text, items):
+    index = Index(item_words(items))
+    return {index.ids[i] for i, *_ in _overlaps(word_hashes(text.encode()), index, COVERAGE, RUN)}
+
+
+@pytest.mark.parametrize("length", [60, 100])
+def test_a_stock_phrase_is_no_leak_however_often_it_comes(length):
+    """Clean documents of Zipf words that repeat five words of an item."""
+    rnd = random.Random(length)
+    for trial in range(20):
+        item = zipf_words(rnd, length)
+        phrase = item[20:25]
+        for repeats in (10, 30, 100, 1000):
+            doc = [w for _ in range(repeats) for w in [*zipf_words(rnd, rnd.randrange(5, 40)), *phrase]]
+            assert caught(" ".join(doc), [(1, " ".join(item))]) == set()
+
+
+@pytest.mark.parametrize("length", [6, 7, 8, 9, 10, 12, 14, 15, 16, 20, 25, 30])
+def test_recall_with_a_quarter_of_the_words_changed(length):
+    rnd = random.Random(length)
+    found = 0
+    for trial in range(120):
+        item = zipf_words(rnd, length)
+        copy = list(item)
+        for k in rnd.sample(range(length), length - needed(length)):
+            copy[k] = f"changed{k}"
+        found += caught(" ".join(zipf_words(rnd, 50) + copy + zipf_words(rnd, 50)), [(1, " ".join(item))]) == {1}
+    assert found >= 0.9 * 120 and (length >= 15 or found == 120)
+
+
+def brute_leak(item, doc):
+    """The rule on all diagonals."""
+    n, near = len(item), len(item) // 8
+    for d in range(-n + 1, len(doc)):
+        same = np.array([0 <= d + k < len(doc) and doc[d + k] == w for k, w in enumerate(item)])
+        window = doc[max(0, d - near) : max(0, min(len(doc), d + n + near))]
+        lengths = [0] * (len(window) + 1)
+        for w in item:
+            last = 0
+            for j, x in enumerate(window, start=1):
+                last, lengths[j] = lengths[j], last + 1 if w == x else max(lengths[j], lengths[j - 1])
+        if lengths[-1] >= needed(n):
+            return True
+        if any(same[a:z].sum() >= max(RUN_WORDS, COVERAGE * (z - a)) for a in range(n) for z in range(a + RUN, n + 1)):
+            return True
+    return False
+
+
+def test_leaks_against_brute_force(spark):
+    """Whole query on small tables: changed, lost and inserted words, parts of long items, chance matches."""
+    rnd = random.Random(17)
+    items = [(k, [w for w in zipf_words(rnd, n, 150)]) for k, n in enumerate((5, 6, 8, 11, 14, 15, 18, 24, 40, 70))]
+    docs = []
+    for i in range(150):
+        _, item = rnd.choice(items)
+        copy = list(item)
+        kind = i % 5
+        if kind == 1:
+            copy = [w if rnd.random() > 0.2 else "changed" for w in copy]
+        elif kind == 2:
+            del copy[len(copy) // 2 : len(copy) // 2 + rnd.randrange(1, 4)]
+        elif kind == 3:
+            copy[len(copy) // 3 : len(copy) // 3] = ["put", "in"]
+        elif kind == 4:
+            a = rnd.randrange(len(copy))
+            copy = copy[a : a + rnd.randrange(4, 20)]
+        docs.append((i, zipf_words(rnd, rnd.randrange(12), 150) + copy + zipf_words(rnd, rnd.randrange(12), 150)))
+    got = leaks(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(3),
+                spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in got}
+    want = {(i, k) for i, doc in docs for k, item in items if brute_leak(item, doc)}
+    assert found <= want and len(found) >= 0.9 * len(want) and len(want) > 80
+
+
+def test_parts_of_the_leak_rule():
+    assert [needed(n) for n in (5, 6, 7, 8, 12, 20)] == [5, 5, 6, 6, 9, 15]
+    assert [whole_run(n) for n in (5, 6, 7, 8, 9, 12, 14)] == [5, 3, 3, 2, 3, 3, 3]
+    rnd = random.Random(2)
+    for _ in range(200):
+        a, b = ([rnd.randrange(4) for _ in range(rnd.randrange(1, 15))] for _ in range(2))
+        lengths = [0] * (len(b) + 1)
+        for w in a:
+            last = 0
+            for j, x in enumerate(b, start=1):
+                last, lengths[j] = lengths[j], last + 1 if w == x else max(lengths[j], lengths[j - 1])
+        assert common_in_order(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)) == lengths[-1]
+        same = np.array([rnd.random() < 0.8 for _ in range(rnd.randrange(13, 40))])
+        best = max((z - s for s in range(len(same)) for z in range(s + RUN, len(same) + 1)
+                    if same[s] and same[z - 1] and same[s:z].sum() >= max(RUN_WORDS, COVERAGE * (z - s))), default=0)
+        assert (leaked_run(same, COVERAGE, RUN) > 0) == (best > 0)
+
+
+def test_a_seed_that_all_items_share(spark):
+    """Compared in pieces: many items with one phrase, a document full of it."""
+    rnd = random.Random(6)
+    phrase = "what is the answer to this question".split()
+    items = [(k, " ".join([*zipf_words(rnd, 20), *phrase, *zipf_words(rnd, 20)])) for k in range(300)]
+    doc = [w for _ in range(400) for w in [*phrase, *zipf_words(rnd, 6)]]
+    assert caught(" ".join(doc), items) == set()
+    assert caught(" ".join(doc) + " " + items[7][1], items) == {7}
+
+
 # ------------------------------------------------------------ toxicity
 
 def test_maximal_segments_by_definition():
