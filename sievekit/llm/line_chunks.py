@@ -48,6 +48,7 @@ WINDOW = 2
 DIVISOR = 4
 #: (window, divisor) of the levels above the finest
 LEVELS = ((2, 2), (WINDOW, DIVISOR))
+HIT_BYTES = 0  # memory that the hashes of repeated chunks may take as a hinted broadcast: none, so one plan serves every size
 MIN_LINES = 2  # lines with something in them that a removed passage has
 
 
@@ -116,11 +117,11 @@ def chunk_spans(df: DataFrame, levels=LEVELS) -> DataFrame:
 
 
 def passages(df: DataFrame, id_col: str, text_col: str, levels=LEVELS, hash_of=hash_128,
-             max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+             max_broadcast_bytes: int = HIT_BYTES) -> DataFrame:
     """(_id, spans): for documents with passages that stand at earlier places,
     the lines that belong to each (first line, number), whatever is in them."""
     source = df.select(F.col(id_col).alias("_id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
-    lost = lost_places(chunk_spans(source, levels), hash_of, max_broadcast_bytes, "_len")
+    lost = lost_places(chunk_spans(source, levels), hash_of, max_broadcast_bytes, "_len", source=source)
     # within a document, the distance is that from the occurrence before
     same = Window.partitionBy("_id", "_h").orderBy("_at")
     own = F.col("keeper._id").eqNullSafe(F.col("_id"))
@@ -144,15 +145,30 @@ def passages(df: DataFrame, id_col: str, text_col: str, levels=LEVELS, hash_of=h
     return spans.groupBy("_id").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
 
 
-def lost_places(each: DataFrame, hash_of, max_broadcast_bytes: int, *carried: str) -> DataFrame:
-    """(_h, _id, _at, carried columns, keeper) of every place whose ``_chunk`` has an earlier place, the keeper."""
+def lost_places(each: DataFrame, hash_of, max_broadcast_bytes: int, *carried: str, source: DataFrame | None = None) -> DataFrame:
+    """(_h, _id, _at, carried columns, keeper) of every place whose ``_chunk``
+    has an earlier place, the keeper.
+
+    Chunk texts are compared where they were made if the repeated hashes may be
+    broadcast. Else, with ``source`` (_id, _lines; chunks carry ``_len``), the
+    places of repeated hashes are joined to their documents, so that a text
+    moves once however many chunks it has."""
     each = each.select("_id", "_at", *carried, "_chunk", hash_of(F.col("_chunk")).alias("_h"))
     places = stage(each.select("_id", "_at", *carried, "_h"), "chunk-places")
     first = F.min(F.struct("_id", "_at")).alias("keeper")
     repeated = places.groupBy("_h").agg(F.count("*").alias("n"), first).filter("n > 1").select("_h", "keeper")
     repeated = stage(repeated, "chunk-repeated")
 
-    suspects = each.join(F.broadcast(repeated.select("_h")), "_h", "left_semi") if small(repeated, max_broadcast_bytes) else each
+    if small(repeated, max_broadcast_bytes):
+        suspects = each.join(F.broadcast(repeated.select("_h")), "_h", "left_semi")
+    elif source is not None:
+        hits = places.join(repeated.select("_h"), "_h", "left_semi").groupBy(F.col("_id").alias("_hit_id")).agg(
+            F.collect_set(F.struct("_at", "_len", "_h")).alias("_hits"))  # of one document
+        whole = source.join(hits, F.col("_id").eqNullSafe(F.col("_hit_id"))).select("_id", "_lines", F.explode("_hits").alias("_s"))
+        suspects = whole.select("_id", "_s.*", F.array_join(F.slice("_lines", F.col("_s._at") + 1, F.col("_s._len")), "\n").alias("_chunk"))
+        suspects = suspects.filter(hash_of(F.col("_chunk")) == F.col("_h"))  # another text of the same id has other chunks
+    else:
+        suspects = each.join(repeated.select("_h"), "_h", "left_semi")
     variants = suspects.groupBy("_h", "_chunk").agg(first)  # byte comparison
     collided = stage(variants.groupBy("_h").count().filter("count > 1").select("_h"), "chunk-collided")
 

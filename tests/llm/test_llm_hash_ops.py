@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from sievekit.llm.components import connected_components
 from sievekit.llm.exact_dedup import drop_exact_copies, exact_groups
 from sievekit.llm.line_chunks import DIVISOR, LEVELS, WINDOW, chunk_report, drop_repeated_chunks, passage_report
-from sievekit.llm.ngram_join import components_of, needed, one_of_each, shared_at_least, shingle_components
+from sievekit.llm.common import stage
+from sievekit.llm.ngram_join import components_of, linked_pairs, needed, one_of_each, overlaps, shared_at_least, shingle_components
 from sievekit.llm.ngram_join import THRESHOLD, _class_of
 from sievekit.llm.queries import op6_line_chunk_dedup
 from sievekit.llm.tokens import PIECE, each_word_hashes, shingles, word_hashes
@@ -259,14 +260,16 @@ def test_lines_known_from_two_places_and_blank_lines(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_passages_of_random_documents(spark, seed):
+@pytest.mark.parametrize("bound", [1 << 24, 0])  # repeated hashes broadcast, or texts joined by id
+def test_passages_of_random_documents(spark, seed, bound):
     rnd = random.Random(seed)
     rows = [(None, "a\nb\nc"), (-3, "a\nb\nc\nd")]
     for i in range(120):
         lines = [rnd.choice(["a", "b", "c", "d", "", " "] if i % 3 else [f"l{k}" for k in range(25)]) for _ in range(rnd.randrange(1, 14))]
         rows.append((i, "\n".join(lines)))
     rows = [r for r in rows if r[0] is not None]
-    got = {r["doc_id"]: r["text"] for r in passage_report(spark.createDataFrame(rows, DOCS).repartition(4)).collect()}
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    got = {r["doc_id"]: r["text"] for r in passage_report(df, max_broadcast_bytes=bound).collect()}
     assert got == brute_passages(rows)
 
 
@@ -342,23 +345,31 @@ def join_rows():
     return rows
 
 
-def brute_components(rows):
-    sets = {i: shingle_set(t) for i, t in rows}
-    u = Union(sets)
+def brute_links(rows):
+    """id: (size of the set, component, links with other sets)."""
+    sets = {i: frozenset(shingle_set(t)) for i, t in rows}
+    u, links = Union(sets), {i: set() for i in sets}
     ids = sorted(sets)
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
             both = len(sets[a] & sets[b])
             if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 u.join(a, b)
-    return {i: (len(sets[i]), u.find(i)) for i in sets}
+                if sets[a] != sets[b]:
+                    links[a].add(sets[b])
+                    links[b].add(sets[a])
+    return {i: (len(sets[i]), u.find(i), len(links[i])) for i in sets}
+
+
+def brute_components(rows):
+    return {i: found[:2] for i, found in brute_links(rows).items()}
 
 
 def test_shingle_components(spark):
     rows = join_rows()
     df = spark.createDataFrame(rows, DOCS).withColumn("rep", F.lit(1)).withColumn("token", F.lit("x")).repartition(6)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shingle_components(df).collect()}
-    assert got == brute_components(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in shingle_components(df).collect()}
+    assert got == brute_links(rows) and max(n for *_, n in got.values()) > 50
 
 
 def test_small_tiles_find_the_same(spark, monkeypatch):
@@ -367,8 +378,29 @@ def test_small_tiles_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(module, "TILE", 2_000)
     monkeypatch.setattr(module, "SLICE", 3_000)
     rows = join_rows()
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shingle_components(spark.createDataFrame(rows, DOCS)).collect()}
-    assert got == brute_components(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in shingle_components(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute_links(rows)
+
+
+def test_texts_sent_per_near_copy_stay_level(spark, monkeypatch):
+    """A group of near copies of four times the size sends each text as often."""
+    import sievekit.llm.ngram_join as module
+
+    sent = []
+    monkeypatch.setattr(module, "stage", lambda df, name: (lambda out: (sent.append(out.count()) if name == "join-work" else None, out)[1])(
+        module.stage_table_of(df, name)))
+    monkeypatch.setattr(module, "stage_table_of", stage, raising=False)
+    rnd = random.Random(3)
+    base = [rnd.choice([f"w{k}" for k in range(3000)]) for _ in range(120)]
+    for size in (300, 1200):
+        rows = []
+        for i in range(size):
+            copy = list(base)
+            copy[rnd.randrange(120)] = f"x{i}"
+            rows.append((i, " ".join(copy)))
+        got = shingle_components(spark.createDataFrame(rows, DOCS)).collect()
+        assert {r["component_id"] for r in got} == {0} and {r["n_links"] for r in got} == {size - 1}
+    assert sent[1] / 1200 <= 1.2 * sent[0] / 300
 
 
 def test_one_of_each(spark):
@@ -387,4 +419,28 @@ def test_bounds():
     assert needed(1000, THRESHOLD) == k and sum(math.comb(128, m) * 0.75**m * 0.25 ** (128 - m) for m in range(k)) <= 2**-64
     assert -(1 << 63) <= _class_of(b"\xff" * 16) < 1 << 63
     sets = [np.array(x, dtype=np.uint64) for x in ([1, 2, 3, 4], [1, 2, 3, 4, 5], [2, 3, 4, 5, 6], [9], [9])]
-    assert components_of(sets).tolist() == [0, 0, 2, 3, 3]
+    home = np.arange(5)
+    assert components_of(linked_pairs(sets, home), home).tolist() == [0, 0, 2, 3, 3]
+
+
+@pytest.mark.parametrize("dense", [0, 1, 10**9])
+def test_overlaps_of_all_pairs(monkeypatch, dense):
+    import sievekit.llm.ngram_join as module
+
+    monkeypatch.setattr(module, "DENSE", dense)
+    monkeypatch.setattr(module, "COLUMNS", 3)
+    monkeypatch.setattr(module, "PAIRS", 50)
+    rnd = random.Random(4)
+    for _ in range(30):
+        sets = [np.unique(np.array([rnd.randrange(25) for _ in range(rnd.randrange(12))], dtype=np.uint64)) for _ in range(rnd.randrange(1, 20))]
+        home = np.array(sorted(rnd.sample(range(len(sets)), rnd.randrange(len(sets) + 1))), dtype=np.int64)
+        want = [[len(np.intersect1d(a, sets[h])) * (len(a) > 0) for h in home] for a in sets]
+        got = overlaps(sets, home)
+        shared = {(i, k) for i in range(len(sets)) for k in range(len(home)) if want[i][k] != got[i][k]}
+        assert all(home[k] == i for i, k in shared)  # a set's shingles that no other has are left out
+        linked = linked_pairs(sets, home)
+        label = components_of(linked, home)
+        u = Union(range(len(sets)))
+        for i, k in zip(*np.nonzero(linked)):
+            u.join(int(i), int(home[k]))
+        assert label.tolist() == [u.find(i) for i in range(len(sets))]
