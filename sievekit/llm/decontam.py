@@ -53,7 +53,7 @@ MASKS = ("11111", "1101011", "11010011", "101100101")
 SHORT = 15  # items of fewer words are looked up by runs of words
 MIN_WORDS = 5
 COVERAGE = 0.75
-RUN, RUN_WORDS = 13, 11
+RUN, RUN_WORDS = 13, 13
 BLOCK_WORDS = 1_000_000
 PIECE_WORDS = 2_000_000  # word pairs compared at once
 _ODD = 0xD6E8FEB86659FD93

@@ -1,12 +1,13 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Every dimension is quantised to ``2**bits`` levels at approximate quantiles
-(one aggregate, one row of cut points), the levels give a cell of the Hilbert
+Every dimension is quantised to ``2**bits`` levels: numbers at approximate
+quantiles (one aggregate, one row of cut points), strings at their own values
+by counted weight, whatever prefixes they share. The levels give a cell of the Hilbert
 curve, rows are ordered by (cell, run, id) and the order is cut into shards of
 equal row counts, so a shard covers a compact region of all dimensions and its
 minima and maxima prune well.
 
-No global sort: a cell is split into runs by a hash of the id, as many as keep
+No global sort: a cell is split into runs by a hash of the row, as many as keep
 a run near ``RUN_ROWS`` even if one cell held every row; counts per (cell,
 run) are summed into start offsets, and a row's place is its run's start plus
 its number within the run. Only narrow rows (ids, sizes, checksums) move.
@@ -14,7 +15,8 @@ its number within the run. Only narrow rows (ids, sizes, checksums) move.
 Defined results
     null text        0 bytes plus 1; checksum of the empty text (0)
     null dimension   level 0, with the smallest values
-    ties             ordered by id, then checksum, then size
+    null, equal ids  spread like others, by checksum, size and dimensions
+    ties             ordered by position if there is one, then id, checksum, size
     repeated rows    each has a slot of its own
     empty table      empty result
     extra columns    ignored
@@ -33,6 +35,7 @@ from sievekit.llm.common import hinted, stage, utf8_bytes
 
 RUN_ROWS = 50_000
 MIN_RUNS = 64
+POSITIONS = 1 << 15  # neighbouring positions of a run, where rows have positions
 
 
 def curve_tables(n: int) -> tuple[list[int], list[int]]:
@@ -81,45 +84,85 @@ def curve_index(levels: list[Column], bits: int) -> Column:
 
 
 def ordinal(df: DataFrame, name: str) -> Column:
-    """A dimension as an order-preserving number: strings by their first seven
-    bytes (longer common prefixes share a level), times as microseconds."""
-    kind = dict(df.dtypes)[name]
-    c = df[name]
-    if kind == "string":
-        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("double")
+    """A dimension that is no string as an order-preserving number; times as microseconds."""
+    kind, c = dict(df.dtypes)[name], df[name]
     if kind.startswith("timestamp") or kind == "date":
         return F.unix_micros(c.cast("timestamp")).cast("double")
     return c.cast("double")
 
 
+def string_cuts(df: DataFrame, name: str, n: int) -> list[str]:
+    """At most ``n`` strings that cut the distinct values of a string dimension
+    into levels of equal weight, by counted rows.
+
+    Distinct values are counted (partial aggregation, a hot value is one row a
+    task), put into order by ranges and summed range by range: exact whatever
+    the common prefixes, and nothing but one row a range and the cuts reaches
+    the driver."""
+    counts = df.filter(df[name].isNotNull()).groupBy(df[name].alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = stage(counts.repartitionByRange("v").sortWithinPartitions("v").withColumn("part", F.spark_partition_id()), "hilbert-strings")
+    sums = {r["part"]: r["n"] for r in ordered.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    total, before, starts = sum(sums.values()), 0, []
+    for part in sorted(sums):
+        starts.append((part, before))
+        before += sums[part]
+    if not total:
+        return []
+    start = ordered.sparkSession.createDataFrame(starts, "part int, start long")
+    running = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = ordered.join(F.broadcast(start), "part").withColumn("upto", F.col("start") + F.sum("n").over(running))
+    # a value ends a level when it is the first to reach the level's share; the last value ends none
+    share = F.expr(f"upto * {n + 1} div {total}")
+    ends = upto.filter((share > F.expr(f"(upto - n) * {n + 1} div {total}")) & (F.col("upto") < total))
+    return sorted((r["v"] for r in ends.select("v").collect()), key=lambda v: v.encode("utf-8", "surrogatepass"))
+
+
 def with_cell(df: DataFrame, dims: list[str], bits: int) -> DataFrame:
     """Add ``cell``, the curve index of the row's levels. A level is how many
     cut points lie below the value. In steps, so that values and levels are
-    made once a row and not once for every use."""
+    made once a row and not once for every use.
+
+    Cut points of numbers come from a quantile sketch (rank error 1 in 1,000),
+    which depends on the order in which Spark merges partitions: equal inputs
+    may be cut at neighbouring values, so cells are fitted, shards are exact."""
+    n = (1 << bits) - 1
+    kinds = dict(df.dtypes)
+    numbers = [d for d in dims if kinds[d] != "string"]
     at = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(ordinal(df, d), at, 1000).alias(f"c{i}") for i, d in enumerate(dims)]).first()
-    rows = df.withColumns({f"_v{i}": F.coalesce(ordinal(df, d), F.lit(float("-inf"))) for i, d in enumerate(dims)})
-    rows = rows.withColumns({f"_q{i}": reduce(add, [(F.col(f"_v{i}") > F.lit(float(c))).cast("int") for c in cuts[i] or []], F.lit(0))
-                             for i in range(len(dims))})
+    found = df.agg(F.count(F.lit(1)), *[F.percentile_approx(ordinal(df, d), at, 1000).alias(d) for d in numbers]).first()
+    cuts = {d: found[d] or [] for d in numbers} | {d: string_cuts(df, d, n) for d in dims if d not in numbers}
+    levels = {}
+    for i, d in enumerate(dims):
+        c = F.col(f"_v{i}")
+        above = [c > F.lit(x if d not in numbers else float(x)) for x in cuts[d]]
+        levels[f"_q{i}"] = F.coalesce(reduce(add, [x.cast("int") for x in above], F.lit(0)), F.lit(0))  # null: with the smallest
+    rows = df.withColumns({f"_v{i}": ordinal(df, d) if d in numbers else df[d] for i, d in enumerate(dims)}).withColumns(levels)
     return rows.withColumn("cell", curve_index([F.col(f"_q{i}") for i in range(len(dims))], bits))
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int, id_col: str = "doc_id", text_col: str = "text",
-                   bits: int = 4, run_rows: int = RUN_ROWS) -> DataFrame:
+                   bits: int = 4, run_rows: int = RUN_ROWS, position: Column | None = None) -> DataFrame:
     """One row per input row: id, size, text_crc32, cell, shard, slot.
 
     Shards are runs of the curve order whose row counts differ by one at most;
-    slots number a shard's rows without gaps from 0.
+    slots number a shard's rows without gaps from 0. ``position``, a whole
+    number per row (as the place in a stream), orders the rows of a cell in
+    place of the hash; runs are then ``POSITIONS`` neighbouring positions.
     """
     base = df.select(
-        F.col(id_col).alias("_id"), *[df[d].alias(f"_d{i}") for i, d in enumerate(dims)], df[text_col].alias("_text"))
+        F.col(id_col).alias("_id"), *[df[d].alias(f"_d{i}") for i, d in enumerate(dims)], df[text_col].alias("_text"),
+        *([] if position is None else [position.cast("long").alias("_pos")]))
     names = [f"_d{i}" for i in range(len(dims))]
     total = base.count()
     runs = max(MIN_RUNS, math.ceil(total / run_rows))
-    placed = with_cell(base, names, bits).select(
-        "_id", "cell", F.pmod(F.xxhash64("_id"), F.lit(runs)).cast("int").alias("run"),
-        (utf8_bytes(F.col("_text")) + 1).alias("size"),
-        F.crc32(F.coalesce(F.col("_text"), F.lit("")).cast("binary")).alias("text_crc32"))
+    placed = with_cell(base, names, bits).withColumns({
+        "size": utf8_bytes(F.col("_text")) + 1, "text_crc32": F.crc32(F.coalesce(F.col("_text"), F.lit("")).cast("binary"))})
+    if position is None:
+        # rows without an id, or with equal ones, are spread by what else they hold
+        placed = placed.withColumn("run", F.pmod(F.xxhash64("_id", "text_crc32", "size", *names), F.lit(runs))).withColumn("_pos", F.lit(0))
+    else:
+        placed = placed.withColumn("run", F.floor(F.col("_pos") / POSITIONS).cast("long"))
+    placed = placed.select("_id", "cell", "run", "_pos", "size", "text_crc32")
 
     counts = placed.groupBy("cell", "run").agg(F.count("*").alias("n"))
     counts = stage(counts, "hilbert-counts")
@@ -131,7 +174,7 @@ def hilbert_shards(df: DataFrame, dims: list[str], n_shards: int, id_col: str =
     starts = counts.select("cell", "run", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("run_start")).join(
         F.broadcast(cells), "cell").select("cell", "run", (F.col("cell_start") + F.col("run_start")).alias("start"))
 
-    order = Window.partitionBy("cell", "run").orderBy("_id", "text_crc32", "size")
+    order = Window.partitionBy("cell", "run").orderBy("_pos", "_id", "text_crc32", "size")
     ranked = placed.withColumn("nth", F.row_number().over(order)).join(
         hinted(stage(starts, "hilbert-starts")), ["cell", "run"])
     return ranked.withColumn("rank", (F.col("start") + F.col("nth") - 1).cast("long")).withColumn(

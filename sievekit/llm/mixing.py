@@ -12,14 +12,15 @@ others at their weights. Every document gets a place; none is dropped,
 repeated or capped.
 
 A document belongs to the block in which its first byte falls; running sums
-come from buckets by a hash of the id, so no source is gathered in one task.
+come from buckets by a hash of id, size and checksum, so no source, and no
+mass of rows without an id, is gathered in one task.
 
 Defined results
     null or unlisted source   shares the pool ``REST`` of weight ``rest_weight``
     null text                 one byte, as an empty text
     long documents            begin in one block and pass over the following
                               ones, which count as taken
-    ties, repeated rows       ordered by id, then size; each has its own place
+    ties, repeated rows       ordered by id, size, checksum; each has its own place
     empty table, no weights   empty result; all in the pool
     extra columns             kept by ``mixed_documents``, ignored else
 """
@@ -29,7 +30,8 @@ from __future__ import annotations
 import heapq
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievekit.llm.common import hinted, stage, utf8_bytes
@@ -107,10 +109,11 @@ def pfair_mix(df: DataFrame, weights: dict[str, int], rest_weight: int = 1, sour
     rows = df.select(
         F.col(id_col).alias("_id"),
         F.when(listed, F.col(source_col)).otherwise(REST).alias("mix_source"),
-        (utf8_bytes(F.col(text_col)) + 1).alias("size"),
+        (utf8_bytes(F.col(text_col)) + 1).alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("_crc"),
         *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []))
     buckets = max(MIN_BUCKETS, math.ceil(df.count() / BUCKET_ROWS))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("_id"), F.lit(buckets)).cast("int"))
+    # rows without an id, or with equal ones, are spread by their texts
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("_id", "size", "_crc"), F.lit(buckets)).cast("int"))
 
     sums = stage(rows.groupBy("mix_source", "bucket").agg(F.sum("size").alias("bytes")), "mix-sums")
     before = Window.partitionBy("mix_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,7 +122,7 @@ def pfair_mix(df: DataFrame, weights: dict[str, int], rest_weight: int = 1, sour
     totals = {r["mix_source"]: r["bytes"] for r in sums.groupBy("mix_source").agg(F.sum("bytes").alias("bytes")).collect()}
     plan = phases(full, {s: -(-b // block_bytes) for s, b in totals.items()})
 
-    order = Window.partitionBy("mix_source", "bucket").orderBy("_id", "size")
+    order = Window.partitionBy("mix_source", "bucket").orderBy("_id", "size", "_crc")
     inside = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     placed = rows.withColumn("inside", inside).join(hinted(starts), ["mix_source", "bucket"])
     placed = placed.withColumn("offset", F.col("start") + F.col("inside"))
@@ -139,6 +142,18 @@ def pfair_mix(df: DataFrame, weights: dict[str, int], rest_weight: int = 1, sour
         "slot", F.col("offset").alias("seq"), *(["row"] if carry else []))
 
 
+def stream_position(df: DataFrame) -> Column | None:
+    """The place of each row in the files that ``df`` reads, as ``mixed_documents``
+    (or any ordered writer) left them: part, then row. None where ``df`` does
+    not read Parquet files."""
+    try:
+        df.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return None
+    part = F.regexp_extract("_metadata.file_name", r"part-([0-9]+)", 1).try_cast("long")
+    return F.coalesce(part, F.lit(0)) * (1 << 40) + F.col("_metadata.row_index")
+
+
 def mixed_documents(df: DataFrame, weights: dict[str, int], **options) -> DataFrame:
     """``df`` itself in the order of the mixed stream (across its partitions)."""
     mixed = pfair_mix(df, weights, carry=True, **options)

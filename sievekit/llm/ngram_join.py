@@ -15,10 +15,10 @@ Jaccard similarity reaches ``threshold``. Steps:
    token-group matrix holds, for each prefix shingle, the groups whose token
    union has it. A query class meets only groups that the matrix names.
 4. A tile is opened with its member classes and the query classes sent to it.
-   Inside, the overlap of a set with the token union of the sets not reached
-   yet bounds its overlap with each of them; only where the bound reaches the
-   threshold the exact overlaps are counted, on whole sets from the whole
-   texts. Links come out as a spanning forest, never as all pairs.
+   Inside, the overlaps of all pairs with a member are counted at once, on whole
+   sets from the whole texts: shingles that many sets have as a dense product,
+   the others along their owners. Links come out as a spanning forest and as
+   their number per class (every pair at one home), never as pairs.
 5. Distributed connected components over the forests.
 
 No cap on partners, groups or candidates. A sketch of ``SKETCH`` out of more
@@ -56,8 +56,11 @@ THRESHOLD = Fraction(3, 4)
 NGRAM = 5
 WHOLE = 256  # sets up to this size are their own sketch
 SKETCH = 128  # shingles in the sketch of a larger set
-TILE = 150_000  # shingles in a tile
-SLICE = 300_000  # shingles of the queries opened with a tile at once
+TILE, TILE_SETS = 1_000_000, 2_000  # shingles and sets in a tile
+SLICE, SLICE_SETS = 2_000_000, 4_000  # of the queries opened with a tile at once
+COLUMNS = 1_024  # columns of a dense product
+DENSE = 200  # one pair along owners costs as much as so many cells of a product
+PAIRS = 2_000_000  # pairs along owners at once
 
 
 def shared_at_least(k: int, threshold: Fraction) -> int:
@@ -127,70 +130,102 @@ def _sketch_rows(n: int):
     return run
 
 
-class _Sets:
-    """Sets not reached yet, as an index from shingle to owners."""
-
-    def __init__(self, sets: list[np.ndarray], ids: np.ndarray):
-        self.ids = ids
-        self.sizes = np.array([len(sets[i]) for i in ids], dtype=np.int64)
-        flat = np.concatenate([sets[i] for i in ids]) if len(ids) else np.empty(0, dtype=np.uint64)
-        owner = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes)
-        order = np.argsort(flat, kind="stable")
-        self.owner = owner[order]
-        self.union, self.first = np.unique(flat[order], return_index=True)
-        self.after = np.append(self.first[1:], len(flat))
-        self.open = np.ones(len(ids), dtype=bool)
-
-    def linked(self, query: np.ndarray, threshold: Fraction) -> np.ndarray:
-        """Positions of the open sets that link with the query."""
-        at = np.searchsorted(self.union, query)
-        at[at == len(self.union)] = 0
-        hit = at[self.union[at] == query] if len(self.union) else at[:0]
-        num, den = threshold.numerator, threshold.denominator
-        if len(hit) * den < num * len(query):  # the bound on the overlap with any set
-            return np.empty(0, dtype=np.int64)
-        spans = self.after[hit] - self.first[hit]
-        places = np.repeat(self.first[hit] - np.concatenate(([0], np.cumsum(spans)[:-1])), spans) + np.arange(spans.sum())
-        overlap = np.bincount(self.owner[places], minlength=len(self.ids))
-        return np.flatnonzero(self.open & (overlap * (num + den) >= num * (self.sizes + len(query))))
-
-
-def components_of(sets: list[np.ndarray], threshold: Fraction = THRESHOLD) -> np.ndarray:
+def overlaps(sets: list[np.ndarray], home: np.ndarray) -> np.ndarray:
+    """Shared shingles of every set with every home set, all pairs of a tile at once.
+
+    Shingles that many sets have are columns of a dense product, the others
+    are paired along their owners."""
+    out = np.zeros((len(sets), len(home)), dtype=np.int32)
+    flat = np.concatenate(sets) if sets else np.empty(0, dtype=np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, df = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = df[column] > 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    at_home = np.full(len(sets), -1)
+    at_home[home] = np.arange(len(home))
+    first = np.flatnonzero(np.diff(column, prepend=-1))
+    count = np.diff(np.append(first, len(column)))
+    dense = count.astype(np.int64) ** 2 * DENSE > out.size
+    wide = np.flatnonzero(dense)
+    for k in range(0, len(wide), COLUMNS):
+        some = wide[k : k + COLUMNS]
+        block = np.zeros((len(sets), len(some)), dtype=np.float32)
+        for c, w in enumerate(some):
+            block[owner[first[w] : first[w] + count[w]], c] = 1
+        out += (block @ block[home].T).astype(np.int32)
+    narrow = np.flatnonzero(~dense)
+    pairs = count[narrow].astype(np.int64) ** 2
+    piece = np.cumsum(pairs) // PAIRS
+    for p in np.unique(piece):
+        some = narrow[piece == p]
+        left = np.repeat(count[some], count[some])  # every owner with every owner of its shingle
+        begin = np.repeat(first[some], count[some])
+        mine = begin + np.arange(len(begin)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+        a = np.repeat(owner[mine], left)
+        z = owner[np.repeat(begin, left) + np.arange(left.sum()) - np.repeat(np.cumsum(left) - left, left)]
+        kept = at_home[z] >= 0
+        out += np.bincount(a[kept] * len(home) + at_home[z[kept]], minlength=out.size).reshape(out.shape).astype(np.int32)
+    return out
+
+
+def linked_pairs(sets: list[np.ndarray], home: np.ndarray, threshold: Fraction = THRESHOLD) -> np.ndarray:
+    """Which sets link with which home sets; none with itself."""
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    num, den = threshold.numerator, threshold.denominator
+    shared = overlaps(sets, home)
+    out = (shared > 0) & (shared * (num + den) >= num * (size[:, None] + size[home][None, :]))
+    out[home, np.arange(len(home))] = False
+    return out
+
+
+def components_of(linked: np.ndarray, home: np.ndarray) -> np.ndarray:
     """For each set, the position of the first set of its component."""
-    root = np.full(len(sets), -1, dtype=np.int64)
-    rest = _Sets(sets, np.arange(len(sets)))
-    for seed in range(len(sets)):
-        if root[seed] >= 0:
-            continue
-        root[seed] = seed
-        queue = [seed]
-        while queue:
-            one = queue.pop()
-            rest.open[rest.ids == one] = False
-            for k in rest.linked(sets[one], threshold):
-                rest.open[k] = False
-                root[rest.ids[k]] = seed
-                queue.append(int(rest.ids[k]))
-            if len(rest.ids) > 32 and rest.open.sum() * 2 < len(rest.ids):
-                rest = _Sets(sets, rest.ids[rest.open])
-    return root
+    label = np.arange(len(linked))
+    far = len(linked)
+    while True:
+        new = label.copy()
+        if linked.size:
+            below = np.where(linked, label[:, None], far).min(axis=0)
+            new[home] = np.minimum(new[home], below)
+            new = np.minimum(new, np.where(linked, new[home][None, :], far).min(axis=1))
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 def _open_tile(n: int, threshold: Fraction):
+    """Links of one tile: a spanning forest (src, dst), and per class the number
+    of its links (``n_links``, dst null), every pair counted at one home."""
     def run(group: pa.Table) -> pa.Table:
         reps, first = np.unique(group.column("rep").to_numpy(), return_index=True)
         texts = group.column("_text").cast(pa.binary())
+        member = group.column("home").to_numpy()[first]
         sets = [shingles(w, n) for w in each_word_hashes(texts[int(i)].as_py() for i in first)]
-        root = components_of(sets, threshold)
-        linked = root != np.arange(len(root))
-        return pa.table({"src": reps[linked], "dst": reps[root[linked]]})
+        home = np.flatnonzero(member)
+        linked = linked_pairs(sets, home, threshold)
+        root = components_of(linked, home)
+        hangs = root != np.arange(len(root))
+        counted = linked.copy()
+        if len(group) and group.column("slice")[0].as_py():  # home pairs meet in every slice and count in the first
+            counted[home] = False
+        links = counted.sum(axis=1)
+        links[home] += counted[~member].sum(axis=0)
+        some = links > 0
+        src = np.concatenate([reps[hangs], reps[some]])
+        dst = pa.array(np.concatenate([reps[root[hangs]], np.zeros(some.sum(), dtype=np.int64)]),
+                       mask=np.concatenate([np.zeros(hangs.sum(), dtype=bool), np.ones(some.sum(), dtype=bool)]))
+        return pa.table({"src": src, "dst": dst, "n_links": np.concatenate([np.zeros(hangs.sum(), dtype=np.int64), links[some]])})
 
     return run
 
 
 def shingle_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
                        threshold: Fraction = THRESHOLD) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id."""
+    """One row per input row: id, n_shingles, component_id, n_links (linked
+    documents of other sets; of those with one set, one is counted)."""
     prepare_python(df.sparkSession)
     texts = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     rows = stage(texts.mapInArrow(_set_digests(n), "_id long, n long, set_hash binary"), "join-rows")
@@ -198,20 +233,24 @@ def shingle_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.min("_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"))
     cls = F.conv(F.hex(F.substring("set_hash", 1, 8)), 16, -10).cast("long")
     classes = stage(classes.withColumn("cls", cls), "join-classes")
-    forests = _links(texts, rows, classes, n, threshold)
+    links = _links(texts, rows, classes, n, threshold)
+    counts = links.filter("dst is null").groupBy(F.col("src").alias("counted")).agg(F.sum("n_links").alias("n_links"))
 
     # copies take their class's first id, and that the smallest id of its component
     many = hinted(classes.filter("copies > 1").select("set_hash", "rep"))
-    reached = hinted(stage(connected_components(forests), "join-components"))
+    reached = connected_components(links.filter("dst is not null").select("src", "dst"))
+    reached = hinted(stage(reached.join(counts, reached["node"] == counts["counted"], "left").drop("counted"), "join-components"))
     out = rows.join(many, "set_hash", "left").withColumn("rep", F.coalesce("rep", "_id"))
     out = out.join(reached, out["rep"] == reached["node"], "left")
     return out.select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"))
+        F.when(F.col("n") == 0, F.col("_id")).otherwise(F.coalesce("component", "rep")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, n: int, threshold: Fraction) -> DataFrame:
-    """A spanning forest (src, dst) over class representatives."""
+    """Over class representatives: a spanning forest (src, dst) of the links, and
+    the number of links (src, n_links; dst null), staged."""
     spark = texts.sparkSession
     copies = stage(rows.join(hinted(classes.filter("copies > 1").select("set_hash", "rep")), "set_hash")
                    .filter("_id <> rep").select("_id").distinct(), "join-copies")
@@ -237,8 +276,9 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, n: int, thresh
     asked = stage(asked.unionByName(members.select("rep", "n", "grp", F.col("grp").alias("to"))).distinct(), "join-asked")
 
     # tiles of a group, and slices of the queries sent to it
-    own = members.groupBy("grp").agg(F.ceil(F.sum("n") / TILE).cast("int").alias("tiles"))
-    load = asked.groupBy(F.col("to").alias("grp")).agg(F.ceil(F.sum("n") / SLICE).cast("int").alias("slices"), F.count("*").alias("asking"))
+    parts = lambda size, sets: F.ceil(F.greatest(F.sum("n") / size, F.count(F.lit(1)) / sets)).cast("int")
+    own = members.groupBy("grp").agg(parts(TILE, TILE_SETS).alias("tiles"))
+    load = asked.groupBy(F.col("to").alias("grp")).agg(parts(SLICE, SLICE_SETS).alias("slices"), F.count("*").alias("asking"))
     layout = stage(own.join(load, "grp").filter("asking > 1").select("grp", "tiles", "slices"), "join-layout")
     spread = F.pmod(F.xxhash64("rep"), F.lit(1 << 30))
     placed = asked.join(layout.withColumnRenamed("grp", "to"), "to").withColumn("tile", (spread % F.col("tiles")).cast("int"))
@@ -247,15 +287,16 @@ def _links(texts: DataFrame, rows: DataFrame, classes: DataFrame, n: int, thresh
     placed = placed.withColumn("_slice", (F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(1 << 30)) % F.col("slices")).cast("int"))
     # a member goes to its tile, once for each slice of queries; a query to every tile of the group, in its slice
     home = placed.filter("grp = to").select("rep", "to", F.col("tile"), F.explode(
-        F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+        F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(True).alias("home"))
     asks = placed.select("rep", "to", F.explode(spots).alias("s"), "tile", "grp").filter(
-        "grp <> to or s.tile > tile").select("rep", "to", "s.tile", "s.slice")
+        "grp <> to or s.tile > tile").select("rep", "to", "s.tile", "s.slice", F.lit(False).alias("home"))
     work = home.unionByName(asks)
     alone = Window.partitionBy("to", "tile", "slice")
     work = stage(work.withColumn("_k", F.count("*").over(alone)).filter("_k > 1").drop("_k"), "join-work")
 
-    return texts.join(hinted(work), texts["_id"] == work["rep"]).select("rep", "to", "tile", "slice", "_text").groupBy(
-        "to", "tile", "slice").applyInArrow(_open_tile(n, threshold), "src long, dst long")
+    opened = texts.join(hinted(work), texts["_id"] == work["rep"]).select("rep", "to", "tile", "slice", "home", "_text").groupBy(
+        "to", "tile", "slice").applyInArrow(_open_tile(n, threshold), "src long, dst long, n_links long")
+    return stage(opened, "join-links")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievekit.llm.decontam import leaks
@@ -31,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shard_rows(docs: DataFrame, dims: list[str], n_shards: int) -> DataFrame:
-    return hilbert_shards(docs, dims, n_shards).select(
+def shard_rows(docs: DataFrame, dims: list[str], n_shards: int, position: Column | None = None) -> DataFrame:
+    return hilbert_shards(docs, dims, n_shards, position=position).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "cell")
 

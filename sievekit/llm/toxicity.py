@@ -13,8 +13,9 @@ extreme-value law 1 - exp(-K n exp(-lambda x)), fitted to clean documents held
 back from the counting; segments beyond its ``SIGNIFICANCE`` are the toxic
 passages, and a logistic curve over their strength gives the score.
 
-Only token tables and a few numbers reach the driver, bounded by ``SAMPLE`` and
-``MAX_TOKENS``. Ids, languages and sources are never inputs of a score.
+Tokens are counted and scored in Spark, all of them; only those that mark toxic
+text, the ones that shield their prefixes, and a few numbers reach the driver
+(``SAMPLE`` bounds what is learnt from). Ids, languages and sources are never inputs of a score.
 
 Defined results
     null or empty text     no passage: the score of a clean document
@@ -43,7 +44,6 @@ from pyspark.sql import functions as F
 from sievekit.llm.common import prepare_python, stage, without_ids
 
 SAMPLE = 20_000  # labelled documents learnt from, at most
-MAX_TOKENS = 200_000  # tokens in the table, at most, those with the most documents
 PREFIXES = range(4, 11)
 SUPPORT = 6  # documents that a token needs
 EVIDENCE = 2.75  # standard deviations from which a token marks toxic text
@@ -173,19 +173,19 @@ def _counted(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
                             pa.array([counts[0][w] for w in names], pa.int64())], names=["token", "toxic", "clean"])
 
 
-def token_scores(table: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Log-odds (in nats) of the tokens that mark toxic text, and 0 for
-    supported tokens that shield their prefixes."""
-    out = {}
-    for token, toxic, clean in table:
-        prior = PRIOR * (toxic + clean) / (n_toxic + n_clean)
-        a, b = toxic + prior, clean + prior
-        # half a document without it, for a token that all documents of a label have
-        gain = math.log(a / max(n_toxic + PRIOR - a, 0.5)) - math.log(b / max(n_clean + PRIOR - b, 0.5))
-        out[token] = gain if gain >= GAIN and gain / math.sqrt(1 / a + 1 / b) >= EVIDENCE else 0.0
-    marked = {t for t, s in out.items() if s > 0}
-    heads = {t[: PREFIXES[0]] for t in marked}
-    return {t: s for t, s in out.items() if t in marked or t[: PREFIXES[0]] in heads}
+def token_scores(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """(token, score): log-odds (in nats) of the tokens that mark toxic text, and
+    0 for supported tokens that shield their prefixes."""
+    total = n_toxic + n_clean
+    a = F.col("toxic") + F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / total
+    b = F.col("clean") + F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / total
+    # half a document without it, for a token that all documents of a label have
+    gain = F.log(a / F.greatest(F.lit(n_toxic + PRIOR) - a, F.lit(0.5))) - F.log(b / F.greatest(F.lit(n_clean + PRIOR) - b, F.lit(0.5)))
+    marks = (F.col("gain") >= GAIN) & (F.col("gain") / F.sqrt(1 / a + 1 / b) >= EVIDENCE)
+    scored = stage(counted.filter(F.col("toxic") + F.col("clean") >= SUPPORT).withColumn("gain", gain).select(
+        "token", F.substring("token", 1, PREFIXES[0]).alias("head"), F.when(marks, F.col("gain")).otherwise(0.0).alias("score")), "toxic-tokens")
+    heads = scored.filter("score > 0").select("head").distinct()
+    return scored.join(heads, "head", "left_semi").select("token", "score")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 1e-2) -> tuple[float, ...]:
@@ -249,10 +249,9 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, id_
     if len(n) < 2:
         return Model()
     counted = counting.mapInArrow(_count_tokens, "token string, toxic long, clean long").groupBy("token").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") + F.col("clean") >= SUPPORT)
-    table = counted.orderBy(F.desc(F.col("toxic") + F.col("clean")), "token").limit(MAX_TOKENS).collect()
-    score = token_scores([(r["token"], r["toxic"], r["clean"]) for r in table], n[1], n[0])
-    model = Model(score, {t[: PREFIXES[0]] for t in score})
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    score = {r["token"]: r["score"] for r in token_scores(counted, n[1], n[0]).collect()}
+    model = Model(dict(sorted(score.items())), {t[: PREFIXES[0]] for t in score})
     held = learnt.filter("_held")
     clean = np.array([(r["n"], r["best"]) for r in held.filter("_toxic = 0").mapInArrow(
         _segment_rows(model), "toxic int, n long, best double").collect()], dtype=float).reshape(-1, 2)
