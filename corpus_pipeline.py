@@ -3,7 +3,8 @@
 Every stage takes what its predecessor kept, reread from Parquet, and its
 decisions take effect: toxic documents go, one document of each group of
 near-duplicates stays, contaminated documents go, the rest is put into the
-order of the target mixture, and the last stage deals it into shards.
+order of the target mixture, and the last stage deals it into shards, along the
+curve and in the order of the mixture within a cell.
 ``run`` writes the stages under the shared checkpoint folder.
 
 Defined results: those of the operators; an empty table passes through all
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievekit.llm.common import stage
 from sievekit.llm.decontam import decontaminated
-from sievekit.llm.mixing import mixed_documents
+from sievekit.llm.mixing import mixed_documents, stream_position
 from sievekit.llm.ngram_join import one_of_each
 from sievekit.llm.queries import SHARD_DIMS, SHARDS, WEIGHTS, shard_rows, table
 from sievekit.llm.toxicity import clean_documents, fit, held_out
@@ -39,7 +40,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shard_rows(docs, SHARD_DIMS, SHARDS)
+    # the mixture is the order of the rows in the files before: it orders the rows of every cell
+    return shard_rows(docs, SHARD_DIMS, SHARDS, stream_position(docs))
 
 
 STAGES = [
