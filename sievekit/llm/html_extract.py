@@ -1,20 +1,30 @@
 """Main text of web pages by differencing pages with near urls.
 
 Pages of a host are ordered by url path; each page is compared with the nearest
-page before and after it that has other lines. Their text lines are aligned by a longest common
-subsequence, and lines that a page shares with a neighbour belong to the
-site's template and are deleted. Two things bound this: lines inside the
-page's own article element are content by the page's word and stay, shared or
-not; and lines in elements that are never content (menus, asides, forms,
-adverts, comments, ... by element, role or class) go even when no neighbour
-shares them.
+page before and after it that has other lines. Two alignments by a longest
+common subsequence decide what belongs to the site's template:
+
+* text lines that a page shares with a neighbour (of other lines, so never
+  between copies) are deleted;
+* regions (neighbouring lines in one container) carry the tag paths of their
+  lines; a region that stands with the same paths on both neighbours is template
+  even when its words differ (menus, adverts, footers), if its lines are short
+  and it is small beside the page's main region.
+
+Element names break the ties: lines inside the page's own article element are
+content by the page's word and stay, shared or not; lines in elements that are
+never content (menus, asides, forms, adverts, comments, ... by element, role or
+class of a block) go even when no neighbour shares them. Inline elements, and
+the text of formulas, objects and noscript, are never dropped by name. A class
+names a region only if all its parts do ("related" and "related-links" do,
+"related-work" does not).
 
 A host of more than ``HOST_PAGES`` pages is cut into ranges of (path, id) of
 about that many, at places sampled by a hash, so no host is gathered in one
 task (a host of over ``HOST_PAGES * MAX_RANGES`` pages has that many ranges,
 of more pages each). The first and last two different pages of each range meet
 those of the adjacent ranges, so neighbours are the same wherever a host is
-cut, and whether it is. The comparison needs only line hashes of the neighbours.
+cut, and whether it is. The comparison needs only hashes of the neighbours.
 
 Defined results
     null or empty html      empty text
@@ -27,7 +37,7 @@ Defined results
                             ends an open non-content element before it; after
                             the last tag, text goes from the first "<" on that
                             begins a tag, none otherwise
-    very long pages         whole
+    very long pages         whole; alignment takes memory in proportion to lines
     empty table             empty result
     extra columns           ignored
 """
@@ -52,7 +62,7 @@ MAX_RANGES = 1_000
 SAMPLES = 8  # sampled places for each cut, about
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|math|iframe|object|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|template|textarea|svg|iframe|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _TAG_START = re.compile(r"<[a-zA-Z/!?]")
@@ -70,6 +80,14 @@ NAMES = frozenset("""ad ads advert advertisement advertising sponsor sponsored p
     navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus replies cookie cookies consent notice
     notification gdpr popup modal overlay newsletter subscribe subscription share sharing social related recommended
     widget toolbar pagination pager skip login signup""".split())
+#: words that say nothing about what a region is, so that "cookie-box" is a notice
+GENERIC = frozenset("""area bar block bottom box button buttons container inner item items left link links list outer panel right row
+    section site slot top unit wrap wrapper""".split())
+#: elements that hold a line of a region, not a region
+LINE = frozenset("p li h1 h2 h3 h4 h5 h6 dt dd tr caption figcaption summary legend pre blockquote center address".split())
+LINE_WORDS = 15  # words of a template region's lines, on average at most
+SMALLER = 4  # times that the main region is larger than a template region that differs in words
+BITS = 1 << 28  # cells of an alignment that are held at once
 VOICES = frozenset("comment comments disqus replies".split())  # an article inside these is a reader's
 
 
@@ -79,7 +97,10 @@ def _marks(attributes: str) -> set[str]:
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values)
         if name.lower() in ("class", "id"):
-            out.update(x.lower() for x in _PART.findall(value))
+            for token in value.split():
+                parts = {x.lower() for x in _PART.findall(token)}
+                if parts <= NAMES | GENERIC:
+                    out |= parts & NAMES
         elif name.lower() == "role" and value.lower() in ROLES:
             out.add("nav")
         elif name.lower() == "hidden" or value.lower() == "true":
@@ -87,22 +108,25 @@ def _marks(attributes: str) -> set[str]:
     return out
 
 
-def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
+def placed_lines(html: str | None) -> list[tuple[str, bool, bool, str, int]]:
     """The text lines (blocks) of a page: (line, in an article, in an element
-    that is never content)."""
+    that is never content, tag path, number of its region)."""
     if not html:
         return []
-    out: list[tuple[str, bool, bool]] = []
+    out: list[tuple[str, bool, bool, str, int]] = []
     held: list[str] = []
     depth = 0  # open article elements
     off: list[list] = []  # open never-content elements: [element, how many of that name are open, a reader's]
+    open_blocks: list[tuple[str, int]] = []  # (element, its number)
+    opened = 0
 
     def flush() -> None:
         if held:
             line = " ".join(unescape("".join(held)).split())
             held.clear()
             if line:
-                out.append((line, depth > 0 and not off, bool(off)))
+                region = next((k for e, k in reversed(open_blocks) if e not in LINE), 0)
+                out.append((line, depth > 0 and not off, bool(off), "/".join(e for e, _ in open_blocks), region))
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -115,10 +139,19 @@ def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
         if name == "br" or name in ("td", "th"):
             held.append(" ")
             continue
-        if name not in BLOCKS and name not in NEVER and not m[4] and not off:
+        if name not in BLOCKS and name not in NEVER and not off:
             continue  # inline markup
         if name in BLOCKS:
             flush()
+            if closes:
+                if any(e == name for e, _ in open_blocks):
+                    while open_blocks.pop()[0] != name:
+                        pass
+            elif name not in VOID:
+                if open_blocks and open_blocks[-1][0] in LINE and (name in LINE or open_blocks[-1][0] == "p"):
+                    open_blocks.pop()  # left open by the page
+                opened += 1
+                open_blocks.append((name, opened))
         if closes:
             if off and off[-1][0] == name:
                 off[-1][1] -= 1
@@ -133,7 +166,7 @@ def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
         if off and off[-1][0] == name:
             off[-1][1] += 1
             continue
-        marks = _marks(m[4]) if m[4] and name not in ("html", "body") else set()
+        marks = _marks(m[4]) if m[4] and name in BLOCKS and name not in ("html", "body") else set()
         if name in CONTENT:
             if not any(o[2] for o in off) and not marks & VOICES:
                 flush()
@@ -151,82 +184,176 @@ def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
     return out
 
 
+def lines_of(html: str | None) -> list[tuple[str, bool, bool]]:
+    """The text lines of a page: (line, in an article, in an element that is never content)."""
+    return [x[:3] for x in placed_lines(html)]
+
+
+def _rows(a: list[int], masks: dict[int, int], width: int) -> Iterator[int]:
+    """Row after row of the alignment table as bits: a 0 where the common length grows."""
+    full = (1 << width) - 1
+    row = full
+    for x in a:
+        if (at := masks.get(x)) is not None:
+            hit = row & at
+            row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _masks(b: list[int]) -> dict[int, int]:
+    places: dict[int, list[int]] = {}
+    for j, x in enumerate(b):
+        places.setdefault(x, []).append(j)
+    out = {}
+    for x, at in places.items():
+        bits = bytearray(len(b) // 8 + 1)
+        for j in at:
+            bits[j >> 3] |= 1 << (j & 7)
+        out[x] = int.from_bytes(bits, "little")
+    return out
+
+
+def _growth(row: int, width: int) -> np.ndarray:
+    """Common length with each prefix, from a row's bits."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(width // 8 + 1, "little"), dtype=np.uint8), bitorder="little")[:width]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _aligned(a: list[int], b: list[int], start: int, out: list[int]) -> None:
+    """Appends the positions (from ``start``) in ``a`` of a longest common subsequence with ``b``."""
+    if not a or not b:
+        return
+    if len(a) * len(b) > BITS and len(a) > 1:  # halves meet where the sum of both lengths is largest: linear space
+        mid, row = len(a) // 2, 0
+        for row in _rows(a[:mid], _masks(b), len(b)):
+            pass
+        ahead = _growth(row, len(b))
+        for row in _rows(a[mid:][::-1], _masks(b[::-1]), len(b)):
+            pass
+        cut = int((ahead + _growth(row, len(b))[::-1]).argmax())
+        _aligned(a[:mid], b[:cut], start, out)
+        _aligned(a[mid:], b[cut:], start + mid, out)
+        return
+    rows = list(_rows(a, _masks(b), len(b)))
+    i, j, found = len(a), len(b), []
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            found.append(start + i)
+    out += reversed(found)
+
+
 def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Positions in ``a`` of a longest common subsequence with ``b``.
 
-    Equal ends first; then each place of ``a`` meets its equals in ``b`` from
-    the back, and the longest rising chain is found by bisection, so work
-    follows the number of equal pairs, not the product of lengths."""
+    Equal ends first; lines that the other side lacks are left out; the rest is
+    aligned with a row of bits a line (so time follows lines times words of
+    bits, however often a line repeats), in halves where the table is large."""
     lo, end = 0, 0
     short = min(len(a), len(b))
     while lo < short and a[lo] == b[lo]:
         lo += 1
     while end < short - lo and a[len(a) - 1 - end] == b[len(b) - 1 - end]:
         end += 1
-    where: dict[int, list[int]] = {}
-    for j in range(len(b) - end - 1, lo - 1, -1):
-        where.setdefault(int(b[j]), []).append(j)
-    tails: list[int] = []  # smallest end in b of a chain of each length
-    nodes: list[tuple[int, int]] = []  # (place in a, node before)
-    ends: list[int] = []
-    for i in range(lo, len(a) - end):
-        for j in where.get(int(a[i]), ()):
-            k = int(np.searchsorted(tails, j)) if tails else 0
-            nodes.append((i, ends[k - 1] if k else -1))
-            if k == len(tails):
-                tails.append(j)
-                ends.append(len(nodes) - 1)
-            else:
-                tails[k] = j
-                ends[k] = len(nodes) - 1
-    chain, node = [], ends[-1] if ends else -1
-    while node >= 0:
-        chain.append(nodes[node][0])
-        node = nodes[node][1]
-    return np.array([*range(lo), *reversed(chain), *range(len(a) - end, len(a))], dtype=np.int64)
+    inner_a, inner_b = a[lo : len(a) - end], b[lo : len(b) - end]
+    at = np.flatnonzero(np.isin(inner_a, inner_b))
+    found: list[int] = []
+    _aligned(inner_a[at].tolist(), inner_b[np.isin(inner_b, inner_a)].tolist(), 0, found)
+    return np.concatenate([np.arange(lo), lo + at[found], np.arange(len(a) - end, len(a))]).astype(np.int64)
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
+def regions_of(found: list[tuple[str, bool, bool, str, int]]) -> tuple[list[int], list[int]]:
+    """(region of each line, hash of each region's tag paths)."""
+    of, paths = [], []
+    last = None
+    for _, own, off, path, region in found:
+        if (region, own, off) != last:
+            last = (region, own, off)
+            paths.append([])
+        paths[-1].append(path)
+        of.append(len(paths) - 1)
+    return of, [_hash("\n".join(p)) for p in paths]
+
+
+_PARSED = "_id long, _url string, lines array<string>, kinds binary, of binary, hashes array<long>, regions array<long>"
+
+
+def _signed(values: list[int]) -> np.ndarray:
+    return np.array(values, dtype=np.uint64).view(np.int64)
 
 
 def _parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        lines, kinds, hashes = [], [], []
+        lines, kinds, of, hashes, regions = [], [], [], [], []
         for html in b.column("_html").to_pylist():
-            found = lines_of(html)
-            hashes.append(np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x, _, _ in found),
-                                      dtype=np.uint64, count=len(found)).view(np.int64))
-            kinds.append(bytes(2 if off else int(own) for _, own, off in found))
-            lines.append(["" if off else x for x, _, off in found])
+            found = placed_lines(html)
+            hashes.append(_signed([_hash(x[0]) for x in found]))
+            kinds.append(bytes(2 if off else int(own) for _, own, off, *_ in found))
+            lines.append(["" if x[2] else x[0] for x in found])
+            region, paths = regions_of(found)
+            of.append(np.array(region, dtype="<i4").tobytes())
+            regions.append(_signed(paths))
         yield pa.record_batch(
-            [b.column("_id"), b.column("_url"), pa.array(lines, pa.list_(pa.string())), pa.array(kinds, pa.binary()),
-             pa.array(hashes, pa.list_(pa.int64()))], names=["_id", "_url", "lines", "kinds", "hashes"])
+            [b.column("_id"), b.column("_url"), pa.array(lines, pa.list_(pa.string())), pa.array(kinds, pa.binary()), pa.array(of, pa.binary()),
+             pa.array(hashes, pa.list_(pa.int64())), pa.array(regions, pa.list_(pa.int64()))],
+            names=["_id", "_url", "lines", "kinds", "of", "hashes", "regions"])
+
+
+def template_regions(lines: list[str], kinds: bytes, of: np.ndarray, shared: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which regions are template by their paths alone (``common``: they stand on
+    all neighbours): short lines, small beside the main region."""
+    kind = np.frombuffer(kinds, dtype=np.uint8)
+    size = np.array([len(x) for x in lines], dtype=np.int64)
+    words = np.array([x.count(" ") + 1 for x in lines], dtype=np.int64)
+    n = len(common)
+    text = np.bincount(of, size, n)
+    main = int(size[kind == 1].sum()) or int(np.bincount(of, size * ~shared * (kind == 0), n).max(initial=0))
+    open_lines = np.bincount(of, kind == 0, n)
+    short = np.bincount(of, words, n) <= LINE_WORDS * np.bincount(of, minlength=n)
+    return common & (open_lines > 0) & short & (text * SMALLER <= main)
 
 
 def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts, shared = [], []
-        columns = (b.column(c).to_pylist() for c in ("lines", "kinds", "hashes", "before", "after"))
-        for lines, kinds, hashes, *near in zip(*columns, strict=True):
-            own = np.array(hashes, dtype=np.int64)
-            common = np.zeros(len(own), dtype=bool)
+        texts, counts = [], []
+        columns = (b.column(c).to_pylist() for c in ("lines", "kinds", "of", "hashes", "regions", "before", "after"))
+        for lines, kinds, of, hashes, regions, *near in zip(*columns, strict=True):
+            own, paths = np.array(hashes, dtype=np.int64), np.array(regions, dtype=np.int64)
+            shared = np.zeros(len(own), dtype=bool)
+            common = np.full(len(paths), any(near))
             for other in near:
                 if other:
-                    common[common_lines(own, np.array(other, dtype=np.int64))] = True
-            shared.append(int(common.sum()))
-            texts.append("\n".join(x for x, kind, c in zip(lines, kinds, common, strict=True) if kind == 1 or kind == 0 and not c))
-        yield pa.record_batch([b.column("_id"), b.column("_url"), pa.array(texts, pa.string()), pa.array(shared, pa.int32())],
+                    shared[common_lines(own, np.array(other["hashes"], dtype=np.int64))] = True
+                    here = np.zeros(len(paths), dtype=bool)
+                    here[common_lines(paths, np.array(other["regions"], dtype=np.int64))] = True
+                    common &= here
+            region = np.frombuffer(of, dtype="<i4").astype(np.int64)
+            template = shared | template_regions(lines, kinds, region, shared, common)[region] if len(own) else shared
+            counts.append(int(shared.sum()))
+            texts.append("\n".join(x for x, kind, t in zip(lines, kinds, template, strict=True) if kind == 1 or kind == 0 and not t))
+        yield pa.record_batch([b.column("_id"), b.column("_url"), pa.array(texts, pa.string()), pa.array(counts, pa.int32())],
                               names=["_id", "_url", "text", "shared_lines"])
 
 
 def with_nearest(df: DataFrame, group: list[str]) -> DataFrame:
-    """Add ``before`` and ``after``: the line hashes of the nearest page on
-    either side, by (path, id, hashes) in its group, that has other lines."""
+    """Add ``before`` and ``after``: the hashes of lines and regions of the nearest
+    page on either side, by (path, id, hashes) in its group, that has other lines."""
     key = ["_path", "_id", "hashes"]
     up = Window.partitionBy(*group).orderBy(*key)
     down = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in key])
     for side, order in (("before", up), ("after", down)):
-        last = F.lag("hashes").over(order)
+        last = F.lag(F.struct("hashes", "regions")).over(order)
         # the page before the first of a run of equal ones holds for the whole run
         df = df.withColumn("_last", last).withColumn(side, F.last(
-            F.when(F.col("_last") != F.col("hashes"), F.col("_last")), ignorenulls=True).over(
+            F.when(F.col("_last.hashes") != F.col("hashes"), F.col("_last")), ignorenulls=True).over(
             order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_last")
     return df
 
@@ -254,16 +381,18 @@ def seams_of(ranged: DataFrame) -> DataFrame:
     than these are enough to tell the neighbours of the adjacent ranges."""
     group = ["_host", "_range"]
     place = F.struct("_path", "_id")
-    lists = ranged.groupBy(*group, "hashes").agg(F.min(place).alias("_a"), F.max(place).alias("_z"))
+    lists = ranged.groupBy(*group, "hashes").agg(F.min(place).alias("_a"), F.max(place).alias("_z"),
+                                                 F.min_by("regions", place).alias("_ra"), F.max_by("regions", place).alias("_rz"))
     ends = lists.withColumns({
         "_nth": F.row_number().over(Window.partitionBy(*group).orderBy("_a", "hashes")),
         "_back": F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("_z"), F.desc("hashes")))})
     ends = stage(ends.filter("_nth <= 2 or _back <= 2"), "html-ends")
-    pick = lambda rows, at, first, last: rows.select(
-        *group, F.col(f"{at}._path").alias("_path"), F.col(f"{at}._id").alias("_id"), "hashes", first.alias("_first"), last.alias("_end"))
+    pick = lambda rows, at, regions, first, last: rows.select(
+        *group, F.col(f"{at}._path").alias("_path"), F.col(f"{at}._id").alias("_id"), "hashes", F.col(regions).alias("regions"),
+        first.alias("_first"), last.alias("_end"))
     never = F.lit(False)
-    pages = pick(ends.filter("_nth <= 2"), "_a", F.col("_nth") == 1, never).unionByName(
-        pick(ends.filter("_back <= 2"), "_z", never, F.col("_back") == 1))
+    pages = pick(ends.filter("_nth <= 2"), "_a", "_ra", F.col("_nth") == 1, never).unionByName(
+        pick(ends.filter("_back <= 2"), "_z", "_rz", never, F.col("_back") == 1))
     # at most four rows a range
     near = with_nearest(pages, ["_host"])
     return near.groupBy(*group).agg(F.max(F.when(F.col("_first"), F.col("before"))).alias("_before"),
@@ -280,7 +409,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def ranged(some: DataFrame, how: str) -> DataFrame:
         """Parsed pages with host, path and range."""
-        parsed = some.mapInArrow(_parse, "_id long, _url string, lines array<string>, kinds binary, hashes array<long>")
+        parsed = some.mapInArrow(_parse, _PARSED)
         parsed = parsed.withColumn("_host", host).withColumn("_path", path).join(hinted(cuts), "_host", how)
         here = F.struct("_path", "_id")
         return parsed.withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= here)), F.lit(0))).drop("_cuts")
@@ -288,10 +417,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     placed = with_nearest(ranged(rows, "left"), ["_host", "_range"])
     if not cuts.isEmpty():
         large = rows.withColumn("_host", host).join(hinted(cuts.select("_host")), "_host", "left_semi").drop("_host")
-        seams = stage(seams_of(ranged(large, "inner").select("_host", "_range", "_path", "_id", "hashes")), "html-seams")
+        seams = stage(seams_of(ranged(large, "inner").select("_host", "_range", "_path", "_id", "hashes", "regions")), "html-seams")
         placed = placed.join(hinted(seams), ["_host", "_range"], "left").withColumns({
             "before": F.coalesce("before", "_before"), "after": F.coalesce("after", "_after")})
-    out = placed.select("_id", "_url", "lines", "kinds", "hashes", "before", "after").mapInArrow(
+    out = placed.select("_id", "_url", "lines", "kinds", "of", "hashes", "regions", "before", "after").mapInArrow(
         _difference, "_id long, _url string, text string, shared_lines int")
     return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text",
                       F.length("text").cast("long").alias("n_chars"), "shared_lines")

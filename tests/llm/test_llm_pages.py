@@ -5,6 +5,8 @@ import gzip
 import hashlib
 import io
 import random
+import re
+import time
 
 import numpy as np
 import pyarrow.fs
@@ -187,3 +189,99 @@ def test_broken_html():
     assert lines_of("plain <b>text</b>") == [("plain text", False, False)]
     assert lines_of("<p>a<script>never ends") == [("a", False, False)]
     assert lines_of("<nav>a<nav>b</nav>c</nav><p>d") == [("a", False, True), ("b", False, True), ("c", False, True), ("d", False, False)]
+
+
+# ------------------------------------------------------------ what differencing decides
+
+def test_inline_elements_formulas_and_classes_of_content_stay():
+    kept = ('<article><p class="related-work">Related work is discussed here.</p><p>We <span class="skip">skip</span> nothing, '
+            '<b class="share">share</b> all</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold</p><noscript>No scripts needed</noscript> '
+            '<object data="a">An object</object><section id="comment-on-method"><p>A comment on method</p></section>'
+            '<div class="related-links">Go there</div><div class="social share-bar">Share</div></article>')
+    assert [x for x, own, off in lines_of(kept) if own and not off] == [
+        "Related work is discussed here.", "We skip nothing, share all", "Let x=2 hold", "No scripts needed An object", "A comment on method"]
+    assert [x for x, _, off in lines_of(kept) if off] == ["Go there", "Share"]
+
+
+def test_regions_with_the_same_paths_go_though_their_words_differ(spark):
+    """No article, no names: menus, adverts and footers of other words on every page."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    rows, want = [], {}
+    for i in range(60):
+        menu = "".join(f"<li>{word()}</li>" for _ in range(5))
+        body = [" ".join(word() for _ in range(rnd.randint(8, 60))) for _ in range(rnd.randint(3, 9))]
+        html = (f"<body><div><ul>{menu}</ul></div><div>{word()} {word()} buy</div><div><h1>{body[0]}</h1>" + "".join(f"<p>{x}" for x in body[1:])
+                + f"</div><div><p>{word()} {word()}</p></div></body>")
+        rows.append((i, f"http://h/{i:03}", html))
+        want[i] = "\n".join(body)
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(want[i] in got[i] for i in got)  # nothing of the body is lost
+    assert sum(got[i] == want[i] for i in got) >= 0.9 * len(got)
+
+
+def test_long_pages_of_one_repeated_line_are_aligned_quickly():
+    for n in (400, 5000):
+        a = np.array([k if k % 2 else 0 for k in range(1, 2 * n, 1)][:n], dtype=np.int64)
+        b = np.array([-k if k % 2 else 0 for k in range(1, 2 * n, 1)][:n], dtype=np.int64)
+        began = time.perf_counter()
+        at = common_lines(a, b)
+        assert len(at) == (a == 0).sum() and time.perf_counter() - began < 1
+
+
+def test_large_tables_are_aligned_in_halves(monkeypatch):
+    import sievekit.llm.html_extract as module
+
+    rnd = random.Random(3)
+    for _ in range(60):
+        a, b = (np.array([rnd.randrange(7) for _ in range(rnd.randrange(40))], dtype=np.int64) for _ in range(2))
+        monkeypatch.setattr(module, "BITS", 1 << 28)
+        whole = common_lines(a, b)
+        monkeypatch.setattr(module, "BITS", 20)
+        parts = common_lines(a, b)
+        assert len(whole) == len(parts) and sorted(set(parts.tolist())) == parts.tolist()
+        rest = iter(b.tolist())
+        assert all(a[i] in rest for i in parts)
+
+
+def brute_text(pages):
+    """The whole query by definition: neighbours by plain scan, alignments by plain tables."""
+    from sievekit.llm.html_extract import LINE_WORDS, SMALLER, placed_lines, regions_of
+
+    def common(a, b):
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        return table[-1][-1]
+
+    parsed = []
+    for i, url, html in pages:
+        found = placed_lines(html)
+        host, path = ("", "") if not url or "://" not in url else re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1]).groups()
+        parsed.append((host.lower(), path, i, [x[0] for x in found], found, regions_of(found)))
+    out = {}
+    for host, path, i, lines, found, (of, paths) in parsed:
+        near = sorted((p for p in parsed if p[0] == host), key=lambda p: (p[1], p[2]))
+        me = next(k for k, p in enumerate(near) if p[2] == i)
+        before = next((p for p in reversed(near[:me]) if p[3] != lines), None)
+        after = next((p for p in near[me + 1 :] if p[3] != lines), None)
+        others = [p for p in (before, after) if p]
+        out[i] = (lines, found, of, paths, others, common, LINE_WORDS, SMALLER)
+    return out
+
+
+def test_query_against_brute_force(spark):
+    """Own lines stay, lines of a longest common subsequence go, on the pages as they are."""
+    pages = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").collect()]
+    pages += [(10_000 + k, f"http://brute/{k:02}", f"<body><div>Welcome</div><div><p>own {k} a<p>own {k} b<p>own {k % 3} c</div><div>Bye</div></body>") for k in range(12)]
+    got = {r["page_id"]: r for r in main_text(spark.createDataFrame(pages, PAGES)).collect()}
+    for i, (lines, found, _, _, others, common, *_) in brute_text(pages).items():
+        inside = [x for x, own, off, *_ in found if own]
+        text = got[i]["text"].split("\n") if got[i]["text"] else []
+        if inside:
+            assert text == inside  # the page says what its article is, and nothing else is left
+        else:
+            least = max((common([x[0] for x in found], p[3]) for p in others), default=0)
+            assert got[i]["shared_lines"] >= least
+            assert all(x in lines for x in text) and all(not any(x in p[3] for p in others) or lines.count(x) > 1 for x in text)
