@@ -8,7 +8,6 @@ grows with the tables.
 
 from __future__ import annotations
 
-import posixpath
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +23,7 @@ from sievekit.operators import runlog as L
 from sievekit.operators import schema as S
 from sievekit.plans.runlogs import event_log_lines
 from sievekit.plans.tables import load
-from sievekit.session import ensure_checkpoint_dir, stage_table
+from sievekit.session import fresh_folder, stage_table
 from sievekit.sources import delimited as D
 from sievekit.sources import ranges as BR
 from sievekit.sources.files import delimiter_check, lines_without_delimiter, manifest_check, resolve_member_files
@@ -34,10 +33,6 @@ from sievekit.sources.sinks import write_name_list, write_table
 FILE_ROWS = 5_000  # rows of a table in one derived file
 
 
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    return posixpath.join(ensure_checkpoint_dir(spark), "derived", f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 def write_lines_by_file(df: DataFrame, path: str, file_no: Column, order: str, line: Column, head: list[Column]) -> None:
     """One file per ``file_no``: the head lines, then a line per row (``FILE_ROWS`` at most)."""
     rows = df.select(file_no.alias("file_no"), F.struct(F.col(order).alias("k"), line.alias("v")).alias("r"))

@@ -66,9 +66,14 @@ def _stages(spark: SparkSession, base: str) -> str:
     return os.path.join(base, "stages", spark.sparkContext.applicationId)
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the application's own part of the shared folder."""
+    return os.path.join(_stages(spark, ensure_checkpoint_dir(spark)), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def remove_stages(spark: SparkSession) -> bool:
-    """Delete what ``stage_table`` wrote for this application, and nothing else
-    in the shared folder. DataFrames that still read from it are lost with it,
+    """Delete what ``stage_table`` and others wrote for this application (all in
+    its own part of the shared folder), and nothing else. DataFrames that still read from it are lost with it,
     so call it when their results are written. True when there was something."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stages(spark, ensure_checkpoint_dir(spark)))
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -82,8 +87,7 @@ def stage_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     a lost executor does not lose the stage.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(_stages(spark, base), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = fresh_folder(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
 
