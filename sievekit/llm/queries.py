@@ -117,9 +117,9 @@ WITH RECURSIVE rules(rule, rule_host, rule_path, decision) AS (VALUES
     ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'),
     ('net/fr/', 'net', '/fr/', 'block')),
 raw AS (
-    SELECT url, unnest([
+    SELECT url, replace(unnest([
         regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-        regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS target
+        regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]), '&amp;', '&') AS target
     FROM pages WHERE url LIKE '%://%'),
 aimed AS (
     SELECT url, CASE WHEN target LIKE '%://%' THEN target

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievekit.llm.common import hinted, prepare_python, stage
-from sievekit.session import ensure_checkpoint_dir
+from sievekit.session import fresh_folder
 
 ARCHIVE_BYTES = 256 * 1024 * 1024  # a task begins another archive beyond this
 READ_BYTES = 1 << 16
@@ -307,13 +307,25 @@ def read_warc(manifest: DataFrame, folder: str, with_payload: bool = False) -> D
 
 
 def archive_folder(pages: DataFrame) -> str:
-    """A fresh folder under the shared checkpoint folder, as a URI."""
-    base = ensure_checkpoint_dir(pages.sparkSession).rstrip("/")
-    return posixpath.join(base if "://" in base else f"file://{base.removeprefix('file:')}", f"warc-{uuid.uuid4().hex[:12]}")
+    """A fresh folder in the application's part of the shared folder, as a URI."""
+    folder = fresh_folder(pages.sparkSession, "warc")
+    return folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+
+
+def check_revisits(records: DataFrame) -> None:
+    """Raise if a revisit states another payload digest than the response it
+    refers to, or refers to none. Equal claims are one row before they are joined."""
+    claims = records.filter("record_type = 'revisit'").groupBy("refers_to", "payload_digest").agg(F.min("page_id").alias("one"))
+    known = records.filter("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest")
+    wrong = claims.join(known, ["refers_to", "payload_digest"], "left_anti").first()
+    if wrong is not None:
+        raise Damaged(f"revisit {wrong['one']} differs from record {wrong['refers_to']}")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Write all pages, read the archives back: one row per page."""
     folder = archive_folder(pages)
     manifest = write_warc(pages, folder, id_col, url_col, html_col)
-    return read_warc(manifest, folder).drop("payload", "offset")
+    records = stage(read_warc(manifest, folder).drop("payload", "offset"), "warc-records")
+    check_revisits(records)
+    return records

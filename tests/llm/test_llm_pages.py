@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sievekit.llm.html_extract import common_lines, lines_of, main_text
 from sievekit.llm.queries import URL_RULES
 from sievekit.llm.urlfilter import judge_urls
-from sievekit.llm.warc import Damaged, archive_folder, read_records, read_warc, record, round_trip, write_warc
+from sievekit.llm.warc import Damaged, archive_folder, check_revisits, read_records, read_warc, record, round_trip, write_warc
 
 PAGES = "page_id long, url string, html string"
 
@@ -54,6 +54,27 @@ def test_url_verdicts(spark, joined, monkeypatch):
     assert {r[0]: tuple(r)[1:] for r in got} == VERDICTS
 
 
+def test_url_sql_on_rows_with_links(spark, tmp_dir):
+    """The query and its SQL on canonical and refresh links, with escaped ampersands and chains."""
+    import duckdb
+
+    from sievekit.llm.queries import ORACLE_SQL, op2_url_redirect_filter
+
+    rows = URLS + [(20, "http://amp.org/1", canonical("http://amp.org/q?a=1&amp;b=2")), (21, "http://amp.org/q?a=1&b=2", refresh("https://w.net/es/x")),
+                   (22, "http://chain.org/1", canonical("http://chain.org/2")), (23, "http://chain.org/2", canonical("/3")),
+                   (24, "http://chain.org/3", refresh("//v.net/fr/z?x&amp;y")), (25, "http://far.org/a/b", canonical("c")), (26, "http://far.org/a/c", "")]
+    spark.createDataFrame(rows, PAGES).coalesce(1).write.parquet(f"{tmp_dir}/pages.parquet")
+    got = op2_url_redirect_filter(spark, tmp_dir)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_dir}/pages.parquet/*.parquet')")
+    found = con.execute(ORACLE_SQL["op2_url_redirect_filter"])
+    names = [d[0] for d in found.description]
+    want = sorted((tuple(r) for r in found.fetchall()), key=str)
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=str) == want
+    verdicts = {r["page_id"]: r["verdict"] for r in got.collect()}
+    assert [verdicts[i] for i in (20, 21, 22, 23, 24, 25, 26)] == ["block"] * 5 + ["allow"] * 2
+
+
 def test_url_edges_given_and_empty_table(spark):
     df = spark.createDataFrame([(1, "http://q.org/1", None), (2, "http://q.org/2", None)], PAGES)
     edges = spark.createDataFrame([("http://q.org/1", "https://r.net/es/")], "src string, dst string")
@@ -99,6 +120,15 @@ def test_archives_are_plain_gzip_and_carry_payloads(spark):
     assert sorted(bytes(r["payload"]).decode() for r in back) == sorted(["same", "same", "", "ünï\r\n\r\nWARC/1.1", "z" * 700_000, "own"])
 
 
+def test_revisits_are_checked_against_their_responses(spark):
+    rows = [(1, "d1", "response", None), (2, "d1", "revisit", 1), (3, "d2", "response", None), (4, "d2", "revisit", 3)]
+    schema = "page_id long, payload_digest string, record_type string, refers_to long"
+    check_revisits(spark.createDataFrame(rows, schema))
+    for wrong in ((5, "d1", "revisit", 3), (5, "d1", "revisit", 9), (5, None, "revisit", 1)):
+        with pytest.raises(Damaged):
+            check_revisits(spark.createDataFrame([*rows, wrong], schema))
+
+
 def test_damage_is_found():
     good = record(1, "u", b"payload", None) + record(2, "u", b"payload", 1)
     assert [r["record_type"] for r in read_records(io.BytesIO(good))] == ["response", "revisit"]
