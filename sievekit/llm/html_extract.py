@@ -117,7 +117,7 @@ def placed_lines(html: str | None) -> list[tuple[str, bool, bool, str, int]]:
     held: list[str] = []
     depth = 0  # open article elements
     off: list[list] = []  # open never-content elements: [element, how many of that name are open, a reader's]
-    open_blocks: list[tuple[str, int]] = []  # (element, its number)
+    open_blocks: list[tuple[str, str, int]] = [("", "", 0)]  # (element, tag path, number of its region)
     opened = 0
 
     def flush() -> None:
@@ -125,8 +125,7 @@ def placed_lines(html: str | None) -> list[tuple[str, bool, bool, str, int]]:
             line = " ".join(unescape("".join(held)).split())
             held.clear()
             if line:
-                region = next((k for e, k in reversed(open_blocks) if e not in LINE), 0)
-                out.append((line, depth > 0 and not off, bool(off), "/".join(e for e, _ in open_blocks), region))
+                out.append((line, depth > 0 and not off, bool(off), *open_blocks[-1][1:]))
 
     at = 0
     for m in _TOKEN.finditer(html):
@@ -144,14 +143,17 @@ def placed_lines(html: str | None) -> list[tuple[str, bool, bool, str, int]]:
         if name in BLOCKS:
             flush()
             if closes:
-                if any(e == name for e, _ in open_blocks):
+                if open_blocks[-1][0] == name:
+                    open_blocks.pop()
+                elif any(e[0] == name for e in open_blocks):
                     while open_blocks.pop()[0] != name:
                         pass
             elif name not in VOID:
-                if open_blocks and open_blocks[-1][0] in LINE and (name in LINE or open_blocks[-1][0] == "p"):
+                if open_blocks[-1][0] in LINE and (name in LINE or open_blocks[-1][0] == "p"):
                     open_blocks.pop()  # left open by the page
                 opened += 1
-                open_blocks.append((name, opened))
+                _, path, region = open_blocks[-1]
+                open_blocks.append((name, f"{path}/{name}", region if name in LINE else opened))
         if closes:
             if off and off[-1][0] == name:
                 off[-1][1] -= 1
@@ -260,6 +262,8 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     while end < short - lo and a[len(a) - 1 - end] == b[len(b) - 1 - end]:
         end += 1
     inner_a, inner_b = a[lo : len(a) - end], b[lo : len(b) - end]
+    if not len(inner_a) or not len(inner_b):
+        return np.concatenate([np.arange(lo), np.arange(len(a) - end, len(a))]).astype(np.int64)
     at = np.flatnonzero(np.isin(inner_a, inner_b))
     found: list[int] = []
     _aligned(inner_a[at].tolist(), inner_b[np.isin(inner_b, inner_a)].tolist(), 0, found)
@@ -326,17 +330,18 @@ def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, counts = [], []
         columns = (b.column(c).to_pylist() for c in ("lines", "kinds", "of", "hashes", "regions", "before", "after"))
         for lines, kinds, of, hashes, regions, *near in zip(*columns, strict=True):
-            own, paths = np.array(hashes, dtype=np.int64), np.array(regions, dtype=np.int64)
-            shared = np.zeros(len(own), dtype=bool)
-            common = np.full(len(paths), any(near))
-            for other in near:
-                if other:
-                    shared[common_lines(own, np.array(other["hashes"], dtype=np.int64))] = True
+            own = np.array(hashes, dtype=np.int64)
+            template = shared = np.zeros(len(own), dtype=bool)
+            for other in filter(None, near):
+                shared[common_lines(own, np.array(other["hashes"], dtype=np.int64))] = True
+            if 0 in kinds and any(near):  # else elements alone have decided
+                paths, region = np.array(regions, dtype=np.int64), np.frombuffer(of, dtype="<i4").astype(np.int64)
+                common = np.ones(len(paths), dtype=bool)
+                for other in filter(None, near):
                     here = np.zeros(len(paths), dtype=bool)
                     here[common_lines(paths, np.array(other["regions"], dtype=np.int64))] = True
                     common &= here
-            region = np.frombuffer(of, dtype="<i4").astype(np.int64)
-            template = shared | template_regions(lines, kinds, region, shared, common)[region] if len(own) else shared
+                template = shared | template_regions(lines, kinds, region, shared, common)[region]
             counts.append(int(shared.sum()))
             texts.append("\n".join(x for x, kind, t in zip(lines, kinds, template, strict=True) if kind == 1 or kind == 0 and not t))
         yield pa.record_batch([b.column("_id"), b.column("_url"), pa.array(texts, pa.string()), pa.array(counts, pa.int32())],
