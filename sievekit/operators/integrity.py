@@ -146,11 +146,12 @@ def _tagged(df: DataFrame, checks: Sequence[_Check], columns: Sequence[str], key
     return out if nulls else out.filter(reduce(Column.__or__, [F.col(k).isNotNull() for k in keys.values()]))
 
 
-def _orphans(target: DataFrame, checks: Sequence[_Check], nulls: str, max_broadcast_bytes: int | None = None) -> DataFrame:
+def _orphans(target: DataFrame, checks: Sequence[_Check], nulls: str, max_broadcast_bytes: int | None = None, slices: int = 1) -> DataFrame:
     """(rule_idx, key columns, n_rows): the keys of the target that no reference has.
 
     Keys of references small enough to be broadcast are looked up within the
-    scan, and only rows that miss go on; the other references are in the union."""
+    scan, and only rows that miss go on; the other references are in the union.
+    With ``slices``, the one in so many keys that a hash picks on both sides."""
     if nulls not in ("fail", "ignore"):
         raise ValueError("nulls must be 'fail' or 'ignore'")
     keys = _key_columns(checks)
@@ -169,7 +170,10 @@ def _orphans(target: DataFrame, checks: Sequence[_Check], nulls: str, max_broadc
     for same in by_reference.values():
         parts.append(_tagged(same[0].ref, same, [c.ref_col for c in same], keys, False, {}).select(
             "*", F.lit(0).cast("long").alias("n_rows"), F.lit(True).alias("__known")))
-    grouped = reduce(DataFrame.unionByName, parts).groupBy("rule_idx", *keys.values()).agg(
+    tagged = reduce(DataFrame.unionByName, parts)
+    if slices > 1:
+        tagged = tagged.filter(F.pmod(F.xxhash64(*keys.values()), F.lit(slices)) == 0)
+    grouped = tagged.groupBy("rule_idx", *keys.values()).agg(
         F.sum("n_rows").alias("n_rows"), F.bool_or("__known").alias("__known"))
     return grouped.filter(~F.col("__known")).drop("__known")
 
@@ -200,16 +204,35 @@ def _flag_misses(target: DataFrame, small: list, orphans: list, nulls: str) -> t
     return t, misses
 
 
+SLICES = 64  # orphans of one in so many keys are counted before those of all
+ENOUGH = 100  # orphan keys in that slice, at least, to forecast from
+
+
+def _orphan_sizes(orphans: DataFrame, checks: Sequence[_Check]) -> dict[int, tuple[int, int]]:
+    """Per rule: how many orphan keys, and the bytes of memory they take."""
+    width = reduce(Column.__add__, [F.coalesce(F.octet_length(k) if kind == "string" else F.lit(16), F.lit(0)) for kind, k in _key_columns(checks).items()])
+    sizes = orphans.groupBy("rule_idx").agg(F.count(F.lit(1)).alias("n"), F.sum(width + ROW_BYTES).alias("bytes"))
+    return {r["rule_idx"]: (r["n"], r["bytes"]) for r in sizes.collect()}
+
+
 def _few_orphans(target: DataFrame, large: list, nulls: str, max_bytes: int) -> dict[int, DataFrame]:
     """Per rule its orphan keys (``__orphan``), for the rules whose orphan keys
-    are counted to take at most ``max_bytes`` of memory; staged."""
+    are counted to take at most ``max_bytes`` of memory; staged.
+
+    The count groups every key of the target, in vain where the orphans are
+    many. So a slice of the keys is counted first: a rule with enough orphans
+    in it to forecast too many has no full count. The slice only decides how
+    a rule's rows are found; all of them are found either way."""
     checks = _checks(target, [(idx, rule, fk, ref, ref_col, None, None) for idx, fk, _keys, rule, ref, ref_col in large])
+    part = _orphan_sizes(_orphans(target, checks, nulls, 0, SLICES), checks)
+    many = {idx for idx, (n, size) in part.items() if n >= ENOUGH and size * SLICES > max_bytes}
+    checks = [c for c in checks if c.idx not in many]
+    if not checks:
+        return {}
     found = stage_table(_orphans(target, checks, nulls, 0), "fk-orphans")
-    keys = _key_columns(checks)
-    width = reduce(Column.__add__, [F.coalesce(F.octet_length(k) if kind == "string" else F.lit(16), F.lit(0)) for kind, k in keys.items()])
-    sizes = {r["rule_idx"]: r["bytes"] for r in found.groupBy("rule_idx").agg(F.sum(width + ROW_BYTES).alias("bytes")).collect()}
+    keys, sizes = _key_columns(checks), _orphan_sizes(found, checks)
     return {c.idx: found.filter(F.col("rule_idx") == c.idx).select(F.col(keys[c.kind]).alias("__orphan"))
-            for c in checks if sizes.get(c.idx, 0) <= max_bytes}
+            for c in checks if sizes.get(c.idx, (0, 0))[1] <= max_bytes}
 
 
 def _split_rules(target, rules, resolve, max_broadcast_bytes, only_logged=False):
@@ -296,7 +319,8 @@ def fk_violations(
     keys (a hit flag), and the failed rule names are exploded once. So do rules
     with large references whose orphan keys are few: those are found first (one
     more scan, of the key columns) and counted before they are broadcast. Rules
-    with many orphan keys get a shuffle anti join of their own.
+    with many orphan keys get a shuffle anti join of their own; a slice of the
+    keys tells them apart (a scan of the key columns too) before all are grouped.
     """
     if nulls not in ("fail", "ignore"):
         raise ValueError("nulls must be 'fail' or 'ignore'")
