@@ -19,4 +19,4 @@ from sievekit.functions.columns import (  # noqa: F401
     strip_prefix,
     text_key,
 )
-from sievekit.functions.sizing import broadcast_if_small, estimated_bytes, is_small  # noqa: F401
+from sievekit.functions.sizing import broadcast_if_small, dealt_out, estimated_bytes, is_small  # noqa: F401

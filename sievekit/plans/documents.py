@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievekit.functions.sizing import dealt_out
 from sievekit.operators import audit as A
 from sievekit.operators import expectations as E
 from sievekit.operators import flags as K
@@ -31,6 +32,7 @@ from sievekit.sources.jsondoc import read_keyed_document
 from sievekit.sources.sinks import write_name_list, write_table
 
 FILE_ROWS = 5_000  # rows of a table in one derived file
+CONFIG_ROWS = 10_000  # configs that a task writes and audits
 
 
 def write_lines_by_file(df: DataFrame, path: str, file_no: Column, order: str, line: Column, head: list[Column]) -> None:
@@ -239,8 +241,9 @@ def g_count_mismatches(spark, sf):
 # ---------------------------------------------------------------- configs
 
 def customer_configs(spark: SparkSession, sf: str) -> DataFrame:
-    """(config, json): one config per customer; the key modulo 16 picks the fault."""
-    c, kind = load(spark, sf, "customer"), F.col("c_custkey") % 16
+    """(config, json): one config per customer; the key modulo 16 picks the fault.
+    Millions of customers are a few MB, one scan task, and their configs gigabytes: they are dealt out first."""
+    c, kind = dealt_out(load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), CONFIG_ROWS), F.col("c_custkey") % 16
     text = lambda *pairs: F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
     part = lambda name, value: F.concat(F.lit(f'"{name}": '), value if isinstance(value, Column) else F.lit(value))
     faulty = lambda fault, wrong, right: F.when(kind == fault, wrong).otherwise(right)
