@@ -21,6 +21,10 @@ LOADER_REQUIRED = (
     "great_expectations_validations", "logging", "versioning",
 )
 VALIDATOR_REQUIRED = ("target_table", "schema_file_path", "input_files", "output_file")
+AUDITED = (
+    "input_files", "output_file", "transformations", "validations", "referential_integrity",
+    "great_expectations_validations", "schema_drift_handling", "logging", "versioning",
+)
 INPUT_FILE_KEYS = ("source", "file_path", "file_type", "delimiter", "ignore_first_line")
 OUTPUT_FILE_KEYS = ("output_file_path", "file_type", "delimiter", "ignore_first_line")
 VALIDATION_KEYS = ("column", "validation_type", "error_message")
@@ -103,14 +107,19 @@ def _nonempty_object(text: Column) -> Column:
 
 
 def audit_configs(configs: DataFrame, json_col: str = "json", name_col: str = "config") -> DataFrame:
-    """One row per error."""
+    """One row per error.
+
+    Each section is taken out of the document once, in a projection of its own:
+    the checks look at it several times."""
     doc = F.col(json_col)
+    sections = configs.select(F.col(name_col).alias("config"), _keys(doc).alias("__top"),
+                              *[F.get_json_object(doc, f"$.{name}").alias(f"__{name}") for name in AUDITED])
 
     def sec(name: str) -> Column:
-        return F.get_json_object(doc, f"$.{name}")
+        return F.col(f"__{name}")
 
     empty = F.array().cast("array<struct<section:string,message:string>>")
-    top = _keys(doc)
+    top = F.col("__top")
     required = F.transform(
         F.array_except(_lit_array(VALIDATOR_REQUIRED), top),
         lambda k: _err("required_fields", F.concat(F.lit(MSG_MISSING_REQUIRED + "'"), k, F.lit("'"))))
@@ -141,8 +150,7 @@ def audit_configs(configs: DataFrame, json_col: str = "json", name_col: str = "c
     )).otherwise(empty)
 
     errors = F.concat(required, inputs, output, transformations, validations, ri, ge, drift, logging, versioning)
-    return configs.select(F.col(name_col).alias("config"),
-                          F.posexplode(errors).alias("check_order", "e")).select(
+    return sections.select("config", F.posexplode(errors).alias("check_order", "e")).select(
         "config", "check_order", "e.section", "e.message")
 
 
